@@ -12,39 +12,41 @@ MONEY_SCALE = 4
 _BLOCK_BITS = 20
 
 
-def money_units(amount: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """``amount`` as a whole number of 10^-scale units."""
-    return F.rint(_col(amount) * F.lit(10**scale)).cast("bigint")
+def total_parts(amount: str, scale: int = MONEY_SCALE) -> tuple[str, str]:
+    """SQL text of the high and low parts of ``amount`` in units of 10^-scale.
 
-
-def total_parts(amount: Column | str, scale: int = MONEY_SCALE) -> tuple[Column, Column]:
-    """High and low parts of the units, each safe to add up as BIGINT.
-
-    The low part is below 2^20, so its sum holds for 8e12 rows; the high part leaves
-    room for totals around 1e21. Both sums stay in primitive longs inside generated code,
-    which neither a DECIMAL buffer nor an order-dependent DOUBLE sum offers.
+    Both are safe to add up as BIGINT: the low part is below 2^20, so its sum holds for
+    8e12 rows; the high part leaves room for totals around 1e21. The sums stay primitive
+    longs inside generated code, unlike a DECIMAL buffer, and do not depend on the order
+    of the rows, unlike a DOUBLE sum.
     """
-    units = money_units(amount, scale)
-    return F.shiftright(units, _BLOCK_BITS), units.bitwiseAND(F.lit((1 << _BLOCK_BITS) - 1))
+    units = f"CAST(rint(({amount}) * {10**scale}) AS BIGINT)"
+    return f"shiftright({units}, {_BLOCK_BITS})", f"({units} & {(1 << _BLOCK_BITS) - 1})"
 
 
-def join_parts(high: Column, low: Column, scale: int = MONEY_SCALE) -> Column:
-    """Summed parts back to one DECIMAL; NULL parts (nothing summed) stay NULL."""
-    whole = high.cast("decimal(20,0)") * F.lit(1 << _BLOCK_BITS).cast("decimal(8,0)")
-    units = whole + low.cast("decimal(20,0)")
-    step = F.lit(f"{10 ** -scale:.{scale}f}").cast(f"decimal({scale + 1},{scale})")
-    return (units * step).cast(f"decimal(38,{scale})")
+def join_parts(high: str, low: str, scale: int = MONEY_SCALE) -> str:
+    """SQL text of the DECIMAL behind two summed parts; nothing summed stays NULL."""
+    step = f"CAST('{10 ** -scale:.{scale}f}' AS DECIMAL({scale + 1},{scale}))"
+    units = f"CAST({high} AS DECIMAL(20,0)) * {1 << _BLOCK_BITS} + CAST({low} AS DECIMAL(20,0))"
+    return f"CAST(({units}) * {step} AS DECIMAL(38,{scale}))"
 
 
-def exact_total(amount: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """SUM with the same answer for every order of the rows; NULL when nothing is summed."""
+def exact_total_text(amount: str, scale: int = MONEY_SCALE) -> str:
     high, low = total_parts(amount, scale)
-    return join_parts(F.sum(high), F.sum(low), scale)
+    return join_parts(f"sum({high})", f"sum({low})", scale)
+
+
+def exact_total(amount: str, scale: int = MONEY_SCALE) -> Column:
+    """SUM of a column or SQL expression, the same for every order of the rows.
+
+    NULL when nothing is summed, like SUM itself.
+    """
+    return F.expr(exact_total_text(amount, scale))
 
 
-def exact_mean(amount: Column | str, scale: int = MONEY_SCALE) -> Column:
+def exact_mean(amount: str, scale: int = MONEY_SCALE) -> Column:
     """AVG over the non-NULL values, built on the exact total."""
-    return F.try_divide(exact_total(amount, scale).cast("double"), F.count(_col(amount)))
+    return F.expr(f"try_divide(CAST({exact_total_text(amount, scale)} AS DOUBLE), count({amount}))")
 
 
 def safe_ratio(top: Column, bottom: Column) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exact_total
-from ..functions.numbers import join_parts, total_parts
+from ..functions.numbers import exact_total_text, join_parts, total_parts
 from ..operators.matching import orphan_count
 from ..operators.metrics import monthly_totals, row_count
 from .checks import Check, Constant, Measure, MatchedTotal, MonthlyTotal, Rows, Surplus, Total, Unmatched
@@ -59,8 +59,8 @@ def stamp_checked(audit: DataFrame) -> DataFrame:
 # --- one check at a time ----------------------------------------------------------------
 
 
-def _filtered(df: DataFrame, where) -> DataFrame:
-    return df.where(where()) if where is not None else df
+def _filtered(df: DataFrame, where: str | None) -> DataFrame:
+    return df.where(where) if where is not None else df
 
 
 def measure_frame(measure: Measure, tables: Tables) -> DataFrame:
@@ -129,61 +129,57 @@ def audit_by_branch(checks: Sequence[Check], tables: Tables) -> DataFrame:
 
 @dataclass
 class _Domain:
-    """Counter columns each table adds to the keyed aggregate of one parent key."""
+    """Counter columns each table adds to the keyed aggregate of one parent key.
+
+    Everything is SQL text. ``parts`` holds, per table and its key columns, the counters'
+    per-row values; ``facts`` the global aggregates over the one-row-per-key result.
+    """
 
     parent: str
     keys: tuple[str, ...]
-    # (table, its key columns) -> counter name -> (per-row column, NULL when absent)
-    parts: dict[tuple[str, tuple[str, ...]], dict[str, Column]] = field(default_factory=dict)
-    facts: dict[str, Column] = field(default_factory=dict)
+    parts: dict[tuple[str, tuple[str, ...]], dict[str, str]] = field(default_factory=dict)
+    facts: dict[str, str] = field(default_factory=dict)
     _names: dict[tuple, str] = field(default_factory=dict)
 
-    def counter(self, table: str, keys: tuple[str, ...], what: tuple, column: Column) -> Column:
-        """Register a counter once and return it as a column of the keyed aggregate."""
-        identity = (table, keys, *what)
-        name = self._names.setdefault(identity, f"n{len(self._names)}")
-        self.parts.setdefault((table, keys), {})[name] = column
-        return F.col(name)
+    def key_names(self) -> list[str]:
+        return [f"k{i}" for i in range(len(self.keys))]
 
-    def count(self, table: str, keys: tuple[str, ...], where=None, extra: Column | None = None, tag: str = "") -> Column:
-        keep = F.lit(True)
-        if where is not None:
-            keep = keep & where()
-        if extra is not None:
-            keep = keep & extra
-        one = F.when(keep, F.lit(1))
-        return F.coalesce(self.counter(table, keys, ("rows", where, tag), one), F.lit(0))
+    def has_key(self) -> str:
+        return " AND ".join(f"{k} IS NOT NULL" for k in self.key_names())
 
+    def counter(self, table: str, keys: tuple[str, ...], value: str) -> str:
+        """Register a per-row value once; the name holds its sum (NULL when absent)."""
+        name = self._names.setdefault((table, keys, value), f"n{len(self._names)}")
+        self.parts.setdefault((table, keys), {})[name] = value
+        return name
 
-def _has_key(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f"k{i}").isNotNull() for i in range(len(keys))])
+    def count(self, table: str, keys: tuple[str, ...], *conditions: str | None) -> str:
+        kept = [f"({c})" for c in conditions if c is not None]
+        one = f"CASE WHEN {' AND '.join(kept)} THEN 1L END" if kept else "1L"
+        return f"coalesce({self.counter(table, keys, one)}, 0L)"
 
 
-def _keyed_fact(measure: Measure, domain: _Domain) -> Column:
+def _keyed_fact(measure: Measure, domain: _Domain) -> str:
     """The measure as a global aggregate over the domain's one-row-per-key table."""
-    has_key = _has_key(domain.keys)
+    has_key = domain.has_key()
     match measure:
         case Surplus(table, key):
             rows = domain.count(table, (key,))
-            repeated = F.when(has_key & (rows > 0), rows - 1).otherwise(rows)
-            return F.coalesce(F.sum(repeated), F.lit(0))
+            surplus = f"CASE WHEN {has_key} AND {rows} > 0 THEN {rows} - 1 ELSE {rows} END"
+            return f"coalesce(sum({surplus}), 0)"
         case Unmatched(child, keys, parent, parent_keys, where, witness):
             rows = domain.count(child, keys)
             parents = domain.count(parent, parent_keys, where)
-            unvouched = F.lit(0)
+            unvouched = "0L"
             if witness is not None:
-                unvouched = domain.count(
-                    parent, parent_keys, where, F.col(witness).isNull(), tag=f"without {witness}"
-                )
-            weight = F.when(~has_key | (parents == 0), F.lit(1)).otherwise(unvouched)
-            return F.coalesce(F.sum(rows * weight), F.lit(0))
+                unvouched = domain.count(parent, parent_keys, where, f"{witness} IS NULL")
+            weight = f"CASE WHEN NOT ({has_key}) OR {parents} = 0 THEN 1L ELSE {unvouched} END"
+            return f"coalesce(sum({rows} * {weight}), 0)"
         case MatchedTotal(child, amount, keys, parent, parent_keys, where):
-            high, low = total_parts(amount)
-            high_sum = domain.counter(child, keys, ("high", amount), high)
-            low_sum = domain.counter(child, keys, ("low", amount), low)
+            high, low = (domain.counter(child, keys, part) for part in total_parts(amount))
             parents = domain.count(parent, parent_keys, where)
-            total = join_parts(high_sum, low_sum).cast("decimal(28,4)")
-            return F.sum(F.when(has_key & (parents > 0), total * parents))
+            total = f"CAST({join_parts(high, low)} AS DECIMAL(28,4))"
+            return f"sum(CASE WHEN {has_key} AND {parents} > 0 THEN {total} * {parents} END)"
     raise TypeError(f"not a keyed measure: {measure!r}")
 
 
@@ -196,49 +192,54 @@ def _domain_of(measure: Measure) -> tuple[str, tuple[str, ...]] | None:
     return None
 
 
-def _plain_fact(measure: Measure) -> tuple[str, Column]:
+def _plain_fact(measure: Measure) -> tuple[str, str]:
     """(table, aggregate) of a measure that needs no key. Filters become conditions."""
     match measure:
         case Rows(table, where):
-            return table, row_count() if where is None else F.count_if(where())
+            return table, "count(1)" if where is None else f"count_if({where})"
         case Total(table, amount, where):
-            kept = F.col(amount) if where is None else F.when(where(), F.col(amount))
-            return table, exact_total(kept)
+            return table, exact_total_text(amount if where is None else f"CASE WHEN {where} THEN {amount} END")
         case MonthlyTotal(table, amount, day):
             # Adding up months is adding up their rows; only dated rows have a month.
-            return table, exact_total(F.when(F.col(day).isNotNull(), F.col(amount)))
+            return table, exact_total_text(f"CASE WHEN {day} IS NOT NULL THEN {amount} END")
     raise TypeError(f"no such measure: {measure!r}")
 
 
+def _text(value: str) -> str:
+    """``value`` as a SQL text literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def _as_facts(one_row: DataFrame, facts: Iterable[str]) -> DataFrame:
     """A one-row aggregate as (fact, value) rows."""
-    pairs = [F.struct(F.lit(name).alias("fact"), F.col(name).alias("value")) for name in facts]
-    return one_row.select(F.inline(F.array(*pairs)))
+    pairs = ", ".join(f"struct({_text(name)} AS fact, {name} AS value)" for name in facts)
+    return one_row.selectExpr(f"inline(array({pairs}))")
+
+
+def _one_row(df: DataFrame, facts: Mapping[str, str]) -> DataFrame:
+    columns = [F.expr(f"CAST({fact} AS {FACT_TYPE}) AS {name}") for name, fact in facts.items()]
+    return _as_facts(df.agg(*columns), facts)
 
 
 def _keyed_facts(domain: _Domain, tables: Tables) -> DataFrame:
-    key_names = [f"k{i}" for i in range(len(domain.keys))]
+    key_names = domain.key_names()
     counters = [name for part in domain.parts.values() for name in part]
-    narrow = []
-    for (table, keys), part in domain.parts.items():
-        key_columns = [F.col(k).alias(n) for k, n in zip(keys, key_names)]
-        counted = [
-            (part[name] if name in part else F.lit(None)).cast("bigint").alias(name) for name in counters
-        ]
-        narrow.append(tables[table].select(*key_columns, *counted))
-    keyed = (
-        reduce(DataFrame.unionByName, narrow)
-        .groupBy(*key_names)
-        .agg(*[F.sum(name).alias(name) for name in counters])
-    )
-    one_row = keyed.agg(*[column.cast(FACT_TYPE).alias(name) for name, column in domain.facts.items()])
-    return _as_facts(one_row, domain.facts)
+    narrow = [
+        tables[table].selectExpr(
+            *[f"{key} AS {name}" for key, name in zip(keys, key_names)],
+            *[f"{part.get(name, 'CAST(NULL AS BIGINT)')} AS {name}" for name in counters],
+        )
+        for (table, keys), part in domain.parts.items()
+    ]
+    per_key = reduce(DataFrame.union, narrow).groupBy(*key_names)
+    return _one_row(per_key.agg(*[F.expr(f"sum({name}) AS {name}") for name in counters]), domain.facts)
 
 
 def audit_fused(checks: Sequence[Check], tables: Tables) -> DataFrame:
     """All checks from one aggregate per table and one per key domain, scored."""
     names: dict[Measure, str] = {}
-    plain: dict[str, dict[str, Column]] = {}
+    plain: dict[str, dict[str, str]] = {}
     domains: dict[tuple, _Domain] = {}
     for measure in (m for c in checks for m in (c.expected, c.actual)):
         if isinstance(measure, Constant) or measure in names:
@@ -246,40 +247,31 @@ def audit_fused(checks: Sequence[Check], tables: Tables) -> DataFrame:
         name = names[measure] = f"fact_{len(names)}"
         at = _domain_of(measure)
         if at is None:
-            table, aggregate = _plain_fact(measure)
-            plain.setdefault(table, {})[name] = aggregate.cast(FACT_TYPE)
+            table, fact = _plain_fact(measure)
+            plain.setdefault(table, {})[name] = fact
         else:
             domain = domains.setdefault(at, _Domain(*at))
             domain.facts[name] = _keyed_fact(measure, domain)
 
-    branches = [
-        _as_facts(tables[table].agg(*[a.alias(n) for n, a in facts.items()]), facts)
-        for table, facts in plain.items()
-    ]
+    branches = [_one_row(tables[table], facts) for table, facts in plain.items()]
     branches += [_keyed_facts(domain, tables) for domain in domains.values()]
-    facts = reduce(DataFrame.unionByName, branches)
+    facts = reduce(DataFrame.union, branches)
 
     # One row per measure is left; fold them into one row and spread it over the checks.
-    wide = facts.agg(
-        *[F.max(F.when(F.col("fact") == name, F.col("value"))).alias(name) for name in names.values()]
-    )
-
-    def value(measure: Measure) -> Column:
-        if isinstance(measure, Constant):
-            return F.lit(measure.value).cast(FACT_TYPE)
-        return F.col(names[measure])
-
+    folded = [F.expr(f"max(value) FILTER (WHERE fact = {_text(n)}) AS {n}") for n in names.values()]
     rows = [
-        F.struct(
-            F.lit(c.check_type).alias("check_type"),
-            F.lit(c.check_name).alias("check_name"),
-            F.lit(c.description).alias("description"),
-            value(c.expected).alias("expected"),
-            value(c.actual).alias("actual"),
-        )
+        f"struct({_text(c.check_type)} AS check_type, {_text(c.check_name)} AS check_name,"
+        f" {_text(c.description)} AS description, {_fact(c.expected, names)} AS expected,"
+        f" {_fact(c.actual, names)} AS actual)"
         for c in checks
     ]
-    return score(wide.select(F.inline(F.array(*rows))))
+    return score(facts.agg(*folded).selectExpr(f"inline(array({', '.join(rows)}))"))
+
+
+def _fact(measure: Measure, names: Mapping[Measure, str]) -> str:
+    if isinstance(measure, Constant):
+        return f"CAST({measure.value} AS {FACT_TYPE})"
+    return names[measure]
 
 
 class IntegrityError(RuntimeError):

@@ -1,18 +1,14 @@
 """Declarative data-quality checks.
 
-A check compares two measures. A measure says what to compute on named tables; how the
-measures of a whole catalogue share scans and shuffles is decided in ``audit``.
+A check compares two measures. A measure says what to compute on named tables, with
+conditions and amounts as SQL expressions; how the measures of a whole catalogue share
+scans and shuffles is decided in ``audit``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-
-Predicate = Callable[[], Column]
-
 # The check types of the audit table.
 INTEGRITY = "integrity"
 RECONCILIATION = "reconciliation"
@@ -31,7 +27,7 @@ class Rows:
     """Rows of ``table``, or those for which ``where`` is true (NULL is not true)."""
 
     table: str
-    where: Predicate | None = None
+    where: str | None = None
 
 
 @dataclass(frozen=True)
@@ -40,7 +36,7 @@ class Total:
 
     table: str
     amount: str
-    where: Predicate | None = None
+    where: str | None = None
 
 
 @dataclass(frozen=True)
@@ -72,7 +68,7 @@ class Unmatched:
     keys: tuple[str, ...]
     parent: str
     parent_keys: tuple[str, ...]
-    parent_where: Predicate | None = None
+    parent_where: str | None = None
     witness: str | None = None
 
 
@@ -88,7 +84,7 @@ class MatchedTotal:
     keys: tuple[str, ...]
     parent: str
     parent_keys: tuple[str, ...]
-    parent_where: Predicate | None = None
+    parent_where: str | None = None
 
 
 Measure = Constant | Rows | Total | MonthlyTotal | Surplus | Unmatched | MatchedTotal

@@ -86,14 +86,8 @@ def win_rate(sales_deals: DataFrame) -> DataFrame:
 # --- checks ---------------------------------------------------------------------------
 
 
-def _vacancy_filled():
-    return F.col("status") == FILLED
-
-
-def _application_hired():
-    return F.col("furthest_stage") == HIRED
-
-
+_FILLED = f"status = '{FILLED}'"
+_HIRED = f"furthest_stage = '{HIRED}'"
 _FEES = Total("placements", "placement_fee_usd")
 
 # Check names and types are fixed values of the audit table.
@@ -113,33 +107,33 @@ CHECKS = [
     Check(INTEGRITY, "duplicate_placement_id", "No placement_id is missing or repeated",
           Surplus("placements", "placement_id")),
     Check(RECONCILIATION, "placements_vs_filled_vacancies", "As many placements as filled vacancies",
-          Rows("placements"), expected=Rows("vacancies", _vacancy_filled)),
+          Rows("placements"), expected=Rows("vacancies", _FILLED)),
     Check(RECONCILIATION, "hired_applications_vs_placements", "As many hired applications as placements",
-          Rows("placements"), expected=Rows("applications", _application_hired)),
+          Rows("placements"), expected=Rows("applications", _HIRED)),
     Check(RECONCILIATION, "placements_without_hired_application",
           "Each placement has a hired application of its candidate for its vacancy",
           Unmatched("placements", ("vacancy_id", "candidate_id"), "applications", ("vacancy_id", "candidate_id"),
-                    _application_hired, witness="application_id")),
+                    _HIRED, witness="application_id")),
     Check(RECONCILIATION, "revenue_total_vs_monthly_report",
           "All fees appear in the monthly revenue, none is lost for want of a date",
           MonthlyTotal("placements", "placement_fee_usd", "placed_at"), expected=_FEES),
     Check(RECONCILIATION, "revenue_total_vs_filled_vacancies", "All fees belong to filled vacancies",
           MatchedTotal("placements", "placement_fee_usd", ("vacancy_id",), "vacancies", ("vacancy_id",),
-                       _vacancy_filled), expected=_FEES),
+                       _FILLED), expected=_FEES),
     Check(VALIDITY, "filled_vacancies_missing_close_date", "A filled vacancy has been closed",
-          Rows("vacancies", lambda: (F.col("status") == FILLED) & F.col("closed_at").isNull())),
+          Rows("vacancies", f"{_FILLED} AND closed_at IS NULL")),
     Check(VALIDITY, "open_vacancies_with_close_date", "An open vacancy has not been closed",
-          Rows("vacancies", lambda: (F.col("status") == OPEN) & F.col("closed_at").isNotNull())),
+          Rows("vacancies", f"status = '{OPEN}' AND closed_at IS NOT NULL")),
     Check(VALIDITY, "closed_before_opened", "A vacancy closes on or after the day it opens",
-          Rows("vacancies", lambda: F.col("closed_at") < F.col("opened_at"))),
+          Rows("vacancies", "closed_at < opened_at")),
     Check(VALIDITY, "negative_or_missing_marketing_spend", "Spend is known and at least zero",
-          Rows("marketing_daily", lambda: F.col("spend_usd").isNull() | (F.col("spend_usd") < 0))),
+          Rows("marketing_daily", "spend_usd IS NULL OR spend_usd < 0")),
     Check(VALIDITY, "clicks_exceed_impressions", "An ad is clicked at most as often as it is shown",
-          Rows("marketing_daily", lambda: F.col("clicks") > F.col("impressions"))),
+          Rows("marketing_daily", "clicks > impressions")),
     Check(VALIDITY, "won_deals_without_client", "A won deal has its client",
-          Rows("sales_deals", lambda: (F.col("stage") == WON) & F.col("client_id").isNull())),
+          Rows("sales_deals", f"stage = '{WON}' AND client_id IS NULL")),
     Check(VALIDITY, "closed_deals_without_close_date", "A won or lost deal has its close date",
-          Rows("sales_deals", lambda: F.col("stage").isin(WON, LOST) & F.col("closed_at").isNull())),
+          Rows("sales_deals", f"stage IN ('{WON}', '{LOST}') AND closed_at IS NULL")),
 ]
 
 # The generator's gate also ties placements to candidates, which no audit row does.
