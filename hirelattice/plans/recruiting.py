@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import faults, matching, metrics
+from ..schemas import BASE_TABLES
 from .audit import assert_all_pass, audit_fused
 from .checks import (
     INTEGRITY, RECONCILIATION, VALIDITY, Check, MatchedTotal, MonthlyTotal, Rows, Surplus, Total, Unmatched,
@@ -15,6 +16,8 @@ from .checks import (
 
 Tables = Mapping[str, DataFrame]
 
+TABLES = list(BASE_TABLES)
+
 # Fixed values of the data model.
 FILLED, OPEN, CANCELLED = "filled", "open", "cancelled"
 HIRED = "hired"
