@@ -18,7 +18,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exact_total
@@ -109,8 +109,7 @@ def _value(measure: Measure, tables: Tables) -> Column:
 
 def audit_by_branch(checks: Sequence[Check], tables: Tables) -> DataFrame:
     """One constant row of scalar subqueries per check, all rows unioned and scored."""
-    spark = next(iter(tables.values())).sparkSession
-    one = spark.range(1, numPartitions=1)
+    one = SparkSession.active().range(1, numPartitions=1)
     branches = [
         one.select(
             F.lit(c.check_type).alias("check_type"),

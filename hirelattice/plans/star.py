@@ -7,7 +7,7 @@ the channel, an order's price is the fee, spend or deal amount.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,34 +31,60 @@ PAID_SEGMENTS = ["BUILDING", "MACHINERY", "HOUSEHOLD"]
 FINISHED, OPEN, PENDING = "F", "O", "P"
 
 
-def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The tables of a folder plus the derived inputs of the checks, all lazy."""
-    tables = {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in TABLES}
-    return {**tables, **derived_inputs(tables)}
+class StarTables(Mapping):
+    """The tables of a folder and the derived inputs of the checks, opened when first used.
+
+    Opening a table lists its files, so a query pays only for the tables it names.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._folder = spark, folder
+        self._open: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._open:
+            derive = DERIVED.get(name)
+            if derive is None and name not in TABLES:
+                raise KeyError(name)
+            self._open[name] = (
+                derive(self) if derive else self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+            )
+        return self._open[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter([*TABLES, *DERIVED])
+
+    def __len__(self) -> int:
+        return len(TABLES) + len(DERIVED)
+
+
+def read_tables(spark: SparkSession, folder: str) -> StarTables:
+    return StarTables(spark, folder)
 
 
 def shipments(tables: Tables) -> DataFrame:
     """Line items with their order's dates. Both sides are large and join on the order key.
 
-    Only four narrow columns are shuffled. Adaptive execution splits the partition of an
-    order key that holds too many line items, and broadcasts a side it has seen to be small.
+    Only narrow columns are shuffled. Adaptive execution splits the partition of an order
+    key that holds too many line items, and broadcasts a side it has seen to be small.
     """
     lines = tables["lineitem"].select("l_orderkey", "l_shipdate")
     orders = tables["orders"].select("o_orderkey", "o_orderdate", "o_orderpriority")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def derived_inputs(tables: Tables) -> dict[str, DataFrame]:
-    turns = tables["conversations"]
-    return {
-        "shipments": shipments(tables),
-        # A turn is answered by the next turn of the same conversation.
-        "user_turns": turns.where(F.col("role") == "user").select(
-            "conv_id", (F.col("turn") + 1).alias("reply_turn")
-        ),
-        # Whole texts are compared through a 256-bit digest, so texts are not shuffled.
-        "document_texts": tables["documents"].select(F.unhex(F.sha2("text", 256)).alias("text_digest")),
-    }
+def user_turns(tables: Tables) -> DataFrame:
+    """User turns with the turn that should answer them: the next of the conversation."""
+    turns = tables["conversations"].where(F.col("role") == "user")
+    return turns.select("conv_id", (F.col("turn") + 1).alias("reply_turn"))
+
+
+def document_texts(tables: Tables) -> DataFrame:
+    """Whole texts as 256-bit digests, so that equal texts meet without shuffling texts."""
+    return tables["documents"].select(F.unhex(F.sha2("text", 256)).alias("text_digest"))
+
+
+DERIVED = {"shipments": shipments, "user_turns": user_turns, "document_texts": document_texts}
 
 
 # --- reports --------------------------------------------------------------------------
