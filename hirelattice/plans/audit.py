@@ -182,13 +182,20 @@ def _keyed_fact(measure: Measure, domain: _Domain) -> str:
     raise TypeError(f"not a keyed measure: {measure!r}")
 
 
-def _domain_of(measure: Measure) -> tuple[str, tuple[str, ...]] | None:
-    match measure:
-        case Surplus(table, key):
-            return table, (key,)
-        case Unmatched() | MatchedTotal():
-            return measure.parent, measure.parent_keys
-    return None
+def _domain_for(measure: Measure, domains: dict[tuple, _Domain]) -> _Domain:
+    """The domain a keyed measure joins, made when needed.
+
+    Duplicates are counted in any domain the table already feeds by that key, be it as
+    parent or as child; so the other measures have to come first.
+    """
+    if isinstance(measure, Surplus):
+        for domain in domains.values():
+            if (measure.table, (measure.key,)) in domain.parts:
+                return domain
+        at = (measure.table, (measure.key,))
+    else:
+        at = (measure.parent, measure.parent_keys)
+    return domains.setdefault(at, _Domain(*at))
 
 
 def _plain_fact(measure: Measure) -> tuple[str, str]:
@@ -240,17 +247,15 @@ def audit_fused(checks: Sequence[Check], tables: Tables) -> DataFrame:
     names: dict[Measure, str] = {}
     plain: dict[str, dict[str, str]] = {}
     domains: dict[tuple, _Domain] = {}
-    for measure in (m for c in checks for m in (c.expected, c.actual)):
-        if isinstance(measure, Constant) or measure in names:
-            continue
+    measures = dict.fromkeys(m for c in checks for m in (c.expected, c.actual) if not isinstance(m, Constant))
+    for measure in sorted(measures, key=lambda m: isinstance(m, Surplus)):
         name = names[measure] = f"fact_{len(names)}"
-        at = _domain_of(measure)
-        if at is None:
+        if isinstance(measure, (Surplus, Unmatched, MatchedTotal)):
+            domain = _domain_for(measure, domains)
+            domain.facts[name] = _keyed_fact(measure, domain)
+        else:
             table, fact = _plain_fact(measure)
             plain.setdefault(table, {})[name] = fact
-        else:
-            domain = domains.setdefault(at, _Domain(*at))
-            domain.facts[name] = _keyed_fact(measure, domain)
 
     branches = [_one_row(tables[table], facts) for table, facts in plain.items()]
     branches += [_keyed_facts(domain, tables) for domain in domains.values()]
