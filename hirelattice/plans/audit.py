@@ -130,13 +130,14 @@ def audit_by_branch(checks: Sequence[Check], tables: Tables) -> DataFrame:
 class _Domain:
     """Counter columns each table adds to the keyed aggregate of one parent key.
 
-    Everything is SQL text. ``parts`` holds, per table and its key columns, the counters'
-    per-row values; ``facts`` the global aggregates over the one-row-per-key result.
+    Everything is SQL text. ``parts`` holds, per table and its key columns, each counter's
+    per-row value and the condition for a row to matter to it (None: every row does);
+    ``facts`` the global aggregates over the one-row-per-key result.
     """
 
     parent: str
     keys: tuple[str, ...]
-    parts: dict[tuple[str, tuple[str, ...]], dict[str, str]] = field(default_factory=dict)
+    parts: dict[tuple[str, tuple[str, ...]], dict[str, tuple[str, str | None]]] = field(default_factory=dict)
     facts: dict[str, str] = field(default_factory=dict)
     _names: dict[tuple, str] = field(default_factory=dict)
 
@@ -146,16 +147,24 @@ class _Domain:
     def has_key(self) -> str:
         return " AND ".join(f"{k} IS NOT NULL" for k in self.key_names())
 
-    def counter(self, table: str, keys: tuple[str, ...], value: str) -> str:
+    def counter(self, table: str, keys: tuple[str, ...], value: str, condition: str | None) -> str:
         """Register a per-row value once; the name holds its sum (NULL when absent)."""
         name = self._names.setdefault((table, keys, value), f"n{len(self._names)}")
-        self.parts.setdefault((table, keys), {})[name] = value
+        self.parts.setdefault((table, keys), {})[name] = (value, condition)
         return name
 
     def count(self, table: str, keys: tuple[str, ...], *conditions: str | None) -> str:
-        kept = [f"({c})" for c in conditions if c is not None]
-        one = f"CASE WHEN {' AND '.join(kept)} THEN 1L END" if kept else "1L"
-        return f"coalesce({self.counter(table, keys, one)}, 0L)"
+        kept = " AND ".join(f"({c})" for c in conditions if c is not None)
+        one = f"CASE WHEN {kept} THEN 1L END" if kept else "1L"
+        return f"coalesce({self.counter(table, keys, one, kept or None)}, 0L)"
+
+    def rows_that_count(self, table: str, keys: tuple[str, ...]) -> str | None:
+        """Condition under which a row adds to any counter; None when every row does.
+
+        It reaches the scan as a filter, so other rows are neither read nor shuffled.
+        """
+        conditions = [condition for _, condition in self.parts[table, keys].values()]
+        return None if None in conditions else " OR ".join(f"({c})" for c in conditions)
 
 
 def _keyed_fact(measure: Measure, domain: _Domain) -> str:
@@ -175,7 +184,8 @@ def _keyed_fact(measure: Measure, domain: _Domain) -> str:
             weight = f"CASE WHEN NOT ({has_key}) OR {parents} = 0 THEN 1L ELSE {unvouched} END"
             return f"coalesce(sum({rows} * {weight}), 0)"
         case MatchedTotal(child, amount, keys, parent, parent_keys, where):
-            high, low = (domain.counter(child, keys, part) for part in total_parts(amount))
+            has_amount = f"({amount}) IS NOT NULL"
+            high, low = (domain.counter(child, keys, part, has_amount) for part in total_parts(amount))
             parents = domain.count(parent, parent_keys, where)
             total = f"CAST({join_parts(high, low)} AS DECIMAL(28,4))"
             return f"sum(CASE WHEN {has_key} AND {parents} > 0 THEN {total} * {parents} END)"
@@ -232,9 +242,9 @@ def _keyed_facts(domain: _Domain, tables: Tables) -> DataFrame:
     key_names = domain.key_names()
     counters = [name for part in domain.parts.values() for name in part]
     narrow = [
-        tables[table].selectExpr(
+        _filtered(tables[table], domain.rows_that_count(table, keys)).selectExpr(
             *[f"{key} AS {name}" for key, name in zip(keys, key_names)],
-            *[f"{part.get(name, 'CAST(NULL AS BIGINT)')} AS {name}" for name in counters],
+            *[f"{part[name][0] if name in part else 'CAST(NULL AS BIGINT)'} AS {name}" for name in counters],
         )
         for (table, keys), part in domain.parts.items()
     ]

@@ -52,6 +52,12 @@ def test_counts_come_from_one_scan_and_one_exchange(stored):
         assert text.count("FileScan") == 1 and text.count("Exchange") == 1
 
 
+def test_audit_leaves_out_rows_that_cannot_count(stored):
+    hired_only = [c for c in recruiting.CHECKS if c.check_name == "placements_without_hired_application"]
+    text = plan(audit.audit_fused(hired_only, stored))
+    assert "EqualTo(furthest_stage,hired)" in text
+
+
 def test_no_query_runs_python_or_a_product_join(stored):
     for df in [
         audit.audit_fused([*recruiting.CHECKS, recruiting.PLACED_CANDIDATES], stored),
