@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ..functions import padded_id
 from ..session import materialise
 
+# Copies of one row that a task unfolds at once.
+_COPY_CHUNK = 100_000
+
 
 def first_seen(df: DataFrame, key: str, day: str, name: str) -> DataFrame:
     """Earliest day per key. Partial aggregation leaves one row per key and task."""
@@ -27,19 +30,47 @@ def attach_by_number(
     return df.withColumn("_number", number).join(lookup, "_number", "left").drop("_number")
 
 
+def number_copies(df: DataFrame, name: str) -> DataFrame:
+    """Give equal rows the numbers 1, 2, 3 ... in ``name``; a row without copies gets 1.
+
+    Copies are counted, not gathered, so a row that makes up a third of the table shrinks
+    to one row per task. Large groups unfold in chunks spread over all tasks. Unlike a
+    random salt the numbers are the same when a lost task runs again.
+    """
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    copies = F.col("_copies")
+    few = counted.where(copies <= _COPY_CHUNK).select(
+        *df.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias(name)
+    )
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((copies - 1) / _COPY_CHUNK))
+    start = F.col("_chunk") * _COPY_CHUNK
+    many = (
+        counted.where(copies > _COPY_CHUNK)
+        .withColumn("_chunk", F.explode(chunks))
+        .repartition("_chunk", *df.columns)
+        .select(*df.columns, F.explode(F.sequence(start + 1, F.least(start + _COPY_CHUNK, copies))).alias(name))
+    )
+    return few.unionByName(many)
+
+
 def sequential_ids(
-    df: DataFrame, order_by: Sequence[str], name: str, prefix: str, width: int
+    df: DataFrame, order_by: Sequence[str], name: str, prefix: str, width: int, *, unique: bool = False
 ) -> DataFrame:
     """Number the rows 1, 2, 3 ... in the order of ``order_by`` and format the ids.
 
-    The columns should identify a row; rows equal in all of them may swap ids. The data
-    is range-sorted in parallel and written once with each row's place inside its
-    partition, so the places cannot change afterwards. What is added up across
+    The remaining columns break ties, and copies are numbered first so that the sort can
+    spread them too; ``unique`` states that ``order_by`` identifies a row and skips both.
+    The data is range-sorted in parallel and written once with each row's place inside
+    its partition, so the places cannot change afterwards. What is added up across
     partitions is one count per partition, not the rows.
     """
     within_bits = 33  # monotonically_increasing_id: partition above, place below
-    sorted_rows = df.orderBy(*order_by).withColumn("_place", F.monotonically_increasing_id())
-    placed = materialise(sorted_rows, "ids")
+    if unique:
+        ordered = df.orderBy(*order_by)
+    else:
+        rest = [c for c in df.columns if c not in order_by]
+        ordered = number_copies(df, "_copy").orderBy(*order_by, *rest, "_copy").drop("_copy")
+    placed = materialise(ordered.withColumn("_place", F.monotonically_increasing_id()), "ids")
     part = F.shiftright("_place", within_bits)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
     before = F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")
@@ -100,7 +131,7 @@ def placements_from(
 ) -> DataFrame:
     """One placement per filled vacancy with its chosen candidate, numbered by vacancy.
 
-    ``chosen`` has one row per key, so the join never multiplies rows.
+    Both sides hold a key at most once, so the join multiplies no rows and no key is hot.
     """
     joined = filled.join(chosen, key).select(*[c.alias(n) for n, c in columns.items()])
-    return sequential_ids(joined, [key], name, prefix, width)
+    return sequential_ids(joined, [key], name, prefix, width, unique=True)

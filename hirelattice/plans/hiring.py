@@ -168,13 +168,18 @@ def hiring_tables(t: Tables) -> dict[str, DataFrame]:
     }
 
 
+def store_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Shape the hiring tables of a folder, write each once to the shared folder, read them back."""
+    shaped = hiring_tables(star.read_tables(spark, folder))
+    return {name: materialise(frame, name) for name, frame in shaped.items()}
+
+
 _STORED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def stored_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The hiring tables of a folder, shaped and written once per application, then read."""
+    """The hiring tables of a folder, stored on first use in an application."""
     at = (spark.sparkContext.applicationId, folder)
     if at not in _STORED:
-        shaped = hiring_tables(star.read_tables(spark, folder))
-        _STORED[at] = {name: materialise(frame, name) for name, frame in shaped.items()}
+        _STORED[at] = store_tables(spark, folder)
     return _STORED[at]

@@ -14,6 +14,26 @@ def test_sequential_ids_follow_the_order_across_partitions(spark):
     assert sorted(collected(out)) == [(f"app_{i + 1:06d}", i, "x") for i in range(1000)]
 
 
+def test_copies_are_numbered_and_spread(spark, monkeypatch):
+    """A third of the rows are copies of one row: every copy gets its own number and id."""
+    monkeypatch.setattr(shaping, "_COPY_CHUNK", 50)
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(500)).otherwise(F.col("id")).alias("k"), F.lit(None).cast("string").alias("v")
+    )
+    numbered = shaping.number_copies(df, "n")
+    assert numbered.count() == 3000
+    assert sorted(r.n for r in numbered.where("k = 500").collect()) == list(range(1, 1002))
+    ids = shaping.sequential_ids(df, ["k"], "id", "x_", 4)
+    assert [r.id for r in ids.orderBy("id").collect()] == [f"x_{i + 1:04d}" for i in range(3000)]
+    assert [r.k for r in ids.orderBy("id").collect()] == sorted(r.k for r in df.collect())
+
+
+def test_ties_are_broken_by_the_other_columns(spark):
+    df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 0)], "k string, v int").repartition(3)
+    out = collected(shaping.sequential_ids(df, ["k"], "id", "x_", 1))
+    assert sorted(out) == [("x_1", "a", 1), ("x_2", "a", 2), ("x_3", "b", 0)]
+
+
 def test_sequential_ids_of_nothing(spark):
     assert shaping.sequential_ids(spark.range(0), ["id"], "n", "p_", 4).count() == 0
 
