@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import days_between, exact_mean, exact_total, month_of, percentage, safe_ratio
+from ..session import fits_broadcast
 
 
 def row_count() -> Column:
@@ -47,26 +48,34 @@ def rate_by(
     )
 
 
+def _counts_per_group(
+    facts: DataFrame, fact_key: str, dim: DataFrame, dim_key: str, group: str, counts: dict[str, Column]
+) -> DataFrame:
+    """Counts of fact rows per ``group`` of the matching ``dim`` rows, as a plain join gives.
+
+    Next to a small ``dim`` the facts are joined where they lie and counted per group, which
+    shuffles a few rows per task. A larger ``dim`` has to be shuffled; then the facts are
+    counted per join key first, so a key that holds a third of them joins as one row and
+    the join reuses the partitioning. Duplicate ``dim`` rows multiply the counts either way.
+    """
+    keyed = facts.where(F.col(fact_key).isNotNull()).withColumnRenamed(fact_key, "_key")
+    lookup = dim.select(F.col(dim_key).alias("_key"), F.col(group).alias("_group"))
+    if fits_broadcast(lookup):
+        joined = keyed.join(lookup, "_key")
+        return joined.groupBy(F.col("_group").alias(group)).agg(*[c.alias(n) for n, c in counts.items()])
+    per_key = keyed.groupBy("_key").agg(*[c.alias(n) for n, c in counts.items()])
+    joined = per_key.join(lookup, "_key")
+    return joined.groupBy(F.col("_group").alias(group)).agg(*[F.sum(n).alias(n) for n in counts])
+
+
 def rate_by_lookup(
     facts: DataFrame, fact_key: str, dim: DataFrame, dim_key: str, group: str, hit: Column,
     *, total: str, hits: str, rate: str, digits: int,
 ) -> DataFrame:
-    """``rate_by`` over an inner join, with ``group`` taken from ``dim``; best rate first.
-
-    Facts are counted per join key before the join. A key that holds a third of all
-    facts then joins as one row, and the counts still multiply by the number of matching
-    ``dim`` rows as a plain join would. The join reuses the aggregation's partitioning.
-    """
-    per_key = (
-        facts.where(F.col(fact_key).isNotNull())
-        .groupBy(F.col(fact_key).alias("_key"))
-        .agg(row_count().alias("_rows"), F.count_if(hit).alias("_hits"))
-    )
-    lookup = dim.select(F.col(dim_key).alias("_key"), F.col(group))
+    """``rate_by`` over an inner join, with ``group`` taken from ``dim``; best rate first."""
+    counts = {total: row_count(), hits: F.count_if(hit)}
     return (
-        per_key.join(lookup, "_key")
-        .groupBy(group)
-        .agg(F.sum("_rows").alias(total), F.sum("_hits").alias(hits))
+        _counts_per_group(facts, fact_key, dim, dim_key, group, counts)
         .withColumn(rate, percentage(F.col(hits), F.col(total), digits))
         .orderBy(F.desc(rate), group)
     )
@@ -75,14 +84,8 @@ def rate_by_lookup(
 def count_by_lookup(
     facts: DataFrame, fact_key: str, dim: DataFrame, dim_key: str, group: str, *, counted: str
 ) -> DataFrame:
-    """Fact rows per ``group`` of the matching ``dim`` rows, pre-counted per join key."""
-    per_key = (
-        facts.where(F.col(fact_key).isNotNull())
-        .groupBy(F.col(fact_key).alias("_key"))
-        .agg(row_count().alias("_rows"))
-    )
-    lookup = dim.select(F.col(dim_key).alias("_key"), F.col(group))
-    return per_key.join(lookup, "_key").groupBy(group).agg(F.sum("_rows").alias(counted))
+    """Fact rows per ``group`` of the matching ``dim`` rows."""
+    return _counts_per_group(facts, fact_key, dim, dim_key, group, {counted: row_count()})
 
 
 def cost_per_outcome(

@@ -5,8 +5,10 @@
 * one aggregate per table for everything that is a plain count or total;
 * one aggregate per key domain (a parent table and its key) for duplicates, orphans and
   matched totals. Children and parent contribute narrow counter rows to a single
-  ``groupBy`` on the key, so several checks share one shuffle, nothing is joined, no side
-  is broadcast, and a hot or missing key shrinks to one row per task before it moves.
+  ``groupBy`` on the key, so several checks share one shuffle, nothing is joined, and a
+  hot or missing key shrinks to one row per task before it moves. Only when the parent,
+  at one row per key, is small enough to broadcast do the children look it up where they
+  lie instead, which shuffles nothing.
 
 ``audit_by_branch`` answers each check on its own with joins and scalar subqueries. It is
 the plain reading of the catalogue, kept for single checks and to verify the fused form.
@@ -25,6 +27,7 @@ from ..functions import exact_total
 from ..functions.numbers import exact_total_text, join_parts, total_parts
 from ..operators.matching import orphan_count
 from ..operators.metrics import monthly_totals, row_count
+from ..session import fits_broadcast
 from .checks import Check, Constant, Measure, MatchedTotal, MonthlyTotal, Rows, Surplus, Total, Unmatched
 
 # Fixed value: differences below this pass.
@@ -126,19 +129,23 @@ def audit_by_branch(checks: Sequence[Check], tables: Tables) -> DataFrame:
 # --- the whole catalogue at once ----------------------------------------------------------
 
 
+_Part = tuple[str, tuple[str, ...]]  # a table and its key columns
+
+
 @dataclass
 class _Domain:
     """Counter columns each table adds to the keyed aggregate of one parent key.
 
     Everything is SQL text. ``parts`` holds, per table and its key columns, each counter's
-    per-row value and the condition for a row to matter to it (None: every row does);
-    ``facts`` the global aggregates over the one-row-per-key result.
+    per-row value and the condition for a row to matter to it (None: every row does).
+    ``facts`` holds global aggregates over the counters and the part each one is about;
+    they mean the same on one row per key and on child rows that carry their parent's counters.
     """
 
     parent: str
     keys: tuple[str, ...]
-    parts: dict[tuple[str, tuple[str, ...]], dict[str, tuple[str, str | None]]] = field(default_factory=dict)
-    facts: dict[str, str] = field(default_factory=dict)
+    parts: dict[_Part, dict[str, tuple[str, str | None]]] = field(default_factory=dict)
+    facts: dict[str, tuple[_Part, str]] = field(default_factory=dict)
     _names: dict[tuple, str] = field(default_factory=dict)
 
     def key_names(self) -> list[str]:
@@ -167,14 +174,14 @@ class _Domain:
         return None if None in conditions else " OR ".join(f"({c})" for c in conditions)
 
 
-def _keyed_fact(measure: Measure, domain: _Domain) -> str:
-    """The measure as a global aggregate over the domain's one-row-per-key table."""
+def _keyed_fact(measure: Measure, domain: _Domain) -> tuple[_Part, str]:
+    """The measure as a global aggregate over the domain's counters, and its part."""
     has_key = domain.has_key()
     match measure:
         case Surplus(table, key):
             rows = domain.count(table, (key,))
             surplus = f"CASE WHEN {has_key} AND {rows} > 0 THEN {rows} - 1 ELSE {rows} END"
-            return f"coalesce(sum({surplus}), 0)"
+            return (table, (key,)), f"coalesce(sum({surplus}), 0)"
         case Unmatched(child, keys, parent, parent_keys, where, witness):
             rows = domain.count(child, keys)
             parents = domain.count(parent, parent_keys, where)
@@ -182,32 +189,16 @@ def _keyed_fact(measure: Measure, domain: _Domain) -> str:
             if witness is not None:
                 unvouched = domain.count(parent, parent_keys, where, f"{witness} IS NULL")
             weight = f"CASE WHEN NOT ({has_key}) OR {parents} = 0 THEN 1L ELSE {unvouched} END"
-            return f"coalesce(sum({rows} * {weight}), 0)"
+            return (child, keys), f"coalesce(sum({rows} * {weight}), 0)"
         case MatchedTotal(child, amount, keys, parent, parent_keys, where):
             has_amount = f"({amount}) IS NOT NULL"
             high, low = (domain.counter(child, keys, part, has_amount) for part in total_parts(amount))
             parents = domain.count(parent, parent_keys, where)
             total = f"CAST({join_parts(high, low)} AS DECIMAL(28,4))"
-            return f"sum(CASE WHEN {has_key} AND {parents} > 0 THEN {total} * {parents} END)"
+            return (child, keys), f"sum(CASE WHEN {has_key} AND {parents} > 0 THEN {total} * {parents} END)"
     raise TypeError(f"not a keyed measure: {measure!r}")
 
 
-def _domain_for(measure: Measure, domains: dict[tuple, _Domain]) -> _Domain:
-    """The domain a keyed measure joins, made when needed.
-
-    Duplicates are counted in any domain the table already feeds by that key, be it as
-    parent or as child; so the other measures have to come first.
-    """
-    if isinstance(measure, Surplus):
-        for domain in domains.values():
-            if (measure.table, (measure.key,)) in domain.parts:
-                return domain
-        at = (measure.table, (measure.key,))
-    else:
-        at = (measure.parent, measure.parent_keys)
-    return domains.setdefault(at, _Domain(*at))
-
-
 def _plain_fact(measure: Measure) -> tuple[str, str]:
     """(table, aggregate) of a measure that needs no key. Filters become conditions."""
     match measure:
@@ -238,37 +229,95 @@ def _one_row(df: DataFrame, facts: Mapping[str, str]) -> DataFrame:
     return _as_facts(df.agg(*columns), facts)
 
 
+def _counters(domain: _Domain, part: _Part, tables: Tables, names: Iterable[str]) -> DataFrame:
+    """The rows of one part: key columns and counters, NULL for those of other parts."""
+    table, keys = part
+    own = domain.parts[part]
+    return _filtered(tables[table], domain.rows_that_count(*part)).selectExpr(
+        *[f"{key} AS {name}" for key, name in zip(keys, domain.key_names())],
+        *[f"{own[name][0] if name in own else 'CAST(NULL AS BIGINT)'} AS {name}" for name in names],
+    )
+
+
+def _per_key(rows: DataFrame, domain: _Domain, names: Iterable[str]) -> DataFrame:
+    return rows.groupBy(*domain.key_names()).agg(*[F.expr(f"sum({name}) AS {name}") for name in names])
+
+
 def _keyed_facts(domain: _Domain, tables: Tables) -> DataFrame:
-    key_names = domain.key_names()
-    counters = [name for part in domain.parts.values() for name in part]
-    narrow = [
-        _filtered(tables[table], domain.rows_that_count(table, keys)).selectExpr(
-            *[f"{key} AS {name}" for key, name in zip(keys, key_names)],
-            *[f"{part[name][0] if name in part else 'CAST(NULL AS BIGINT)'} AS {name}" for name in counters],
-        )
-        for (table, keys), part in domain.parts.items()
-    ]
-    per_key = reduce(DataFrame.union, narrow).groupBy(*key_names)
-    return _one_row(per_key.agg(*[F.expr(f"sum({name}) AS {name}") for name in counters]), domain.facts)
+    """All facts of a domain from one aggregate on the key."""
+    names = [name for part in domain.parts.values() for name in part]
+    rows = reduce(DataFrame.union, [_counters(domain, part, tables, names) for part in domain.parts])
+    return _one_row(_per_key(rows, domain, names), {name: fact for name, (_, fact) in domain.facts.items()})
+
+
+def _parent_counters(domain: _Domain, tables: Tables) -> DataFrame:
+    """The parent at one row per key."""
+    part = (domain.parent, domain.keys)
+    names = list(domain.parts[part])
+    return _per_key(_counters(domain, part, tables, names), domain, names)
+
+
+def _looked_up_facts(domain: _Domain, tables: Tables, parents: DataFrame) -> list[DataFrame]:
+    """The facts of a domain with a small parent: each child looks its parent up.
+
+    A left join keeps the child rows without a parent or without a key; ``parents`` has one
+    row per key, so no child row is multiplied.
+    """
+    by_part: dict[_Part, dict[str, str]] = {}
+    for name, (part, fact) in domain.facts.items():
+        by_part.setdefault(part, {})[name] = fact
+    branches = []
+    for part, facts in by_part.items():
+        if part == (domain.parent, domain.keys):
+            branches.append(_one_row(parents, facts))
+        else:
+            children = _counters(domain, part, tables, domain.parts[part])
+            branches.append(_one_row(children.join(parents, domain.key_names(), "left"), facts))
+    return branches
+
+
+def _keyed_branches(measures: Mapping[Measure, str], tables: Tables) -> list[DataFrame]:
+    """Facts of the keyed measures, domain by domain."""
+    domains: dict[_Part, _Domain] = {}
+
+    def add(measure: Measure, at: _Part) -> None:
+        domain = domains.setdefault(at, _Domain(*at))
+        domain.facts[measures[measure]] = _keyed_fact(measure, domain)
+
+    for measure in measures:
+        if not isinstance(measure, Surplus):
+            add(measure, (measure.parent, measure.parent_keys))
+    small = {at for at, domain in domains.items() if fits_broadcast(_parent_counters(domain, tables))}
+    # Duplicates are counted in any keyed domain the table already feeds by that key, be it
+    # as parent or as child, and next to a small parent if they are the parent's own.
+    for measure in measures:
+        if isinstance(measure, Surplus):
+            part = (measure.table, (measure.key,))
+            feeding = [at for at, d in domains.items() if part in d.parts and (at not in small or at == part)]
+            add(measure, feeding[0] if feeding else part)
+
+    branches = []
+    for at, domain in domains.items():
+        if at in small:
+            branches += _looked_up_facts(domain, tables, _parent_counters(domain, tables))
+        else:
+            branches.append(_keyed_facts(domain, tables))
+    return branches
 
 
 def audit_fused(checks: Sequence[Check], tables: Tables) -> DataFrame:
     """All checks from one aggregate per table and one per key domain, scored."""
-    names: dict[Measure, str] = {}
+    used = (m for c in checks for m in (c.expected, c.actual) if not isinstance(m, Constant))
+    names = {measure: f"fact_{i}" for i, measure in enumerate(dict.fromkeys(used))}
+    keyed = {m: n for m, n in names.items() if isinstance(m, (Surplus, Unmatched, MatchedTotal))}
     plain: dict[str, dict[str, str]] = {}
-    domains: dict[tuple, _Domain] = {}
-    measures = dict.fromkeys(m for c in checks for m in (c.expected, c.actual) if not isinstance(m, Constant))
-    for measure in sorted(measures, key=lambda m: isinstance(m, Surplus)):
-        name = names[measure] = f"fact_{len(names)}"
-        if isinstance(measure, (Surplus, Unmatched, MatchedTotal)):
-            domain = _domain_for(measure, domains)
-            domain.facts[name] = _keyed_fact(measure, domain)
-        else:
+    for measure, name in names.items():
+        if measure not in keyed:
             table, fact = _plain_fact(measure)
             plain.setdefault(table, {})[name] = fact
 
     branches = [_one_row(tables[table], facts) for table, facts in plain.items()]
-    branches += [_keyed_facts(domain, tables) for domain in domains.values()]
+    branches += _keyed_branches(keyed, tables)
     facts = reduce(DataFrame.union, branches)
 
     # One row per measure is left; fold them into one row and spread it over the checks.

@@ -96,17 +96,38 @@ EXPECTED_DIRTY = {
 }
 
 
+@pytest.fixture(params=["broadcast", "shuffle"])
+def joins(request, spark):
+    """Small sides may be broadcast, or nothing may."""
+    key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "10MB" if request.param == "broadcast" else "-1")
+    yield request.param
+    spark.conf.set(key, before)
+
+
+@pytest.fixture
+def on_disk(spark, tmp_path):
+    """Frames as stored tables, whose size Spark knows."""
+
+    def store(tables):
+        for name, frame in tables.items():
+            frame.write.parquet(str(tmp_path / name))
+        return {name: spark.read.parquet(str(tmp_path / name)) for name in tables}
+
+    return store
+
+
 @pytest.mark.parametrize("compile_audit", [audit.audit_fused, audit.audit_by_branch])
-def test_null_and_duplicate_rules(rows, frames_of, compile_audit):
-    found = by_name(compile_audit(recruiting.CHECKS, dirty(rows, frames_of)))
+def test_null_and_duplicate_rules(rows, frames_of, joins, on_disk, compile_audit):
+    found = by_name(compile_audit(recruiting.CHECKS, on_disk(dirty(rows, frames_of))))
     assert {n: (r.expected, r.actual) for n, r in found.items()} == {
         n: (pytest.approx(e), pytest.approx(a)) for n, (e, a) in EXPECTED_DIRTY.items()
     }
 
 
 @pytest.mark.parametrize("compile_audit", [audit.audit_fused, audit.audit_by_branch])
-def test_empty_tables(rows, frames_of, compile_audit):
-    empty = frames_of(rows, **{name: [] for name in rows})
+def test_empty_tables(rows, frames_of, joins, on_disk, compile_audit):
+    empty = on_disk(frames_of(rows, **{name: [] for name in rows}))
     found = by_name(compile_audit(recruiting.CHECKS, empty))
     nulls = {n for n, r in found.items() if r.actual is None}
     assert nulls == {"revenue_total_vs_monthly_report", "revenue_total_vs_filled_vacancies"}
@@ -116,17 +137,25 @@ def test_empty_tables(rows, frames_of, compile_audit):
             assert row.actual == 0
 
 
-def test_fused_audit_shares_scans_and_joins_nothing(spark, clean, tmp_path):
-    stored = {}
-    for name, frame in clean.items():
-        frame.write.parquet(str(tmp_path / name))
-        stored[name] = spark.read.parquet(str(tmp_path / name))
-    fused = recruiting.audit_checks(stored)._jdf.queryExecution().executedPlan().toString()
-    branch = audit.audit_by_branch(recruiting.CHECKS, stored)._jdf.queryExecution().executedPlan().toString()
-    assert fused.count("FileScan parquet") == 16
-    assert "Join" not in fused and "Expand" not in fused
-    assert branch.count("FileScan parquet") > 25
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fused_audit_shares_scans(clean, joins, on_disk):
+    stored = on_disk(clean)
+    fused = plan(recruiting.audit_checks(stored))
+    branch = plan(audit.audit_by_branch(recruiting.CHECKS, stored))
+    assert "Expand" not in fused and "SortMergeJoin" not in fused
     assert "LeftAnti" in branch
+    assert branch.count("FileScan parquet") > 25
+    if joins == "shuffle":
+        assert "Join" not in fused
+        assert fused.count("FileScan parquet") == 16
+    else:
+        # One lookup per (child, parent) pair of the catalogue: vacancies-clients, applications-vacancies,
+        # placements-vacancies, applications-candidates, placements-applications.
+        assert fused.count("BroadcastHashJoin") == 5
+        assert fused.count("FileScan parquet") < branch.count("FileScan parquet")
 
 
 def test_tolerance_is_strict(spark):
@@ -158,7 +187,7 @@ def test_gate(clean, rows, frames_of):
     assert len(recruiting.GATE) == 9
 
 
-def test_hot_and_missing_keys_stay_small_in_the_shuffle(spark):
+def test_hot_and_missing_keys_stay_small_in_the_shuffle(spark, joins, on_disk):
     """A third of the rows on one key and a third without: the counts are still whole."""
     child = spark.range(90_000).select(
         F.when(F.col("id") < 30_000, F.lit(7)).when(F.col("id") < 60_000, F.lit(None)).otherwise(F.col("id")).alias("k"),
@@ -171,7 +200,7 @@ def test_hot_and_missing_keys_stay_small_in_the_shuffle(spark):
         Check("t", "matched", "", MatchedTotal("child", "amount", ("k",), "parent", ("k",))),
         Check("t", "rows", "", Rows("child")),
     ]
-    tables = {"child": child, "parent": parent}
+    tables = on_disk({"child": child, "parent": parent})
     for compile_audit in (audit.audit_fused, audit.audit_by_branch):
         found = {r.check_name: r.actual for r in compile_audit(checks, tables).collect()}
         assert found == {"orphans": 45_000.0, "surplus": 59_999.0 , "matched": 56_250.0, "rows": 90_000.0}

@@ -109,19 +109,28 @@ def test_orphans_and_members(spark):
     assert "LeftAnti" in orphans._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_hot_join_key_is_counted_before_the_join(spark):
-    facts = spark.range(30_000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("k"), (F.col("id") % 2 == 0).alias("hit")
-    )
-    dim = spark.range(30_000).select(F.col("id").alias("d"), (F.col("id") % 4).cast("string").alias("g"))
-    out = metrics.rate_by_lookup(facts, "k", dim, "d", "g", F.col("hit"), total="n", hits="h", rate="r", digits=2)
-    plain = facts.join(dim, F.col("k") == F.col("d")).groupBy("g").agg(
-        F.count("*").alias("n"), F.count_if("hit").alias("h")
-    )
-    assert {(r.g, r.n, r.h) for r in out.collect()} == {(r.g, r.n, r.h) for r in plain.collect()}
-    text = out._jdf.queryExecution().optimizedPlan().toString()
-    join_at = text.index("Join Inner")
-    assert "Aggregate" in text[join_at:]  # the fact side below the join is aggregated
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_hot_join_key(spark, tmp_path, threshold):
+    """A third of the facts on one key: counted before a shuffled join, or joined in place."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        facts = spark.range(30_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("k"),
+            (F.col("id") % 2 == 0).alias("hit"),
+        )
+        dim = spark.range(30_000).select(F.col("id").alias("d"), (F.col("id") % 4).cast("string").alias("g"))
+        dim.union(dim.limit(10)).write.parquet(str(tmp_path / "dim"))
+        dim = spark.read.parquet(str(tmp_path / "dim"))
+        out = metrics.rate_by_lookup(facts, "k", dim, "d", "g", F.col("hit"), total="n", hits="h", rate="r", digits=2)
+        plain = facts.join(dim, F.col("k") == F.col("d")).groupBy("g").agg(
+            F.count("*").alias("n"), F.count_if("hit").alias("h")
+        )
+        assert {(r.g, r.n, r.h) for r in out.collect()} == {(r.g, r.n, r.h) for r in plain.collect()}
+        text = out._jdf.queryExecution().optimizedPlan().toString()
+        assert ("Aggregate" in text[text.index("Join Inner"):]) == (threshold == "-1")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 @pytest.mark.parametrize("n", [3, 20])
