@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,21 +18,22 @@ def create_namespace(spark: SparkSession, name: str, location: str | None = None
     return name
 
 
-def replace_table(df: DataFrame, table: str) -> int:
+def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> int:
     """Replace rows and schema of a stored table; returns the rows written.
 
     The rows are counted while they are written, without a second scan. The table must
-    not be one that ``df`` reads.
+    not be one that ``df`` reads. ``partition_by`` lays a table that has grown large out
+    by a low-cardinality column, so that filters on it skip files.
     """
     written = Observation()
     counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").saveAsTable(table)
+    counted.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
     return int(written.get["rows"])
 
 
-def append_table(df: DataFrame, table: str) -> None:
+def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
     """Append rows; the first append creates the table."""
-    df.write.mode("append").saveAsTable(table)
+    df.write.mode("append").partitionBy(*partition_by).saveAsTable(table)
 
 
 def read_namespace(spark: SparkSession, namespace: str, tables: list[str] | None = None) -> dict[str, DataFrame]:

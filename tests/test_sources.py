@@ -102,3 +102,13 @@ def test_replace_changes_rows_and_schema_and_counts(spark):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir")).rstrip("/")
     assert fresh_folder(spark, "x") != fresh_folder(spark, "x")
+
+
+def test_partitioned_layout_skips_files(spark, clean):
+    tables.create_namespace(spark, "by_month")
+    marketing = clean["marketing_daily"].withColumn("month", F.trunc("date", "MONTH"))
+    assert tables.replace_table(marketing, "by_month.marketing", ["month"]) == 4
+    tables.append_table(marketing, "by_month.marketing", ["month"])
+    january = spark.table("by_month.marketing").where("month = date'2025-01-01'")
+    assert january.count() == 8
+    assert "PartitionFilters: [isnotnull(month" in january._jdf.queryExecution().executedPlan().toString()
