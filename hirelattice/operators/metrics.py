@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ..functions import days_between, exact_mean, exact_total, month_of, percentage, safe_ratio
 from ..session import fits_broadcast
@@ -96,9 +97,13 @@ def cost_per_outcome(
 
     Keys without spend stay, with NULL; keys with spend and no outcome disappear. The
     unrounded spend is divided, then rounded. NULL costs come first, as for any
-    ascending sort here. Both join sides are one row per key.
+    ascending sort here. Both join sides are one row per key. Amounts that are totals
+    already (DECIMAL) are added as they are.
     """
-    spent = spend.groupBy(F.col(spend_key).alias(key)).agg(exact_total(amount).alias("_spent"))
+    is_total = isinstance(spend.schema[amount].dataType, DecimalType)
+    spent = spend.groupBy(F.col(spend_key).alias(key)).agg(
+        (F.sum(amount) if is_total else exact_total(amount)).alias("_spent")
+    )
     return (
         outcomes.join(spent, key, "left")
         .select(

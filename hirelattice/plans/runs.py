@@ -27,6 +27,11 @@ ERROR_TYPE, ERROR_NAME = "error", "pipeline_error"
 ERROR_LENGTH = 500
 RECENT_RUNS = 20
 MESSAGE_FAILURES = 10
+ALERT_HEADER = "⚠️ Data validation failed (%s)"
+ALERT_COUNTS = "%d of %d checks failed (run status: %s)."
+ALERT_BULLET = "• "
+FAIL_LINE, ERROR_LINE = "  FAIL ", "  ERROR "
+EXPECTED, GOT = "expected ", ", got "
 
 AUDIT_COLUMNS = ["check_type", "check_name", "description", "expected", "actual", "status"]
 
@@ -113,16 +118,16 @@ def run_record(payload: DataFrame, started: datetime, finished: datetime) -> Dat
 
 def _expected_got(failure: Column, missing: str, whole_suffix: str = "") -> Column:
     return F.concat(
-        F.lit("expected "), plain_number(failure["expected"], missing, whole_suffix),
-        F.lit(", got "), plain_number(failure["actual"], missing, whole_suffix),
+        F.lit(EXPECTED), plain_number(failure["expected"], missing, whole_suffix),
+        F.lit(GOT), plain_number(failure["actual"], missing, whole_suffix),
     )
 
 
 def console_lines(payload: DataFrame) -> DataFrame:
     """One line per failure, as an operator would print it."""
     failure = F.col("failure")
-    plain = F.concat(F.lit("  FAIL "), failure["check_name"], F.lit(": "), _expected_got(failure, "None", ".0"))
-    broken = F.concat(F.lit("  ERROR "), failure["description"])
+    plain = F.concat(F.lit(FAIL_LINE), failure["check_name"], F.lit(": "), _expected_got(failure, "None", ".0"))
+    broken = F.concat(F.lit(ERROR_LINE), failure["description"])
     return payload.select(F.explode("failures").alias("failure")).select(
         F.when(failure["check_type"] == ERROR_TYPE, broken).otherwise(plain).alias("message")
     )
@@ -139,12 +144,10 @@ def alert_message(payload: DataFrame) -> DataFrame:
         detail = F.when(failure["check_type"] == ERROR_TYPE, failure["description"]).otherwise(
             _expected_got(failure, "null")
         )
-        return F.concat(F.lit("• "), failure["check_name"], F.lit(": "), detail)
+        return F.concat(F.lit(ALERT_BULLET), failure["check_name"], F.lit(": "), detail)
 
-    header = F.concat(F.lit("⚠️ Data validation failed ("), F.col("project"), F.lit(")"))
-    counts = F.format_string(
-        "%d of %d checks failed (run status: %s).", F.col("failed"), F.col("total"), F.col("status")
-    )
+    header = F.format_string(ALERT_HEADER, F.col("project"))
+    counts = F.format_string(ALERT_COUNTS, F.col("failed"), F.col("total"), F.col("status"))
     bullets = F.array_join(F.transform(F.slice("failures", 1, MESSAGE_FAILURES), bullet), "\n")
     text = F.concat_ws("\n\n", header, counts, bullets)
     return payload.where(needs_alert()).select("run_id", text.alias("message"))

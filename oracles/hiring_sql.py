@@ -32,14 +32,15 @@ vacancies AS (
 
 APPLICATIONS = """
 lines AS (
-  SELECT printf('v_%04d', l_orderkey + 1) AS vacancy_id, printf('cand_%05d', l_partkey + 1) AS candidate_id,
+  SELECT l_orderkey, l_partkey, printf('v_%04d', l_orderkey + 1) AS vacancy_id, printf('cand_%05d', l_partkey + 1) AS candidate_id,
     CAST(l_shipdate AS DATE) AS applied_at,
     CASE WHEN l_returnflag = 'A' THEN 'applied' WHEN l_returnflag = 'N' THEN 'screened'
          WHEN l_linestatus = 'O' THEN 'interview' ELSE 'offer' END AS stage
   FROM lineitem
 ),
 drawn AS (
-  SELECT printf('app_%06d', row_number() OVER (ORDER BY vacancy_id, candidate_id, applied_at, stage)) AS application_id, *
+  SELECT printf('app_%06d', row_number() OVER (ORDER BY l_orderkey, l_partkey, applied_at, stage)) AS application_id,
+    vacancy_id, candidate_id, applied_at, stage
   FROM lines
 ),
 chosen AS (

@@ -24,3 +24,22 @@ def test_every_query_has_an_oracle():
 def test_query_equals_oracle(spark, name):
     con = connect(FOLDER)
     assert difference(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name]) is None
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "star_audit_checks", "star_purchase_rate_by_segment", "star_cost_per_purchase_by_segment",
+        "check_orphan_orders_customer", "check_order_value_vs_solvent_customers", "check_user_turns_without_answer",
+        "audit_checks", "fault_audit_checks", "hire_rate_by_channel", "cost_per_hire_by_channel", "key_conditions",
+    ],
+)
+def test_query_equals_oracle_when_no_side_is_small(spark, name):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        con = connect(FOLDER)
+        assert difference(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name]) is None
+    finally:
+        spark.conf.set(key, before)
