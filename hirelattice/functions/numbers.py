@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .dates import _col
-
 # Money arrives as DOUBLE with two decimals; four are kept so that finer input still adds up.
 MONEY_SCALE = 4
 _BLOCK_BITS = 20
