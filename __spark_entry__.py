@@ -23,6 +23,14 @@ from hirelattice.sources import csv_files, tables  # noqa: E402
 from hirelattice.streaming import alerts  # noqa: E402
 from oracles import hiring_sql, operator_sql, star_sql  # noqa: E402
 
+try:  # the corpus operators are an optional subpackage
+    import corpus_pipeline  # noqa: E402
+    from hirelattice.llm import registry as corpus  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "hirelattice.llm"):
+        raise
+    corpus = None
+
 SMOKE_FOLDER = "/root/testdata/sf0.001"
 PROJECT = "hiring-audit"
 
@@ -260,6 +268,7 @@ def queries() -> dict[str, Query]:
         "run_console_lines": lambda spark, folder: runs.console_lines(_payload(spark, folder)),
         "run_alert": lambda spark, folder: runs.alert_message(_payload(spark, folder)).select("message"),
         "alert_stream": _alert_stream,
+        **({**corpus.queries(), "pipeline": corpus_pipeline.run} if corpus else {}),
     }
 
 
@@ -269,4 +278,6 @@ def oracle_sql() -> dict[str, str]:
         **star_sql.SINGLE_CHECKS,
         **hiring_sql.REPORTS,
         **operator_sql.queries(PROJECT),
+        **(corpus.oracle_sql() if corpus else {}),
+        **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus and corpus_pipeline.ORACLE_SQL else {}),
     }
