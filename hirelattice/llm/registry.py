@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hirelattice.llm import language
+from hirelattice.llm import language, licenses, packing
 from hirelattice.llm.common import let_workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,8 @@ def _on(table: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 def queries() -> dict[str, Query]:
     return {
+        "op4_best_fit_packing": _on("documents", lambda df: packing.pack(df, WORDS)),
+        "op9_license_scan": _on("documents", licenses.scan),
         "op10_language_id": _on("documents", lambda df: language.identify(df, PIECES)),
     }
 
