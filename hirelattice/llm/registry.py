@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hirelattice.llm import language, licenses, packing
+from hirelattice.llm import language, licenses, near_vectors, packing, topk
 from hirelattice.llm.common import let_workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,11 +26,15 @@ def _on(table: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_topk_search": _on("embeddings", lambda df: topk.search(df, F.col("vec_id") % 50 == 0)),
         "op4_best_fit_packing": _on("documents", lambda df: packing.pack(df, WORDS)),
+        "op6_embedding_near_dedup": _on("embeddings", near_vectors.link_vectors),
         "op9_license_scan": _on("documents", licenses.scan),
         "op10_language_id": _on("documents", lambda df: language.identify(df, PIECES)),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_topk_search": topk.ORACLE,
+    }
