@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelattice.llm import language, licenses, near_vectors, packing, topk
+from hirelattice.llm import language, licenses, near_vectors, ngram_join, packing, topk
 from hirelattice.llm.common import let_workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_topk_search": _on("embeddings", lambda df: topk.search(df, F.col("vec_id") % 50 == 0)),
         "op4_best_fit_packing": _on("documents", lambda df: packing.pack(df, WORDS)),
+        "op5_ngram_jaccard_join": _on("documents", ngram_join.join_components),
         "op6_embedding_near_dedup": _on("embeddings", near_vectors.link_vectors),
         "op9_license_scan": _on("documents", licenses.scan),
         "op10_language_id": _on("documents", lambda df: language.identify(df, PIECES)),
