@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelattice.llm import language, licenses, near_vectors, ngram_join, packing, topk
+from hirelattice.llm import language, licenses, line_dedup, mixing, near_vectors, ngram_join, packing, topk
 from hirelattice.llm.common import let_workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,8 @@ def queries() -> dict[str, Query]:
         "op4_best_fit_packing": _on("documents", lambda df: packing.pack(df, WORDS)),
         "op5_ngram_jaccard_join": _on("documents", ngram_join.join_components),
         "op6_embedding_near_dedup": _on("embeddings", near_vectors.link_vectors),
+        "op7_mixing": _on("documents", mixing.report),
+        "op8_line_dedup": _on("documents", line_dedup.report),
         "op9_license_scan": _on("documents", licenses.scan),
         "op10_language_id": _on("documents", lambda df: language.identify(df, PIECES)),
     }
@@ -38,4 +40,6 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_topk_search": topk.ORACLE,
+        "op7_mixing": mixing.ORACLE,
+        "op8_line_dedup": line_dedup.ORACLE,
     }
