@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from hirelattice.llm.common import parts_for, slices
 from hirelattice.llm.components import connected_components
@@ -266,6 +267,28 @@ def _verified(pairs: DataFrame, documents: DataFrame, words: int, threshold: Thr
 
 def join_components(documents: DataFrame, words: int = 3, part: int = 90) -> DataFrame:
     """doc_id, n_shingles, component_id for every document; linked at Jaccard >= ``part`` / 100."""
+    return linked_rows(documents, words, part).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+
+
+def keep_one(documents: DataFrame, words: int = 5, part: int = 80) -> DataFrame:
+    """The documents without near-duplicates: of each component the row with the smallest id, and all without shingles."""
+    place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)), "doc_id", "t")
+    linked = linked_rows(documents, words, part).where("component IS NOT NULL")
+    chosen = linked.groupBy("component").agg(F.min(place).alias("c")).select(
+        F.col("c.doc_id").alias("_id"), F.col("c.t").alias("_h"), F.lit(True).alias("_chosen")
+    )
+    rows = documents.withColumns({"_t": F.xxhash64("text"), "_d": F.col("doc_id").cast("long")})
+    rows = rows.join(chosen, (F.col("_t") == F.col("_h")) & F.col("_d").eqNullSafe(F.col("_id")), "left")
+    first = F.row_number().over(Window.partitionBy("_d", "_t").orderBy("_t")) == 1  # of rows that repeat id and text
+    blank = F.coalesce(F.btrim("text", F.lit(" \t\n\r\x0b\x0c")) == "", F.lit(True))
+    rows = rows.withColumn("_first", first).where(blank | (F.col("_chosen") & F.col("_first")))
+    return rows.select(*(F.col(f"`{c}`") for c in documents.columns))
+
+
+def linked_rows(documents: DataFrame, words: int, part: int) -> DataFrame:
+    """doc_id, t, n, component, component_id for every document; the last two are null without shingles."""
     threshold = Threshold(part)
     # the written copy fixes the row numbers
     points = document_points(documents, words, threshold)
@@ -315,7 +338,5 @@ def join_components(documents: DataFrame, words: int = 3, part: int = 90) -> Dat
         "component", F.coalesce("component", "id")
     )
     lowest = named.groupBy("component").agg(F.min("smallest").alias("component_id"))
-    named = named.join(lowest, "component").select("s1", "s2", "n", "component_id")
-    return points.select("doc_id", "s1", "s2", "n").join(named, ["s1", "s2", "n"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+    named = named.join(lowest, "component").select("s1", "s2", "n", "component", "component_id")
+    return points.select("doc_id", "t", "s1", "s2", "n").join(named, ["s1", "s2", "n"], "left").drop("s1", "s2")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelattice.llm import language, licenses, line_dedup, mixing, near_vectors, ngram_join, packing, topk
+from hirelattice.llm import chat, language, licenses, line_dedup, mixing, near_vectors, ngram_join, packing, quality, topk
 from hirelattice.llm.common import let_workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,8 @@ def _on(table: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 def queries() -> dict[str, Query]:
     return {
         "op1_topk_search": _on("embeddings", lambda df: topk.search(df, F.col("vec_id") % 50 == 0)),
+        "op2_chat_formatting": _on("conversations", chat.render),
+        "op3_quality_classifier": _on("documents", quality.classify),
         "op4_best_fit_packing": _on("documents", lambda df: packing.pack(df, WORDS)),
         "op5_ngram_jaccard_join": _on("documents", ngram_join.join_components),
         "op6_embedding_near_dedup": _on("embeddings", near_vectors.link_vectors),
@@ -40,6 +42,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_topk_search": topk.ORACLE,
+        "op2_chat_formatting": chat.ORACLE,
         "op7_mixing": mixing.ORACLE,
         "op8_line_dedup": line_dedup.ORACLE,
     }
