@@ -4,7 +4,8 @@ A word is a string of letters of the lower-cased text, written with the vocabula
 a word's start. Its probability in a language is the sum, over all ways to cut it into pieces of a
 fixed public vocabulary, of the product of that language's piece probabilities; a forward pass over
 the word gives that sum. A text scores the sum of its words' log probabilities. Piece probabilities
-come from expectation-maximisation on word counts of a bounded sample of labelled documents.
+come from expectation-maximisation on word counts of a bounded sample of labelled documents. Letters that no training
+text has say nothing, so a text in a foreign script scores the same in all languages.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; so is every text when
 nothing can be learned (no labelled documents). Equal scores go to the alphabetically first
@@ -30,6 +31,7 @@ from hirelattice.session import materialise
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 START = "▁"  # the vocabulary's mark for the start of a word
+UNSEEN = 0.01  # of the probability is spread evenly over all pieces, so pieces never seen favour no language
 SHORT = 40  # longer words take the scaled path, as their probabilities leave a double's range
 CACHED_WORDS = 250_000  # bounds the memory of a worker, not the result
 
@@ -56,7 +58,7 @@ def vocabulary_pieces(path: str) -> dict[str, int]:
 
     model = SentencePieceProcessor(model_file=path)
     pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not model.is_byte(i) and not model.is_control(i))
-    kept = [p for p in pieces if p == START or (p.removeprefix(START).isalpha() and p == p.lower())]
+    kept = [p for p in pieces if p.removeprefix(START).isalpha() and p == p.lower()]
     return {p: i for i, p in enumerate(dict.fromkeys(kept))}
 
 
@@ -232,13 +234,14 @@ def train(documents: DataFrame, vocabulary: str, max_documents: int = 600, round
     if not languages:
         return model
     for _ in range(rounds):
-        uses = np.full_like(model.table, 0.05)
+        uses = np.zeros_like(model.table)
         totals = (
             words.mapInArrow(_expected(model), "piece int, language int, uses double")
             .groupBy("piece", "language").agg(F.sum("uses").alias("uses"))
         ).toPandas()
         uses[totals["piece"], totals["language"]] += totals["uses"]
-        model = PieceModel(pieces, languages, uses / uses.sum(axis=0))
+        shares = uses / np.maximum(uses.sum(axis=0), 1e-300)
+        model = PieceModel(pieces, languages, (1 - UNSEEN) * shares + UNSEEN / len(pieces))
     return model
 
 

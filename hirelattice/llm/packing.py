@@ -262,7 +262,7 @@ def place(pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
         packed = materialise(packed, f"packed-{turn}")
         poor = packed.where(F.col("fill") < GOOD_FILL * limit)
         left = poor.count() if groups > 1 else 0
-        again = 0 < left <= count // 2  # else taking bins apart no longer helps
+        again = 0 < left <= count * 3 // 4  # else taking bins apart no longer helps
         fixed = packed.where(F.col("fill") >= GOOD_FILL * limit) if again else packed
         fixed = fixed.select("slot", "sequence_id", "offset")
         done = fixed if done is None else done.unionByName(fixed)
