@@ -5,21 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Money arrives as DOUBLE with two decimals; four are kept so that finer input still adds up.
+# Money arrives as DOUBLE with two decimals. Amounts that are whole in this unit and below the
+# bound are added up as whole numbers; all others (finer, larger, not finite) as they are.
 MONEY_SCALE = 4
+EXACT_BELOW = 1e10
 _BLOCK_BITS = 20
 
 
-def total_parts(amount: str, scale: int = MONEY_SCALE) -> tuple[str, str]:
-    """SQL text of the high and low parts of ``amount`` in units of 10^-scale.
+def total_parts(amount: str, scale: int = MONEY_SCALE) -> tuple[str, str, str]:
+    """SQL text of the high and low parts of ``amount`` in units of 10^-scale, and of the rest.
 
-    Both are safe to add up as BIGINT: the low part is below 2^20, so its sum holds for
-    8e12 rows; the high part leaves room for totals around 1e21. The sums stay primitive
-    longs inside generated code, unlike a DECIMAL buffer, and do not depend on the order
-    of the rows, unlike a DOUBLE sum.
+    An amount is either in the first two or in the rest, never rounded. The parts are safe to
+    add up as BIGINT: the low part is below 2^20, so its sum holds for 8e12 rows, and the high
+    part's for 9e10 rows of the largest amount. The sums stay primitive longs inside generated
+    code, unlike a DECIMAL buffer, and do not depend on the order of the rows, unlike a DOUBLE sum.
     """
-    units = f"CAST(rint(({amount}) * {10**scale}) AS BIGINT)"
-    return f"shiftright({units}, {_BLOCK_BITS})", f"({units} & {(1 << _BLOCK_BITS) - 1})"
+    whole = f"rint(({amount}) * 1e{scale})"
+    held = f"(abs({amount}) < {EXACT_BELOW:.0e}D AND {whole} / 1e{scale} = ({amount}))"
+    units = f"TRY_CAST({whole} AS BIGINT)"
+    return (
+        f"CASE WHEN {held} THEN shiftright({units}, {_BLOCK_BITS}) END",
+        f"CASE WHEN {held} THEN {units} & {(1 << _BLOCK_BITS) - 1} END",
+        f"CASE WHEN NOT {held} THEN CAST({amount} AS DOUBLE) END",
+    )
 
 
 def join_parts(high: str, low: str, scale: int = MONEY_SCALE) -> str:
@@ -29,22 +37,28 @@ def join_parts(high: str, low: str, scale: int = MONEY_SCALE) -> str:
     return f"CAST(({units}) * {step} AS DECIMAL(38,{scale}))"
 
 
+def with_rest(exact: str, rest: str) -> str:
+    """SQL text of an exact total and the total of the rest as one DOUBLE; NULL when both are."""
+    return f"CASE WHEN {rest} IS NULL THEN CAST({exact} AS DOUBLE) ELSE coalesce(CAST({exact} AS DOUBLE), 0D) + {rest} END"
+
+
 def exact_total_text(amount: str, scale: int = MONEY_SCALE) -> str:
-    high, low = total_parts(amount, scale)
-    return join_parts(f"sum({high})", f"sum({low})", scale)
+    high, low, rest = total_parts(amount, scale)
+    return with_rest(join_parts(f"sum({high})", f"sum({low})", scale), f"sum({rest})")
 
 
 def exact_total(amount: str, scale: int = MONEY_SCALE) -> Column:
-    """SUM of a column or SQL expression, the same for every order of the rows.
+    """SUM of a column or SQL expression as DOUBLE, the same for every order of the rows.
 
-    NULL when nothing is summed, like SUM itself.
+    NULL when nothing is summed, like SUM itself; a NaN or infinite amount makes the total so.
+    Totals of totals stay exact, as a total is a whole number of units again.
     """
     return F.expr(exact_total_text(amount, scale))
 
 
 def exact_mean(amount: str, scale: int = MONEY_SCALE) -> Column:
     """AVG over the non-NULL values, built on the exact total."""
-    return F.expr(f"try_divide(CAST({exact_total_text(amount, scale)} AS DOUBLE), count({amount}))")
+    return F.expr(f"try_divide({exact_total_text(amount, scale)}, CAST(count({amount}) AS DOUBLE))")
 
 
 def safe_ratio(top: Column, bottom: Column) -> Column:

@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import fits_broadcast
-
 
 def _present(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -47,13 +45,11 @@ def orphan_count(
 ) -> DataFrame:
     """One row: how many child rows have no parent.
 
-    Next to a small parent the child is not shuffled at all. Otherwise it is counted per
-    key before the anti join, so a hot key crosses the shuffle as one row per task and
-    joins as a single row.
+    The child is counted per key before the anti join, so a hot key crosses the shuffle as
+    one row per task and joins as a single row. Adaptive execution broadcasts a side that it
+    has seen to be small.
     """
-    rows = child.select(*keys, F.lit(1).cast("bigint").alias("_rows"))
-    if not fits_broadcast(_parent_keys(parent, keys, parent_keys or keys)):
-        rows = rows.groupBy(*keys).agg(F.sum("_rows").alias("_rows"))
+    rows = child.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     orphans = orphan_rows(rows, parent, keys, parent_keys)
     return orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("orphans"))
 

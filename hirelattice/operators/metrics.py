@@ -11,10 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 from ..functions import days_between, exact_mean, exact_total, month_of, percentage, safe_ratio
-from ..session import fits_broadcast
 
 
 def row_count() -> Column:
@@ -54,16 +52,11 @@ def _counts_per_group(
 ) -> DataFrame:
     """Counts of fact rows per ``group`` of the matching ``dim`` rows, as a plain join gives.
 
-    Next to a small ``dim`` the facts are joined where they lie and counted per group, which
-    shuffles a few rows per task. A larger ``dim`` has to be shuffled; then the facts are
-    counted per join key first, so a key that holds a third of them joins as one row and
-    the join reuses the partitioning. Duplicate ``dim`` rows multiply the counts either way.
+    The facts are counted per join key first, so a key that holds a third of them joins as one
+    row and the join reuses the partitioning. Duplicate ``dim`` rows multiply the counts.
     """
     keyed = facts.where(F.col(fact_key).isNotNull()).withColumnRenamed(fact_key, "_key")
     lookup = dim.select(F.col(dim_key).alias("_key"), F.col(group).alias("_group"))
-    if fits_broadcast(lookup):
-        joined = keyed.join(lookup, "_key")
-        return joined.groupBy(F.col("_group").alias(group)).agg(*[c.alias(n) for n, c in counts.items()])
     per_key = keyed.groupBy("_key").agg(*[c.alias(n) for n, c in counts.items()])
     joined = per_key.join(lookup, "_key")
     return joined.groupBy(F.col("_group").alias(group)).agg(*[F.sum(n).alias(n) for n in counts])
@@ -97,19 +90,15 @@ def cost_per_outcome(
 
     Keys without spend stay, with NULL; keys with spend and no outcome disappear. The
     unrounded spend is divided, then rounded. NULL costs come first, as for any
-    ascending sort here. Both join sides are one row per key. Amounts that are totals
-    already (DECIMAL) are added as they are.
+    ascending sort here. Both join sides are one row per key.
     """
-    is_total = isinstance(spend.schema[amount].dataType, DecimalType)
-    spent = spend.groupBy(F.col(spend_key).alias(key)).agg(
-        (F.sum(amount) if is_total else exact_total(amount)).alias("_spent")
-    )
+    spent = spend.groupBy(F.col(spend_key).alias(key)).agg(exact_total(amount).alias("_spent"))
     return (
         outcomes.join(spent, key, "left")
         .select(
             key,
             counted,
-            F.round("_spent", digits).cast("double").alias(total),
+            F.round("_spent", digits).alias(total),
             F.round(safe_ratio(F.col("_spent"), F.col(counted)), digits).alias(cost),
         )
         .orderBy(F.asc_nulls_first(cost), key)
@@ -117,7 +106,7 @@ def cost_per_outcome(
 
 
 def monthly_totals(df: DataFrame, day: str, amount: str, *, month: str, total: str) -> DataFrame:
-    """Unrounded DECIMAL total per month; rows without a day form the NULL month."""
+    """Unrounded total per month; rows without a day form the NULL month."""
     return df.groupBy(month_of(day).alias(month)).agg(exact_total(amount).alias(total))
 
 
@@ -130,7 +119,7 @@ def period_totals(
         df.groupBy(month_of(day).alias(month))
         .agg(
             row_count().alias(counted),
-            F.round(exact_total(amount), digits).cast("double").alias(total),
+            F.round(exact_total(amount), digits).alias(total),
             F.round(exact_mean(amount), digits).alias(mean),
         )
         .orderBy(F.asc_nulls_first(month))
@@ -145,7 +134,7 @@ def stage_totals(
         df.groupBy(stage)
         .agg(
             row_count().alias(counted),
-            F.round(exact_total(amount), digits).cast("double").alias(total),
+            F.round(exact_total(amount), digits).alias(total),
         )
         .orderBy(F.desc(counted), stage)
     )

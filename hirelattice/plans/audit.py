@@ -1,14 +1,10 @@
 """From a check catalogue to an audit table.
 
-``audit_fused`` is the form to run. It needs two kinds of work only:
-
-* one aggregate per table for everything that is a plain count or total;
-* one aggregate per key domain (a parent table and its key) for duplicates, orphans and
-  matched totals. Children and parent contribute narrow counter rows to a single
-  ``groupBy`` on the key, so several checks share one shuffle, nothing is joined, and a
-  hot or missing key shrinks to one row per task before it moves. Only when the parent,
-  at one row per key, is small enough to broadcast do the children look it up where they
-  lie instead, which shuffles nothing.
+``audit_fused`` is the form to run. Per key domain (a parent table and its key), children and
+parent contribute narrow counter rows to a single ``groupBy`` on the key, so duplicates, orphans
+and matched totals share one shuffle, nothing is joined, and a hot or missing key shrinks to one
+row per task before it moves. Plain counts and totals of a table ride along in a domain that
+reads the table anyway; only tables without a domain get an aggregate of their own.
 
 ``audit_by_branch`` answers each check on its own with joins and scalar subqueries. It is
 the plain reading of the catalogue, kept for single checks and to verify the fused form.
@@ -24,25 +20,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exact_total
-from ..functions.numbers import exact_total_text, join_parts, total_parts
+from ..functions.numbers import exact_total_text, join_parts, total_parts, with_rest
 from ..operators.matching import orphan_count
 from ..operators.metrics import monthly_totals, row_count
-from ..session import fits_broadcast
 from .checks import Check, Constant, Measure, MatchedTotal, MonthlyTotal, Rows, Surplus, Total, Unmatched
 
 # Fixed value: differences below this pass.
 TOLERANCE = 0.005
-# Counts and money share this type until the final cast to DOUBLE, so that large totals
-# are compared exactly and not after losing their cents.
-FACT_TYPE = "decimal(38,4)"
+# Counts and totals. Totals are exact before they become DOUBLE, so equal ones stay equal.
+FACT_TYPE = "double"
+# Differences of totals below this are shown without the binary noise behind the fourth digit.
+_CLEAR_BELOW = 1e11
 
 Tables = Mapping[str, DataFrame]
 
 
 def score(checks: DataFrame) -> DataFrame:
     """Difference and status per check row. A missing difference is a FAIL."""
-    difference = F.col("actual") - F.col("expected")
-    passed = F.abs(difference) < F.lit(TOLERANCE)
+    plain = F.col("actual") - F.col("expected")
+    clear = F.abs("actual") + F.abs("expected") < F.lit(_CLEAR_BELOW)
+    difference = F.when(clear, F.round(plain, 4)).otherwise(plain)
+    # NaN counts as larger than any number.
+    passed = F.abs(plain) < F.lit(TOLERANCE)
     return checks.select(
         "check_type",
         "check_name",
@@ -75,7 +74,7 @@ def measure_frame(measure: Measure, tables: Tables) -> DataFrame:
             return _filtered(tables[table], where).agg(exact_total(amount))
         case MonthlyTotal(table, amount, day):
             months = monthly_totals(tables[table], day, amount, month="month", total="total")
-            return months.where(F.col("month").isNotNull()).agg(F.sum("total"))
+            return months.where(F.col("month").isNotNull()).agg(exact_total("total"))
         case Surplus(table, key):
             return tables[table].agg(row_count() - F.count_distinct(F.col(key)))
         case Unmatched(child, keys, parent, parent_keys, where, witness):
@@ -89,7 +88,7 @@ def measure_frame(measure: Measure, tables: Tables) -> DataFrame:
         case MatchedTotal(child, amount, keys, parent, parent_keys, where):
             parents = _filtered(tables[parent], where)
             per_key = _pairs(tables[child], keys, parents, parent_keys, amount)
-            return per_key.agg(F.sum(F.col("_total") * F.col("_parents")))
+            return per_key.agg(exact_total("_total * _parents"))
     raise TypeError(f"no such measure: {measure!r}")
 
 
@@ -97,7 +96,7 @@ def _pairs(child: DataFrame, keys, parents: DataFrame, parent_keys, amount: str
     """Per key both sides share: child rows (and total), parent rows. One row per key."""
     sums = [row_count().alias("_rows")]
     if amount is not None:
-        sums.append(exact_total(amount).cast("decimal(28,4)").alias("_total"))
+        sums.append(exact_total(amount).alias("_total"))
     left = child.groupBy(*keys).agg(*sums)
     renamed = parents.select(*[F.col(p).alias(k) for k, p in zip(keys, parent_keys)])
     right = renamed.groupBy(*keys).agg(row_count().alias("_parents"))
@@ -138,14 +137,13 @@ class _Domain:
 
     Everything is SQL text. ``parts`` holds, per table and its key columns, each counter's
     per-row value and the condition for a row to matter to it (None: every row does).
-    ``facts`` holds global aggregates over the counters and the part each one is about;
-    they mean the same on one row per key and on child rows that carry their parent's counters.
+    ``facts`` holds global aggregates over one row of counters per key.
     """
 
     parent: str
     keys: tuple[str, ...]
     parts: dict[_Part, dict[str, tuple[str, str | None]]] = field(default_factory=dict)
-    facts: dict[str, tuple[_Part, str]] = field(default_factory=dict)
+    facts: dict[str, str] = field(default_factory=dict)
     _names: dict[tuple, str] = field(default_factory=dict)
 
     def key_names(self) -> list[str]:
@@ -174,14 +172,14 @@ class _Domain:
         return None if None in conditions else " OR ".join(f"({c})" for c in conditions)
 
 
-def _keyed_fact(measure: Measure, domain: _Domain) -> tuple[_Part, str]:
-    """The measure as a global aggregate over the domain's counters, and its part."""
+def _keyed_fact(measure: Measure, domain: _Domain) -> str:
+    """The measure as a global aggregate over the domain's counters."""
     has_key = domain.has_key()
     match measure:
         case Surplus(table, key):
             rows = domain.count(table, (key,))
             surplus = f"CASE WHEN {has_key} AND {rows} > 0 THEN {rows} - 1 ELSE {rows} END"
-            return (table, (key,)), f"coalesce(sum({surplus}), 0)"
+            return f"coalesce(sum({surplus}), 0)"
         case Unmatched(child, keys, parent, parent_keys, where, witness):
             rows = domain.count(child, keys)
             parents = domain.count(parent, parent_keys, where)
@@ -189,16 +187,33 @@ def _keyed_fact(measure: Measure, domain: _Domain) -> tuple[_Part, str]:
             if witness is not None:
                 unvouched = domain.count(parent, parent_keys, where, f"{witness} IS NULL")
             weight = f"CASE WHEN NOT ({has_key}) OR {parents} = 0 THEN 1L ELSE {unvouched} END"
-            return (child, keys), f"coalesce(sum({rows} * {weight}), 0)"
+            return f"coalesce(sum({rows} * {weight}), 0)"
         case MatchedTotal(child, amount, keys, parent, parent_keys, where):
             has_amount = f"({amount}) IS NOT NULL"
-            high, low = (domain.counter(child, keys, part, has_amount) for part in total_parts(amount))
+            high, low, rest = (domain.counter(child, keys, part, has_amount) for part in total_parts(amount))
             parents = domain.count(parent, parent_keys, where)
-            total = f"CAST({join_parts(high, low)} AS DECIMAL(28,4))"
-            return (child, keys), f"sum(CASE WHEN {has_key} AND {parents} > 0 THEN {total} * {parents} END)"
+            matched = f"{has_key} AND {parents} > 0"
+            exact = f"sum(CASE WHEN {matched} THEN CAST({join_parts(high, low)} AS DECIMAL(28,4)) * {parents} END)"
+            return with_rest(exact, f"sum(CASE WHEN {matched} THEN {rest} * {parents} END)")
     raise TypeError(f"not a keyed measure: {measure!r}")
 
 
+def _riding_fact(measure: Measure, domain: _Domain, keys: tuple[str, ...]) -> str:
+    """A measure that needs no key, as a global aggregate over a domain that reads its table by ``keys``."""
+    match measure:
+        case Rows(table, where):
+            return f"coalesce(sum({domain.count(table, keys, where)}), 0)"
+        case Total(table, amount, where):
+            chosen = amount if where is None else f"CASE WHEN {where} THEN {amount} END"
+        case MonthlyTotal(table, amount, day):
+            # Adding up months is adding up their rows; only dated rows have a month.
+            chosen = f"CASE WHEN {day} IS NOT NULL THEN {amount} END"
+        case _:
+            raise TypeError(f"no such measure: {measure!r}")
+    high, low, rest = (domain.counter(table, keys, part, f"({chosen}) IS NOT NULL") for part in total_parts(chosen))
+    return with_rest(join_parts(f"sum({high})", f"sum({low})"), f"sum({rest})")
+
+
 def _plain_fact(measure: Measure) -> tuple[str, str]:
     """(table, aggregate) of a measure that needs no key. Filters become conditions."""
     match measure:
@@ -247,77 +262,46 @@ def _keyed_facts(domain: _Domain, tables: Tables) -> DataFrame:
     """All facts of a domain from one aggregate on the key."""
     names = [name for part in domain.parts.values() for name in part]
     rows = reduce(DataFrame.union, [_counters(domain, part, tables, names) for part in domain.parts])
-    return _one_row(_per_key(rows, domain, names), {name: fact for name, (_, fact) in domain.facts.items()})
-
-
-def _parent_counters(domain: _Domain, tables: Tables) -> DataFrame:
-    """The parent at one row per key."""
-    part = (domain.parent, domain.keys)
-    names = list(domain.parts[part])
-    return _per_key(_counters(domain, part, tables, names), domain, names)
+    return _one_row(_per_key(rows, domain, names), domain.facts)
 
 
-def _looked_up_facts(domain: _Domain, tables: Tables, parents: DataFrame) -> list[DataFrame]:
-    """The facts of a domain with a small parent: each child looks its parent up.
-
-    A left join keeps the child rows without a parent or without a key; ``parents`` has one
-    row per key, so no child row is multiplied.
-    """
-    by_part: dict[_Part, dict[str, str]] = {}
-    for name, (part, fact) in domain.facts.items():
-        by_part.setdefault(part, {})[name] = fact
-    branches = []
-    for part, facts in by_part.items():
-        if part == (domain.parent, domain.keys):
-            branches.append(_one_row(parents, facts))
-        else:
-            children = _counters(domain, part, tables, domain.parts[part])
-            branches.append(_one_row(children.join(parents, domain.key_names(), "left"), facts))
-    return branches
-
-
-def _keyed_branches(measures: Mapping[Measure, str], tables: Tables) -> list[DataFrame]:
-    """Facts of the keyed measures, domain by domain."""
+def _domains(measures: Mapping[Measure, str]) -> list[_Domain]:
+    """The keyed measures by domain; duplicates are counted in any domain the table feeds by that key."""
     domains: dict[_Part, _Domain] = {}
-
-    def add(measure: Measure, at: _Part) -> None:
-        domain = domains.setdefault(at, _Domain(*at))
-        domain.facts[measures[measure]] = _keyed_fact(measure, domain)
-
-    for measure in measures:
+    for measure, name in measures.items():
         if not isinstance(measure, Surplus):
-            add(measure, (measure.parent, measure.parent_keys))
-    small = {at for at, domain in domains.items() if fits_broadcast(_parent_counters(domain, tables))}
-    # Duplicates are counted in any keyed domain the table already feeds by that key, be it
-    # as parent or as child, and next to a small parent if they are the parent's own.
-    for measure in measures:
+            domain = domains.setdefault((measure.parent, measure.parent_keys), _Domain(measure.parent, measure.parent_keys))
+            domain.facts[name] = _keyed_fact(measure, domain)
+    for measure, name in measures.items():
         if isinstance(measure, Surplus):
             part = (measure.table, (measure.key,))
-            feeding = [at for at, d in domains.items() if part in d.parts and (at not in small or at == part)]
-            add(measure, feeding[0] if feeding else part)
-
-    branches = []
-    for at, domain in domains.items():
-        if at in small:
-            branches += _looked_up_facts(domain, tables, _parent_counters(domain, tables))
-        else:
-            branches.append(_keyed_facts(domain, tables))
-    return branches
+            feeding = [d for d in domains.values() if part in d.parts]
+            domain = feeding[0] if feeding else domains.setdefault(part, _Domain(*part))
+            domain.facts[name] = _keyed_fact(measure, domain)
+    return list(domains.values())
 
 
 def audit_fused(checks: Sequence[Check], tables: Tables) -> DataFrame:
-    """All checks from one aggregate per table and one per key domain, scored."""
+    """All checks from one aggregate per key domain, and one per table that is in none, scored."""
     used = (m for c in checks for m in (c.expected, c.actual) if not isinstance(m, Constant))
     names = {measure: f"fact_{i}" for i, measure in enumerate(dict.fromkeys(used))}
     keyed = {m: n for m, n in names.items() if isinstance(m, (Surplus, Unmatched, MatchedTotal))}
+    domains = _domains(keyed)
     plain: dict[str, dict[str, str]] = {}
     for measure, name in names.items():
-        if measure not in keyed:
+        if measure in keyed:
+            continue
+        # The parts are listed first: a riding measure adds counters to one of them.
+        reading = [(d, keys) for d in domains for table, keys in list(d.parts) if table == measure.table]
+        if reading:
+            domain, keys = reading[0]
+            domain.facts[name] = _riding_fact(measure, domain, keys)
+        else:
             table, fact = _plain_fact(measure)
             plain.setdefault(table, {})[name] = fact
 
     branches = [_one_row(tables[table], facts) for table, facts in plain.items()]
-    branches += _keyed_branches(keyed, tables)
+    branches += [_keyed_facts(domain, tables) for domain in domains]
     facts = reduce(DataFrame.union, branches)
 
     # One row per measure is left; fold them into one row and spread it over the checks.

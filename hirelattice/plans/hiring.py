@@ -128,7 +128,7 @@ def marketing_daily(t: Tables) -> DataFrame:
     start, end = (events.agg(f("date")).scalar() for f in (F.min, F.max))
     spine = shaping.calendar_spine(events.select("channel").distinct(), start, end, "date")
     daily = events.groupBy("date", "channel").agg(
-        exact_total("value").cast("double").alias("spend_usd"),
+        exact_total("value").alias("spend_usd"),
         F.count(F.lit(1)).alias("clicks"),
         F.count_if(F.col("value") > 50).alias("leads"),
     )

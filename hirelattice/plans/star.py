@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar_day, exact_total, month_of
 from ..operators import metrics, shaping
-from ..session import fits_broadcast
 from .checks import (
     INTEGRITY, RECONCILIATION, VALIDITY, Check, MatchedTotal, MonthlyTotal, Rows, Surplus, Total, Unmatched,
 )
@@ -119,13 +118,11 @@ def purchase_rate_by_segment(t: Tables) -> DataFrame:
 def spend_by_paid_segment(t: Tables) -> DataFrame:
     """Order values with the segment of their customer, paid segments only.
 
-    Orders look few customers up in place; next to many they are totalled per customer first.
+    Orders are totalled per customer before they join.
     """
     paid = t["customer"].where(F.col("c_mktsegment").isin(PAID_SEGMENTS)).select("c_custkey", "c_mktsegment")
     orders = t["orders"].select(F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("spend"))
-    if not fits_broadcast(paid):
-        orders = orders.groupBy("c_custkey").agg(exact_total("spend").alias("spend"))
-    return orders.join(paid, "c_custkey")
+    return orders.groupBy("c_custkey").agg(exact_total("spend").alias("spend")).join(paid, "c_custkey")
 
 
 def cost_per_purchase_by_segment(t: Tables) -> DataFrame:

@@ -64,14 +64,3 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     folder = fresh_folder(spark, label)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Does Spark's own size estimate of ``df`` allow it to broadcast the frame?
-
-    Operators choose their shape by this: next to a side this small a join needs no
-    shuffle, beyond it they aggregate before they shuffle. Frames of unknown size do not fit.
-    """
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 
 def dec(amount: str) -> str:
-    return f"CAST({amount} AS DECIMAL(18,4))"
+    return f"CAST({amount} AS DECIMAL(28,10))"
 
 
 def total(amount: str) -> str:
@@ -30,7 +30,7 @@ def percent(part: str, whole: str, digits: int) -> str:
 
 def units(amount: str) -> str:
     """Total of ``amount`` in 1/10000 as a whole number."""
-    return f"CAST(sum({dec(amount)}) * 10000 AS HUGEINT)"
+    return f"CAST(round(sum({dec(amount)}) * 10000, 0) AS HUGEINT)"
 
 
 def mean(amount: str, digits: int = 2) -> str:
