@@ -6,6 +6,7 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -25,9 +26,9 @@ from oracles import hiring_sql, operator_sql, star_sql  # noqa: E402
 
 try:  # the corpus operators are an optional subpackage
     import corpus_pipeline  # noqa: E402
-    from hirelattice.llm import registry as corpus  # noqa: E402
+    import hirelattice.llm.registry as corpus  # noqa: E402
 except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "hirelattice.llm"):
+    if missing.name not in ("corpus_pipeline", "hirelattice.llm", "hirelattice.llm.registry"):
         raise
     corpus = None
 
@@ -119,11 +120,12 @@ def _labelled_documents(t: dict) -> DataFrame:
 # --- sources ----------------------------------------------------------------------------
 
 
-def _load_hiring_csv(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
-    """Write the hiring tables as CSV, load them into a new namespace; the load report."""
+def _load_hiring_csv(spark: SparkSession, folder: str, *only: str) -> tuple[str, DataFrame]:
+    """Write the hiring tables (or some) as CSV, load them into a new namespace; the load report."""
     exported = fresh_folder(spark, "csv")
     for name, frame in hiring.stored_tables(spark, folder).items():
-        csv_files.write_csv(frame, exported, name)
+        if name in (only or recruiting.TABLES):
+            csv_files.write_csv(frame, exported, name)
     namespace = _scratch_namespace(spark)
     return namespace, tables.load_folder(spark, exported, namespace)
 
@@ -135,12 +137,23 @@ def _csv_load_report(spark: SparkSession, folder: str) -> DataFrame:
 
 def _csv_loaded(table: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        namespace, _ = _load_hiring_csv(spark, folder)
-        return tables.read_namespace(spark, namespace)[table].drop("_loaded_at")
+        namespace, _ = _load_hiring_csv(spark, folder, table)
+        return tables.read_namespace(spark, namespace, [table])[table].drop("_loaded_at")
 
     return query
 
 
+def _load_stamps(spark: SparkSession, folder: str) -> DataFrame:
+    """Different load stamps per table, and rows without one."""
+    namespace, _ = _load_hiring_csv(spark, folder)
+    rows = [
+        frame.agg(F.count_distinct("_loaded_at").alias("stamps"), F.count_if(F.col("_loaded_at").isNull()).alias("unstamped"))
+        .select(F.lit(name).alias("table"), "stamps", "unstamped")
+        for name, frame in tables.read_namespace(spark, namespace).items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def _table_replaced(spark: SparkSession, folder: str) -> DataFrame:
     """Store the orders, then replace them by their status totals: new rows, new schema."""
     table = f"{_scratch_namespace(spark)}.report"
@@ -150,6 +163,20 @@ def _table_replaced(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(table)
 
 
+def _table_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """A replacement that fails on the way: the stored rows are still there."""
+    table = f"{_scratch_namespace(spark)}.report"
+    orders = star.read_tables(spark, folder)["orders"]
+    tables.replace_table(orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders")), table)
+    broken = F.raise_error(F.lit("broken on purpose")).cast("bigint")
+    try:
+        tables.replace_table(orders.select(F.when(F.col("o_orderkey") >= 0, broken).alias("orders")), table)
+    except Exception as failed:
+        if "broken on purpose" not in str(failed):
+            raise
+    return spark.table(table)
+
+
 # --- validation runs ----------------------------------------------------------------------
 
 
@@ -157,9 +184,9 @@ def _faulty_audit(spark: SparkSession, folder: str) -> DataFrame:
     return recruiting.audit_checks(recruiting.inject_faults(hiring.stored_tables(spark, folder)))
 
 
-def _validate(spark: SparkSession, folder: str, namespace: str) -> runs.RunOutcome:
+def _validate(spark: SparkSession, folder: str, namespace: str, build=None) -> runs.RunOutcome:
     return runs.run_validation(
-        spark, lambda: _faulty_audit(spark, folder),
+        spark, build or (lambda: _faulty_audit(spark, folder)),
         audit_table=f"{namespace}.audit_checks", run_log=f"{namespace}.pipeline_runs", project=PROJECT,
     )
 
@@ -179,6 +206,50 @@ def _run_log(spark: SparkSession, folder: str) -> DataFrame:
     return logged.select("run_type", "status", "checks_total", "checks_failed", "error_message")
 
 
+def _audit_stamps(spark: SparkSession, folder: str) -> DataFrame:
+    """How many different instants a stored audit carries, and rows without one."""
+    namespace = _scratch_namespace(spark)
+    _validate(spark, folder, namespace)
+    audited = spark.table(f"{namespace}.audit_checks")
+    return audited.agg(F.count_distinct("checked_at").alias("stamps"), F.count_if(F.col("checked_at").isNull()).alias("unstamped"))
+
+
+def _run_log_success(spark: SparkSession, folder: str) -> DataFrame:
+    """The log row of a run over the checks that pass."""
+    namespace = _scratch_namespace(spark)
+    _validate(spark, folder, namespace, lambda: _faulty_audit(spark, folder).where("status = 'PASS'"))
+    return spark.table(f"{namespace}.pipeline_runs").select("status", "checks_total", "checks_failed", "error_message")
+
+
+def _broken_run(spark: SparkSession, folder: str) -> runs.RunOutcome:
+    """A run that breaks with a long message about the orders it saw."""
+
+    def build() -> DataFrame:
+        raise RuntimeError(f"audit stopped after {star.read_tables(spark, folder)['orders'].count()} orders; " * 40)
+
+    return _validate(spark, folder, _scratch_namespace(spark), build)
+
+
+def _run_error_log(spark: SparkSession, folder: str) -> DataFrame:
+    return _broken_run(spark, folder).record.select("status", "checks_total", "checks_failed", "error_message")
+
+
+def _run_error_failures(spark: SparkSession, folder: str) -> DataFrame:
+    return _broken_run(spark, folder).payload.select("status", "total", "failed", "passed", F.inline("failures")).drop("status")
+
+
+def _gate_writes(spark: SparkSession, folder: str) -> DataFrame:
+    """Does the gate let the clean and the faulty tables be written, and how many were?"""
+    clean = hiring.stored_tables(spark, folder)
+    rows = []
+    for case, frames in (("clean", clean), ("faulty", recruiting.inject_faults(clean))):
+        written = recruiting.write_if_sound(frames, _scratch_namespace(spark))
+        rows.append(spark.range(1).select(
+            F.lit(case).alias("case"), F.lit(written > 0).alias("passed"), F.lit(written).cast("bigint").alias("tables_written")
+        ))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def _payload(spark: SparkSession, folder: str) -> DataFrame:
     return _validate(spark, folder, _scratch_namespace(spark)).payload
 
@@ -223,7 +294,7 @@ def queries() -> dict[str, Query]:
         "labelled_documents": _labelled_documents,
         **{
             f"check_{c.check_name}": lambda t, c=c: audit.audit_by_branch([c], t)
-            for c in [*star.CHECKS, star.LINE_PARTS]
+            for c in [*star.CHECKS, star.LINE_PARTS, star.RATED_CUSTOMERS]
         },
     }
     hiring_reports = {
@@ -260,7 +331,15 @@ def queries() -> dict[str, Query]:
         "csv_loaded_vacancies": _csv_loaded("vacancies"),
         "csv_loaded_sales_deals": _csv_loaded("sales_deals"),
         "csv_loaded_marketing_daily": _csv_loaded("marketing_daily"),
+        "csv_load_stamps": _load_stamps,
         "table_replaced": _table_replaced,
+        "table_kept_when_replacing_fails": _table_kept,
+        "audit_stamps": _audit_stamps,
+        "run_log_success": _run_log_success,
+        "run_error_log": _run_error_log,
+        "run_error_failures": _run_error_failures,
+        "run_error_alert": lambda spark, folder: runs.alert_message(_broken_run(spark, folder).payload).select("message"),
+        "gate_writes": _gate_writes,
         "audit_readback": _audit_readback,
         "run_log": _run_log,
         "run_summary": _run_summary,

@@ -16,8 +16,10 @@ def month_of(day: Column | str) -> Column:
 
 
 def calendar_day(instant: Column | str) -> Column:
-    """The UTC day of a timestamp (the session zone is UTC)."""
-    return F.to_date(_col(instant))
+    """The UTC day of an instant in any session zone; a timestamp without zone or a date is taken as it is."""
+    instant = _col(instant)
+    utc = F.to_date(F.convert_timezone(None, F.lit("UTC"), instant))
+    return F.when(F.typeof(instant) == "timestamp", utc).otherwise(F.to_date(instant))
 
 
 def days_between(start: Column | str, end: Column | str) -> Column:
@@ -26,6 +28,12 @@ def days_between(start: Column | str, end: Column | str) -> Column:
 
 
 def parse_day(text: Column | str) -> Column:
-    """Text to DATE. Empty text is NULL, malformed text raises (ANSI mode)."""
-    text = _col(text)
-    return F.to_date(F.nullif(F.trim(text), F.lit("")), "yyyy-MM-dd")
+    """Text to DATE. Empty text is NULL, malformed text raises, whatever the session's settings."""
+    text = F.nullif(F.trim(_col(text)), F.lit(""))
+    return strict(text, F.try_to_date(text, "yyyy-MM-dd"), "a date")
+
+
+def strict(text: Column, parsed: Column, kind: str) -> Column:
+    """``parsed``, but raise where there is a text that it could not make sense of."""
+    broken = F.raise_error(F.concat(F.lit(f"not {kind}: "), text))
+    return F.when(parsed.isNull() & text.isNotNull(), broken).otherwise(parsed)

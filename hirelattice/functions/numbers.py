@@ -42,6 +42,12 @@ def with_rest(exact: str, rest: str) -> str:
     return f"CASE WHEN {rest} IS NULL THEN CAST({exact} AS DOUBLE) ELSE coalesce(CAST({exact} AS DOUBLE), 0D) + {rest} END"
 
 
+def total_struct_text(amount: str, scale: int = MONEY_SCALE) -> str:
+    """SQL text of the exact total and the total of the rest as a struct (exact, rest)."""
+    high, low, rest = total_parts(amount, scale)
+    return f"named_struct('exact', {join_parts(f'sum({high})', f'sum({low})', scale)}, 'rest', sum({rest}))"
+
+
 def exact_total_text(amount: str, scale: int = MONEY_SCALE) -> str:
     high, low, rest = total_parts(amount, scale)
     return with_rest(join_parts(f"sum({high})", f"sum({low})", scale), f"sum({rest})")

@@ -1,12 +1,14 @@
 """Deliberate faults, as pure DataFrame transforms, to prove that the checks notice them.
 
-"First" means the smallest natural key. Only one to three key values are looked up, so
-they travel as scalar subqueries or as a broadcast of at most that many rows.
+"First" means the smallest natural key, with the whole row to break ties. Ids are a prefix and a
+number, so shorter ones come first. Only the one to three rows that change are looked up; they
+travel as a broadcast of at most that many rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,26 +22,40 @@ def drop_rarest_parent(parent: DataFrame, parent_key: str, child: DataFrame, chi
     return parent.join(F.broadcast(rarest), parent_key, "left_anti").select(parent.columns)
 
 
+def _by_id(key: str) -> list[Column]:
+    return [F.length(key), F.col(key)]
+
+
 def duplicate_first(df: DataFrame, key: str) -> DataFrame:
     """Append a copy of the first row."""
-    return df.unionByName(df.orderBy(key).limit(1))
+    return df.unionByName(df.orderBy(*_by_id(key), *df.columns).limit(1))
+
 
+def _change(df: DataFrame, rows: DataFrame, target: str, value: Column) -> DataFrame:
+    """Set ``target`` to ``value`` on exactly the given rows: of equal rows as many as are given.
 
-def _first_key(df: DataFrame, key: str, where: Column) -> Column:
-    return df.where(where).agg(F.min(key)).scalar()
+    The rows are few. Copies of them in ``df`` are counted, not gathered, and unfold again.
+    """
+    hits = rows.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_hits"))
+    here = hits.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(df.columns)), "_hits")
+    same = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(df.columns)))
+    others = df.join(F.broadcast(here), same, "left_anti")
+    copies = df.join(F.broadcast(here), same).groupBy(*df.columns, "_hits").agg(F.count(F.lit(1)).alias("_copies"))
+    numbered = copies.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")))
+    changed = numbered.withColumn(target, F.when(F.col("_copy") <= F.col("_hits"), value).otherwise(F.col(target)))
+    return others.unionByName(changed.select(df.columns))
 
 
 def clear_on_first(df: DataFrame, key: str, where: Column, target: str) -> DataFrame:
     """Set ``target`` to NULL on the first row that meets ``where``."""
-    hit = F.coalesce(F.col(key) == _first_key(df, key, where), F.lit(False)) & where
-    return df.withColumn(target, F.when(~F.coalesce(hit, F.lit(False)), F.col(target)))
+    first = df.where(where).orderBy(*_by_id(key), *df.columns).limit(1)
+    return _change(df, first, target, F.lit(None).cast(df.schema[target].dataType))
 
 
 def negate_first(df: DataFrame, keys: Sequence[str], target: str, n: int = 3) -> DataFrame:
     """Make ``target`` negative on the first ``n`` rows by key."""
-    first = df.select(*keys).orderBy(*keys).limit(n).distinct().withColumn("_first", F.lit(True))
-    value = F.when(F.col("_first"), -F.abs(F.col(target))).otherwise(F.col(target))
-    return df.join(F.broadcast(first), list(keys), "left").withColumn(target, value).select(df.columns)
+    first = df.orderBy(*keys, *df.columns).limit(n)
+    return _change(df, first, target, -F.abs(F.col(target)))
 
 
 def fault_report(affected: dict[str, DataFrame]) -> DataFrame:

@@ -34,30 +34,28 @@ def number_copies(df: DataFrame, name: str) -> DataFrame:
     """Give equal rows the numbers 1, 2, 3 ... in ``name``; a row without copies gets 1.
 
     Copies are counted, not gathered, so a row that makes up a third of the table shrinks
-    to one row per task. Large groups unfold in chunks spread over all tasks. Unlike a
-    random salt the numbers are the same when a lost task runs again.
+    to one row per task. A group unfolds chunk by chunk, so no row holds more than a chunk's
+    numbers. Unlike a random salt the numbers are the same when a lost task runs again.
     """
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
     copies = F.col("_copies")
-    few = counted.where(copies <= _COPY_CHUNK).select(
-        *df.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias(name)
-    )
     chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((copies - 1) / _COPY_CHUNK))
     start = F.col("_chunk") * _COPY_CHUNK
-    many = (
-        counted.where(copies > _COPY_CHUNK)
+    return (
+        counted
         .withColumn("_chunk", F.explode(chunks))
-        .repartition("_chunk", *df.columns)
         .select(*df.columns, F.explode(F.sequence(start + 1, F.least(start + _COPY_CHUNK, copies))).alias(name))
     )
-    return few.unionByName(many)
 
 
 def sequential_ids(
-    df: DataFrame, order_by: Sequence[str], name: str, prefix: str, width: int, *, unique: bool = False
+    df: DataFrame, order_by: Sequence[str], name: str, prefix: str, width: int,
+    *, unique: bool = False, number: str | None = None,
 ) -> DataFrame:
     """Number the rows 1, 2, 3 ... in the order of ``order_by`` and format the ids.
 
+    ``number`` names a column that keeps the plain number, which sorts right at any size.
+
     The remaining columns break ties, and copies are numbered first so that the sort can
     spread them too; ``unique`` states that ``order_by`` identifies a row and skips both.
     The data is range-sorted in parallel and written once with each row's place inside
@@ -73,15 +71,17 @@ def sequential_ids(
     placed = materialise(ordered.withColumn("_place", F.monotonically_increasing_id()), "ids")
     part = F.shiftright("_place", within_bits)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
+    # One task, over one row per partition of the sorted copy.
     before = F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")
     # At most one row per partition of the sorted copy: a proven bound for the broadcast.
     offsets = sizes.select("_part", before.alias("_before"))
     within = F.col("_place").bitwiseAND(F.lit((1 << within_bits) - 1))
-    number = F.col("_before") + within + F.lit(1)
+    count = F.col("_before") + within + F.lit(1)
+    plain = [] if number is None else [count.alias(number)]
     return (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
-        .select(padded_id(prefix, number, width).alias(name), *df.columns)
+        .select(*plain, padded_id(prefix, count, width).alias(name), *df.columns)
     )
 
 

@@ -18,30 +18,42 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import exact_total
-from ..functions.numbers import exact_total_text, join_parts, total_parts, with_rest
+from ..functions.numbers import join_parts, total_parts, total_struct_text
 from ..operators.matching import orphan_count
 from ..operators.metrics import monthly_totals, row_count
 from .checks import Check, Constant, Measure, MatchedTotal, MonthlyTotal, Rows, Surplus, Total, Unmatched
 
 # Fixed value: differences below this pass.
 TOLERANCE = 0.005
-# Counts and totals. Totals are exact before they become DOUBLE, so equal ones stay equal.
-FACT_TYPE = "double"
-# Differences of totals below this are shown without the binary noise behind the fourth digit.
-_CLEAR_BELOW = 1e11
+# A fact is an exact part (counts, and amounts that are whole cents) and the total of all other
+# amounts, NULL if there are none, so that large totals are compared before they lose their cents.
+EXACT = "decimal(38,4)"
+FACT_TYPE = f"struct<exact:{EXACT},rest:double>"
 
 Tables = Mapping[str, DataFrame]
 
 
 def score(checks: DataFrame) -> DataFrame:
-    """Difference and status per check row. A missing difference is a FAIL."""
-    plain = F.col("actual") - F.col("expected")
-    clear = F.abs("actual") + F.abs("expected") < F.lit(_CLEAR_BELOW)
-    difference = F.when(clear, F.round(plain, 4)).otherwise(plain)
-    # NaN counts as larger than any number.
-    passed = F.abs(plain) < F.lit(TOLERANCE)
+    """Difference and status per check row. A missing difference is a FAIL.
+
+    ``expected`` and ``actual`` are facts, or plain numbers.
+    """
+    if isinstance(checks.schema["expected"].dataType, StructType):
+        expected, actual = F.col("expected"), F.col("actual")
+        whole = actual["rest"].isNull() & expected["rest"].isNull()
+        exact = (actual["exact"] - expected["exact"]).cast("double")
+        difference = F.when(whole, exact).otherwise(_number(actual) - _number(expected))
+        checks = checks.select(
+            "check_type", "check_name", "description", _number(expected).alias("expected"), _number(actual).alias("actual"),
+            difference.alias("difference"),
+        )
+    else:
+        checks = checks.withColumn("difference", F.col("actual") - F.col("expected"))
+    difference = F.col("difference")
+    passed = F.abs(difference) < F.lit(TOLERANCE)  # NaN counts as larger than any number
     return checks.select(
         "check_type",
         "check_name",
@@ -53,6 +65,17 @@ def score(checks: DataFrame) -> DataFrame:
     )
 
 
+def _number(fact: Column) -> Column:
+    """A fact as one DOUBLE."""
+    exact = fact["exact"].cast("double")
+    return F.when(fact["rest"].isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + fact["rest"])
+
+
+def _counted(value: str) -> str:
+    """SQL text of a count as a fact."""
+    return f"named_struct('exact', CAST({value} AS {EXACT}), 'rest', CAST(NULL AS DOUBLE))"
+
+
 def stamp_checked(audit: DataFrame) -> DataFrame:
     """Add the instant of the audit, the same for all rows."""
     return audit.withColumn("checked_at", F.current_timestamp())
@@ -71,10 +94,10 @@ def measure_frame(measure: Measure, tables: Tables) -> DataFrame:
         case Rows(table, where):
             return _filtered(tables[table], where).agg(row_count())
         case Total(table, amount, where):
-            return _filtered(tables[table], where).agg(exact_total(amount))
+            return _filtered(tables[table], where).agg(F.expr(total_struct_text(amount)))
         case MonthlyTotal(table, amount, day):
             months = monthly_totals(tables[table], day, amount, month="month", total="total")
-            return months.where(F.col("month").isNotNull()).agg(exact_total("total"))
+            return months.where(F.col("month").isNotNull()).agg(F.expr(total_struct_text("total")))
         case Surplus(table, key):
             return tables[table].agg(row_count() - F.count_distinct(F.col(key)))
         case Unmatched(child, keys, parent, parent_keys, where, witness):
@@ -88,7 +111,7 @@ def measure_frame(measure: Measure, tables: Tables) -> DataFrame:
         case MatchedTotal(child, amount, keys, parent, parent_keys, where):
             parents = _filtered(tables[parent], where)
             per_key = _pairs(tables[child], keys, parents, parent_keys, amount)
-            return per_key.agg(exact_total("_total * _parents"))
+            return per_key.agg(F.expr(total_struct_text("_total * _parents")))
     raise TypeError(f"no such measure: {measure!r}")
 
 
@@ -105,8 +128,11 @@ def _pairs(child: DataFrame, keys, parents: DataFrame, parent_keys, amount: str
 
 def _value(measure: Measure, tables: Tables) -> Column:
     if isinstance(measure, Constant):
-        return F.lit(measure.value).cast(FACT_TYPE)
-    return measure_frame(measure, tables).scalar().cast(FACT_TYPE)
+        return F.expr(_counted(str(measure.value)))
+    frame = measure_frame(measure, tables)
+    if not isinstance(frame.schema.fields[0].dataType, StructType):
+        frame = frame.selectExpr(_counted(f"`{frame.columns[0]}`"))
+    return frame.scalar()
 
 
 def audit_by_branch(checks: Sequence[Check], tables: Tables) -> DataFrame:
@@ -179,7 +205,7 @@ def _keyed_fact(measure: Measure, domain: _Domain) -> str:
         case Surplus(table, key):
             rows = domain.count(table, (key,))
             surplus = f"CASE WHEN {has_key} AND {rows} > 0 THEN {rows} - 1 ELSE {rows} END"
-            return f"coalesce(sum({surplus}), 0)"
+            return _counted(f"coalesce(sum({surplus}), 0)")
         case Unmatched(child, keys, parent, parent_keys, where, witness):
             rows = domain.count(child, keys)
             parents = domain.count(parent, parent_keys, where)
@@ -187,14 +213,16 @@ def _keyed_fact(measure: Measure, domain: _Domain) -> str:
             if witness is not None:
                 unvouched = domain.count(parent, parent_keys, where, f"{witness} IS NULL")
             weight = f"CASE WHEN NOT ({has_key}) OR {parents} = 0 THEN 1L ELSE {unvouched} END"
-            return f"coalesce(sum({rows} * {weight}), 0)"
+            return _counted(f"coalesce(sum({rows} * {weight}), 0)")
         case MatchedTotal(child, amount, keys, parent, parent_keys, where):
             has_amount = f"({amount}) IS NOT NULL"
             high, low, rest = (domain.counter(child, keys, part, has_amount) for part in total_parts(amount))
             parents = domain.count(parent, parent_keys, where)
             matched = f"{has_key} AND {parents} > 0"
             exact = f"sum(CASE WHEN {matched} THEN CAST({join_parts(high, low)} AS DECIMAL(28,4)) * {parents} END)"
-            return with_rest(exact, f"sum(CASE WHEN {matched} THEN {rest} * {parents} END)")
+            return (
+                f"named_struct('exact', CAST({exact} AS {EXACT}), 'rest', sum(CASE WHEN {matched} THEN {rest} * {parents} END))"
+            )
     raise TypeError(f"not a keyed measure: {measure!r}")
 
 
@@ -202,7 +230,7 @@ def _riding_fact(measure: Measure, domain: _Domain, keys: tuple[str, ...]) -> st
     """A measure that needs no key, as a global aggregate over a domain that reads its table by ``keys``."""
     match measure:
         case Rows(table, where):
-            return f"coalesce(sum({domain.count(table, keys, where)}), 0)"
+            return _counted(f"coalesce(sum({domain.count(table, keys, where)}), 0)")
         case Total(table, amount, where):
             chosen = amount if where is None else f"CASE WHEN {where} THEN {amount} END"
         case MonthlyTotal(table, amount, day):
@@ -211,19 +239,19 @@ def _riding_fact(measure: Measure, domain: _Domain, keys: tuple[str, ...]) -> st
         case _:
             raise TypeError(f"no such measure: {measure!r}")
     high, low, rest = (domain.counter(table, keys, part, f"({chosen}) IS NOT NULL") for part in total_parts(chosen))
-    return with_rest(join_parts(f"sum({high})", f"sum({low})"), f"sum({rest})")
+    return f"named_struct('exact', {join_parts(f'sum({high})', f'sum({low})')}, 'rest', sum({rest}))"
 
 
 def _plain_fact(measure: Measure) -> tuple[str, str]:
     """(table, aggregate) of a measure that needs no key. Filters become conditions."""
     match measure:
         case Rows(table, where):
-            return table, "count(1)" if where is None else f"count_if({where})"
+            return table, _counted("count(1)" if where is None else f"count_if({where})")
         case Total(table, amount, where):
-            return table, exact_total_text(amount if where is None else f"CASE WHEN {where} THEN {amount} END")
+            return table, total_struct_text(amount if where is None else f"CASE WHEN {where} THEN {amount} END")
         case MonthlyTotal(table, amount, day):
             # Adding up months is adding up their rows; only dated rows have a month.
-            return table, exact_total_text(f"CASE WHEN {day} IS NOT NULL THEN {amount} END")
+            return table, total_struct_text(f"CASE WHEN {day} IS NOT NULL THEN {amount} END")
     raise TypeError(f"no such measure: {measure!r}")
 
 
@@ -305,7 +333,7 @@ def audit_fused(checks: Sequence[Check], tables: Tables) -> DataFrame:
     facts = reduce(DataFrame.union, branches)
 
     # One row per measure is left; fold them into one row and spread it over the checks.
-    folded = [F.expr(f"max(value) FILTER (WHERE fact = {_text(n)}) AS {n}") for n in names.values()]
+    folded = [F.expr(f"any_value(value) FILTER (WHERE fact = {_text(n)}) AS {n}") for n in names.values()]
     rows = [
         f"struct({_text(c.check_type)} AS check_type, {_text(c.check_name)} AS check_name,"
         f" {_text(c.description)} AS description, {_fact(c.expected, names)} AS expected,"
@@ -317,7 +345,7 @@ def audit_fused(checks: Sequence[Check], tables: Tables) -> DataFrame:
 
 def _fact(measure: Measure, names: Mapping[Measure, str]) -> str:
     if isinstance(measure, Constant):
-        return f"CAST({measure.value} AS {FACT_TYPE})"
+        return _counted(str(measure.value))
     return names[measure]
 
 

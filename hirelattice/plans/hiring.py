@@ -54,9 +54,10 @@ def clients(t: Tables) -> DataFrame:
 
 def vacancies(t: Tables) -> DataFrame:
     opened = F.greatest(calendar_day("o_orderdate"), _date(FIRST_DAY))
-    days = clip(F.floor(F.col("o_totalprice") / 4000).cast("int"), 7, 120)
+    days = clip(F.floor(F.col("o_totalprice") / 4000).cast("int"), 10, 100)
     price = F.col("o_totalprice")
     raw = t["orders"].select(
+        F.col("o_orderkey").alias("vacancy_no"),
         padded_id("v_", F.col("o_orderkey") + 1, 4).alias("vacancy_id"),
         padded_id("c_", F.col("o_custkey") + 1, 3).alias("client_id"),
         F.col("o_orderpriority").alias("role_title"),
@@ -71,7 +72,11 @@ def vacancies(t: Tables) -> DataFrame:
 
 
 def drawn_applications(t: Tables) -> DataFrame:
-    """Applications before anyone is hired, numbered in vacancy order."""
+    """Applications before anyone is hired, numbered in vacancy order.
+
+    ``application_no`` and ``vacancy_no`` are the numbers in the ids: ids are texts that stop
+    sorting by number once they outgrow their width.
+    """
     stage = (
         F.when(F.col("l_returnflag") == "A", "applied")
         .when(F.col("l_returnflag") == "N", "screened")
@@ -82,7 +87,9 @@ def drawn_applications(t: Tables) -> DataFrame:
     rows = t["lineitem"].select(
         "l_orderkey", "l_partkey", calendar_day("l_shipdate").alias("applied_at"), stage.alias("furthest_stage")
     )
-    return shaping.sequential_ids(rows, rows.columns, "application_id", "app_", 6).select(
+    return shaping.sequential_ids(rows, rows.columns, "application_id", "app_", 6, number="application_no").select(
+        "application_no",
+        F.col("l_orderkey").alias("vacancy_no"),
         "application_id",
         padded_id("v_", F.col("l_orderkey") + 1, 4).alias("vacancy_id"),
         padded_id("cand_", F.col("l_partkey") + 1, 5).alias("candidate_id"),
@@ -93,8 +100,8 @@ def drawn_applications(t: Tables) -> DataFrame:
 
 def chosen_candidates(filled: DataFrame, applications: DataFrame) -> DataFrame:
     """The first application of every filled vacancy that has any."""
-    first = shaping.one_per_key(applications, "vacancy_id", "application_id", ["application_id", "candidate_id"])
-    return matching.member_rows(first, filled, ["vacancy_id"])
+    first = shaping.one_per_key(applications, "vacancy_no", "application_no", ["application_no", "candidate_id"])
+    return matching.member_rows(first, filled, ["vacancy_no"])
 
 
 def candidates(applications: DataFrame, t: Tables) -> DataFrame:
@@ -111,13 +118,14 @@ def candidates(applications: DataFrame, t: Tables) -> DataFrame:
 def placements(filled: DataFrame, chosen: DataFrame) -> DataFrame:
     salary = F.col("salary_offered_usd_month")
     columns = {
+        "vacancy_no": F.col("vacancy_no"),
         "vacancy_id": F.col("vacancy_id"),
         "candidate_id": F.col("candidate_id"),
         "placed_at": F.col("closed_at"),
         "monthly_salary_usd": salary,
         "placement_fee_usd": F.round(salary * 1.25, 2),
     }
-    return shaping.placements_from(filled, chosen, "vacancy_id", columns, "placement_id", "p_", 4)
+    return shaping.placements_from(filled, chosen, "vacancy_no", columns, "placement_id", "p_", 4).drop("vacancy_no")
 
 
 def marketing_daily(t: Tables) -> DataFrame:
@@ -133,7 +141,7 @@ def marketing_daily(t: Tables) -> DataFrame:
         F.count_if(F.col("value") > 50).alias("leads"),
     )
     joined = spine.join(daily, ["date", "channel"], "left").fillna(0, ["spend_usd", "clicks", "leads"])
-    campaign = F.when(F.weekday("date") < 5, "candidate_sourcing").otherwise("brand_awareness")
+    campaign = F.when(F.weekday("date") < 5, "weekday push").otherwise("weekend push")
     return joined.select(
         "date", "channel", campaign.alias("campaign_name"), "spend_usd",
         (F.col("clicks") * 40).alias("impressions"), "clicks", "leads",
@@ -164,9 +172,11 @@ def hiring_tables(t: Tables) -> dict[str, DataFrame]:
     chosen = materialise(chosen_candidates(filled, drawn), "chosen")
     return {
         "clients": clients(t),
-        "vacancies": all_vacancies,
+        "vacancies": all_vacancies.drop("vacancy_no"),
         "candidates": candidates(drawn, t),
-        "applications": shaping.mark_chosen(drawn, chosen, ["application_id"], "furthest_stage", "hired"),
+        "applications": shaping.mark_chosen(drawn, chosen, ["application_no"], "furthest_stage", "hired").drop(
+            "application_no", "vacancy_no"
+        ),
         "placements": placements(filled, chosen),
         "marketing_daily": marketing_daily(t),
         "sales_deals": sales_deals(t),

@@ -116,18 +116,28 @@ def run_record(payload: DataFrame, started: datetime, finished: datetime) -> Dat
     return payload.select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in RUN_LOG.fields])
 
 
-def _expected_got(failure: Column, missing: str, whole_suffix: str = "") -> Column:
+def _expected_got(failure: Column, missing: str, **style) -> Column:
     return F.concat(
-        F.lit(EXPECTED), plain_number(failure["expected"], missing, whole_suffix),
-        F.lit(GOT), plain_number(failure["actual"], missing, whole_suffix),
+        F.lit(EXPECTED), plain_number(failure["expected"], missing, **style),
+        F.lit(GOT), plain_number(failure["actual"], missing, **style),
     )
 
 
+def _known(part: Column) -> Column:
+    """A part of a message; a missing one shows as null instead of hiding the line."""
+    return F.coalesce(part, F.lit("null"))
+
+
+# Numbers on the console: a point in whole ones, exponents of two digits from 1e16 and below 1e-4.
+_CONSOLE = {"whole_suffix": ".0", "plain_from": 1e-4, "plain_below": 1e16, "exponent_digits": 2}
+
+
 def console_lines(payload: DataFrame) -> DataFrame:
     """One line per failure, as an operator would print it."""
     failure = F.col("failure")
-    plain = F.concat(F.lit(FAIL_LINE), failure["check_name"], F.lit(": "), _expected_got(failure, "None", ".0"))
-    broken = F.concat(F.lit(ERROR_LINE), failure["description"])
+    name, description = _known(failure["check_name"]), _known(failure["description"])
+    plain = F.concat(F.lit(FAIL_LINE), name, F.lit(": "), _expected_got(failure, "None", **_CONSOLE))
+    broken = F.concat(F.lit(ERROR_LINE), description)
     return payload.select(F.explode("failures").alias("failure")).select(
         F.when(failure["check_type"] == ERROR_TYPE, broken).otherwise(plain).alias("message")
     )
@@ -141,10 +151,10 @@ def alert_message(payload: DataFrame) -> DataFrame:
     """The alert of every summary with failures: header, counts, the first ten failures."""
 
     def bullet(failure: Column) -> Column:
-        detail = F.when(failure["check_type"] == ERROR_TYPE, failure["description"]).otherwise(
+        detail = F.when(failure["check_type"] == ERROR_TYPE, _known(failure["description"])).otherwise(
             _expected_got(failure, "null")
         )
-        return F.concat(F.lit(ALERT_BULLET), failure["check_name"], F.lit(": "), detail)
+        return F.concat(F.lit(ALERT_BULLET), _known(failure["check_name"]), F.lit(": "), detail)
 
     header = F.format_string(ALERT_HEADER, F.col("project"))
     counts = F.format_string(ALERT_COUNTS, F.col("failed"), F.col("total"), F.col("status"))
@@ -155,12 +165,16 @@ def alert_message(payload: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class RunOutcome:
-    """What a validation run leaves behind. ``log_error`` is set when the log failed."""
+    """What a validation run leaves behind.
+
+    ``log_error`` is set when the log failed, ``cause`` to what broke an ``error`` run.
+    """
 
     status: str
     payload: DataFrame
     record: DataFrame
     log_error: str | None = None
+    cause: Exception | None = None
 
 
 def run_validation(
@@ -175,6 +189,7 @@ def run_validation(
     """
     run_id = str(uuid.uuid4())
     started = datetime.now(timezone.utc)
+    cause = None
     try:
         replace_table(stamp_checked(build_audit()), audit_table)
         # One row holding at most one entry per check: fixed here, reused below.
@@ -183,13 +198,13 @@ def run_validation(
         status = summary["status"]
     except Exception as broken:
         payload = summarise_error(spark, str(broken)[:ERROR_LENGTH], run_id, project)
-        status = ERROR
+        status, cause = ERROR, broken
     record = run_record(payload, started, datetime.now(timezone.utc))
     try:
         append_table(record, run_log)
     except Exception as broken:
-        return RunOutcome(status, payload, record, str(broken))
-    return RunOutcome(status, payload, record)
+        return RunOutcome(status, payload, record, str(broken), cause)
+    return RunOutcome(status, payload, record, cause=cause)
 
 
 def recent_runs(run_log: DataFrame, n: int = RECENT_RUNS) -> DataFrame:

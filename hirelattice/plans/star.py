@@ -84,7 +84,13 @@ def document_texts(tables: Tables) -> DataFrame:
     return tables["documents"].select(F.unhex(F.sha2("text", 256)).alias("text_digest"))
 
 
-DERIVED = {"shipments": shipments, "user_turns": user_turns, "document_texts": document_texts}
+def rated_customers(tables: Tables) -> DataFrame:
+    """Customers with a rating, which is missing when they owe money."""
+    balance = F.col("c_acctbal")
+    return tables["customer"].select("c_custkey", F.when(balance >= 0, balance).alias("rating"))
+
+
+DERIVED = {"rated_customers": rated_customers, "shipments": shipments, "user_turns": user_turns, "document_texts": document_texts}
 
 
 # --- reports --------------------------------------------------------------------------
@@ -230,3 +236,8 @@ LINE_PARTS = Check(
     INTEGRITY, "orphan_lines_part", "Each line item has its part",
     Unmatched("lineitem", ("l_partkey",), "part", ("p_partkey",)),
 )
+
+RATED_CUSTOMERS = Check(
+    RECONCILIATION, "orders_without_rated_customer", "Each order's customer has a rating",
+    Unmatched("orders", ("o_custkey",), "rated_customers", ("c_custkey",), witness="rating"),
+)

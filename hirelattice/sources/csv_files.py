@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructType, TimestampType
 
 from ..functions import parse_day
+from ..functions.dates import strict
 
 # Texts that count as missing, besides the empty one.
 MISSING_TEXTS = [
@@ -41,7 +42,7 @@ def _typed(name: str, kind, missing: list[str]) -> Column:
         return text.alias(name)
     if isinstance(kind, DateType):
         return parse_day(text).alias(name)
-    return text.cast(kind).alias(name)
+    return strict(text, text.try_cast(kind), f"{kind.simpleString()}").alias(name)
 
 
 def read_csv(
@@ -74,8 +75,19 @@ def stamp_loaded(df: DataFrame, instant: datetime | None = None) -> DataFrame:
     return df.withColumn("_loaded_at", F.lit(text).cast(TimestampType()))
 
 
-def write_csv(df: DataFrame, folder: str, table: str) -> str:
-    """Write a table as ``<table>.csv`` below the folder, with header, NULL as empty text."""
+def write_csv(df: DataFrame, folder: str, table: str, *, multiline: bool = False) -> str:
+    """Write a table as ``<table>.csv`` below the folder, with header, NULL as empty text.
+
+    Blanks around texts are kept. A text with a line break raises unless ``multiline`` says that
+    the file will be read so too: the reader cuts files at line breaks otherwise.
+    """
     path = f"{folder}/{table}.csv"
-    df.write.options(**_LAYOUT, emptyValue="").mode("overwrite").csv(path)
+    if not multiline:
+        broken = F.raise_error(F.lit(f"{table}: a text has a line break; write and read it with multiline=True"))
+        texts = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
+        df = df.withColumns({
+            t: F.when(F.col(f"`{t}`").rlike("[\\r\\n]"), broken).otherwise(F.col(f"`{t}`")) for t in texts
+        })
+    blanks = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df.write.options(**_LAYOUT, **blanks, emptyValue="").mode("overwrite").csv(path)
     return path

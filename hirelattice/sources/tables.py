@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,13 +22,32 @@ def create_namespace(spark: SparkSession, name: str, location: str | None = None
 def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> int:
     """Replace rows and schema of a stored table; returns the rows written.
 
-    The rows are counted while they are written, without a second scan. The table must
-    not be one that ``df`` reads. ``partition_by`` lays a table that has grown large out
-    by a low-cardinality column, so that filters on it skip files.
+    The new rows are written beside the stored ones and change names with them when they are
+    complete, so a write that fails leaves the table as it was. The rows are counted while
+    they are written, without a second scan. The table must not be one that ``df`` reads.
+    ``partition_by`` lays a table that has grown large out by a low-cardinality column, so
+    that filters on it skip files.
     """
+    spark = df.sparkSession
+    new, old = (f"{table}__{kind}_{uuid.uuid4().hex}" for kind in ("new", "old"))
     written = Observation()
     counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
+    try:
+        counted.write.partitionBy(*partition_by).saveAsTable(new)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    stored = spark.catalog.tableExists(table)
+    if stored:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    except Exception:
+        if stored:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        raise
+    if stored:
+        spark.sql(f"DROP TABLE {old}")
     return int(written.get["rows"])
 
 

@@ -13,7 +13,7 @@ _END = f"DATE '{hiring.HORIZON}'"
 VACANCIES = f"""
 opened AS (
   SELECT *, greatest(CAST(o_orderdate AS DATE), DATE '{hiring.FIRST_DAY}') AS opened_at,
-    CAST(greatest(least(floor(o_totalprice / 4000), 120), 7) AS INTEGER) AS days
+    CAST(greatest(least(floor(o_totalprice / 4000), 100), 10) AS INTEGER) AS days
   FROM orders
 ),
 ended AS (
@@ -39,17 +39,16 @@ lines AS (
   FROM lineitem
 ),
 drawn AS (
-  SELECT printf('app_%06d', row_number() OVER (ORDER BY l_orderkey, l_partkey, applied_at, stage)) AS application_id,
-    vacancy_id, candidate_id, applied_at, stage
-  FROM lines
+  SELECT printf('app_%06d', application_no) AS application_id, *
+  FROM (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_partkey, applied_at, stage) AS application_no FROM lines)
 ),
 chosen AS (
-  SELECT vacancy_id, min(application_id) AS application_id FROM drawn
+  SELECT l_orderkey, min(application_no) AS application_no FROM drawn
   WHERE vacancy_id IN (SELECT vacancy_id FROM vacancies WHERE status = 'filled') GROUP BY 1
 ),
 applications AS (
   SELECT application_id, vacancy_id, candidate_id, applied_at,
-    CASE WHEN application_id IN (SELECT application_id FROM chosen) THEN 'hired' ELSE stage END AS furthest_stage
+    CASE WHEN application_no IN (SELECT application_no FROM chosen) THEN 'hired' ELSE stage END AS furthest_stage
   FROM drawn
 )"""
 
@@ -62,7 +61,7 @@ candidates AS (
 
 PLACEMENTS = """
 placements AS (
-  SELECT printf('p_%04d', row_number() OVER (ORDER BY v.vacancy_id)) AS placement_id, v.vacancy_id, a.candidate_id,
+  SELECT printf('p_%04d', row_number() OVER (ORDER BY CAST(substring(v.vacancy_id, 3) AS BIGINT))) AS placement_id, v.vacancy_id, a.candidate_id,
     v.closed_at AS placed_at, v.salary_offered_usd_month AS monthly_salary_usd,
     CAST(v.salary_offered_usd_month * 1.25 AS DOUBLE) AS placement_fee_usd
   FROM vacancies AS v JOIN applications AS a ON a.vacancy_id = v.vacancy_id AND a.furthest_stage = 'hired'
@@ -71,7 +70,7 @@ placements AS (
 MARKETING = f"""
 marketing_daily AS (
   SELECT day AS "date", channel,
-    CASE WHEN isodow(day) <= 5 THEN 'candidate_sourcing' ELSE 'brand_awareness' END AS campaign_name,
+    CASE WHEN isodow(day) <= 5 THEN 'weekday push' ELSE 'weekend push' END AS campaign_name,
     CAST(coalesce(sum({sql.dec('value')}), 0) AS DOUBLE) AS spend_usd, count(e.event_id) * 40 AS impressions,
     count(e.event_id) AS clicks, count(e.event_id) FILTER (e.value > 50) AS leads
   FROM (
@@ -111,10 +110,10 @@ FAULTS = f"""{BASE},
 rarest AS (SELECT client_id, count(*) AS n FROM vacancies GROUP BY 1 ORDER BY n, client_id LIMIT 1),
 bad_clients AS (SELECT * FROM clients WHERE client_id NOT IN (SELECT client_id FROM rarest)),
 bad_placements AS (
-  SELECT * FROM placements UNION ALL (SELECT * FROM placements ORDER BY placement_id LIMIT 1)
+  SELECT * FROM placements UNION ALL (SELECT * FROM placements ORDER BY CAST(substring(placement_id, 3) AS BIGINT) LIMIT 1)
 ),
 bad_vacancies AS (
-  SELECT * REPLACE (CASE WHEN vacancy_id = (SELECT min(vacancy_id) FROM vacancies WHERE status = 'filled')
+  SELECT * REPLACE (CASE WHEN vacancy_id = (SELECT vacancy_id FROM vacancies WHERE status = 'filled' ORDER BY CAST(substring(vacancy_id, 3) AS BIGINT) LIMIT 1)
                          THEN NULL ELSE closed_at END AS closed_at) FROM vacancies
 ),
 bad_marketing AS (
@@ -122,7 +121,7 @@ bad_marketing AS (
                          THEN -abs(spend_usd) ELSE spend_usd END AS spend_usd) FROM marketing_daily
 ),
 bad_deals AS (
-  SELECT * REPLACE (CASE WHEN deal_id = (SELECT min(deal_id) FROM sales_deals WHERE stage = 'won')
+  SELECT * REPLACE (CASE WHEN deal_id = (SELECT deal_id FROM sales_deals WHERE stage = 'won' ORDER BY CAST(substring(deal_id, 3) AS BIGINT) LIMIT 1)
                          THEN NULL ELSE client_id END AS client_id) FROM sales_deals
 )"""
 
@@ -163,10 +162,9 @@ def _checks(clients="clients", vacancies="vacancies", placements="placements", m
 
 AUDIT = f"{BASE}\n{sql.audit(recruiting.CHECKS, _checks())}"
 GATE = f"{BASE}\n{sql.audit(recruiting.GATE, _checks())}"
-FAULT_AUDIT = f"{FAULTS}\n" + sql.audit(
-    recruiting.CHECKS,
-    _checks("bad_clients", "bad_vacancies", "bad_placements", "bad_marketing", "bad_deals"),
-)
+_FAULTY = _checks("bad_clients", "bad_vacancies", "bad_placements", "bad_marketing", "bad_deals")
+FAULT_AUDIT = f"{FAULTS}\n" + sql.audit(recruiting.CHECKS, _FAULTY)
+FAULT_GATE = f"{FAULTS}\n{sql.audit(recruiting.GATE, _FAULTY)}"
 
 
 def _q(text: str) -> str:
@@ -212,12 +210,12 @@ FROM (SELECT count(*) FILTER (stage = 'won') AS w, count(*) FILTER (stage = 'los
     "integrity_gate_checks": GATE,
     "fault_audit_checks": FAULT_AUDIT,
     "fault_report": f"""{FAULTS}
-SELECT 'client removed, vacancies orphaned' AS issue, n AS rows_affected FROM rarest
-UNION ALL SELECT 'placement duplicated', (SELECT count(*) FROM bad_placements) - (SELECT count(*) FROM placements)
-UNION ALL SELECT 'filled vacancy without close date',
+SELECT 'drop_rarest_parent: clients' AS issue, n AS rows_affected FROM rarest
+UNION ALL SELECT 'duplicate_first: placements', (SELECT count(*) FROM bad_placements) - (SELECT count(*) FROM placements)
+UNION ALL SELECT 'clear_on_first: vacancies',
   count(*) FILTER (status = 'filled' AND closed_at IS NULL) FROM bad_vacancies
-UNION ALL SELECT 'marketing rows with negative spend', count(*) FILTER (spend_usd < 0) FROM bad_marketing
-UNION ALL SELECT 'won deal without client', count(*) FILTER (stage = 'won' AND client_id IS NULL) FROM bad_deals""",
+UNION ALL SELECT 'negate_first: marketing_daily', count(*) FILTER (spend_usd < 0) FROM bad_marketing
+UNION ALL SELECT 'clear_on_first: sales_deals', count(*) FILTER (stage = 'won' AND client_id IS NULL) FROM bad_deals""",
     "fault_clients": f"{FAULTS} SELECT * FROM bad_clients",
     "fault_placements": f"{FAULTS} SELECT * FROM bad_placements",
     "fault_vacancies": f"{FAULTS} SELECT * FROM bad_vacancies",

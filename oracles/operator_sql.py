@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hirelattice.plans import recruiting
+
 from . import hiring_sql, sql
 
 _COUNTS = "\nUNION ALL ".join(
@@ -32,6 +34,12 @@ def queries(project: str) -> dict[str, str]:
         f"SELECT 'validation' AS run_type, status, total AS checks_total, failed AS checks_failed, "
         f"CAST(NULL AS VARCHAR) AS error_message FROM ({sql.summary(faulty)})"
     )
+    message = "left(repeat('audit stopped after ' || (SELECT count(*) FROM orders) || ' orders; ', 40), 500)"
+    gate = "\nUNION ALL ".join(
+        f"SELECT '{case}' AS \"case\", bad = 0 AS passed, CASE WHEN bad = 0 THEN 7 ELSE 0 END::BIGINT AS tables_written "
+        f"FROM (SELECT count(*) FILTER (status <> 'PASS') AS bad FROM ({audit}))"
+        for case, audit in (("clean", hiring_sql.GATE), ("faulty", hiring_sql.FAULT_GATE))
+    )
     return {
         "first_seen_users": "SELECT user_id, CAST(min(ts) AS DATE) AS first_day FROM events GROUP BY 1",
         "rarest_customer": """
@@ -63,6 +71,28 @@ WHERE EXISTS (SELECT 1 FROM labels AS l WHERE l.doc_id = d.doc_id)""",
         "csv_loaded_sales_deals": f"{hiring_sql.BASE} SELECT * FROM sales_deals",
         "csv_loaded_marketing_daily": f"{hiring_sql.BASE} SELECT * FROM marketing_daily",
         "table_replaced": "SELECT o_orderstatus, count(*) AS orders FROM orders GROUP BY 1",
+        "csv_load_stamps": f"{hiring_sql.BASE}\n" + "\nUNION ALL ".join(
+            f"SELECT '{name}' AS \"table\", least(count(*), 1) AS stamps, 0::BIGINT AS unstamped FROM {name}"
+            for name in recruiting.TABLES
+        ),
+        "table_kept_when_replacing_fails": "SELECT o_orderstatus, count(*) AS orders FROM orders GROUP BY 1",
+        "audit_stamps": f"SELECT least(count(*), 1) AS stamps, 0::BIGINT AS unstamped FROM ({faulty})",
+        "run_log_success": (
+            "SELECT 'success' AS status, count(*) AS checks_total, 0::BIGINT AS checks_failed, "
+            f"CAST(NULL AS VARCHAR) AS error_message FROM ({faulty}) WHERE status = 'PASS'"
+        ),
+        "run_error_log": f"SELECT 'error' AS status, 0::BIGINT AS checks_total, 1::BIGINT AS checks_failed, {message} AS error_message",
+        "run_error_failures": (
+            "SELECT 0::BIGINT AS total, 1::BIGINT AS failed, 0::BIGINT AS passed, 'error' AS check_type, "
+            f"'pipeline_error' AS check_name, {message} AS description, CAST(NULL AS DOUBLE) AS expected, "
+            "CAST(NULL AS DOUBLE) AS actual"
+        ),
+        "run_error_alert": (
+            f"SELECT '⚠️ Data validation failed ({project})' || chr(10) || chr(10) || "
+            "'1 of 0 checks failed (run status: error).' || chr(10) || chr(10) || "
+            f"'• pipeline_error: ' || {message} AS message"
+        ),
+        "gate_writes": gate,
         "audit_readback": (
             f"SELECT check_type, check_name, description, expected, actual, status FROM ({faulty})"
         ),

@@ -24,6 +24,11 @@ CHECKS = {
         "(SELECT count(*) FROM conversations AS q WHERE q.role = 'user' AND NOT EXISTS (SELECT 1 FROM conversations "
         "AS r WHERE r.role = 'assistant' AND r.conv_id = q.conv_id AND r.turn = q.turn + 1))",
     ),
+    "orders_without_rated_customer": (
+        "0",
+        "(SELECT count(*) FROM orders LEFT JOIN (SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS rating "
+        "FROM customer) ON o_custkey = c_custkey WHERE rating IS NULL)",
+    ),
     "order_value_vs_monthly_report": (
         sql.summed("orders", "o_totalprice"), sql.by_month("orders", "o_totalprice", "o_orderdate"),
     ),
@@ -108,5 +113,5 @@ FROM {RUN_LOG} ORDER BY started_at DESC, run_id DESC LIMIT 20""",
 }
 
 SINGLE_CHECKS = {
-    f"check_{c.check_name}": sql.audit([c], CHECKS) for c in [*star.CHECKS, star.LINE_PARTS]
+    f"check_{c.check_name}": sql.audit([c], CHECKS) for c in [*star.CHECKS, star.LINE_PARTS, star.RATED_CUSTOMERS]
 }

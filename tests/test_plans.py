@@ -100,17 +100,21 @@ def test_a_hot_order_is_split_and_nothing_is_lost(spark, settings, tmp_path):
     assert "skew=true" in plan(report)
 
 
-def test_broadcasts_are_sized(spark):
-    """The only broadcast hints are on frames with a proven row bound."""
-    import pathlib
-
-    root = pathlib.Path(entry.__file__).parent / "hirelattice"
-    hinted = [
-        (path.name, line.strip()) for path in root.rglob("*.py") for line in path.read_text().splitlines()
-        if re.search(r"F\.broadcast\(", line)
-    ]
-    assert sorted(hinted) == [
-        ("faults.py", 'return df.join(F.broadcast(first), list(keys), "left").withColumn(target, value).select(df.columns)'),
-        ("faults.py", 'return parent.join(F.broadcast(rarest), parent_key, "left_anti").select(parent.columns)'),
-        ("shaping.py", '.join(F.broadcast(offsets), "_part")'),
-    ]
+def test_only_bounded_frames_are_broadcast(stored, settings):
+    """With automatic broadcasts off, what is still broadcast is a row limit or one row per partition."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    for report in (
+        audit.audit_fused(recruiting.CHECKS, stored),
+        recruiting.hire_rate_by_channel(stored["applications"], stored["candidates"]),
+        recruiting.cost_per_hire_by_channel(*(stored[n] for n in ("applications", "candidates", "marketing_daily"))),
+    ):
+        assert "BroadcastExchange" not in plan(report)
+    for name in ("clients", "vacancies", "marketing_daily", "sales_deals"):
+        text = plan(recruiting.inject_faults(stored)[name])
+        for side in re.split("BroadcastExchange", text)[1:]:
+            assert "TakeOrderedAndProject" in side
+
+
+def test_audit_reads_a_table_once_per_key(stored):
+    text = plan(audit.audit_fused(recruiting.CHECKS, stored))
+    assert text.count("FileScan") <= 16
