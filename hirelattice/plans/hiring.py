@@ -129,17 +129,21 @@ def placements(filled: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def marketing_daily(t: Tables) -> DataFrame:
-    """Every channel on every day between the first and the last event, active or not."""
+    """Every channel on every day between the first and the last event, active or not.
+
+    The events are read once; bounds and channels come from the daily totals.
+    """
     events = t["events"].select(
         calendar_day("ts").alias("date"), F.col("event_type").alias("channel"), "value"
     )
-    start, end = (events.agg(f("date")).scalar() for f in (F.min, F.max))
-    spine = shaping.calendar_spine(events.select("channel").distinct(), start, end, "date")
     daily = events.groupBy("date", "channel").agg(
         exact_total("value").alias("spend_usd"),
         F.count(F.lit(1)).alias("clicks"),
         F.count_if(F.col("value") > 50).alias("leads"),
     )
+    daily = materialise(daily, "daily")
+    start, end = (daily.agg(f("date")).scalar() for f in (F.min, F.max))
+    spine = shaping.calendar_spine(daily.select("channel").distinct(), start, end, "date")
     joined = spine.join(daily, ["date", "channel"], "left").fillna(0, ["spend_usd", "clicks", "leads"])
     campaign = F.when(F.weekday("date") < 5, "weekday push").otherwise("weekend push")
     return joined.select(

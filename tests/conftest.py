@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         "tests", "local[8]",
         spark__sql__shuffle__partitions="8",
         spark__sql__warehouse__dir=str(warehouse),
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__driver__memory="8g",
     )
     session.sparkContext.setLogLevel("ERROR")
