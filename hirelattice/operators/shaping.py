@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -107,9 +108,10 @@ def censor_after(
 def mark_chosen(
     df: DataFrame, chosen: DataFrame, keys: Sequence[str], stage: str, chosen_stage: str
 ) -> DataFrame:
-    """Set ``stage`` to ``chosen_stage`` on the rows whose keys are in ``chosen``."""
-    marks = chosen.select(*keys).distinct().withColumn("_chosen", F.lit(True))
-    marked = df.join(marks, list(keys), "left")
+    """Set ``stage`` to ``chosen_stage`` on the rows whose keys are in ``chosen``; missing values are equal."""
+    marks = chosen.select(*[F.col(k).alias(f"_key_{k}") for k in keys]).distinct().withColumn("_chosen", F.lit(True))
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys))
+    marked = df.join(marks, same, "left")
     value = F.when(F.col("_chosen"), F.lit(chosen_stage)).otherwise(F.col(stage))
     return marked.withColumn(stage, value).select(df.columns)
 

@@ -33,6 +33,9 @@ DEAL_STAGES = {
 }
 
 
+_NUMBERED = ("applications", "placements")
+
+
 def _mapped(column: str, values: Mapping[str, str]) -> Column:
     pairs = [F.lit(x) for pair in values.items() for x in pair]
     return F.create_map(*pairs)[F.col(column)]
@@ -71,39 +74,43 @@ def vacancies(t: Tables) -> DataFrame:
     return shaping.censor_after(raw, "status", "closed_at", _date(HORIZON), "open")
 
 
-def drawn_applications(t: Tables) -> DataFrame:
-    """Applications before anyone is hired, numbered in vacancy order.
+def hired_rows(rows: DataFrame, filled: DataFrame) -> DataFrame:
+    """The first application of every filled vacancy that has any; of equal ones the first copy."""
+    rest = [c for c in rows.columns if c != "vacancy_no"]
+    first = shaping.one_per_key(rows.withColumn("_order", F.struct(*rest)), "vacancy_no", "_order", rest)
+    return matching.member_rows(first, filled, ["vacancy_no"]).withColumn("copy", F.lit(1).cast("bigint"))
+
 
-    ``application_no`` and ``vacancy_no`` are the numbers in the ids: ids are texts that stop
-    sorting by number once they outgrow their width.
+def drawn_applications(t: Tables, filled: DataFrame) -> DataFrame:
+    """Applications in the order of vacancies, candidates and days, with the hired ones marked.
+
+    Everything runs on numbers: ids are texts, slower to sort and wrong in order once they outgrow
+    their width. Who is hired is settled before the rows are numbered, so they are written once.
     """
-    stage = (
+    drawn = (
         F.when(F.col("l_returnflag") == "A", "applied")
         .when(F.col("l_returnflag") == "N", "screened")
         .when(F.col("l_linestatus") == "O", "interview")
         .otherwise("offer")
     )
-    # Numbered by the numeric keys, which sort and group faster than the ids made of them.
     rows = t["lineitem"].select(
-        "l_orderkey", "l_partkey", calendar_day("l_shipdate").alias("applied_at"), stage.alias("furthest_stage")
+        F.col("l_orderkey").alias("vacancy_no"), F.col("l_partkey").alias("candidate_no"),
+        calendar_day("l_shipdate").alias("applied_at"), drawn.alias("drawn"),
     )
-    return shaping.sequential_ids(rows, rows.columns, "application_id", "app_", 6, number="application_no").select(
-        "application_no",
-        F.col("l_orderkey").alias("vacancy_no"),
+    keys = [*rows.columns, "copy"]
+    copies = shaping.number_copies(rows, "copy").withColumn("furthest_stage", F.col("drawn"))
+    marked = shaping.mark_chosen(copies, hired_rows(rows, filled), keys, "furthest_stage", "hired")
+    numbered = shaping.sequential_ids(marked, keys, "application_id", "app_", 6, unique=True)
+    return numbered.select(
         "application_id",
-        padded_id("v_", F.col("l_orderkey") + 1, 4).alias("vacancy_id"),
-        padded_id("cand_", F.col("l_partkey") + 1, 5).alias("candidate_id"),
+        "vacancy_no",
+        padded_id("v_", F.col("vacancy_no") + 1, 4).alias("vacancy_id"),
+        padded_id("cand_", F.col("candidate_no") + 1, 5).alias("candidate_id"),
         "applied_at",
         "furthest_stage",
     )
 
 
-def chosen_candidates(filled: DataFrame, applications: DataFrame) -> DataFrame:
-    """The first application of every filled vacancy that has any."""
-    first = shaping.one_per_key(applications, "vacancy_no", "application_no", ["application_no", "candidate_id"])
-    return matching.member_rows(first, filled, ["vacancy_no"])
-
-
 def candidates(applications: DataFrame, t: Tables) -> DataFrame:
     seen = shaping.first_seen(applications, "candidate_id", "applied_at", "created_at")
     attributes = t["part"].select(
@@ -171,17 +178,15 @@ def sales_deals(t: Tables) -> DataFrame:
 def hiring_tables(t: Tables) -> dict[str, DataFrame]:
     """The seven hiring tables. Numbered tables are written to the shared folder on the way."""
     all_vacancies = vacancies(t)
-    drawn = drawn_applications(t)
     filled = all_vacancies.where(F.col("status") == "filled")
-    chosen = materialise(chosen_candidates(filled, drawn), "chosen")
+    drawn = drawn_applications(t, filled)
+    hired = drawn.where(F.col("furthest_stage") == "hired").select("vacancy_no", "candidate_id")
     return {
         "clients": clients(t),
         "vacancies": all_vacancies.drop("vacancy_no"),
         "candidates": candidates(drawn, t),
-        "applications": shaping.mark_chosen(drawn, chosen, ["application_no"], "furthest_stage", "hired").drop(
-            "application_no", "vacancy_no"
-        ),
-        "placements": placements(filled, chosen),
+        "applications": drawn.drop("vacancy_no"),
+        "placements": placements(filled, hired),
         "marketing_daily": marketing_daily(t),
         "sales_deals": sales_deals(t),
     }
@@ -191,10 +196,11 @@ def store_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Shape the hiring tables of a folder, write each once to the shared folder, read them back.
 
     The writes do not depend on each other, so they are submitted together and share the cluster.
+    Numbered tables have been written by the numbering.
     """
     shaped = hiring_tables(star.read_tables(spark, folder))
     with ThreadPoolExecutor(len(shaped)) as pool:
-        stored = pool.map(lambda name: materialise(shaped[name], name), shaped)
+        stored = pool.map(lambda name: shaped[name] if name in _NUMBERED else materialise(shaped[name], name), shaped)
         return dict(zip(shaped, stored))
 
 
