@@ -30,11 +30,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated and nearly repeated lines go; documents of which nothing is left go with them."""
-    cleaned = line_dedup.dedup_lines(docs)
+    cleaned = line_dedup.cleaned(docs)
     left = F.trim(F.translate("text", "\n\t\r", "   ")) != ""
-    kept = cleaned.where((F.col("_gone") == 0) | left)
-    chars = F.when(F.col("_gone") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return kept.withColumn("n_chars", chars).select(*(F.col(f"`{c}`") for c in docs.columns))
+    kept = cleaned.where((F.col("n_removed") == 0) | left)
+    before = F.col("row")["n_chars"]
+    chars = F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(before).cast(docs.schema["n_chars"].dataType)
+    changed = {"text": F.col("text"), "n_chars": chars}
+    return kept.select(*(changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,18 +25,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, rows: int = 256, size
         start = 0
         while start < batch.num_rows:
             end = min(batch.num_rows, start + rows)
-            while end - start > 1 and values.slice(start, end - start).get_total_buffer_size() > 0 and (
-                _text_bytes(values, start, end) > size
-            ):
+            while end - start > 1 and values.slice(start, end - start).nbytes > size:
                 end = start + (end - start) // 2
             yield batch.slice(start, end - start)
             start = end
 
 
-def _text_bytes(values: pa.Array, start: int, end: int) -> int:
-    return values.slice(start, end - start).nbytes
-
-
 def exact_key(*columns: Column) -> tuple[Column, Column]:
     """128 bits that stand for the values: two 64-bit hashes with different seeds."""
     return F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)

@@ -165,26 +165,30 @@ def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame
     return gone.groupBy("place", "t").agg(F.collect_set("line_no").alias("gone"))
 
 
-def dedup_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """The documents with the removed lines taken out of ``text``; three columns are added at the end:
-    ``_lines`` and ``_gone``, the numbers of lines before and of those removed."""
-    gone = dropped_lines(documents, min_chars).toDF("_place", "_t", "_numbers")
-    rows = documents.withColumns({"_place": _place(F.col("doc_id")), "_t": F.xxhash64("text")})
-    split = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("_numbers"))
-    text = F.array_join(F.transform(kept, lambda i: F.element_at(F.col("_split"), i + 1)), "\n")
-    joined = rows.join(gone, ["_place", "_t"], "left").withColumn("_split", split)
+def cleaned(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """row (the document as a struct), text (without the removed lines), n_lines and n_removed for every document."""
+    gone = dropped_lines(documents, min_chars)
+    rows = documents.select(F.struct("*").alias("row"), _place(F.col("doc_id")).alias("place"), F.xxhash64("text").alias("t"))
+    lines = F.split(F.col("row")["text"], "\n")
+    joined = rows.join(gone, ["place", "t"], "left").withColumn("lines", lines)
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    text = F.array_join(F.transform(kept, lambda i: F.element_at(F.col("lines"), i + 1)), "\n")
     return joined.select(
-        *(F.when(F.col("_numbers").isNull(), F.col("text")).otherwise(text).alias(c) if c == "text" else F.col(f"`{c}`")
-          for c in documents.columns),
-        F.coalesce(F.size("_split"), F.lit(0)).alias("_lines"), F.coalesce(F.size("_numbers"), F.lit(0)).alias("_gone"),
+        "row", F.when(F.col("gone").isNull(), F.col("row")["text"]).otherwise(text).alias("text"),
+        F.coalesce(F.size("lines"), F.lit(0)).alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("n_removed"),
     )
 
 
+def dedup_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """The documents, all columns as they were but for ``text``."""
+    done = cleaned(documents, min_chars)
+    return done.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in documents.columns))
+
+
 def report(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc_id, n_lines, n_removed, text for every document."""
-    done = dedup_lines(documents.select("doc_id", "text"), min_chars)
-    return done.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_gone").alias("n_removed"), "text")
+    done = cleaned(documents.select("doc_id", "text"), min_chars)
+    return done.select(F.col("row")["doc_id"].alias("doc_id"), "n_lines", "n_removed", "text")
 
 
 def removal_sql(table: str, min_chars: int = MIN_CHARS) -> str:

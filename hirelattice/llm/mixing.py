@@ -129,15 +129,18 @@ def report(documents: DataFrame, weights: DataFrame | None = None) -> DataFrame:
 
 def mix(documents: DataFrame, weights: DataFrame | None = None) -> DataFrame:
     """All documents, all columns, in the order of the mix: sorted files, one range of slots each."""
-    placed = schedule(documents, weights).select(
-        F.col("doc_id").alias("_doc_id"), _source(F.col("source")).alias("_stream"), F.col("t").alias("_t"), "slot", "block_start"
-    )
+    key = [F.col("doc_id"), _source(F.col("source")), F.md5(F.coalesce("text", F.lit("")))]
+    rows = documents.select(F.struct("*").alias("row"), *(k.alias(n) for k, n in zip(key, ("id", "stream", "text_hash"), strict=True)))
     # rows that repeat id, source and text are interchangeable: one place stands for them
-    placed = placed.groupBy("_doc_id", "_stream", "_t").agg(F.min(F.struct("slot", "block_start")).alias("_place"))
-    rows = documents.withColumns({"_s": _source(F.col("source")), "_h": F.md5(F.coalesce("text", F.lit("")))})
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_s") == F.col("_stream")) & (F.col("_h") == F.col("_t"))
-    ordered = rows.join(placed, same).repartitionByRange(parts_for(documents), "_place").sortWithinPartitions("_place")
-    return ordered.select(*(F.col(f"`{c}`") for c in documents.columns))
+    places = schedule(documents, weights).groupBy(
+        F.col("doc_id").alias("placed_id"), _source(F.col("source")).alias("placed_stream"), F.col("t").alias("placed_hash")
+    ).agg(F.min(F.struct("slot", "block_start")).alias("place"))
+    same = (
+        F.col("id").eqNullSafe(F.col("placed_id")) & (F.col("stream") == F.col("placed_stream"))
+        & (F.col("text_hash") == F.col("placed_hash"))
+    )
+    ordered = rows.join(places, same).repartitionByRange(parts_for(documents), "place").sortWithinPartitions("place")
+    return ordered.select("row.*")
 
 
 ORACLE = f"""

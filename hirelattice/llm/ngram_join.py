@@ -277,14 +277,16 @@ def keep_one(documents: DataFrame, words: int = 5, part: int = 80) -> DataFrame:
     place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)), "doc_id", "t")
     linked = linked_rows(documents, words, part).where("component IS NOT NULL")
     chosen = linked.groupBy("component").agg(F.min(place).alias("c")).select(
-        F.col("c.doc_id").alias("_id"), F.col("c.t").alias("_h"), F.lit(True).alias("_chosen")
+        F.col("c.doc_id").alias("chosen_id"), F.col("c.t").alias("chosen_t"), F.lit(True).alias("chosen")
     )
-    rows = documents.withColumns({"_t": F.xxhash64("text"), "_d": F.col("doc_id").cast("long")})
-    rows = rows.join(chosen, (F.col("_t") == F.col("_h")) & F.col("_d").eqNullSafe(F.col("_id")), "left")
-    first = F.row_number().over(Window.partitionBy("_d", "_t").orderBy("_t")) == 1  # of rows that repeat id and text
+    rows = documents.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("t")
+    )
+    same = (F.col("t") == F.col("chosen_t")) & F.col("doc_id").eqNullSafe(F.col("chosen_id"))
+    first = F.row_number().over(Window.partitionBy("doc_id", "t").orderBy("t")) == 1  # of rows that repeat id and text
     blank = F.coalesce(F.btrim("text", F.lit(" \t\n\r\x0b\x0c")) == "", F.lit(True))
-    rows = rows.withColumn("_first", first).where(blank | (F.col("_chosen") & F.col("_first")))
-    return rows.select(*(F.col(f"`{c}`") for c in documents.columns))
+    rows = rows.join(chosen, same, "left").withColumn("first", first).where(blank | (F.col("chosen") & F.col("first")))
+    return rows.select("row.*")
 
 
 def linked_rows(documents: DataFrame, words: int, part: int) -> DataFrame:

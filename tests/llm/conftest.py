@@ -4,7 +4,8 @@ from pyspark.sql import types as T
 from hirelattice.llm.common import let_workers_import
 
 #: Names that operators use for their own columns, as columns of the input.
-CLASHING = ["piece", "length", "slot", "id", "n", "t", "component", "h1", "line", "row", "rank", "weight", "at", "key"]
+CLASHING = ["piece", "length", "id", "n", "t", "component", "h1", "line", "rank", "weight", "at", "key", "row",
+            "lines", "gone", "place", "chosen", "first", "stream", "slot", "block", "size", "start", "bucket", "_t", "_key"]
 
 
 @pytest.fixture(scope="session", autouse=True)

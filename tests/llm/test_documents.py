@@ -211,13 +211,15 @@ def test_lines_odd_rows(spark, docs_of):
         (1, None), (2, ""), (3, "a line of text\n\n a line of text\t\nshort"), (4, "a line of text"), (None, "a line of texts"),
         (5, long), (6, long[:70] + long[71:]), (7, "Zeile Nummer eins"), (7, "Zeile Nummer eins"), (8, "short\nZeile Nummer ein"),
     ]
-    done = line_dedup.dedup_lines(docs_of(rows))
-    got = Counter((r.doc_id, r._lines, r._gone, r.text) for r in done.collect())
+    docs = docs_of(rows)
+    got = Counter((r.doc_id, r.n_lines, r.n_removed, r.text) for r in line_dedup.report(docs).collect())
     assert got == Counter([
         (1, 0, 0, None), (2, 1, 0, ""), (3, 4, 1, "a line of text\n\nshort"), (4, 1, 1, ""), (None, 1, 1, ""), (5, 1, 0, long),
         (6, 1, 1, ""), (7, 1, 0, "Zeile Nummer eins"), (7, 1, 0, "Zeile Nummer eins"), (8, 2, 1, "short"),
     ])
-    assert {"piece", "line", "t"} <= set(done.columns)
+    done = line_dedup.dedup_lines(docs)
+    assert done.dtypes == docs.dtypes and {r.t for r in done.collect()} == {"clash"}
+    assert Counter(r.text for r in done.collect()) == Counter(r[3] for r in got.elements())
     assert line_dedup.report(docs_of([])).count() == 0
 
 
