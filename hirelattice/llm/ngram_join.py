@@ -8,9 +8,11 @@ small trees:
 1. Equal sets collapse to one representative, by a 128-bit signature.
 2. Two sets that reach the threshold differ in at most ``allowed`` shingles, which their sizes give. The hash range is cut
    into more segments than that, so at least one segment holds equal shingles in both: representatives are filed
-   by segment and content. The number of segments depends on a size band; a size near the upper edge of a band is filed in
-   the next one too. Some segments may be empty; there are enough that two documents meet in one that is not, or both are
-   filed by their empty segments too.
+   by segment and content. The number of segments depends on a size band; a set is filed in all bands that larger sets
+   linked with it can have. Segments of at most one shingle say little; there are spare segments, so that
+   two documents with no more such segments than spares meet in a better one. Documents with more are filed by all segments as
+   well, empty ones too (small ones by groups of segments, which say more), so two of them meet. Sets so small that none may
+   differ need no files: equal ones are one already.
 3. Each file's members are compared with its smallest member: first by the summed minima of their points, then, if these
    leave it open, by the sets themselves. This links whole groups of copies at a cost in proportion to their size.
 4. Files whose members are not all linked yet are searched whole: an R-tree over the points, boxes and points
@@ -28,7 +30,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import groupby
+from functools import lru_cache
+from itertools import combinations, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +43,14 @@ from hirelattice.llm.common import parts_for, slices
 from hirelattice.llm.components import connected_components
 from hirelattice.session import materialise
 
-GROUPS = 64  # coordinates of a point
-BAND = 1.4  # a size band ends at this times its start
-SPARE = 2  # segments that may be empty without further keys
+GROUPS = 256  # coordinates of a point
+FINE_GROUPS, FINE_FROM = 2048, 3000  # and those of a second point for sets of at least this size
+BAND = 1.25  # a size band ends at this times its start
 CHUNK = 256  # members of a file compared at once
 LEAF = 8  # entries of a tree node
+MOST_GROUPS = 84  # groups of segments that a small set is filed by
+#: Up to so many texts (24 bytes of key each) are looked up by broadcast; beyond, by a shuffled join.
+BROADCAST_ROWS = 200_000
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -97,25 +103,42 @@ def band_end(band: int) -> int:
     return math.ceil(BAND ** (band + 1)) + 1
 
 
+@lru_cache(maxsize=4096)
+def segment_plan(band: int, part: int) -> tuple[int, int]:
+    """Segments of a band, and how many of them are spare: about as many as hold at most one shingle of its smallest sets."""
+    needed, smallest = Threshold(part).allowed(band_end(band)) + 1, BAND**band
+    spare = 2
+    for _ in range(20):
+        load = smallest / (needed + spare)
+        weak = (needed + spare) * math.exp(-load) * (1 + load)
+        spare = min(needed, max(2, math.ceil(weak + math.sqrt(weak))))
+    return needed + spare, spare
+
+
 def segment_keys(hashes: np.ndarray, band: int, threshold: Threshold) -> np.ndarray:
-    """One key per segment: a hash of band, segment and the shingles in it."""
-    segments = threshold.allowed(band_end(band)) + 1 + SPARE
+    """Keys of the segments: hashes of band, segment and the shingles in it."""
+    segments, spare = segment_plan(band, threshold.part)
     at = ((hashes >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)  # sorted as the hashes are
-    filled, starts = np.unique(at, return_index=True)
+    filled, starts, held = np.unique(at, return_index=True, return_counts=True)
     content = np.add.reduceat(_mix(hashes + _C), starts)
     place = (np.uint64(band) << np.uint64(40)) + np.uint64(1)
     keys = _mix(content * _A + _mix(filled + place))
-    empty = segments - len(filled)
-    if empty > SPARE:
-        none = np.setdiff1d(np.arange(segments, dtype=np.uint64), filled)
-        keys = np.concatenate([keys, _mix(_mix(none + place))])
-    return keys
+    strong = keys[held > 1]
+    if segments - len(strong) <= spare:
+        return strong
+    none = np.setdiff1d(np.arange(segments, dtype=np.uint64), filled)
+    every = np.concatenate([keys, _mix(_mix(none + place))])
+    if math.comb(segments, spare + 1) > MOST_GROUPS:
+        return every
+    # linked sets agree in more segments than there are spares: file by so many together
+    together = np.array(list(combinations(range(segments), spare + 1)))
+    return np.concatenate([strong, _mix(_mix(every)[np.argsort(np.concatenate([filled, none]))][together].sum(axis=1, dtype=np.uint64))])
 
 
 def _bands(size: int, threshold: Threshold) -> list[int]:
     """The bands of all larger sets this one can be linked with, its own size included."""
     largest = size * 100 // threshold.part
-    return list(range(band_of(size), band_of(largest) + 1))
+    return [b for b in range(band_of(size), band_of(largest) + 1) if threshold.allowed(band_end(b))]
 
 
 def _lists(arrays: list[np.ndarray], kind) -> pa.ListArray:
@@ -131,27 +154,30 @@ def _numbered_texts(documents: DataFrame) -> DataFrame:
 
 
 def document_points(documents: DataFrame, words: int, threshold: Threshold) -> DataFrame:
-    """doc_id, t (a hash of the text), n, s1, s2, counts, keys per document."""
+    """doc_id, t (a hash of the text), n, s1, s2, counts, fine, keys per document."""
 
     def point(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            n, s1, s2, counts, keys = [], [], [], [], []
+            n, s1, s2, counts, fine, keys = [], [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 hashes = shingle_hashes(text, words)
                 n.append(len(hashes))
                 s1.append(_mix(hashes + _A).sum(dtype=np.uint64))
                 s2.append(_mix(hashes + _B).sum(dtype=np.uint64))
-                counts.append(np.bincount((hashes & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS))
+                group = (hashes & np.uint64(FINE_GROUPS - 1)).astype(np.int64)
+                counts.append(np.bincount(group % GROUPS, minlength=GROUPS))
+                fine.append(np.bincount(group, minlength=FINE_GROUPS) if len(hashes) >= FINE_FROM else group[:0])
                 own = [segment_keys(hashes, b, threshold) for b in _bands(len(hashes), threshold)] if len(hashes) else []
                 keys.append(np.concatenate(own).view(np.int64) if own else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("t"), pa.array(n, pa.int64()), pa.array(np.array(s1, np.uint64).view(np.int64)),
-                 pa.array(np.array(s2, np.uint64).view(np.int64)), _lists(counts, np.int32), _lists(keys, np.int64)],
-                names=["doc_id", "t", "n", "s1", "s2", "counts", "keys"],
+                 pa.array(np.array(s2, np.uint64).view(np.int64)), _lists(counts, np.int32), _lists(fine, np.int32),
+                 _lists(keys, np.int64)],
+                names=["doc_id", "t", "n", "s1", "s2", "counts", "fine", "keys"],
             )
 
     source = _numbered_texts(documents)
-    return source.mapInArrow(point, "doc_id long, t long, n long, s1 long, s2 long, counts array<int>, keys array<long>")
+    return source.mapInArrow(point, "doc_id long, t long, n long, s1 long, s2 long, counts array<int>, fine array<int>, keys array<long>")
 
 
 # --- the tree -----------------------------------------------------------------------------
@@ -181,10 +207,10 @@ class RTree:
         for level in range(top, -1, -1):
             tops, least = self.levels[level]
             keep = np.zeros(len(query), bool)
-            for at in range(0, len(query), 1 << 15):
-                q, n = query[at:at + (1 << 15)], node[at:at + (1 << 15)]
+            for at in range(0, len(query), 1 << 13):
+                q, n = query[at:at + (1 << 13)], node[at:at + (1 << 13)]
                 bound = np.minimum(points[q], tops[n]).sum(axis=1)
-                keep[at:at + (1 << 15)] = threshold.reached(bound, sizes[q] + least[n])
+                keep[at:at + (1 << 13)] = threshold.reached(bound, sizes[q] + least[n])
             query, node = query[keep], node[keep]
             if level:
                 below = len(self.levels[level - 1][0])
@@ -201,6 +227,9 @@ def _search_cells(threshold: Threshold):
         right = np.flatnonzero(sides == 1) if sides.any() else left
         if not len(left) or not len(right) or len(np.unique(components)) < 2:
             return []
+        if len(rows) == 2:
+            open_pair = threshold.reached(np.minimum(counts[0], counts[1]).sum(), sizes.sum())
+            return [(int(ids.min()), int(ids.max()))] if open_pair else []
         tree = RTree(counts[left], sizes[left])
         a, b = tree.search(counts[right], sizes[right], threshold)
         a, b = right[a], left[b]
@@ -242,24 +271,42 @@ def _both(pairs: DataFrame, side: DataFrame, *columns: str) -> DataFrame:
 
 
 def _possible(pairs: DataFrame, points: DataFrame, threshold: Threshold) -> DataFrame:
-    """The pairs that the summed minima of their points leave open."""
-    bound = F.aggregate(
-        F.zip_with("counts_a", "counts_b", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x
-    )
+    """The pairs that the summed minima of their points leave open, the finer points of large sets included."""
+
+    def bound(counts: str) -> Column:
+        least = F.zip_with(f"{counts}_a", f"{counts}_b", lambda x, y: F.least(x, y))
+        return F.aggregate(least, F.lit(0), lambda total, x: total + x)
+
     known = _both(pairs, points, "n", "counts")
-    return known.where(_reached(bound, F.col("n_a") + F.col("n_b"), threshold)).select("a", "b")
+    sizes = F.col("n_a") + F.col("n_b")
+    known = known.where(_reached(bound("counts"), sizes, threshold)).select("a", "b", "n_a", "n_b")
+    large = (F.col("n_a") >= FINE_FROM) & (F.col("n_b") >= FINE_FROM)
+    finer = _both(known.where(large), points.where(F.col("n") >= FINE_FROM), "fine")
+    finer = finer.where(_reached(bound("fine"), sizes, threshold))
+    return known.where(~large).select("a", "b").unionByName(finer.select("a", "b"))
+
 
+def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """id, text of the wanted documents, given as (id, doc_id, t)."""
+    keys = materialise(wanted.toDF("id", "wanted_id", "wanted_t"), "wanted")
+    side = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+    same = (F.col("t") == F.col("wanted_t")) & F.col("doc_id").eqNullSafe(F.col("wanted_id"))
+    found = _numbered_texts(documents).join(side, same)
+    return found.groupBy("id").agg(F.first("text").alias("text"))  # repeated rows give one text
 
-def _verified(pairs: DataFrame, documents: DataFrame, words: int, threshold: Threshold) -> DataFrame:
-    """The pairs whose sets reach the threshold. ``documents``: (id, text); only texts in pairs are cut again."""
+
+def _verified(pairs: DataFrame, points: DataFrame, documents: DataFrame, words: int, threshold: Threshold) -> DataFrame:
+    """The pairs whose sets reach the threshold; only texts in open pairs are cut again."""
+    pairs = materialise(_possible(pairs, points, threshold), "open-pairs")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = [shingle_hashes(t, words).view(np.int64) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), _lists(sets, np.int64)], names=["id", "shingles"])
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = documents.join(wanted, "id", "left_semi").mapInArrow(cut, "id long, shingles array<long>")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = points.select("id", "doc_id", "t").join(ids, "id", "left_semi")
+    sets = _texts(documents, wanted).mapInArrow(cut, "id long, shingles array<long>")
     overlap = F.size(F.array_intersect("shingles_a", "shingles_b"))
     sizes = F.size("shingles_a") + F.size("shingles_b")
     return _both(pairs, sets, "shingles").where(_reached(overlap, sizes, threshold)).select("a", "b")
@@ -298,7 +345,7 @@ def linked_rows(documents: DataFrame, words: int, part: int) -> DataFrame:
     classes = points.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("id").alias("id"), F.min("doc_id").alias("smallest"))
     classes = materialise(classes, "classes")
     chosen = points.join(classes.select("id"), "id", "left_semi").select(
-        "id", "doc_id", "t", "n", "counts", "keys"
+        "id", "doc_id", "t", "n", "counts", "fine", "keys"
     )
 
     filed = chosen.select("id", F.explode("keys").alias("key"))
@@ -307,17 +354,11 @@ def linked_rows(documents: DataFrame, words: int, part: int) -> DataFrame:
     stars = members.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     in_files = chosen.drop("keys").join(members.select("id").distinct(), "id", "left_semi")
     in_files = materialise(in_files, "in-files")
-    wanted = in_files.select("id", F.col("doc_id").alias("wanted_id"), F.col("t").alias("wanted_t"))
-    texts = (
-        _numbered_texts(documents)
-        .join(wanted, (F.col("t") == F.col("wanted_t")) & F.col("doc_id").eqNullSafe(F.col("wanted_id")))
-        .groupBy("id").agg(F.first("text").alias("text"))  # repeated rows give one text
-    )
-    texts = materialise(texts, "texts")
-    linked = materialise(_verified(_possible(stars, in_files, threshold), texts, words, threshold), "linked")
+    linked = materialise(_verified(stars, in_files, documents, words, threshold), "linked")
 
     first_components = connected_components(linked)
-    labelled = members.join(first_components.withColumnRenamed("node", "id"), "id", "left").select(
+    # a file's first member has been compared with all others
+    labelled = members.where("id <> first").join(first_components.withColumnRenamed("node", "id"), "id", "left").select(
         "id", "key", F.coalesce("component", "id").alias("component")
     )
     labelled = materialise(labelled, "labelled")
@@ -333,7 +374,7 @@ def linked_rows(documents: DataFrame, words: int, part: int) -> DataFrame:
         .join(in_files.select("id", "n", "counts"), "id").repartition(parts_for(documents), "cell").sortWithinPartitions("cell")
     )
     pairs = materialise(cells.mapInArrow(_search_cells(threshold), "a long, b long").distinct(), "pairs")
-    more = _verified(pairs, texts, words, threshold)
+    more = _verified(pairs, in_files, documents, words, threshold)
     components = connected_components(linked.unionByName(more))
 
     named = classes.join(components.withColumnRenamed("node", "id"), "id", "left").withColumn(
