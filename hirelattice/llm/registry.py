@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelattice.llm import chat, language, licenses, line_dedup, mixing, near_vectors, ngram_join, packing, quality, topk
+from hirelattice.llm import chat, language, licenses, line_dedup, mixing, near_vectors, ngram_join, oracles, packing, quality, topk
 from hirelattice.llm.common import let_workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_topk_search": topk.ORACLE,
         "op2_chat_formatting": chat.ORACLE,
+        "op5_ngram_jaccard_join": oracles.JACCARD_JOIN,
+        "op6_embedding_near_dedup": oracles.NEAR_VECTORS,
         "op7_mixing": mixing.ORACLE,
         "op8_line_dedup": line_dedup.ORACLE,
     }
