@@ -49,8 +49,8 @@ BAND = 1.25  # a size band ends at this times its start
 CHUNK = 256  # members of a file compared at once
 LEAF = 8  # entries of a tree node
 MOST_GROUPS = 84  # groups of segments that a small set is filed by
-#: Up to so many texts (24 bytes of key each) are looked up by broadcast; beyond, by a shuffled join.
-BROADCAST_ROWS = 200_000
+#: Up to so many narrow rows (at most 24 bytes each) are looked up by broadcast; beyond, by a shuffled join.
+BROADCAST_ROWS = 500_000
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -286,10 +286,15 @@ def _possible(pairs: DataFrame, points: DataFrame, threshold: Threshold) -> Data
     return known.where(~large).select("a", "b").unionByName(finer.select("a", "b"))
 
 
+def _narrow(rows: DataFrame, label: str) -> DataFrame:
+    """The rows written once, and marked for broadcast if they are few enough; a join gives the same either way."""
+    stored = materialise(rows, label)
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+
+
 def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """id, text of the wanted documents, given as (id, doc_id, t)."""
-    keys = materialise(wanted.toDF("id", "wanted_id", "wanted_t"), "wanted")
-    side = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+    side = _narrow(wanted.toDF("id", "wanted_id", "wanted_t"), "wanted")
     same = (F.col("t") == F.col("wanted_t")) & F.col("doc_id").eqNullSafe(F.col("wanted_id"))
     found = _numbered_texts(documents).join(side, same)
     return found.groupBy("id").agg(F.first("text").alias("text"))  # repeated rows give one text
@@ -344,15 +349,17 @@ def linked_rows(documents: DataFrame, words: int, part: int) -> DataFrame:
     points = materialise(points.withColumn("id", F.monotonically_increasing_id()), "points")
     classes = points.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("id").alias("id"), F.min("doc_id").alias("smallest"))
     classes = materialise(classes, "classes")
-    chosen = points.join(classes.select("id"), "id", "left_semi").select(
+    numbers = points.where("n > 0").select("id", "s1", "s2", "n")
+    copies = numbers.join(classes.select("s1", "s2", "n", F.col("id").alias("chosen")), ["s1", "s2", "n"]).where("id <> chosen")
+    chosen = points.where("n > 0").join(_narrow(copies.select("id"), "copies"), "id", "left_anti").select(
         "id", "doc_id", "t", "n", "counts", "fine", "keys"
     )
 
     filed = chosen.select("id", F.explode("keys").alias("key"))
     files = filed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    members = materialise(filed.join(files.select("key", "first"), "key"), "members")
+    members = materialise(filed.join(_narrow(files.select("key", "first"), "files"), "key"), "members")
     stars = members.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    in_files = chosen.drop("keys").join(members.select("id").distinct(), "id", "left_semi")
+    in_files = chosen.drop("keys").join(_narrow(members.select("id").distinct(), "filed"), "id", "left_semi")
     in_files = materialise(in_files, "in-files")
     linked = materialise(_verified(stars, in_files, documents, words, threshold), "linked")
 
