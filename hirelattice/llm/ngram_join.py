@@ -31,7 +31,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import combinations, groupby
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hirelattice.llm.common import parts_for, slices
+from hirelattice.llm.common import exact_key, parts_for, slices
 from hirelattice.llm.components import connected_components
 from hirelattice.session import materialise
 
@@ -220,42 +220,58 @@ class RTree:
         return query, self.order[node]
 
 
+def _cell_pairs(threshold: Threshold, ids, sides, components, sizes, counts) -> list[tuple[int, int]]:
+    """Pairs of a cell that their points leave open, between members that are not linked to each other yet."""
+    left = np.flatnonzero(sides == 0)
+    right = np.flatnonzero(sides == 1) if sides.any() else left
+    if not len(left) or not len(right) or (components == components[0]).all():
+        return []
+    if len(ids) <= 2 * LEAF:  # a single node: its entries are compared at once
+        bound = np.minimum(counts[right][:, None], counts[left][None]).sum(axis=2)
+        a, b = np.nonzero(threshold.reached(bound, sizes[right][:, None] + sizes[left][None]))
+    else:
+        a, b = RTree(counts[left], sizes[left]).search(counts[right], sizes[right], threshold)
+    a, b = right[a], left[b]
+    apart = components[a] != components[b]
+    x, y = ids[a[apart]], ids[b[apart]]
+    return list(set(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True)))
+
+
 def _search_cells(threshold: Threshold):
-    def one_cell(rows: list[tuple]) -> list[tuple[int, int]]:
-        ids, sides, components, sizes, counts = (np.array(x) for x in zip(*rows, strict=True))
-        left = np.flatnonzero(sides == 0)
-        right = np.flatnonzero(sides == 1) if sides.any() else left
-        if not len(left) or not len(right) or len(np.unique(components)) < 2:
-            return []
-        if len(rows) == 2:
-            open_pair = threshold.reached(np.minimum(counts[0], counts[1]).sum(), sizes.sum())
-            return [(int(ids.min()), int(ids.max()))] if open_pair else []
-        tree = RTree(counts[left], sizes[left])
-        a, b = tree.search(counts[right], sizes[right], threshold)
-        a, b = right[a], left[b]
-        apart = components[a] != components[b]
-        return list({(int(min(x, y)), int(max(x, y))) for x, y in zip(ids[a[apart]], ids[b[apart]], strict=True)})
+    columns = ("id", "side", "component", "n")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            for batch in batches:
-                columns = [batch.column(c).to_pylist() for c in ("cell", "id", "side", "component", "n")]
-                counts = batch.column("counts")
-                cuts, flat = counts.offsets.to_numpy(), counts.values.to_numpy(zero_copy_only=False)
-                for i, (cell, *rest) in enumerate(zip(*columns, strict=True)):
-                    yield cell, (*rest, flat[cuts[i]:cuts[i + 1]])
-
-        for _, members in groupby(rows(), key=lambda r: r[0]):
-            cell = [m[1] for m in members]
-            found = one_cell(cell) if len(cell) > 1 else []
+        """Rows come cell by cell; a cell that a batch ends in waits for the next batch."""
+        waiting: list[np.ndarray] | None = None
+        found: list[tuple[int, int]] = []
+        for batch in _and_end(batches):
+            if batch is None:
+                rows, ends = waiting, [len(waiting[0])] if waiting else []
+            else:
+                rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", *columns)]
+                rows.append(batch.column("counts").flatten().to_numpy(zero_copy_only=False).reshape(-1, GROUPS))
+                if waiting:
+                    rows = [np.concatenate(pair) for pair in zip(waiting, rows, strict=True)]
+                ends = (np.flatnonzero(rows[0][1:] != rows[0][:-1]) + 1).tolist()
+            start = 0
+            for end in ends:
+                if end - start > 1:
+                    found += _cell_pairs(threshold, *(r[start:end] for r in rows[1:]))
+                start = end
+            waiting = [r[start:] for r in rows] if batch is not None else None
             if found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([f[n] for f in found], pa.int64()) for n in range(2)], names=["a", "b"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array([f[n] for f in found], pa.int64()) for n in range(2)], names=["a", "b"])
+                found = []
 
     return search
 
 
+def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    """The batches that have rows, then None."""
+    yield from (b for b in batches if b.num_rows)
+    yield None
+
+
 # --- the join -----------------------------------------------------------------------------
 
 
@@ -369,9 +385,14 @@ def linked_rows(documents: DataFrame, words: int, part: int) -> DataFrame:
         "id", "key", F.coalesce("component", "id").alias("component")
     )
     labelled = materialise(labelled, "labelled")
+    one, two = exact_key(F.col("id"))
     unsettled = labelled.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")
-    ).where("low < high").select("key", F.ceil(F.col("size") / CHUNK).alias("chunks"))
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"),
+        F.bit_xor(one).alias("one"), F.bit_xor(two).alias("two"),
+    ).where("low < high")
+    # documents that share many passages fill many files alike: one file for each set of members
+    unsettled = unsettled.groupBy("size", "one", "two").agg(F.min("key").alias("key"))
+    unsettled = unsettled.select("key", F.ceil(F.col("size") / CHUNK).alias("chunks"))
     mine = F.pmod(F.xxhash64("id"), F.col("chunks"))
     cells = (
         labelled.join(unsettled, "key").withColumn("mine", mine)
