@@ -43,7 +43,7 @@ from hirelattice.llm.common import exact_key, parts_for, slices
 from hirelattice.llm.components import connected_components
 from hirelattice.session import materialise
 
-GROUPS = 256  # coordinates of a point
+GROUPS, COARSE_GROUPS = 256, 32  # coordinates of a point, and of the boxes of a tree
 FINE_GROUPS, FINE_FROM = 2048, 3000  # and those of a second point for sets of at least this size
 BAND = 1.25  # a size band ends at this times its start
 CHUNK = 256  # members of a file compared at once
@@ -183,8 +183,22 @@ def document_points(documents: DataFrame, words: int, threshold: Threshold) -> D
 # --- the tree -----------------------------------------------------------------------------
 
 
+def _coarse(points: np.ndarray) -> np.ndarray:
+    """Points of fewer coordinates, each a sum of some: their summed minima bound the overlap too, at less cost."""
+    return points.reshape(len(points), -1, COARSE_GROUPS).sum(axis=1, dtype=np.int32)
+
+
+def _allowed(threshold: Threshold, x: np.ndarray, y: np.ndarray, sizes: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which of the pairs (x[i], y[j]) have summed minima that allow the threshold; a block at a time."""
+    keep = np.zeros(len(i), bool)
+    for at in range(0, len(i), 1 << 13):
+        some = slice(at, at + (1 << 13))
+        keep[some] = threshold.reached(np.minimum(x[i[some]], y[j[some]]).sum(axis=1), sizes[some])
+    return keep
+
+
 class RTree:
-    """A packed R-tree over count vectors: per node the largest counts and the smallest size below it."""
+    """A packed R-tree over count vectors: per node the largest (coarse) counts and the smallest size below it."""
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray) -> None:
         slab = max(1, int(math.sqrt(len(points) * LEAF)))
@@ -193,7 +207,8 @@ class RTree:
         half = points.shape[1] // 2
         lean = points[:, :half].sum(axis=1) - points[:, half:].sum(axis=1)
         self.order = np.concatenate([s[np.argsort(lean[s], kind="stable")] for s in strips])
-        self.levels = [(points[self.order], sizes[self.order])]
+        self.points = points[self.order]
+        self.levels = [(_coarse(self.points), sizes[self.order])]
         while len(self.levels[-1][0]) > LEAF:
             tops, least = self.levels[-1]
             starts = np.arange(0, len(tops), LEAF)
@@ -201,23 +216,20 @@ class RTree:
 
     def search(self, points: np.ndarray, sizes: np.ndarray, threshold: Threshold) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query, indexed point) whose summed minima allow the threshold."""
-        top = len(self.levels) - 1
+        top, coarse = len(self.levels) - 1, _coarse(points)
         query = np.repeat(np.arange(len(points)), len(self.levels[top][0]))
         node = np.tile(np.arange(len(self.levels[top][0])), len(points))
         for level in range(top, -1, -1):
             tops, least = self.levels[level]
-            keep = np.zeros(len(query), bool)
-            for at in range(0, len(query), 1 << 13):
-                q, n = query[at:at + (1 << 13)], node[at:at + (1 << 13)]
-                bound = np.minimum(points[q], tops[n]).sum(axis=1)
-                keep[at:at + (1 << 13)] = threshold.reached(bound, sizes[q] + least[n])
+            keep = _allowed(threshold, coarse, tops, sizes[query] + least[node], query, node)
             query, node = query[keep], node[keep]
             if level:
                 below = len(self.levels[level - 1][0])
                 query = np.repeat(query, LEAF)
                 node = (node[:, None] * LEAF + np.arange(LEAF)).ravel()
                 query, node = query[node < below], node[node < below]
-        return query, self.order[node]
+        keep = _allowed(threshold, points, self.points, sizes[query] + self.levels[0][1][node], query, node)
+        return query[keep], self.order[node[keep]]
 
 
 def _cell_pairs(threshold: Threshold, ids, sides, components, sizes, counts) -> list[tuple[int, int]]:
@@ -227,11 +239,12 @@ def _cell_pairs(threshold: Threshold, ids, sides, components, sizes, counts) ->
     if not len(left) or not len(right) or (components == components[0]).all():
         return []
     if len(ids) <= 2 * LEAF:  # a single node: its entries are compared at once
-        bound = np.minimum(counts[right][:, None], counts[left][None]).sum(axis=2)
-        a, b = np.nonzero(threshold.reached(bound, sizes[right][:, None] + sizes[left][None]))
+        a, b = np.repeat(right, len(left)), np.tile(left, len(right))
+        keep = _allowed(threshold, counts, counts, sizes[a] + sizes[b], a, b)
+        a, b = a[keep], b[keep]
     else:
         a, b = RTree(counts[left], sizes[left]).search(counts[right], sizes[right], threshold)
-    a, b = right[a], left[b]
+        a, b = right[a], left[b]
     apart = components[a] != components[b]
     x, y = ids[a[apart]], ids[b[apart]]
     return list(set(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True)))

@@ -153,8 +153,8 @@ def test_keep_one(spark, docs_of):
 
 def test_tree_finds_all_pairs_within_bound():
     rng = np.random.default_rng(1)
-    points = rng.poisson(3, (300, 64))
-    points[100:120] = points[0] + rng.integers(0, 2, (20, 64))
+    points = rng.poisson(3, (300, 256)).astype(np.int32)
+    points[100:120] = points[0] + rng.integers(0, 2, (20, 256))
     sizes, threshold = points.sum(axis=1), ngram_join.Threshold(90)
     a, b = ngram_join.RTree(points, sizes).search(points, sizes, threshold)
     bound = np.minimum(points[:, None, :], points[None, :, :]).sum(axis=2)
