@@ -33,7 +33,7 @@ from hirelattice.session import materialise
 LIMIT = 4096
 END = struct.pack("<I", 1)
 GROUP_PIECES = 40_000  # pieces that one task packs at once
-CACHED_TEXTS = 250_000  # bounds the memory of a worker, not the result
+CACHED_WORDS, CACHED_CHUNKS = 600_000, 400_000  # bound the memory of a worker (about 250 MB), not the result
 #: Bins with less fill than this are packed again with those of other groups.
 GOOD_FILL = 0.99
 
@@ -43,10 +43,10 @@ TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 
 
 class Encoder:
-    """Token ids of texts as little-endian 32-bit numbers; words seen before are looked up.
+    """Token ids of texts as little-endian 32-bit numbers; words and chunks seen before are looked up.
 
-    The tokenizer lower-cases, drops white space and encodes each word on its own, so a text's ids are
-    those of its words in a row.
+    The tokenizer lower-cases, drops white space and encodes each word on its own, so a text's ids are those
+    of its blank-separated chunks in a row, and a chunk's those of its words.
     """
 
     def __init__(self, definition: str) -> None:
@@ -54,33 +54,50 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         self.tokenizer = Tokenizer.from_str(definition)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # of words
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, chunks: list[str]) -> None:
-        if len(self.words) > CACHED_TEXTS:
+    def _learn_words(self, words: list[str]) -> None:
+        """Encode words in one text; each ends where a token ends a word."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
+        cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        coded = ids.tobytes()
+        self.words.update((w, coded[a:b]) for w, a, b in zip(words, [0, *cuts], cuts, strict=False))
+
+    def _learn(self, chunks: set[str]) -> None:
+        if len(self.words) > CACHED_WORDS:
             self.words = {}
-        cut = {c: TOKEN.findall(c) for c in chunks}
-        fresh = list({w for ws in cut.values() for w in ws if w not in self.words})
-        for word, coded in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False), strict=True):
-            self.words[word] = np.array(coded.ids, dtype="<u4").tobytes()
-        for chunk, words in cut.items():
-            self.chunks[chunk] = b"".join([self.words[w] for w in words])
+        cut = []
+        for chunk in chunks:
+            core = chunk.rstrip(".,;:!?")  # one word and at most one run of marks, as most chunks are
+            if core.isalpha():
+                cut.append((core, chunk[len(core):]) if len(core) < len(chunk) else (core,))
+            else:
+                cut.append(tuple(TOKEN.findall(chunk)))
+        fresh = list({w for words in cut for w in words}.difference(self.words))
+        if fresh:
+            self._learn_words(fresh)
+        known = self.words.__getitem__
+        self.chunks.update((c, b"".join(map(known, words))) for c, words in zip(chunks, cut, strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.chunks) > CACHED_TEXTS:
+        if len(self.chunks) > CACHED_CHUNKS:
             self.chunks = {}
         cut: list[list[str] | None] = []
         fresh: set[str] = set()
         for text in texts:
-            plain = text is None or (PLAIN.search(text) is None and "<|" not in text)  # "<|": special tokens
-            cut.append((text.lower().split() if text else []) if plain else None)
-            if plain:
-                fresh.update(c for c in cut[-1] if c not in self.chunks)
-        self._learn(list(fresh))
+            if text and (PLAIN.search(text) or "<|" in text):  # other characters, special tokens
+                cut.append(None)
+            else:
+                cut.append(text.lower().split() if text else [])
+                fresh.update(set(cut[-1]).difference(self.chunks))
+        self._learn(fresh)
         known = self.chunks.__getitem__
         return [self._whole(t) if c is None else b"".join(map(known, c)) for t, c in zip(texts, cut, strict=True)]
 
