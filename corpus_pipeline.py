@@ -51,8 +51,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences that follow the order of the mix."""
     let_workers_import(spark)
-    return packing.pack(docs, WORDS)
+    return packing.pack(docs, WORDS, in_order=True)
 
 
 STAGES = [

@@ -9,6 +9,10 @@ Bins that stay underfull are taken apart and packed again with those of the othe
 Groups hold a bounded number of pieces, drawn evenly by position and not by key, so a repeated ``doc_id`` makes no
 group larger. Only lengths move between machines, not texts.
 
+``in_order`` keeps the order of the documents (file by file and row by row where they are read from files, else by
+partition): a group is a range of it, so a sequence holds neighbours, and ``sequence_id`` is the place of a sequence's
+earliest piece. Pieces of bins that stay underfull meet those of the next ranges.
+
 Defined results: a null text is empty and packs as the end id alone; an empty table gives no rows; repeated
 rows are packed one by one; a null ``doc_id`` stays null; extra columns are ignored.
 """
@@ -24,8 +28,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from hirelattice.llm.common import slices
 from hirelattice.session import materialise
@@ -33,6 +38,8 @@ from hirelattice.session import materialise
 LIMIT = 4096
 END = struct.pack("<I", 1)
 GROUP_PIECES = 40_000  # pieces that one task packs at once
+ORDERED_PIECES = 2_048  # the same where the order is kept: how far apart the pieces of a sequence may be
+ORDERED_ROWS = 1_024  # documents of a file that are numbered at once
 CACHED_WORDS, CACHED_CHUNKS = 600_000, 400_000  # bound the memory of a worker (about 250 MB), not the result
 #: Bins with less fill than this are packed again with those of other groups.
 GOOD_FILL = 0.99
@@ -114,8 +121,19 @@ def _encoder(definition: str) -> Encoder:
     return _ENCODERS[key]
 
 
-def token_pieces(documents: DataFrame, tokenizer: str, limit: int = LIMIT, keep_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 and, if asked for, ids (32-bit numbers as bytes)."""
+def _stands_at(documents: DataFrame) -> tuple[Column, Column]:
+    """Where a row stands: its file, named so that names sort, and the row in it; in a computed table its partition and place."""
+    if documents._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":
+        return F.lpad(F.spark_partition_id().cast("string"), 20, "0"), F.monotonically_increasing_id()
+    stored = documents.metadataColumn("_metadata")
+    number = F.regexp_extract(stored["file_name"], r"^part-(\d+)", 1)  # has more digits in tables of 100,000 files
+    return F.concat(F.lpad(number, 20, "0"), stored["file_path"]), stored["row_index"]
+
+
+def token_pieces(
+    documents: DataFrame, tokenizer: str, limit: int = LIMIT, keep_ids: bool = False, in_order: bool = False,
+) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 and, if asked for, ids (32-bit numbers as bytes) and the document's file and row."""
     with open(tokenizer, encoding="utf-8") as file:
         definition = file.read()
 
@@ -140,11 +158,17 @@ def token_pieces(documents: DataFrame, tokenizer: str, limit: int = LIMIT, keep_
             if keep_ids:
                 columns.append(pa.array(ids, pa.binary()))
                 names.append("ids")
+            if in_order:
+                columns += [batch.column(c).take(pa.array(row, pa.int64())) for c in ("file", "row")]
+                names += ["file", "row"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     source = documents.select("doc_id", "text")
+    if in_order:
+        file, place = _stands_at(documents)
+        source = documents.select("doc_id", "text", file.alias("file"), place.alias("row"))
     schema = f"doc_id {source.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long"
-    return source.mapInArrow(cut, schema + ", ids binary" * keep_ids)
+    return source.mapInArrow(cut, schema + ", ids binary" * keep_ids + ", file string, row long" * in_order)
 
 
 # --- one group ----------------------------------------------------------------------------
@@ -249,30 +273,66 @@ def pack_lengths(lengths: np.ndarray, limit: int = LIMIT) -> tuple[np.ndarray, n
 # --- all groups ---------------------------------------------------------------------------
 
 
-def pack(documents: DataFrame, tokenizer: str, limit: int = LIMIT, keep_ids: bool = False) -> DataFrame:
+def pack(
+    documents: DataFrame, tokenizer: str, limit: int = LIMIT, keep_ids: bool = False, in_order: bool = False,
+) -> DataFrame:
     """The pieces of all documents with sequence_id and offset."""
-    cut = token_pieces(documents, tokenizer, limit, keep_ids)
+    cut = token_pieces(documents, tokenizer, limit, keep_ids, in_order)
     # the written copy fixes the row numbers
     pieces = materialise(cut.select(F.monotonically_increasing_id().alias("slot"), "*"), "pieces")
-    placed = place(pieces.select("slot", "length"), limit)
-    return pieces.join(placed, "slot").drop("slot")
-
-
-def place(pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """slot, sequence_id, offset for pieces given as (slot, length); slots are unique."""
+    if not in_order:
+        return pieces.join(place(pieces.select("slot", "length"), limit), "slot").drop("slot")
+    numbered = materialise(_numbered(pieces), "numbered")
+    placed = place(numbered.select(F.col("at").alias("slot"), "length"), limit, in_order=True)
+    placed = numbered.select("slot", "at").join(placed.withColumnRenamed("slot", "at"), "at").drop("at")
+    return pieces.drop("file", "row").join(placed, "slot").drop("slot")
+
+
+def _numbered(pieces: DataFrame) -> DataFrame:
+    """slot, length, at: the places from 0 on in the order of file, row and piece, added up over files, runs of rows, pieces."""
+    rows = pieces.select("slot", "length", "file", F.expr(f"row div {ORDERED_ROWS}").alias("run"), "row", "piece")
+    runs = rows.groupBy("file", "run").agg(F.count(F.lit(1)).alias("held"))
+    files = runs.groupBy("file").agg(F.sum("held").alias("held"))
+    before = lambda window: F.coalesce(F.sum("held").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    files = files.select("file", before(Window.orderBy("file")).alias("file_base"))  # a row per file
+    runs = runs.select("file", "run", before(Window.partitionBy("file").orderBy("run")).alias("run_base"))
+    inside = F.row_number().over(Window.partitionBy("file", "run").orderBy("row", "piece")) - 1
+    based = rows.withColumn("inside", inside).join(runs, ["file", "run"]).join(files, "file")
+    return based.select("slot", "length", (F.col("file_base") + F.col("run_base") + F.col("inside")).alias("at"))
+
+
+def _ranges(rest: DataFrame, pieces: int) -> DataFrame:
+    """The pieces with ``group``: ranges of the slots that hold about as many pieces each."""
+    step = max(1, pieces // 16)
+    fine = rest.withColumn("fine", F.expr(f"slot div {step}"))
+    held = fine.groupBy("fine").agg(F.count(F.lit(1)).alias("held"))  # a row per 128 slots
+    upto = F.sum("held").over(Window.orderBy("fine"))
+    bounds = held.select("fine", F.floor((upto - 1) / pieces).alias("group"))
+    return fine.join(bounds, "fine").drop("fine")
+
+
+def place(pieces: DataFrame, limit: int = LIMIT, in_order: bool = False) -> DataFrame:
+    """slot, sequence_id, offset for pieces given as (slot, length); slots are unique, and with ``in_order`` places in an order."""
 
     def pack_group(rows: pd.DataFrame) -> pd.DataFrame:
+        if in_order:
+            rows = rows.sort_values("slot")
         number, offset, fill = pack_lengths(rows["length"].to_numpy(), limit)
-        return rows.assign(sequence_id=rows["sequence"] + number, offset=offset, fill=fill).drop(columns="sequence")
+        named = rows["slot"].groupby(number).transform("min") if in_order else rows["sequence"] + number
+        return rows.assign(sequence_id=named, offset=offset, fill=fill).drop(columns="sequence")
 
     rest, count = pieces.select("slot", "length"), pieces.count()
+    size = ORDERED_PIECES if in_order else GROUP_PIECES
     done: DataFrame | None = None
     turn = 0
     while True:
-        groups = max(1, -(-count // GROUP_PIECES))
-        group = F.pmod(F.xxhash64("slot"), F.lit(groups))
-        first = (F.lit(turn << 36).cast("long") + group) * (1 << 20)  # a group has fewer bins than 2^20
-        numbered = rest.withColumn("sequence", first)
+        groups = max(1, -(-count // size))
+        if in_order:
+            numbered = _ranges(rest, size).withColumnRenamed("group", "sequence")
+        else:
+            group = F.pmod(F.xxhash64("slot"), F.lit(groups))
+            first = (F.lit(turn << 36).cast("long") + group) * (1 << 20)  # a group has fewer bins than 2^20
+            numbered = rest.withColumn("sequence", first)
         packed = numbered.groupBy("sequence").applyInPandas(
             pack_group, "slot long, length long, sequence_id long, offset long, fill long"
         )

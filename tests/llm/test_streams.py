@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import corpus_pipeline
-from hirelattice.llm import chat, mixing, ngram_join
+from hirelattice.llm import chat, mixing, ngram_join, packing
 from hirelattice.llm.components import connected_components
 from hirelattice.session import materialise
 from tests.llm.conftest import schema, table
@@ -152,3 +152,43 @@ def test_pipeline_odd_and_empty_documents(spark, docs_of):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, FOLDER).agg(F.count(F.lit(1))).first()[0] > 0
+
+
+def test_sequences_follow_the_mix(spark, monkeypatch):
+    """Other target weights give other sequences, and each is numbered by the place of its earliest document."""
+    monkeypatch.setattr(packing, "ORDERED_PIECES", 20)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[3:])  # the mix and what follows it
+    docs = table(spark, "documents")
+    sources = sorted({r.source for r in docs.select("source").collect()}, key=str)
+    mix, seen = mixing.mix, []
+    for heavy in (sources[0], sources[-1]):
+        weights = spark.createDataFrame([(s, 0.9 if s == heavy else 0.01) for s in sources], "source string, weight double")
+        monkeypatch.setattr(corpus_pipeline.mixing, "mix", lambda docs, weights=weights: mix(docs, weights))
+        groups = defaultdict(set)
+        for r in corpus_pipeline.run(spark, FOLDER).collect():
+            groups[r.sequence_id].add((r.doc_id, r.piece))
+        seen.append([frozenset(groups[k]) for k in sorted(groups)])
+        by_source = {r.doc_id: r.source for r in docs.collect()}
+        early = [by_source[d] for group in seen[-1][:len(seen[-1]) // 4] for d, _ in group]
+        late = [by_source[d] for group in seen[-1][-(len(seen[-1]) // 4):] for d, _ in group]
+        assert early.count(heavy) / len(early) > late.count(heavy) / len(late)
+    assert set().union(*seen[0]) == set().union(*seen[1])
+    assert set(seen[0]) != set(seen[1])
+
+
+def test_packing_keeps_the_order_of_the_files(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(packing, "ORDERED_PIECES", 30)
+    monkeypatch.setattr(packing, "ORDERED_ROWS", 4)
+    rng = np.random.default_rng(8)
+    texts = [(i, "word " * int(rng.integers(1, 9000))) for i in range(300)]
+    docs = materialise(docs_of(texts, clash=False).repartitionByRange(7, "doc_id").sortWithinPartitions("doc_id"), "ordered")
+    rows = packing.pack(docs, corpus_pipeline.WORDS, in_order=True).collect()
+    bins, least = packed_as_told(rows, texts)
+    assert bins <= least * 1.05 + 1
+    place = {key: i for i, key in enumerate(sorted((r.doc_id, r.piece) for r in rows))}
+    members = defaultdict(list)
+    for r in rows:
+        members[r.sequence_id].append(place[r.doc_id, r.piece])
+    assert all(number == min(places) for number, places in members.items())
+    near = [places for places in members.values() if max(places) - min(places) < 32]
+    assert len(near) > len(members) / 2
