@@ -1,8 +1,9 @@
 """Line dedup with a deletion-neighbourhood join, in DataFrame operations only.
 
-Lines are compared without blanks at their ends; shorter ones than ``min_chars`` are never touched. A line goes when
-an earlier line is within one edit (a character replaced, inserted or left out, or none: an exact copy). Lines are ordered by
-document id, then by place.
+Lines are compared without blanks at their ends; shorter ones than ``min_chars`` are never touched, but for exact copies if
+``min_exact`` asks for them. A line goes when an earlier line is within one edit (a character replaced, inserted or left out, or
+none: an exact copy). Lines are ordered by document id, then by place. With ``min_exact=1`` exact copies of all lines that are
+not blank go, and the floor holds for the near match only.
 
 1. Equal lines collapse to one row by a 128-bit hash; the earliest place stays with it.
 2. Two different lines within one edit share the half before or the half behind the edit. Lines without a partner by
@@ -67,12 +68,16 @@ def _half_keys(line: Column, size: Column) -> Column:
     return F.array(*halves(size), *halves(size + 1))
 
 
-def _partnered(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All different lines with their earliest place, and the hashes of those that share a half with another."""
+def _partnered(lines: DataFrame, min_chars: int) -> tuple[DataFrame, DataFrame]:
+    """All different lines with their earliest place, and the hashes of those that share a half with another.
+
+    Lines under ``min_chars`` have no halves, so they meet exact copies only.
+    """
     size = F.char_length("line")
+    halves = F.when(size >= min_chars, _half_keys(F.col("line"), size))
     where = F.struct("place", "line_no", "t")
     kinds = lines.groupBy("h1", "h2").agg(
-        F.min(where).alias("first"), F.count(F.lit(1)).alias("copies"), F.first(_half_keys(F.col("line"), size)).alias("halves")
+        F.min(where).alias("first"), F.count(F.lit(1)).alias("copies"), F.first(halves).alias("halves")
     )
     kinds = materialise(kinds, "lines")
     keyed = kinds.select("h1", "h2", F.explode("halves").alias("half"))
@@ -138,10 +143,10 @@ def _near_pairs(variants: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS, min_exact: int | None = None) -> DataFrame:
     """place, t, gone: per document (its place in the order and text hash) the numbers of the lines to remove."""
-    lines = _lines(documents, min_chars)
-    kinds, partners = _partnered(lines)
+    lines = _lines(documents, min_chars if min_exact is None else max(1, min(min_exact, min_chars)))
+    kinds, partners = _partnered(lines, min_chars)
     few = partners.count() <= BROADCAST_LINES
     texts = (
         lines.select("h1", "h2", "line").join(F.broadcast(partners) if few else partners, ["h1", "h2"], "left_semi")
@@ -165,9 +170,9 @@ def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame
     return gone.groupBy("place", "t").agg(F.collect_set("line_no").alias("gone"))
 
 
-def cleaned(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def cleaned(documents: DataFrame, min_chars: int = MIN_CHARS, min_exact: int | None = None) -> DataFrame:
     """row (the document as a struct), text (without the removed lines), n_lines and n_removed for every document."""
-    gone = dropped_lines(documents, min_chars)
+    gone = dropped_lines(documents, min_chars, min_exact)
     rows = documents.select(F.struct("*").alias("row"), _place(F.col("doc_id")).alias("place"), F.xxhash64("text").alias("t"))
     lines = F.split(F.col("row")["text"], "\n")
     joined = rows.join(gone, ["place", "t"], "left").withColumn("lines", lines)
@@ -185,14 +190,15 @@ def dedup_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return done.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in documents.columns))
 
 
-def report(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def report(documents: DataFrame, min_chars: int = MIN_CHARS, min_exact: int | None = None) -> DataFrame:
     """doc_id, n_lines, n_removed, text for every document."""
-    done = cleaned(documents.select("doc_id", "text"), min_chars)
+    done = cleaned(documents.select("doc_id", "text"), min_chars, min_exact)
     return done.select(F.col("row")["doc_id"].alias("doc_id"), "n_lines", "n_removed", "text")
 
 
-def removal_sql(table: str, min_chars: int = MIN_CHARS) -> str:
+def removal_sql(table: str, min_chars: int = MIN_CHARS, min_exact: int | None = None) -> str:
     """Common table expressions, ending in ``cleaned`` (doc_id, n_lines, n_removed, text)."""
+    least, near = (min_chars, "") if min_exact is None else (max(1, min(min_exact, min_chars)), f" WHERE size >= {min_chars}")
     blanks = "chr(32) || chr(9) || chr(13) || chr(11) || chr(12)"
     return f"""
 raw_lines AS (
@@ -202,12 +208,12 @@ raw_lines AS (
   SELECT *, trim(raw, {blanks}) AS line FROM raw_lines
 ), kinds AS (
   SELECT line, length(line) AS size, min((doc_id, line_no)) AS first FROM all_lines
-  WHERE length(line) >= {min_chars} GROUP BY line
+  WHERE length(line) >= {least} GROUP BY line
 ), halves AS (
   SELECT line, size, first, unnest([size, size, size + 1, size + 1]) AS longer,
     unnest(['front' || left(line, size // 2), 'back' || right(line, size // 2),
             'front' || left(line, (size + 1) // 2), 'back' || right(line, (size + 1) // 2)]) AS half
-  FROM kinds
+  FROM kinds{near}
 ), near AS (
   SELECT DISTINCT b.line FROM halves a JOIN halves b USING (longer, half)
   WHERE a.first < b.first AND a.line <> b.line AND abs(a.size - b.size) <= 1
@@ -228,3 +234,4 @@ raw_lines AS (
 
 
 ORACLE = f"WITH {removal_sql('documents')} SELECT doc_id, n_lines, n_removed, text FROM cleaned"
+ORACLE_ANY_LENGTH = f"WITH {removal_sql('documents', min_exact=1)} SELECT doc_id, n_lines, n_removed, text FROM cleaned"

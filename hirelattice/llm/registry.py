@@ -34,6 +34,7 @@ def queries() -> dict[str, Query]:
         "op6_embedding_near_dedup": _on("embeddings", near_vectors.link_vectors),
         "op7_mixing": _on("documents", mixing.report),
         "op8_line_dedup": _on("documents", line_dedup.report),
+        "op8_line_dedup_any_length": _on("documents", lambda df: line_dedup.report(df, min_exact=1)),
         "op9_license_scan": _on("documents", licenses.scan),
         "op10_language_id": _on("documents", lambda df: language.identify(df, PIECES)),
     }
@@ -47,4 +48,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_embedding_near_dedup": oracles.NEAR_VECTORS,
         "op7_mixing": mixing.ORACLE,
         "op8_line_dedup": line_dedup.ORACLE,
+        "op8_line_dedup_any_length": line_dedup.ORACLE_ANY_LENGTH,
     }

@@ -230,6 +230,17 @@ def test_lines_without_broadcast(spark, docs_of, monkeypatch):
     assert got == brute_lines(documents)
 
 
+def test_short_lines_repeated_exactly(spark, docs_of):
+    documents = [
+        (1, "Les.\n\n \nAnd so on.\na"), (2, " Les.\t\nLes\nAnd so on.\n\nb\na"), (3, "Les.\nAnd so of.\nnine char"), (4, "nine chars"),
+    ]
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in line_dedup.report(docs_of(documents), min_exact=1).collect()}
+    assert got == {  # near copies only from ten characters on; blank lines stay
+        1: (5, 0, "Les.\n\n \nAnd so on.\na"), 2: (6, 3, "Les\n\nb"), 3: (3, 2, "nine char"), 4: (1, 0, "nine chars"),
+    }
+    assert not any(n for _, n, _ in brute_lines([(1, "Les.\nLes.")]).values())  # the floor of the default stays
+
+
 # --- licences -----------------------------------------------------------------------------
 
 
