@@ -4,7 +4,9 @@ Every source is a stream of blocks of equal size, its documents in an order draw
 slots of a period has the weight s / D: its block j is released at slot floor(j D / s) and due at slot ceil((j + 1) D / s).
 Earliest deadline first fills one period; since the slots add up to the period, every block is placed in its window and the
 schedule repeats. So the place of any block follows from a table of one period, and at every slot each source has had its weight's
-share to within less than one block, as long as all sources last. No document is left out or repeated; sources that end leave
+share of blocks to within less than one block, as long as all sources last. A document is emitted whole, in the slot of the block
+in which it starts, so read in slot order a source may be ahead by its longest document more: less than one block behind, less
+than one block and its longest document ahead. No document is left out or repeated; sources that end leave
 their slots empty.
 
 Target weights come as a table, or else follow the square root of the sources' sizes, which lifts small

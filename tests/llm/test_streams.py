@@ -66,6 +66,19 @@ def test_mix_follows_target_weights(spark, docs_of):
             assert abs(sum(r.slot < now for r in placed if r.source == source) - share * now) < 1
 
 
+def test_long_documents_are_ahead_by_no_more_than_a_block_and_themselves(spark, docs_of):
+    sizes = {"a": 300, "b": 5200}  # blocks have 1,000 characters
+    docs = docs_of([(i, "x" * sizes[s], None, s) for i in range(400) for s in [("a", "b")[i % 8 == 0]]], clash=False)
+    weights = spark.createDataFrame([("a", 0.5), ("b", 0.5)], "source string, weight double")
+    placed = mixing.schedule(docs, weights, block_chars=1000, period=10).collect()
+    ahead = []
+    for now in range(10, 180):  # both sources last
+        for source, longest in sizes.items():
+            ahead.append(sum(r.size for r in placed if r.source == source and r.slot < now) - 500 * now)
+            assert -1000 < ahead[-1] < 1000 + longest
+    assert max(ahead) > 1000  # one block alone is no bound
+
+
 TURN = schema(conv_id=T.LongType(), turn=T.LongType(), role=T.StringType(), text=T.StringType())
 
 
