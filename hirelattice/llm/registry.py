@@ -8,11 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelattice.llm import chat, language, licenses, line_dedup, mixing, near_vectors, ngram_join, oracles, packing, quality, topk
+from hirelattice.llm import (
+    alignment, chat, language, licenses, line_dedup, mixing, near_vectors, ngram_join, oracles, packing, quality, substring, topk,
+    whitening,
+)
 from hirelattice.llm.common import let_workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -37,6 +41,9 @@ def queries() -> dict[str, Query]:
         "op8_line_dedup_any_length": _on("documents", lambda df: line_dedup.report(df, min_exact=1)),
         "op9_license_scan": _on("documents", licenses.scan),
         "op10_language_id": _on("documents", lambda df: language.identify(df, PIECES)),
+        "op11_substring_dedup": _on("documents", substring.remove_repeats),
+        "op12_cross_tokenizer_alignment": _on("documents", lambda df: alignment.align(df, BYTES, PIECES)),
+        "op13_embedding_whitening": _on("embeddings", whitening.whiten),
     }
 
 
