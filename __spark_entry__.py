@@ -24,12 +24,10 @@ from hirelattice.sources import csv_files, tables  # noqa: E402
 from hirelattice.streaming import alerts  # noqa: E402
 from oracles import hiring_sql, operator_sql, star_sql  # noqa: E402
 
-try:  # the corpus operators are an optional subpackage
+try:  # the corpus operators are an optional subpackage; so is all that only they import
     import corpus_pipeline  # noqa: E402
     import hirelattice.llm.registry as corpus  # noqa: E402
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "hirelattice.llm", "hirelattice.llm.registry"):
-        raise
+except ImportError:
     corpus = None
 
 SMOKE_FOLDER = "/root/testdata/sf0.001"
@@ -177,6 +175,28 @@ def _table_kept(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(table)
 
 
+def _table_replaced_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """Store all orders by month, replace them by the finished ones, append the open ones."""
+    table = f"{_scratch_namespace(spark)}.orders"
+    orders = star.read_tables(spark, folder)["orders"].withColumn("order_month", month_of(calendar_day("o_orderdate")))
+    tables.replace_table(orders, table, ["order_month"])
+    tables.replace_table(orders.where("o_orderstatus = 'F'"), table, ["order_month"])
+    tables.append_table(orders.where("o_orderstatus = 'O'"), table, ["order_month"])
+    return spark.table(table).groupBy("order_month").agg(
+        F.count(F.lit(1)).alias("orders"), F.min("o_orderkey").alias("first_order"), F.max("o_orderkey").alias("last_order")
+    )
+
+
+def _run_log_appended_once(spark: SparkSession, folder: str) -> DataFrame:
+    """A run log from events: half of it, then all of it, then all of it again."""
+    table = f"{_scratch_namespace(spark)}.runs"
+    log = star.run_log_from_events(star.read_tables(spark, folder))
+    tables.append_table(log.where(F.col("run_id") % 2 == 0), table, once=["run_id"])
+    for _ in range(2):
+        tables.append_table(log, table, once=["run_id"])
+    return spark.table(table).select("run_id", "status", "checks_total", "checks_failed", "error_message")
+
+
 # --- validation runs ----------------------------------------------------------------------
 
 
@@ -334,6 +354,8 @@ def queries() -> dict[str, Query]:
         "csv_load_stamps": _load_stamps,
         "table_replaced": _table_replaced,
         "table_kept_when_replacing_fails": _table_kept,
+        "table_replaced_by_month": _table_replaced_by_month,
+        "run_log_appended_once": _run_log_appended_once,
         "audit_stamps": _audit_stamps,
         "run_log_success": _run_log_success,
         "run_error_log": _run_error_log,

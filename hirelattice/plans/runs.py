@@ -185,7 +185,8 @@ def run_validation(
 
     Anything that breaks on the way to the summary makes an ``error`` run, which is
     logged as well; a run log that cannot be written does not hide the result. The audit
-    is written before it is read, so the checks run exactly once.
+    is written before it is read, so the checks run exactly once. A run is logged once, however often its
+    record is appended.
     """
     run_id = str(uuid.uuid4())
     started = datetime.now(timezone.utc)
@@ -201,7 +202,7 @@ def run_validation(
         status, cause = ERROR, broken
     record = run_record(payload, started, datetime.now(timezone.utc))
     try:
-        append_table(record, run_log)
+        append_table(record, run_log, once=["run_id"])
     except Exception as broken:
         return RunOutcome(status, payload, record, str(broken), cause)
     return RunOutcome(status, payload, record, cause=cause)

@@ -1,4 +1,10 @@
-"""Stored tables: namespaces, whole-table replacement and appends."""
+"""Stored tables: namespaces, whole-table replacement, appends.
+
+A stored table is a pointer to its current version. Every replacement writes a version of its own, an ordinary table
+beside the pointer, and moves the pointer last, in one change of the catalog. So a reader finds the old rows or the new
+ones at any moment, partitioned or not, and a write that fails changes nothing. The version before stays until the next
+replacement, for readers that still use it.
+"""
 
 from __future__ import annotations
 
@@ -9,8 +15,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import BASE_TABLES
+from ..session import materialise
 from .csv_files import discover, read_csv, stamp_loaded
 
+VERSION, PREVIOUS = "stored.version", "stored.previous"  # properties of a pointer
+
 
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> str:
     """Create the namespace when it is missing; optionally at a shared location."""
@@ -19,41 +28,77 @@ def create_namespace(spark: SparkSession, name: str, location: str | None = None
     return name
 
 
-def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> int:
-    """Replace rows and schema of a stored table; returns the rows written.
+def _versions(spark: SparkSession, table: str) -> tuple[str, str | None] | None:
+    """The current version of a stored table and the one before; None when nothing is stored there.
 
-    The new rows are written beside the stored ones and change names with them when they are
-    complete, so a write that fails leaves the table as it was. The rows are counted while
-    they are written, without a second scan. The table must not be one that ``df`` reads.
-    ``partition_by`` lays a table that has grown large out by a low-cardinality column, so
-    that filters on it skip files.
+    A plain table, stored by other means, is its own version.
     """
-    spark = df.sparkSession
-    new, old = (f"{table}__{kind}_{uuid.uuid4().hex}" for kind in ("new", "old"))
+    if not spark.catalog.tableExists(table):
+        return None
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return found.get(VERSION, table), found.get(PREVIOUS)
+
+
+def _write_version(df: DataFrame, table: str, partition_by: Sequence[str]) -> tuple[str, int]:
+    """A new version with the rows of ``df``, counted while they are written, without a second scan."""
+    version = f"{table}__v_{uuid.uuid4().hex}"
     written = Observation()
-    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
-    try:
-        counted.write.partitionBy(*partition_by).saveAsTable(new)
-    except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {new}")
-        raise
-    stored = spark.catalog.tableExists(table)
-    if stored:
-        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     try:
-        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+        df.observe(written, F.count(F.lit(1)).alias("rows")).write.partitionBy(*partition_by).saveAsTable(version)
     except Exception:
-        if stored:
-            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {version}")
         raise
-    if stored:
-        spark.sql(f"DROP TABLE {old}")
-    return int(written.get["rows"])
+    return version, int(written.get["rows"])
 
 
-def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    """Append rows; the first append creates the table."""
-    df.write.mode("append").partitionBy(*partition_by).saveAsTable(table)
+def _point(spark: SparkSession, table: str, version: str, previous: str | None, create: str) -> None:
+    kept = f", '{PREVIOUS}' = '{previous}'" if previous else ""
+    spark.sql(f"{create} {table} TBLPROPERTIES ('{VERSION}' = '{version}'{kept}) AS SELECT * FROM {version}")
+
+
+def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> int:
+    """Replace rows and schema of a stored table; returns the rows written.
+
+    ``df`` may read the table it replaces. ``partition_by`` lays a table that has grown large out by a
+    low-cardinality column, so that filters on it skip files. A plain table of that name is taken over: it is
+    renamed once, and only in that moment absent, so it must not be partitioned.
+    """
+    spark = df.sparkSession
+    version, rows = _write_version(df, table, partition_by)
+    current, previous = _versions(spark, table) or (None, None)
+    if current == table:
+        current = f"{table}__v_{uuid.uuid4().hex}"
+        spark.sql(f"ALTER TABLE {table} RENAME TO {current}")
+    _point(spark, table, version, current, "CREATE OR REPLACE VIEW")
+    if previous:
+        spark.sql(f"DROP TABLE IF EXISTS {previous}")
+    return rows
+
+
+def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), once: Sequence[str] = ()) -> None:
+    """Append rows; the first append creates the table.
+
+    With ``once``, the columns that name what is appended (a run id), rows whose name the table already holds are left
+    out, so an append that is repeated after a failure leaves one copy. The rows are written to the
+    shared folder first, so they are the same in both looks at them; only names move, not the table's rows. Columns in
+    ``once`` must not be NULL.
+    """
+    spark = df.sparkSession
+    if _versions(spark, table) is None:
+        if once:
+            df = materialise(df, "append")
+        version, _ = _write_version(df, table, partition_by)
+        _point(spark, table, version, None, "CREATE VIEW IF NOT EXISTS")
+        if _versions(spark, table)[0] == version:
+            return
+        spark.sql(f"DROP TABLE IF EXISTS {version}")  # another first append came before this one
+    current = _versions(spark, table)[0]
+    if once:
+        df = materialise(df, "append")
+        names = list(once)
+        known = spark.table(current).select(*names).join(df.select(*names), names, "left_semi").distinct()
+        df = df.join(known, names, "left_anti").select(*df.columns)
+    df.write.mode("append").partitionBy(*partition_by).saveAsTable(current)
 
 
 def read_namespace(spark: SparkSession, namespace: str, tables: list[str] | None = None) -> dict[str, DataFrame]:

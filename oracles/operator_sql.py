@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from hirelattice.plans import recruiting
 
-from . import hiring_sql, sql
+from . import hiring_sql, sql, star_sql
 
 _COUNTS = "\nUNION ALL ".join(
     f"SELECT '{name}' AS \"table\", count(*) AS \"rows\" FROM {name}"
@@ -71,6 +71,10 @@ WHERE EXISTS (SELECT 1 FROM labels AS l WHERE l.doc_id = d.doc_id)""",
         "csv_loaded_sales_deals": f"{hiring_sql.BASE} SELECT * FROM sales_deals",
         "csv_loaded_marketing_daily": f"{hiring_sql.BASE} SELECT * FROM marketing_daily",
         "table_replaced": "SELECT o_orderstatus, count(*) AS orders FROM orders GROUP BY 1",
+        "table_replaced_by_month": f"""
+SELECT {sql.month('o_orderdate')} AS order_month, count(*) AS orders, min(o_orderkey) AS first_order, max(o_orderkey) AS last_order
+FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1""",
+        "run_log_appended_once": f"SELECT run_id, status, checks_total, checks_failed, error_message FROM {star_sql.RUN_LOG}",
         "csv_load_stamps": f"{hiring_sql.BASE}\n" + "\nUNION ALL ".join(
             f"SELECT '{name}' AS \"table\", least(count(*), 1) AS stamps, 0::BIGINT AS unstamped FROM {name}"
             for name in recruiting.TABLES

@@ -111,4 +111,48 @@ def test_partitioned_layout_skips_files(spark, clean):
     tables.append_table(marketing, "by_month.marketing", ["month"])
     january = spark.table("by_month.marketing").where("month = date'2025-01-01'")
     assert january.count() == 8
+    assert tables.replace_table(marketing.where("month > date'2025-01-01'"), "by_month.marketing", ["month"]) < 4
+    assert spark.table("by_month.marketing").where("month = date'2025-01-01'").count() == 0
     assert "PartitionFilters: [isnotnull(month" in january._jdf.queryExecution().executedPlan().toString()
+
+
+def test_readers_keep_the_version_they_resolved(spark):
+    tables.create_namespace(spark, "versions")
+    tables.replace_table(spark.range(10), "versions.t")
+    before = spark.table("versions.t")
+    tables.replace_table(spark.range(3).select("id", F.lit("x").alias("s")), "versions.t")
+    assert before.count() == 10
+    tables.replace_table(spark.table("versions.t").where("id > 0"), "versions.t")  # reads what it replaces
+    assert collected(spark.table("versions.t").orderBy("id")) == [(1, "x"), (2, "x")]
+    stored = [t.name for t in spark.catalog.listTables("versions") if t.name.startswith("t__v_")]
+    assert len(stored) == 2  # the current one and the one before
+
+
+def test_a_failed_replacement_leaves_nothing(spark):
+    tables.create_namespace(spark, "failing")
+    tables.replace_table(spark.range(4).withColumn("part", F.col("id") % 2), "failing.t", ["part"])
+    broken = spark.range(4).select(F.when(F.col("id") >= 0, F.raise_error(F.lit("on purpose"))).cast("long").alias("id"))
+    with pytest.raises(Exception, match="on purpose"):
+        tables.replace_table(broken, "failing.t")
+    assert spark.table("failing.t").count() == 4
+    assert len(spark.catalog.listTables("failing")) == 2
+
+
+def test_plain_tables_are_taken_over(spark):
+    tables.create_namespace(spark, "plain")
+    spark.range(5).write.saveAsTable("plain.t")
+    tables.append_table(spark.range(5, 7), "plain.t")
+    assert spark.table("plain.t").count() == 7
+    assert tables.replace_table(spark.table("plain.t").where("id < 3"), "plain.t") == 3
+    assert spark.table("plain.t").count() == 3
+
+
+def test_repeated_appends_leave_one_copy(spark):
+    tables.create_namespace(spark, "once")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "run_id string, n int")
+    for _ in range(2):
+        tables.append_table(rows, "once.log", once=["run_id"])
+    tables.append_table(spark.createDataFrame([("b", 9), ("c", 3), ("c", 4)], rows.schema), "once.log", once=["run_id"])
+    assert sorted(collected(spark.table("once.log"))) == [("a", 1), ("b", 2), ("c", 3), ("c", 4)]
+    tables.append_table(rows, "once.log")
+    assert spark.table("once.log").count() == 6
