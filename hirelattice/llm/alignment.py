@@ -20,8 +20,9 @@ no rows; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
-from bisect import bisect_left
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,46 +32,55 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelattice.llm import exchange
-from hirelattice.llm.common import slices
+from hirelattice.llm.common import held, slices
 from hirelattice.llm.exchange import HALF, MASK, bucket_cuts, bucket_of, groups, mixed, pack, pack_sorted, unpack, unpack_sorted
+from hirelattice.llm.words import Grown, Known, WordHashes
 from hirelattice.session import materialise
 
 CHUNK_BYTES = 4 << 20  # text in a chunk
-KNOWN_STRINGS, KNOWN_BYTES = 250_000, 32 << 20  # strings that a task remembers; bounds its memory, not the result
-LONG_STRING = 1 << 12  # longer strings are not remembered
+KNOWN_STRINGS, KNOWN_BYTES = 500_000, 40 << 20  # strings that a task remembers; bounds its memory, not the result
 BUCKET_PAIRS = 1 << 20
+#: How byte-level BPE cuts a text before merging (a fixed value).
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 # --- cutting ------------------------------------------------------------------------------
 
 
-def _common_end(a: list[int], b: list[int], i0: int, i1: int, j0: int, j1: int) -> tuple[int, int] | None:
-    """The common end inside an interval that is nearest to its middle token of A, as tokens before the cut."""
-    last_a, last_b = i1 - 1, j1 - 1  # these end the interval
-    middle = (i0 + last_a) // 2
-    for step in range(last_a - i0 + 1):
-        for i in (middle + step, middle - step) if step else (middle,):
-            if i0 <= i < last_a:
-                j = bisect_left(b, a[i], j0, last_b)
-                if j < last_b and b[j] == a[i]:
-                    return i + 1, j + 1
-    return None
-
-
-def cut_groups(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Ends of tokens of both -> for every group, in order, the number of tokens of A and of B up to its end."""
-    found: list[tuple[int, int]] = []
-    open_ = [(0, len(a), 0, len(b))] if a else []
-    while open_:
-        i0, i1, j0, j1 = open_.pop()
-        cut = _common_end(a, b, i0, i1, j0, j1) if i1 - i0 > 1 and j1 - j0 > 1 else None
-        if cut is None:
-            found.append((i1, j1))
-        else:
-            i, j = cut
-            open_.append((i, i1, j, j1))
-            open_.append((i0, i, j0, j))
-    return found
+def cut_groups(a: np.ndarray, b: np.ndarray, first_a: np.ndarray, first_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ends of tokens of both -> for every group, in order, the number of tokens of A and of B up to its end.
+
+    The intervals to begin with start at the tokens ``first_a`` and ``first_b``; each ends with a common end. All intervals
+    of one depth are cut together.
+    """
+    i0, j0 = first_a, first_b
+    i1, j1 = np.append(i0[1:], len(a)), np.append(j0[1:], len(b))
+    leaves = []
+    while len(i0):
+        last_a, last_b = i1 - 1, j1 - 1  # these end the interval
+        cut_a, cut_b = np.zeros(len(i0), np.int64), np.zeros(len(i0), np.int64)  # tokens before the cut
+        middle = (i0 + last_a) // 2
+        searching = np.flatnonzero((last_a > i0) & (last_b > j0))
+        step = 0
+        while len(searching):
+            for side in (step, -step) if step else (0,):
+                at = middle[searching] + side
+                inside = (at >= i0[searching]) & (at < last_a[searching]) & (cut_a[searching] == 0)
+                some, at = searching[inside], at[inside]
+                found = np.searchsorted(b, a[at])  # by bisection
+                common = (found < last_b[some]) & (b[np.minimum(found, len(b) - 1)] == a[at])
+                cut_a[some[common]], cut_b[some[common]] = at[common] + 1, found[common] + 1
+            step += 1
+            left = (cut_a[searching] == 0) & (middle[searching] - step >= i0[searching])
+            right = (cut_a[searching] == 0) & (middle[searching] + step < last_a[searching])
+            searching = searching[left | right]
+        whole = cut_a == 0
+        leaves.append(np.stack([i1[whole], j1[whole]]))
+        i0, i1, j0, j1, cut_a, cut_b = (x[~whole] for x in (i0, i1, j0, j1, cut_a, cut_b))
+        i0, i1 = np.concatenate([i0, cut_a]), np.concatenate([cut_a, i1])
+        j0, j1 = np.concatenate([j0, cut_b]), np.concatenate([cut_b, j1])
+    ends_a, ends_b = np.concatenate([np.zeros((2, 0), np.int64), *leaves], axis=1)
+    return np.sort(ends_a), np.sort(ends_b)
 
 
 # --- tokenizers ---------------------------------------------------------------------------
@@ -84,7 +94,7 @@ def _byte_letters() -> dict[str, int]:
 
 
 class Tokenizers:
-    """Both tokenizers, and the bytes of each of their ids."""
+    """Both tokenizers, the bytes of each of their ids, and the ids as texts."""
 
     def __init__(self, definition: str, model: bytes) -> None:
         from sentencepiece import SentencePieceProcessor
@@ -103,97 +113,130 @@ class Tokenizers:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if byte else p.replace("▁", " ").encode() for p, byte in pieces]
         self.a_sizes = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
+        n_a, n_b = len(self.a_bytes), len(self.b_bytes)
+        # an id of A before another and at its group's end, one of B before another, at its group's end and at the last one's
+        self.texts = [f"{i}{mark}" for n, mark in ((n_a, ","), (n_a, "|"), (n_b, ","), (n_b, ";"), (n_b, "")) for i in range(n)]
+        self.text_sizes = np.array([len(t) for t in self.texts], np.int64)
+        self.ranked = self._by_rank(definition)
+
+    def _by_rank(self, definition: str):
+        """The same byte-level BPE as a table of ranks, which is faster, if ids are in the order of their merges; else None."""
+        import tiktoken
+
+        parts = json.loads(definition)
+        vocabulary, merges = parts["model"]["vocab"], parts["model"]["merges"]
+        joined = ["".join(m.split(" ") if isinstance(m, str) else m) for m in merges]
+        split = parts["pre_tokenizer"]
+        plain = parts["normalizer"] is None and split.get("type") == "ByteLevel" and split.get("use_regex") and not split["add_prefix_space"]
+        if not plain or [vocabulary.get(t) for t in joined] != list(range(256, 256 + len(joined))):
+            return None
+        special = {t["id"] for t in parts["added_tokens"]}
+        ranks = {self.a_bytes[i]: i for i in vocabulary.values() if i not in special}
+        return tiktoken.Encoding("ranked", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, text: str) -> tuple[list[int], list[int]] | None:
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of A and of B, if the tokens of both spell the text with a blank before it."""
-        a, b = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
-        spelt = (" " + text).encode()
+        spelt = " " + text
+        a = self.ranked.encode_ordinary(spelt) if self.ranked else self.a.encode(spelt, add_special_tokens=False).ids
+        b = self.b.encode(text)
+        spelt = spelt.encode()
         if b"".join(map(self.a_bytes.__getitem__, a)) != spelt or b"".join(map(self.b_bytes.__getitem__, b)) != spelt:
             return None
-        return a, b
-
-    def ends(self, a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-        return np.cumsum(self.a_sizes[a]).tolist(), np.cumsum(self.b_sizes[b]).tolist()
+        return np.array(a, np.int64), np.array(b, np.int64)
+
+    def ends(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+
+    def written(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, last: np.ndarray) -> tuple[str, np.ndarray]:
+        """The groups that end at these tokens as one text, and where each ends there; after a last one there is no mark."""
+        n_a, n_b = len(self.a_bytes), len(self.b_bytes)
+        code_a, code_b = a.copy(), b + 2 * n_a
+        code_a[cut_a - 1] += n_a
+        code_b[cut_b - 1] += n_b
+        code_b[cut_b[last] - 1] += n_b
+        # A's tokens of a group come before B's: behind all tokens of the groups before
+        group_a, group_b = np.searchsorted(cut_a, np.arange(len(a)), side="right"), np.searchsorted(cut_b, np.arange(len(b)), side="right")
+        codes = np.empty(len(a) + len(b), np.int64)
+        codes[np.arange(len(a)) + np.concatenate([[0], cut_b])[group_a]] = code_a
+        codes[np.arange(len(b)) + cut_a[group_b]] = code_b
+        upto = np.cumsum(self.text_sizes[codes])
+        return "".join(map(self.texts.__getitem__, codes.tolist())), upto[cut_a + cut_b - 1]
 
 
 class Aligner:
-    """Strings seen so far as numbered rows: how they are cut, and the pairs they link."""
+    """Strings seen so far as numbered rows, found by their hash: how they are cut, and the pairs they link."""
 
     def __init__(self, tokenizers: Tokenizers) -> None:
         self.tokenizers = tokenizers
+        self.hasher = WordHashes(b" ")
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.bytes_known = 0
+        self.known = Known()
+        self.bytes_held = 0
         self.groups: list[bytes | None] = []  # None: the tokens do not spell it
-        self.sizes: list[tuple[int, int, int]] = []  # tokens of A, tokens of B, groups
-        self.pairs: list[np.ndarray] = []
+        self.sizes = Grown((3,), np.int64)  # tokens of A, tokens of B, groups
+        self.pairs, self.upto = Grown((), np.uint64), Grown((), np.int64)  # pairs of all rows up to a row
+        self.upto.add(np.zeros(1, np.int64))
 
     @property
     def full(self) -> bool:
-        return len(self.groups) > KNOWN_STRINGS or self.bytes_known > KNOWN_BYTES
-
-    def _add(self, a: list[int], b: list[int], cuts: list[tuple[int, int]], i: int = 0, j: int = 0) -> int:
-        """A row for tokens from i and j on, in these groups."""
-        i0, j0 = i, j
-        texts, pairs = [], []
-        for i1, j1 in cuts:
-            texts.append(",".join(map(str, a[i:i1])) + "|" + ",".join(map(str, b[j:j1])))
-            pairs.append((b[j1 - 1] << 32) | a[i1 - 1])
-            i, j = i1, j1
-        self.groups.append(";".join(texts).encode())
-        self.sizes.append((i - i0, j - j0, len(cuts)))
-        self.pairs.append(np.array(pairs, np.uint64))
-        self.bytes_known += len(self.groups[-1]) + 8 * len(pairs)
-        return len(self.groups) - 1
+        return len(self.groups) > KNOWN_STRINGS or self.bytes_held > KNOWN_BYTES
 
-    def _none(self) -> int:
-        self.groups.append(None)
-        self.sizes.append((0, 0, 0))
-        self.pairs.append(np.zeros(0, np.uint64))
-        return len(self.groups) - 1
+    def _add(self, coded: tuple[np.ndarray, np.ndarray] | None, ends: np.ndarray) -> None:
+        """Rows for strings whose tokens stand in a row and end at these bytes."""
+        if coded is None:
+            if len(ends) > 1:
+                raise ValueError("strings that are not spelt come one by one")
+            self.groups.append(None)
+            self.sizes.add(np.zeros((1, 3), np.int64))
+            self.upto.add(self.upto.values[-1:])
+            return
+        a, b = coded
+        ends_a, ends_b = self.tokenizers.ends(a, b)
+        last_a, last_b = np.searchsorted(ends_a, ends) + 1, np.searchsorted(ends_b, ends) + 1  # strings end with both
+        first = [np.concatenate([[0], x[:-1]]) for x in (last_a, last_b)]
+        cut_a, cut_b = cut_groups(ends_a, ends_b, *first)
+        last = np.searchsorted(cut_a, last_a)  # groups
+        text, stops = self.tokenizers.written(a, b, cut_a, cut_b, last)
+        stops = stops[last].tolist()
+        self.groups += [text[s:e].encode() for s, e in zip([0, *stops], stops, strict=False)]
+        counts = np.diff(last, prepend=-1)
+        self.sizes.add(np.stack([last_a - first[0], last_b - first[1], counts], axis=1))
+        self.upto.add(self.upto.values[-1] + np.cumsum(counts))
+        self.pairs.add((b[cut_b - 1].astype(np.uint64) << HALF) | a[cut_a - 1].astype(np.uint64))
+        self.bytes_held += len(text) + 8 * len(cut_a)
 
     def whole(self, text: str) -> int:
-        coded = self.tokenizers.encode(text)
-        return self._none() if coded is None else self._add(*coded, cut_groups(*self.tokenizers.ends(*coded)))
+        """A row for a text of its own."""
+        self._add(self.tokenizers.encode(text), np.array([1 + len(text.encode())]))
+        return len(self.groups) - 1
 
-    def learn(self, strings: list[str]) -> None:
-        """Encode and cut strings without blanks as one text; their ends are shared cuts."""
+    def learn(self, strings: list[str]) -> np.ndarray:
+        """Rows for strings without blanks: encoded and cut as one text, in which their ends are shared cuts."""
+        before = len(self.groups)
         coded = self.tokenizers.encode(" ".join(strings))
-        if coded is None:
+        if coded is None and len(strings) > 1:
             for string in strings:
-                self.known[string] = self.whole(string)
-            return
-        a, b = coded
-        ends_a, ends_b = self.tokenizers.ends(a, b)
-        cuts = cut_groups(ends_a, ends_b)
-        at = end = i = j = 0
-        for string in strings:
-            end += 1 + len(string.encode())
-            first = at
-            while at < len(cuts) and ends_a[cuts[at][0] - 1] <= end:
-                at += 1
-            self.known[string] = self._add(a, b, cuts[first:at], i, j)
-            i, j = cuts[at - 1]
-
-    def rows(self, texts: list[str | None]) -> list[list[int]]:
+                self.whole(string)
+        else:
+            self._add(coded, np.cumsum([1 + len(s.encode()) for s in strings]))
+        return np.arange(before, len(self.groups))
+
+    def rows(self, texts: list[str | None]) -> list[np.ndarray]:
         """Each text as rows, in order."""
-        cut = [t.split(" ") if t and "  " not in f" {t} " else None for t in texts]
-        fresh = list({s for strings in cut if strings for s in strings}.difference(self.known))
-        short = [s for s in fresh if len(s) <= LONG_STRING]
-        if short:
-            self.learn(short)
-        once = {s: self.whole(s) for s in fresh if len(s) > LONG_STRING}
-        out = []
-        for text, strings in zip(texts, cut, strict=True):
-            if strings is None:
-                out.append([self.whole(text)] if text else [])
-            elif once:
-                out.append([once[s] if s in once else self.known[s] for s in strings])
-            else:
-                out.append(list(map(self.known.__getitem__, strings)))
-        return out
+        odd = [bool(t) and "  " in f" {t} " for t in texts]
+        words = self.hasher.of_texts([b"" if o or not t else t.encode() for t, o in zip(texts, odd, strict=True)])
+        hashes, sample, place = np.unique(words.hashes, return_index=True, return_inverse=True)
+        rows = self.known.find(hashes)
+        fresh = np.flatnonzero(rows < 0)
+        if len(fresh):
+            strings = [s.decode() for s in words.strings(sample[fresh])]
+            rows[fresh] = self.learn(strings)
+            self.known.add(hashes[fresh], rows[fresh])
+        cuts = words.first.tolist()
+        found = rows[place]
+        return [np.array([self.whole(t)]) if o else found[s:e] for t, o, s, e in zip(texts, odd, cuts, cuts[1:], strict=False)]
 
 
 # --- passes -------------------------------------------------------------------------------
@@ -212,21 +255,22 @@ class Gathered:
 
     def add(self, aligner: Aligner, ids: list[int | None], texts: list[str | None]) -> None:
         for doc_id, text, rows in zip(ids, texts, aligner.rows(texts), strict=True):
-            strings = [aligner.groups[r] for r in rows]
-            spelt = bool(rows) and None not in strings
+            strings = list(map(aligner.groups.__getitem__, rows.tolist()))
+            spelt = bool(strings) and None not in strings
             self.ids.append(doc_id)
             self.shas.append(hashlib.sha256(b";".join(strings)).hexdigest() if spelt else "")
-            self.members.append(np.sort(np.array(rows if spelt else [], np.int64)))
+            self.members.append(np.sort(rows) if spelt else rows[:0])
             self.size += len(text or "")
 
     def batch(self, aligner: Aligner, chunk: int) -> pa.RecordBatch:
         held = np.array([len(m) for m in self.members], np.int64)
         every = np.concatenate([np.zeros(0, np.int64), *self.members])
         used, member = np.unique(every, return_inverse=True)
-        sizes = np.array([aligner.sizes[r] for r in used], np.int64).reshape(-1, 3)
-        links = [aligner.pairs[r] for r in used]
-        pairs, link = np.unique(np.concatenate([np.zeros(0, np.uint64), *links]), return_inverse=True)
-        per_row = np.array([len(x) for x in links], np.int64)
+        sizes, upto = aligner.sizes.values[used], aligner.upto.values
+        per_row = upto[used + 1] - upto[used]
+        ends = np.cumsum(per_row)
+        links = np.repeat(upto[used] - (ends - per_row), per_row) + np.arange(ends[-1] if len(ends) else 0)
+        pairs, link = np.unique(aligner.pairs.values[links], return_inverse=True)
         uses = np.bincount(member, minlength=len(used))
         counts = np.zeros(len(pairs), np.int64)
         np.add.at(counts, link, np.repeat(uses, per_row))
@@ -277,9 +321,9 @@ def aligned_chunks(documents: DataFrame, byte_bpe: str, piece_bpe: str) -> DataF
         model = file.read()
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(Tokenizers(definition, model))
+        aligner = held("aligner", zlib.crc32(model, zlib.crc32(definition.encode())), build=lambda: Aligner(Tokenizers(definition, model)))
         partition, turn, gathered = TaskContext.get().partitionId(), 0, Gathered()
-        for batch in slices(batches, "text", size=1 << 20):
+        for batch in slices(batches, "text", rows=1024, size=2 << 20):
             gathered.add(aligner, batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
             if aligner.full or gathered.size > CHUNK_BYTES:
                 yield gathered.batch(aligner, exchange.chunk_number(partition, turn))

@@ -31,6 +31,17 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, rows: int = 256, size
             start = end
 
 
+_HELD: dict[tuple, object] = {}
+
+
+def held(*key, build):
+    """What a worker process keeps from task to task: one thing at a time, so an operator's takes the place of the last one's."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
 def exact_key(*columns: Column) -> tuple[Column, Column]:
     """128 bits that stand for the values: two 64-bit hashes with different seeds."""
     return F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)

@@ -23,7 +23,6 @@ words. Texts of any length are read whole; an empty table gives no rows; extra c
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import compress
@@ -37,62 +36,17 @@ from pyspark.sql import functions as F
 
 from hirelattice.llm import exchange
 from hirelattice.llm.exchange import MASK, bucket_cuts, bucket_of, groups, mixed, pack, pack_sorted, unpack, unpack_sorted
+from hirelattice.llm.words import WordHashes
 from hirelattice.session import materialise
 
 WINDOW = 13
 CHUNK_BYTES = 4 << 20  # text in a chunk, a longer document alone
 BUCKET_BYTES = 12 << 20  # of text whose keys one bucket takes
-SPAN = 1 << 18  # bytes hashed at once
 LAST = (1 << 63) - 1
 
-BLANK = re.compile(rb"[\t-\r ]")
-SEPARATES = np.zeros(256, bool)
-SEPARATES[[9, 10, 11, 12, 13, 32]] = True
-LETTER = mixed(np.arange(256, dtype=np.uint64))
-BASE = 0xD6E8FEB86659FD93  # odd, so it has an inverse
-INVERSE = pow(BASE, -1, 1 << 64)
-
-
 # --- words and strings of words ------------------------------------------------------------
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    steps = np.full(n, base, np.uint64)
-    steps[:1] = 1
-    return np.cumprod(steps, dtype=np.uint64)
-
-
-class WordHashes:
-    """64-bit hashes of the words of a text and where they start, in whole arrays."""
-
-    def __init__(self) -> None:
-        self.up, self.down = _powers(BASE, SPAN + 4096), _powers(INVERSE, SPAN + 4096)
-
-    def _span(self, span: bytes) -> tuple[np.ndarray, np.ndarray]:
-        letters = np.frombuffer(span, np.uint8)
-        n = len(letters)
-        fits = n <= len(self.up)
-        up, down = (self.up[:n], self.down[:n]) if fits else (_powers(BASE, n), _powers(INVERSE, n))
-        inside = np.zeros(n + 2, bool)
-        inside[1:-1] = ~SEPARATES[letters]
-        turns = np.flatnonzero(inside[1:] != inside[:-1])
-        starts, ends = turns[::2], turns[1::2]
-        before = np.zeros(n + 1, np.uint64)
-        np.cumsum(LETTER[letters] * up, out=before[1:])
-        return mixed((before[ends] - before[starts]) * down[starts]), starts
-
-    def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        hashes, starts, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
-        while at < len(text):
-            blank = BLANK.search(text, at + SPAN)
-            end = blank.end() if blank else len(text)
-            h, s = self._span(text[at:end])
-            hashes.append(h)
-            starts.append(s + at)
-            at = end
-        return np.concatenate(hashes), np.concatenate(starts)
-
-
 def rolling(words: np.ndarray, size: int, base: int) -> np.ndarray:
     """A hash of every string of ``size`` words, by its first word."""
     out = np.zeros(max(0, len(words) - size + 1), np.uint64)
@@ -116,11 +70,9 @@ class Chunk:
     def read(cls, row: dict, hasher: WordHashes, window: int, buckets: int) -> Chunk:
         body = zstandard.decompress(row["body"])
         sizes = unpack(row["sizes"]).astype(np.int64)
-        words, starts = hasher.of(body)
-        offsets = np.concatenate([[0], np.cumsum(sizes + 1)])  # a line feed follows each text
-        first_word = np.searchsorted(starts, offsets)
+        words = hasher.of(body, sizes)
         ids = np.array([LAST if i is None else i for i in row["doc_ids"]], np.int64)
-        return cls(ids, words, np.repeat(np.arange(len(ids)), np.diff(first_word)), first_word, window, buckets)
+        return cls(ids, words.hashes, np.repeat(np.arange(len(ids)), np.diff(words.first)), words.first, window, buckets)
 
     @property
     def block(self) -> int:
