@@ -47,16 +47,26 @@ def rate_by(
     )
 
 
+def _looked_up_in_place(lookup: DataFrame) -> bool:
+    """Does the engine's own estimate of ``lookup`` lie below its threshold for broadcast joins?"""
+    threshold = lookup.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    estimate = int(str(lookup._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return estimate <= threshold
+
+
 def _counts_per_group(
     facts: DataFrame, fact_key: str, dim: DataFrame, dim_key: str, group: str, counts: dict[str, Column]
 ) -> DataFrame:
     """Counts of fact rows per ``group`` of the matching ``dim`` rows, as a plain join gives.
 
-    The facts are counted per join key first, so a key that holds a third of them joins as one
-    row and the join reuses the partitioning. Duplicate ``dim`` rows multiply the counts.
+    Next to a ``dim`` that the engine would broadcast, the facts are joined where they are read and only groups move. Else they
+    are counted per join key first, so a key that holds a third of them joins as one row and the join reuses the
+    partitioning. The result is the same; duplicate ``dim`` rows multiply the counts.
     """
     keyed = facts.where(F.col(fact_key).isNotNull()).withColumnRenamed(fact_key, "_key")
     lookup = dim.select(F.col(dim_key).alias("_key"), F.col(group).alias("_group"))
+    if _looked_up_in_place(lookup):
+        return keyed.join(lookup, "_key").groupBy(F.col("_group").alias(group)).agg(*[c.alias(n) for n, c in counts.items()])
     per_key = keyed.groupBy("_key").agg(*[c.alias(n) for n, c in counts.items()])
     joined = per_key.join(lookup, "_key")
     return joined.groupBy(F.col("_group").alias(group)).agg(*[F.sum(n).alias(n) for n in counts])

@@ -3,8 +3,9 @@
 ``audit_fused`` is the form to run. Per key domain (a parent table and its key), children and
 parent contribute narrow counter rows to a single ``groupBy`` on the key, so duplicates, orphans
 and matched totals share one shuffle, nothing is joined, and a hot or missing key shrinks to one
-row per task before it moves. Plain counts and totals of a table ride along in a domain that
-reads the table anyway; only tables without a domain get an aggregate of their own.
+row per task before it moves. A table is scanned once: each of its rows unfolds into a row for every domain it feeds, and
+the rows of all domains meet in one aggregate by domain and key. Plain counts and totals of a table ride along in a domain that
+reads the table anyway; a table in no domain has one without a key.
 
 ``audit_by_branch`` answers each check on its own with joins and scalar subqueries. It is
 the plain reading of the catalogue, kept for single checks and to verify the fused form.
@@ -12,13 +13,13 @@ the plain reading of the catalogue, kept for single checks and to verify the fus
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, DataType, DoubleType, FloatType, StringType, StructType, TimestampType
 
 from ..functions import exact_total
 from ..functions.numbers import join_parts, total_parts, total_struct_text
@@ -159,53 +160,60 @@ _Part = tuple[str, tuple[str, ...]]  # a table and its key columns
 
 @dataclass
 class _Domain:
-    """Counter columns each table adds to the keyed aggregate of one parent key.
+    """Counters that tables add to the rows of one parent key.
 
-    Everything is SQL text. ``parts`` holds, per table and its key columns, each counter's
-    per-row value and the condition for a row to matter to it (None: every row does).
-    ``facts`` holds global aggregates over one row of counters per key.
+    Everything is SQL text. ``parts`` holds, per table and its key columns, each counter's per-row value and the condition
+    for a row to matter to it (None: every row does). Counters are numbered columns, whole (n0, n1, ...) or not (r0, ...);
+    domains use the same columns, so they can share an aggregate. ``facts`` holds aggregates over one row of counters per key.
     """
 
-    parent: str
+    number: int
     keys: tuple[str, ...]
     parts: dict[_Part, dict[str, tuple[str, str | None]]] = field(default_factory=dict)
     facts: dict[str, str] = field(default_factory=dict)
     _names: dict[tuple, str] = field(default_factory=dict)
 
-    def key_names(self) -> list[str]:
-        return [f"k{i}" for i in range(len(self.keys))]
-
     def has_key(self) -> str:
-        return " AND ".join(f"{k} IS NOT NULL" for k in self.key_names())
+        return " AND ".join(f"k{i} IS NOT NULL" for i in range(len(self.keys)))
+
+    def sum(self, value: str) -> str:
+        return f"sum({value}) FILTER (WHERE domain = {self.number})"
 
-    def counter(self, table: str, keys: tuple[str, ...], value: str, condition: str | None) -> str:
+    def counter(self, table: str, keys: tuple[str, ...], value: str, condition: str | None, kind: str = "n") -> str:
         """Register a per-row value once; the name holds its sum (NULL when absent)."""
-        name = self._names.setdefault((table, keys, value), f"n{len(self._names)}")
+        taken = sum(name[0] == kind for name in self._names.values())
+        name = self._names.setdefault((table, keys, value), f"{kind}{taken}")
         self.parts.setdefault((table, keys), {})[name] = (value, condition)
         return name
 
+    def total(self, table: str, keys: tuple[str, ...], amount: str) -> tuple[str, str, str]:
+        """The counters of an amount's high and low parts and of its rest."""
+        there = f"({amount}) IS NOT NULL"
+        high, low, rest = total_parts(amount)
+        return (
+            self.counter(table, keys, high, there), self.counter(table, keys, low, there),
+            self.counter(table, keys, rest, there, "r"),
+        )
+
     def count(self, table: str, keys: tuple[str, ...], *conditions: str | None) -> str:
         kept = " AND ".join(f"({c})" for c in conditions if c is not None)
         one = f"CASE WHEN {kept} THEN 1L END" if kept else "1L"
         return f"coalesce({self.counter(table, keys, one, kept or None)}, 0L)"
 
     def rows_that_count(self, table: str, keys: tuple[str, ...]) -> str | None:
-        """Condition under which a row adds to any counter; None when every row does.
-
-        It reaches the scan as a filter, so other rows are neither read nor shuffled.
-        """
-        conditions = [condition for _, condition in self.parts[table, keys].values()]
+        """Condition under which a row adds to any counter; None when every row does."""
+        conditions = list(dict.fromkeys(condition for _, condition in self.parts[table, keys].values()))
         return None if None in conditions else " OR ".join(f"({c})" for c in conditions)
 
 
 def _keyed_fact(measure: Measure, domain: _Domain) -> str:
-    """The measure as a global aggregate over the domain's counters."""
+    """The measure as an aggregate over the domain's counters."""
     has_key = domain.has_key()
     match measure:
         case Surplus(table, key):
             rows = domain.count(table, (key,))
             surplus = f"CASE WHEN {has_key} AND {rows} > 0 THEN {rows} - 1 ELSE {rows} END"
-            return _counted(f"coalesce(sum({surplus}), 0)")
+            return _counted(f"coalesce({domain.sum(surplus)}, 0)")
         case Unmatched(child, keys, parent, parent_keys, where, witness):
             rows = domain.count(child, keys)
             parents = domain.count(parent, parent_keys, where)
@@ -213,24 +221,22 @@ def _keyed_fact(measure: Measure, domain: _Domain) -> str:
             if witness is not None:
                 unvouched = domain.count(parent, parent_keys, where, f"{witness} IS NULL")
             weight = f"CASE WHEN NOT ({has_key}) OR {parents} = 0 THEN 1L ELSE {unvouched} END"
-            return _counted(f"coalesce(sum({rows} * {weight}), 0)")
+            return _counted(f"coalesce({domain.sum(f'{rows} * {weight}')}, 0)")
         case MatchedTotal(child, amount, keys, parent, parent_keys, where):
-            has_amount = f"({amount}) IS NOT NULL"
-            high, low, rest = (domain.counter(child, keys, part, has_amount) for part in total_parts(amount))
+            high, low, rest = domain.total(child, keys, amount)
             parents = domain.count(parent, parent_keys, where)
             matched = f"{has_key} AND {parents} > 0"
-            exact = f"sum(CASE WHEN {matched} THEN CAST({join_parts(high, low)} AS DECIMAL(28,4)) * {parents} END)"
-            return (
-                f"named_struct('exact', CAST({exact} AS {EXACT}), 'rest', sum(CASE WHEN {matched} THEN {rest} * {parents} END))"
-            )
+            exact = f"CASE WHEN {matched} THEN CAST({join_parts(high, low)} AS DECIMAL(28,4)) * {parents} END"
+            other = f"CASE WHEN {matched} THEN {rest} * {parents} END"
+            return f"named_struct('exact', CAST({domain.sum(exact)} AS {EXACT}), 'rest', {domain.sum(other)})"
     raise TypeError(f"not a keyed measure: {measure!r}")
 
 
 def _riding_fact(measure: Measure, domain: _Domain, keys: tuple[str, ...]) -> str:
-    """A measure that needs no key, as a global aggregate over a domain that reads its table by ``keys``."""
+    """A measure that needs no key, as an aggregate over a domain that reads its table by ``keys``. Filters become conditions."""
     match measure:
         case Rows(table, where):
-            return _counted(f"coalesce(sum({domain.count(table, keys, where)}), 0)")
+            return _counted(f"coalesce({domain.sum(domain.count(table, keys, where))}, 0)")
         case Total(table, amount, where):
             chosen = amount if where is None else f"CASE WHEN {where} THEN {amount} END"
         case MonthlyTotal(table, amount, day):
@@ -238,21 +244,8 @@ def _riding_fact(measure: Measure, domain: _Domain, keys: tuple[str, ...]) -> st
             chosen = f"CASE WHEN {day} IS NOT NULL THEN {amount} END"
         case _:
             raise TypeError(f"no such measure: {measure!r}")
-    high, low, rest = (domain.counter(table, keys, part, f"({chosen}) IS NOT NULL") for part in total_parts(chosen))
-    return f"named_struct('exact', {join_parts(f'sum({high})', f'sum({low})')}, 'rest', sum({rest}))"
-
-
-def _plain_fact(measure: Measure) -> tuple[str, str]:
-    """(table, aggregate) of a measure that needs no key. Filters become conditions."""
-    match measure:
-        case Rows(table, where):
-            return table, _counted("count(1)" if where is None else f"count_if({where})")
-        case Total(table, amount, where):
-            return table, total_struct_text(amount if where is None else f"CASE WHEN {where} THEN {amount} END")
-        case MonthlyTotal(table, amount, day):
-            # Adding up months is adding up their rows; only dated rows have a month.
-            return table, total_struct_text(f"CASE WHEN {day} IS NOT NULL THEN {amount} END")
-    raise TypeError(f"no such measure: {measure!r}")
+    high, low, rest = domain.total(table, keys, chosen)
+    return f"named_struct('exact', {join_parts(domain.sum(high), domain.sum(low))}, 'rest', {domain.sum(rest)})"
 
 
 def _text(value: str) -> str:
@@ -261,86 +254,105 @@ def _text(value: str) -> str:
     return f"'{escaped}'"
 
 
-def _as_facts(one_row: DataFrame, facts: Iterable[str]) -> DataFrame:
-    """A one-row aggregate as (fact, value) rows."""
-    pairs = ", ".join(f"struct({_text(name)} AS fact, {name} AS value)" for name in facts)
-    return one_row.selectExpr(f"inline(array({pairs}))")
+def _key_text(key: str, kind: DataType) -> str:
+    """A key as text, equal exactly where the keys are."""
+    match kind:
+        case StringType():
+            return key
+        case FloatType() | DoubleType():
+            return f"CAST({key} + 0 AS STRING)"  # one zero
+        case TimestampType():
+            return f"CAST(unix_micros({key}) AS STRING)"
+        case BinaryType():
+            return f"hex({key})"
+        case _:
+            return f"CAST({key} AS STRING)"
 
 
-def _one_row(df: DataFrame, facts: Mapping[str, str]) -> DataFrame:
-    columns = [F.expr(f"CAST({fact} AS {FACT_TYPE}) AS {name}") for name, fact in facts.items()]
-    return _as_facts(df.agg(*columns), facts)
+def _key_kinds(domain: _Domain, tables: Tables) -> list[DataType]:
+    """The type in which the keys of a domain's parts are compared, as a union of them has it."""
+    names = [f"k{i}" for i in range(len(domain.keys))]
+    keys = [tables[table].selectExpr(*[f"{k} AS {n}" for k, n in zip(part, names)]) for table, part in domain.parts]
+    return [f.dataType for f in reduce(DataFrame.union, keys).schema] if names else []
 
 
-def _counters(domain: _Domain, part: _Part, tables: Tables, names: Iterable[str]) -> DataFrame:
-    """The rows of one part: key columns and counters, NULL for those of other parts."""
-    table, keys = part
-    own = domain.parts[part]
-    return _filtered(tables[table], domain.rows_that_count(*part)).selectExpr(
-        *[f"{key} AS {name}" for key, name in zip(keys, domain.key_names())],
-        *[f"{own[name][0] if name in own else 'CAST(NULL AS BIGINT)'} AS {name}" for name in names],
-    )
+def _unfolded(table: str, domains: Sequence[_Domain], kinds: Mapping[int, list[DataType]], columns: Sequence[str], tables: Tables) -> DataFrame:
+    """One scan of a table: each row as a row for every domain it feeds, NULL in the columns of others.
 
+    Rows that count nowhere are left out by the scan's filter.
+    """
+    rows, conditions = [], []
+    for domain in domains:
+        for part, counters in domain.parts.items():
+            if part[0] != table:
+                continue
+            condition = domain.rows_that_count(*part)
+            conditions.append(condition)
+            number = f"{domain.number}" if condition is None else f"CASE WHEN {condition} THEN {domain.number} END"
+            values = {"domain": f"CAST({number} AS INT)"}
+            for i, (key, kind) in enumerate(zip(part[1], kinds[domain.number])):
+                values[f"k{i}"] = _key_text(f"CAST({key} AS {kind.simpleString()})", kind)
+            for name in columns[1:]:
+                kind = {"k": "STRING", "n": "BIGINT", "r": "DOUBLE"}[name[0]]
+                values.setdefault(name, f"CAST({counters[name][0] if name in counters else 'NULL'} AS {kind})")
+            rows.append(", ".join(f"{values[c]} AS {c}" for c in columns))
+    kept = None if None in conditions else " OR ".join(f"({c})" for c in conditions)
+    scanned = _filtered(tables[table], kept)
+    if len(rows) == 1:
+        return scanned.selectExpr(f"inline(array(struct({rows[0]})))")
+    unfolded = scanned.selectExpr(f"inline(array({', '.join(f'struct({r})' for r in rows)}))")
+    return unfolded.where("domain IS NOT NULL") if any(conditions) else unfolded
 
-def _per_key(rows: DataFrame, domain: _Domain, names: Iterable[str]) -> DataFrame:
-    return rows.groupBy(*domain.key_names()).agg(*[F.expr(f"sum({name}) AS {name}") for name in names])
 
+def _domains(measures: Mapping[Measure, str]) -> list[_Domain]:
+    """The measures by domain; duplicates are counted in any domain the table feeds by that key, plain ones in any it feeds at all."""
+    domains: dict[_Part, _Domain] = {}
 
-def _keyed_facts(domain: _Domain, tables: Tables) -> DataFrame:
-    """All facts of a domain from one aggregate on the key."""
-    names = [name for part in domain.parts.values() for name in part]
-    rows = reduce(DataFrame.union, [_counters(domain, part, tables, names) for part in domain.parts])
-    return _one_row(_per_key(rows, domain, names), domain.facts)
+    def domain_of(table: str, keys: tuple[str, ...]) -> _Domain:
+        return domains.setdefault((table, keys), _Domain(len(domains), keys))
 
+    def feeding(table: str, keys: tuple[str, ...] | None = None) -> tuple[_Domain, tuple[str, ...]] | None:
+        found = ((d, part) for d in domains.values() for name, part in d.parts if name == table and keys in (None, part))
+        return next(found, None)
 
-def _domains(measures: Mapping[Measure, str]) -> list[_Domain]:
-    """The keyed measures by domain; duplicates are counted in any domain the table feeds by that key."""
-    domains: dict[_Part, _Domain] = {}
+    keyed = (Unmatched, MatchedTotal)
     for measure, name in measures.items():
-        if not isinstance(measure, Surplus):
-            domain = domains.setdefault((measure.parent, measure.parent_keys), _Domain(measure.parent, measure.parent_keys))
+        if isinstance(measure, keyed):
+            domain = domain_of(measure.parent, measure.parent_keys)
             domain.facts[name] = _keyed_fact(measure, domain)
     for measure, name in measures.items():
         if isinstance(measure, Surplus):
-            part = (measure.table, (measure.key,))
-            feeding = [d for d in domains.values() if part in d.parts]
-            domain = feeding[0] if feeding else domains.setdefault(part, _Domain(*part))
+            domain, _ = feeding(measure.table, (measure.key,)) or (domain_of(measure.table, (measure.key,)), None)
             domain.facts[name] = _keyed_fact(measure, domain)
+    for measure, name in measures.items():
+        if not isinstance(measure, (*keyed, Surplus)):
+            domain, keys = feeding(measure.table) or (domain_of(measure.table, ()), ())
+            domain.facts[name] = _riding_fact(measure, domain, keys)
     return list(domains.values())
 
 
 def audit_fused(checks: Sequence[Check], tables: Tables) -> DataFrame:
-    """All checks from one aggregate per key domain, and one per table that is in none, scored."""
+    """All checks from one scan a table and one aggregate by domain and key, scored."""
     used = (m for c in checks for m in (c.expected, c.actual) if not isinstance(m, Constant))
     names = {measure: f"fact_{i}" for i, measure in enumerate(dict.fromkeys(used))}
-    keyed = {m: n for m, n in names.items() if isinstance(m, (Surplus, Unmatched, MatchedTotal))}
-    domains = _domains(keyed)
-    plain: dict[str, dict[str, str]] = {}
-    for measure, name in names.items():
-        if measure in keyed:
-            continue
-        # The parts are listed first: a riding measure adds counters to one of them.
-        reading = [(d, keys) for d in domains for table, keys in list(d.parts) if table == measure.table]
-        if reading:
-            domain, keys = reading[0]
-            domain.facts[name] = _riding_fact(measure, domain, keys)
-        else:
-            table, fact = _plain_fact(measure)
-            plain.setdefault(table, {})[name] = fact
-
-    branches = [_one_row(tables[table], facts) for table, facts in plain.items()]
-    branches += [_keyed_facts(domain, tables) for domain in domains]
-    facts = reduce(DataFrame.union, branches)
-
-    # One row per measure is left; fold them into one row and spread it over the checks.
-    folded = [F.expr(f"any_value(value) FILTER (WHERE fact = {_text(n)}) AS {n}") for n in names.values()]
     rows = [
         f"struct({_text(c.check_type)} AS check_type, {_text(c.check_name)} AS check_name,"
         f" {_text(c.description)} AS description, {_fact(c.expected, names)} AS expected,"
         f" {_fact(c.actual, names)} AS actual)"
         for c in checks
     ]
-    return score(facts.agg(*folded).selectExpr(f"inline(array({', '.join(rows)}))"))
+    domains = _domains(names)
+    kinds = {d.number: _key_kinds(d, tables) for d in domains}
+    counters = sorted({name for d in domains for part in d.parts.values() for name in part}, key=lambda n: (n[0], int(n[1:])))
+    keys = [f"k{i}" for i in range(max((len(d.keys) for d in domains), default=0))]
+    scanned = dict.fromkeys(table for d in domains for table, _ in d.parts)
+    if scanned:
+        unfolded = [_unfolded(table, domains, kinds, ["domain", *keys, *counters], tables) for table in scanned]
+        per_key = reduce(DataFrame.union, unfolded).groupBy("domain", *keys).agg(*[F.expr(f"sum({c}) AS {c}") for c in counters])
+        facts = per_key.agg(*[F.expr(f"CAST({fact} AS {FACT_TYPE}) AS {name}") for d in domains for name, fact in d.facts.items()])
+    else:
+        facts = SparkSession.active().range(1, numPartitions=1)
+    return score(facts.selectExpr(f"inline(array({', '.join(rows)}))"))
 
 
 def _fact(measure: Measure, names: Mapping[Measure, str]) -> str:

@@ -111,7 +111,7 @@ def test_orphans_and_members(spark):
 
 @pytest.mark.parametrize("threshold", ["-1", "10MB"])
 def test_hot_join_key(spark, tmp_path, threshold):
-    """A third of the facts on one key: counted before a shuffled join, or joined in place."""
+    """A third of the facts on one key: counted before a shuffled join, or joined in place; the same counts either way."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:

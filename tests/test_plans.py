@@ -115,6 +115,8 @@ def test_only_bounded_frames_are_broadcast(stored, settings):
             assert "TakeOrderedAndProject" in side
 
 
-def test_audit_reads_a_table_once_per_key(stored):
+def test_audit_reads_a_table_once_and_shuffles_by_key_once(stored):
     text = plan(audit.audit_fused(recruiting.CHECKS, stored))
-    assert text.count("FileScan") <= 16
+    assert text.count("FileScan") == 7
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("Exchange") == 2
+    assert "partial_sum" in text[text.index("Exchange hashpartitioning"):]
