@@ -141,6 +141,24 @@ def _csv_loaded(table: str) -> Query:
     return query
 
 
+def _csv_loaded_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents through a CSV whose texts hold line breaks and quotes, read in splits."""
+    exported = fresh_folder(spark, "csv")
+    documents = star.read_tables(spark, folder)["documents"].select("doc_id", "text", "n_chars")
+    path = csv_files.write_csv(documents, exported, "documents", multiline=True)
+    loaded = csv_files.read_csv(spark, path, documents.schema, missing=[], multiline=True)
+    return loaded.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"), "n_chars")
+
+
+def _csv_inferred_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders through a CSV read without a schema."""
+    exported = fresh_folder(spark, "csv")
+    orders = star.read_tables(spark, folder)["orders"]
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    path = csv_files.write_csv(orders.select(*columns, F.to_date("o_orderdate").alias("o_orderday")), exported, "orders")
+    return csv_files.read_csv(spark, path)
+
+
 def _load_stamps(spark: SparkSession, folder: str) -> DataFrame:
     """Different load stamps per table, and rows without one."""
     namespace, _ = _load_hiring_csv(spark, folder)
@@ -351,6 +369,8 @@ def queries() -> dict[str, Query]:
         "csv_loaded_vacancies": _csv_loaded("vacancies"),
         "csv_loaded_sales_deals": _csv_loaded("sales_deals"),
         "csv_loaded_marketing_daily": _csv_loaded("marketing_daily"),
+        "csv_loaded_documents": _csv_loaded_documents,
+        "csv_inferred_orders": _csv_inferred_orders,
         "csv_load_stamps": _load_stamps,
         "table_replaced": _table_replaced,
         "table_kept_when_replacing_fails": _table_kept,

@@ -70,6 +70,9 @@ WHERE EXISTS (SELECT 1 FROM labels AS l WHERE l.doc_id = d.doc_id)""",
         "csv_loaded_vacancies": f"{hiring_sql.BASE} SELECT * FROM vacancies",
         "csv_loaded_sales_deals": f"{hiring_sql.BASE} SELECT * FROM sales_deals",
         "csv_loaded_marketing_daily": f"{hiring_sql.BASE} SELECT * FROM marketing_daily",
+        "csv_loaded_documents": "SELECT doc_id, md5(coalesce(text, '')) AS text_md5, n_chars FROM documents",
+        "csv_inferred_orders": """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, strftime(o_orderdate, '%Y-%m-%d') AS o_orderday FROM orders""",
         "table_replaced": "SELECT o_orderstatus, count(*) AS orders FROM orders GROUP BY 1",
         "table_replaced_by_month": f"""
 SELECT {sql.month('o_orderdate')} AS order_month, count(*) AS orders, min(o_orderkey) AS first_order, max(o_orderkey) AS last_order

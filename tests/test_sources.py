@@ -1,7 +1,11 @@
 """CSV folders and stored tables."""
 
+import random
+
+import pandas
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hirelattice.schemas import BASE_TABLES
 from hirelattice.session import fresh_folder, shared_folder
@@ -53,10 +57,76 @@ def test_multiline_fields(spark, folder):
     assert df.first().company_name == "two\nlines"
 
 
-def test_unlisted_tables_infer_numbers_but_no_dates(spark, folder):
-    (folder / "extra.csv").write_text("a,b,c,d\n1,2.5,2025-01-31,x\n2,,2025-02-01 10:00:00,\n")
+def one_task(spark, path, names):
+    """The engine's own read of a file in one task."""
+    return spark.read.options(header="true", quote='"', escape='"', multiLine="true", mode="FAILFAST", emptyValue="").csv(path).select(names)
+
+
+@pytest.mark.parametrize("split", ["37", "400"])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_quoted_line_breaks_are_read_in_many_tasks(spark, folder, split, end):
+    """Whatever the splits: at any byte, inside quotes, between doubled quotes, in the middle of long fields."""
+    rng = random.Random(4)
+    rows = [[f"r{i}"] + ["".join(rng.choice('ab,"\n é') for _ in range(rng.randrange(1, 12))) for _ in range(3)] for i in range(60)]
+    rows[7][2], rows[8][1], rows[9][3] = "\n\n\n", '"\n"', "x" * 300 + "\n" + "y" * 300
+    quoted = lambda t: '"' + t.replace('"', '""') + '"'
+    file = folder / "t.csv"
+    file.write_bytes(("id,a,b,c" + end + end.join(",".join([r[0], *map(quoted, r[1:])]) for r in rows) + end).encode())
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "a", "b", "c")])
+    sizes = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {key: spark.conf.get(key) for key in sizes}
+    try:
+        for key in sizes:
+            spark.conf.set(key, split)
+        splits = spark.read.text(str(file)).rdd.getNumPartitions()
+        found = sorted(collected(csv_files.read_csv(spark, str(file), schema, missing=[], multiline=True)))
+    finally:
+        for key in sizes:
+            spark.conf.set(key, before[key])
+    assert splits > 4
+    assert found == sorted(tuple(r) for r in rows)
+    assert found == sorted(collected(one_task(spark, str(file), ["id", "a", "b", "c"])))
+
+
+def test_multiline_headers_and_field_counts_are_checked(spark, folder):
+    names = ("client_id", "company_name", "industry", "country", "signed_at")
+    for name, body in {
+        "header": "client_id,industry,company_name,country,signed_at\nc,a,b,d,2025-01-31\n",
+        "more": ",".join(names) + "\nc,a,b,d,2025-01-31,extra\n",
+        "fewer": ",".join(names) + '\nc,"a\nb"\n',
+    }.items():
+        (folder / f"{name}.csv").write_text(body)
+        with pytest.raises(Exception):
+            csv_files.read_csv(spark, str(folder / f"{name}.csv"), BASE_TABLES["clients"], multiline=True).collect()
+    parts = folder / "parts.csv"
+    parts.mkdir()
+    for k in range(3):  # each part file has its header
+        (parts / f"part-{k}.csv").write_text(",".join(names) + f'\nc_{k},"two\nlines",a,,\n\n')
+    out = csv_files.read_csv(spark, str(parts), BASE_TABLES["clients"], multiline=True)
+    assert sorted(collected(out)) == [(f"c_{k}", "two\nlines", "a", None, None) for k in range(3)]
+
+
+def test_types_of_unlisted_tables(spark, folder):
+    """The narrowest type of all values, as a data frame library on one machine gives them."""
+    columns = {
+        "whole": ["1", "-2", "+3", "007"], "gaps": ["1", "", "3", "NA"], "number": ["1", "2.5", "1e3", ".5"], "truth": ["True", "false", "TRUE", "False"],
+        "truth_gap": ["True", "", "False", "True"], "mixed": ["1", "x", "2", "3"], "truth_number": ["True", "1", "0", "1"], "empty": ["", "", "", ""],
+        "day": ["2025-01-31", "2025-02-01", "", "2025-02-02"], "large": ["9223372036854775808", "1", "2", "3"], "infinite": ["inf", "-inf", "1", "2"],
+        "padded": [" 1", "2 ", "3", "4"],
+    }
+    lines = [",".join(columns)] + [",".join(c[i] for c in columns.values()) for i in range(4)]
+    (folder / "extra.csv").write_text("\n".join(lines) + "\n")
     df = csv_files.read_csv(spark, str(folder / "extra.csv"))
-    assert [f.dataType.simpleString() for f in df.schema] == ["int", "double", "string", "string"]
+    kinds = {"int64": "bigint", "float64": "double", "bool": "boolean", "object": "string", "str": "string", "uint64": "double"}
+    by_pandas = {name: kinds[str(kind)] for name, kind in pandas.read_csv(folder / "extra.csv").dtypes.items()}
+    assert dict(df.dtypes) == by_pandas
+    assert [r.whole for r in df.collect()] == [1, -2, 3, 7]
+    assert [r.padded for r in df.collect()] == [1, 2, 3, 4]
+    assert [r.infinite for r in df.collect()] == [float("inf"), float("-inf"), 1.0, 2.0]
+    (folder / "none.csv").write_text("a,b\n")
+    assert csv_files.read_csv(spark, str(folder / "none.csv")).collect() == []
+    (folder / "lines.csv").write_text('a,b\n1,"x\ny"\n2,z\n')
+    assert collected(csv_files.read_csv(spark, str(folder / "lines.csv"), multiline=True)) == [(1, "x\ny"), (2, "z")]
 
 
 def test_discovery(spark, folder):
