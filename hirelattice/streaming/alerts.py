@@ -1,15 +1,18 @@
-"""Alerts as a stream: every published summary passes the same rule exactly once.
+"""Alerts as a stream: every run that fails is alerted once.
 
-The batch functions for the rule and the text apply unchanged to a streaming frame. The
-rule keeps no state, so there is no watermark; progress lives in the checkpoint folder.
+The batch functions for the rule and the text apply unchanged to a streaming frame. A summary may be published again (a retried
+run, a copied file), so the stream remembers the failing runs it has seen. The clock of that memory is the time of the
+micro-batch that reads a summary, which a repeated batch keeps: no summary is ever too late, and a run is forgotten once the
+watermark has passed it by the bound. Progress and state live in the checkpoint folder.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.runs import alert_message
+from ..plans.runs import alert_message, needs_alert
 from ..schemas import PAYLOAD
 
 
@@ -22,10 +25,16 @@ def summary_stream(spark: SparkSession, folder: str) -> DataFrame:
     return spark.readStream.schema(PAYLOAD).json(folder)
 
 
-def start_alerts(summaries: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
-    """Write the alert of each failing summary to ``folder`` and stop when caught up."""
+def once_per_run(summaries: DataFrame, remembered: str) -> DataFrame:
+    """Failing summaries, the first of each run; a run is remembered for at least that long."""
+    seen = summaries.where(needs_alert()).withColumn("_seen_at", F.current_timestamp())
+    return seen.withWatermark("_seen_at", remembered).dropDuplicatesWithinWatermark(["run_id"]).drop("_seen_at")
+
+
+def start_alerts(summaries: DataFrame, folder: str, checkpoint: str, remembered: str = "1 day") -> StreamingQuery:
+    """Write the alert of each failing run to ``folder`` and stop when caught up."""
     return (
-        alert_message(summaries)
+        alert_message(once_per_run(summaries, remembered))
         .writeStream.format("parquet")
         .option("path", folder)
         .option("checkpointLocation", checkpoint)

@@ -1,6 +1,7 @@
 """Validation runs, the run log, summaries, alerts and the alert stream."""
 
 import json
+import time
 from datetime import datetime, timezone
 
 import pytest
@@ -164,3 +165,30 @@ def test_alert_stream_sends_each_failure_once(spark, stream_folders):
     alerts.publish_summary(runs.summarise_error(spark, "boom", "third", "agency"), published)
     assert catch_up() == ["first", "third"]
     assert catch_up() == ["first", "third"]
+
+
+def test_a_summary_published_twice_alerts_once(spark, stream_folders):
+    published, sent, progress = stream_folders
+    payload = runs.summarise(audit_rows(spark, [("t", "n", 0.0, 1.0, "FAIL")]), "run", "agency")
+
+    def catch_up(remembered="1 day"):
+        query = alerts.start_alerts(alerts.summary_stream(spark, published), sent, progress, remembered)
+        query.awaitTermination()
+        return query.lastProgress["stateOperators"][0]["numRowsTotal"], spark.read.parquet(sent).count()
+
+    for _ in range(2):  # twice in one batch, then in a later one
+        alerts.publish_summary(payload, published)
+    assert catch_up()[1] == 1
+    alerts.publish_summary(payload, published)
+    assert catch_up() == (1, 1)
+
+
+def test_old_runs_are_forgotten(spark, stream_folders):
+    published, sent, progress = stream_folders
+    for run in ("a", "b", "c"):
+        alerts.publish_summary(runs.summarise_error(spark, "boom", run, "agency"), published)
+        query = alerts.start_alerts(alerts.summary_stream(spark, published), sent, progress, "0 seconds")
+        query.awaitTermination()
+        time.sleep(0.2)
+    assert sorted(r.run_id for r in spark.read.parquet(sent).collect()) == ["a", "b", "c"]
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] < 3
