@@ -32,7 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hirelattice.llm.common import slices
+from hirelattice.llm.common import held, slices
+from hirelattice.llm.words import Grown, Known, WordHashes
 from hirelattice.session import materialise
 
 LIMIT = 4096
@@ -40,7 +41,7 @@ END = struct.pack("<I", 1)
 GROUP_PIECES = 40_000  # pieces that one task packs at once
 ORDERED_PIECES = 2_048  # the same where the order is kept: how far apart the pieces of a sequence may be
 ORDERED_ROWS = 1_024  # documents of a file that are numbered at once
-CACHED_WORDS, CACHED_CHUNKS = 600_000, 400_000  # bound the memory of a worker (about 250 MB), not the result
+KNOWN_STRINGS, KNOWN_IDS = 600_000, 4_000_000  # bound the memory of a worker (about 50 MB), not the result
 #: Bins with less fill than this are packed again with those of other groups.
 GOOD_FILL = 0.99
 
@@ -49,11 +50,32 @@ PLAIN = re.compile("[^\t\n\r\x20-\x7e¡-±´-¸º»¿-ɏ]")
 TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 
 
+class IdLists:
+    """Lists of ids by hash, in a few arrays."""
+
+    def __init__(self) -> None:
+        self.known, self.upto, self.ids = Known(), Grown((), np.int64), Grown((), "<u4")
+        self.upto.add(np.zeros(1, np.int64))
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Rows for new, ascending hashes, whose lists stand in ``ids`` and end there."""
+        self.upto.add(self.ids.size + ends)
+        self.ids.add(ids)
+        return self.known.add(hashes)
+
+    def of(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lists of rows one after the other, and where each ends."""
+        upto = self.upto.values
+        begins, counts = upto[rows], upto[rows + 1] - upto[rows]
+        ends = np.cumsum(counts)
+        return self.ids.values[np.repeat(begins - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)], ends
+
+
 class Encoder:
-    """Token ids of texts as little-endian 32-bit numbers; words and chunks seen before are looked up.
+    """Token ids of texts; words and blank-separated strings seen before are looked up by their hash.
 
     The tokenizer lower-cases, drops white space and encodes each word on its own, so a text's ids are those
-    of its blank-separated chunks in a row, and a chunk's those of its words.
+    of its blank-separated strings in a row, and a string's those of its words.
     """
 
     def __init__(self, definition: str) -> None:
@@ -64,61 +86,64 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # of words
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.hasher = WordHashes()
+        self._forget()
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def _forget(self) -> None:
+        self.strings, self.words = IdLists(), IdLists()
 
-    def _learn_words(self, words: list[str]) -> None:
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _learn_words(self, hashes: np.ndarray, words: list[str]) -> np.ndarray:
         """Encode words in one text; each ends where a token ends a word."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
-        cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-        coded = ids.tobytes()
-        self.words.update((w, coded[a:b]) for w, a, b in zip(words, [0, *cuts], cuts, strict=False))
-
-    def _learn(self, chunks: set[str]) -> None:
-        if len(self.words) > CACHED_WORDS:
-            self.words = {}
-        cut = []
-        for chunk in chunks:
-            core = chunk.rstrip(".,;:!?")  # one word and at most one run of marks, as most chunks are
-            if core.isalpha():
-                cut.append((core, chunk[len(core):]) if len(core) < len(chunk) else (core,))
+        ids = self._whole(" ".join(words))
+        return self.words.add(hashes, ids, np.flatnonzero(self.ends[ids]) + 1)
+
+    def _learn(self, hashes: np.ndarray, strings: list[bytes]) -> np.ndarray:
+        """Put the ids of strings together from those of their words."""
+        from xxhash import xxh3_64_intdigest
+
+        every: list[str] = []
+        upto = []
+        for string in strings:
+            text = string.decode().lower()
+            core = text.rstrip(".,;:!?")  # one word and at most one run of marks, as most strings are
+            if not core.isalpha():
+                every += TOKEN.findall(text)
+            elif len(core) < len(text):
+                every += (core, text[len(core):])
             else:
-                cut.append(tuple(TOKEN.findall(chunk)))
-        fresh = list({w for words in cut for w in words}.difference(self.words))
-        if fresh:
-            self._learn_words(fresh)
-        known = self.words.__getitem__
-        self.chunks.update((c, b"".join(map(known, words))) for c, words in zip(chunks, cut, strict=True))
+                every.append(core)
+            upto.append(len(every))
+        hashed = np.fromiter(map(xxh3_64_intdigest, every), np.uint64, len(every))
+        keys, sample, place = np.unique(hashed, return_index=True, return_inverse=True)
+        rows = self.words.known.find(keys)
+        fresh = np.flatnonzero(rows < 0)
+        if len(fresh):
+            rows[fresh] = self._learn_words(keys[fresh], [every[i] for i in sample[fresh].tolist()])
+        ids, ends = self.words.of(rows[place])
+        return self.strings.add(hashes, ids, np.concatenate([[0], ends])[upto])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.chunks) > CACHED_CHUNKS:
-            self.chunks = {}
-        cut: list[list[str] | None] = []
-        fresh: set[str] = set()
-        for text in texts:
-            if text and (PLAIN.search(text) or "<|" in text):  # other characters, special tokens
-                cut.append(None)
-            else:
-                cut.append(text.lower().split() if text else [])
-                fresh.update(set(cut[-1]).difference(self.chunks))
-        self._learn(fresh)
-        known = self.chunks.__getitem__
-        return [self._whole(t) if c is None else b"".join(map(known, c)) for t, c in zip(texts, cut, strict=True)]
-
-
-_ENCODERS: dict[int, Encoder] = {}
+        """The ids of each text as little-endian 32-bit numbers."""
+        if len(self.strings.known) > KNOWN_STRINGS or len(self.words.known) > KNOWN_STRINGS or self.strings.ids.size > KNOWN_IDS:
+            self._forget()
+        odd = [bool(t) and (PLAIN.search(t) is not None or "<|" in t) for t in texts]  # other characters, special tokens
+        words = self.hasher.of_texts([b"" if o or not t else t.encode() for t, o in zip(texts, odd, strict=True)])
+        hashes, sample, place = np.unique(words.hashes, return_index=True, return_inverse=True)
+        rows = self.strings.known.find(hashes)
+        fresh = np.flatnonzero(rows < 0)
+        if len(fresh):
+            rows[fresh] = self._learn(hashes[fresh], words.strings(sample[fresh]))
+        ids, ends = self.strings.of(rows[place])
+        cuts = np.concatenate([[0], ends])[words.first].tolist()
+        return [self._whole(t).tobytes() if o else ids[a:b].tobytes() for t, o, a, b in zip(texts, odd, cuts, cuts[1:], strict=False)]
 
 
 def _encoder(definition: str) -> Encoder:
     """The encoder of this worker process, kept from task to task."""
-    key = zlib.crc32(definition.encode())
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(definition)
-    return _ENCODERS[key]
+    return held("encoder", zlib.crc32(definition.encode()), build=lambda: Encoder(definition))
 
 
 def _stands_at(documents: DataFrame) -> tuple[Column, Column]:
@@ -139,7 +164,7 @@ def token_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(definition)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", rows=2048, size=4 << 20):
             row, piece, start, length, crc, ids = [], [], [], [], [], []
             for i, coded in enumerate(encoder.encode(batch.column("text").to_pylist())):
                 coded += END
