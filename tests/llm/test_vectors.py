@@ -1,5 +1,8 @@
 """Top-k search and near-duplicate vectors against brute force."""
 
+import math
+from fractions import Fraction
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -43,7 +46,9 @@ def test_topk_odd_rows(spark, odd):
     got = {}
     for r in topk.search(odd, F.col("vec_id") % 50 == 0).collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
-    assert set(got) == {0, 50, 100, 200}  # 150 has a component too large for integer scores
+    assert set(got) == {0, 50, 100, 150, 200}
+    # 150 has a component of 3e38: all its scores are too large for a long, but for those against a zero weight there
+    assert [x[1:] for x in sorted(got[150])] == [(7, 0), (100, 0)]
     a = np.floor(256 * np.array([0.5, 0.25, -0.75])).astype(int)
     own = int(a @ a)
     assert [x[1:] for x in sorted(got[0])] == [(1, int(a @ np.floor([128, 256 * 0.26, -192]))), (2, own + 2 * 64), (8, own), (50, own), (50, own)]
@@ -52,6 +57,26 @@ def test_topk_odd_rows(spark, odd):
     assert [x[1] for x in sorted(got[100])] == [0, 1, 2, 7, 8]
 
 
+@pytest.mark.parametrize("bits", [20, 28, 30, 45, 60, 900])
+def test_topk_scores_are_exact_at_any_size(spark, bits):
+    """64 components of 2^20 to 2^900: sums that leave 53, 63 and all bits of a machine word."""
+    rng = np.random.default_rng(bits)
+    vectors = rng.uniform(-1, 1, (120, 64)) * 2.0**bits
+    vectors[::3] /= 2.0**bits  # small ones among them: mixed pairs
+    vectors[::5, 3:] = 0.0
+    kinds = schema(vec_id=T.LongType(), embedding=T.ArrayType(T.DoubleType()))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], kinds)
+    whole = [[math.floor(256 * Fraction(x)) for x in v] for v in vectors.tolist()]
+    expected = {}
+    for q in range(0, 120, 50):
+        scores = [(sum(a * b for a, b in zip(whole[q], whole[c])), c) for c in range(120) if c != q]
+        expected[q] = sorted(((s, c) for s, c in scores if -(1 << 63) <= s < 1 << 63), key=lambda x: (-x[0], x[1]))[:5]
+    found = {q: [] for q in expected}
+    for r in topk.search(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        found[r.query_id].append((r.score, r.vec_id))
+    assert found == expected
+
+
 def test_topk_empty(spark, odd):
     assert topk.search(odd.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
