@@ -17,7 +17,7 @@ from hirelattice.functions import (  # noqa: E402
     calendar_day, clip, days_between, month_of, padded_id, plain_number, safe_ratio, trailing_number,
 )
 from hirelattice.operators import matching, metrics  # noqa: E402
-from hirelattice.plans import audit, hiring, recruiting, runs, star  # noqa: E402
+from hirelattice.plans import audit, growing, hiring, recruiting, runs, star  # noqa: E402
 from hirelattice.schemas import PAYLOAD  # noqa: E402
 from hirelattice.session import fresh_folder  # noqa: E402
 from hirelattice.sources import csv_files, tables  # noqa: E402
@@ -215,6 +215,39 @@ def _run_log_appended_once(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(table).select("run_id", "status", "checks_total", "checks_failed", "error_message")
 
 
+# --- tables that grow ---------------------------------------------------------------------
+
+
+def _monthly_revenue_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """Monthly revenue from kept states: half of the placements at first, one month wrong; the rest appended, the month replaced."""
+    placements = hiring.stored_tables(spark, folder)["placements"]
+    namespace = _scratch_namespace(spark)
+    kept = growing.MonthlyTotals(spark, f"{namespace}.placements", f"{namespace}.months", "placed_at", "placement_fee_usd")
+    early, wrong = F.col("placed_at") < F.lit("1996-01-01").cast("date"), F.trunc("placed_at", "YEAR") == F.lit("1995-01-01").cast("date")
+    kept.build(placements.where(early).withColumn("placement_fee_usd", F.when(wrong, 1.0).otherwise(F.col("placement_fee_usd"))))
+    kept.append(placements.where(~F.coalesce(early, F.lit(False))))
+    kept.replace_months(placements.where(wrong))
+    return kept.report(month="placement_month", counted="placements", total="revenue_usd", mean="avg_fee_usd")
+
+
+def _ids_on_growth(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders numbered in three batches by year, the second one twice: numbers go on, none changes."""
+    table = f"{_scratch_namespace(spark)}.orders"
+    orders = star.read_tables(spark, folder)["orders"].select("o_orderkey", F.year("o_orderdate").alias("o_year"))
+    for batch, rows in (("a", "o_year < 1994"), ("b", "o_year = 1994"), ("b", "o_year = 1994"), ("c", "o_year > 1994")):
+        growing.append_numbered(orders.where(rows), table, ["o_orderkey"], "order_id", "ord_", 6, batch)
+    return spark.table(table).select("order_id", "o_orderkey", "batch")
+
+
+def _recent_runs_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest runs of a log stored by day, from its newest days only."""
+    table = f"{_scratch_namespace(spark)}.runs"
+    log = star.run_log_from_events(star.read_tables(spark, folder)).withColumn("run_day", calendar_day("started_at"))
+    tables.replace_table(log.repartition("run_day"), table, ["run_day"])
+    columns = ["started_at", "run_type", "status", "checks_total", "checks_failed", "error_message"]
+    return growing.newest_rows(spark.table(table), "run_day", "started_at", "run_id", columns, runs.RECENT_RUNS)
+
+
 # --- validation runs ----------------------------------------------------------------------
 
 
@@ -379,6 +412,9 @@ def queries() -> dict[str, Query]:
         "table_kept_when_replacing_fails": _table_kept,
         "table_replaced_by_month": _table_replaced_by_month,
         "run_log_appended_once": _run_log_appended_once,
+        "monthly_revenue_kept": _monthly_revenue_kept,
+        "ids_on_growth": _ids_on_growth,
+        "recent_runs_by_day": _recent_runs_by_day,
         "audit_stamps": _audit_stamps,
         "run_log_success": _run_log_success,
         "run_error_log": _run_error_log,

@@ -101,6 +101,23 @@ def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), on
     df.write.mode("append").partitionBy(*partition_by).saveAsTable(current)
 
 
+def replace_partitions(df: DataFrame, table: str) -> None:
+    """Put the rows of ``df`` in place of all rows in their partitions of a stored table; other partitions stay.
+
+    The columns go by name. The partitions change when the write commits; ``df`` must not read the table.
+    """
+    spark = df.sparkSession
+    current = _versions(spark, table)[0]
+    columns = spark.table(current).columns  # an insert goes by position
+    mode = "spark.sql.sources.partitionOverwriteMode"  # an insert into a table takes it from the session only
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*columns).write.insertInto(current, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def read_namespace(spark: SparkSession, namespace: str, tables: list[str] | None = None) -> dict[str, DataFrame]:
     """The base tables of a namespace by name. A missing table is an error."""
     return {name: spark.table(f"{namespace}.{name}") for name in (tables or list(BASE_TABLES))}

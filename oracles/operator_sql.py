@@ -78,6 +78,11 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, strf
 SELECT {sql.month('o_orderdate')} AS order_month, count(*) AS orders, min(o_orderkey) AS first_order, max(o_orderkey) AS last_order
 FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1""",
         "run_log_appended_once": f"SELECT run_id, status, checks_total, checks_failed, error_message FROM {star_sql.RUN_LOG}",
+        "monthly_revenue_kept": hiring_sql.REPORTS["monthly_revenue"],
+        "recent_runs_by_day": star_sql.REPORTS["recent_runs"],
+        "ids_on_growth": """
+SELECT printf('ord_%06d', row_number() OVER (ORDER BY batch, o_orderkey)) AS order_id, o_orderkey, batch
+FROM (SELECT o_orderkey, CASE WHEN year(o_orderdate) < 1994 THEN 'a' WHEN year(o_orderdate) = 1994 THEN 'b' ELSE 'c' END AS batch FROM orders)""",
         "csv_load_stamps": f"{hiring_sql.BASE}\n" + "\nUNION ALL ".join(
             f"SELECT '{name}' AS \"table\", least(count(*), 1) AS stamps, 0::BIGINT AS unstamped FROM {name}"
             for name in recruiting.TABLES
