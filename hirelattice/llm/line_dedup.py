@@ -1,9 +1,8 @@
 """Line dedup with a deletion-neighbourhood join, in DataFrame operations only.
 
-Lines are compared without blanks at their ends; shorter ones than ``min_chars`` are never touched, but for exact copies if
-``min_exact`` asks for them. A line goes when an earlier line is within one edit (a character replaced, inserted or left out, or
-none: an exact copy). Lines are ordered by document id, then by place. With ``min_exact=1`` exact copies of all lines that are
-not blank go, and the floor holds for the near match only.
+Lines are compared without blanks at their ends. A line that is not blank goes when an equal line stands earlier, whatever its length
+(``min_exact``); one of at least ``min_chars`` also goes when an earlier line of that length is within one edit (a
+character replaced, inserted or left out). Lines are ordered by document id, then by place.
 
 1. Equal lines collapse to one row by a 128-bit hash; the earliest place stays with it.
 2. Two different lines within one edit share the half before or the half behind the edit. Lines without a partner by
@@ -15,24 +14,31 @@ not blank go, and the floor holds for the near match only.
    expanded into all its pairs.
 5. The edit distance of each pair is verified on the texts. The later line goes, and with it all its copies.
 
+Texts are cut into lines twice: once for the numbers of every line, which are written, and once for the texts of partnered lines.
+A place is one number (document id times 2^31 plus line), so all aggregates over lines are of fixed width.
+
 Defined results: a null text stays null; an empty text has one empty line; a document that loses all its lines keeps an
-empty text. A null ``doc_id`` comes last in the order. Rows that repeat id and text are at the same place: none removes the
+empty text. A null ``doc_id`` comes last in the order. Equal lines of rows with one id are at the same place: none removes the
 other. All columns of the input are kept as they are, but for ``text``; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hirelattice.llm.common import exact_key
+from hirelattice.llm.common import exact_key, parts_for
 from hirelattice.session import materialise
 
 BLANKS = " \t\r\x0b\x0c"
 MIN_CHARS = 10
 BLOCK = 64  # characters hashed as one
 LAST = (1 << 63) - 1
+HALVES = ["front", "back", "front_of_longer", "back_of_longer"]
 #: Up to so many partnered lines (16 bytes each) are looked up by broadcast; beyond, by a shuffled join.
 BROADCAST_LINES = 100_000
 
@@ -43,11 +49,11 @@ def _place(doc_id: Column) -> Column:
 
 def _lines(documents: DataFrame, min_chars: int) -> DataFrame:
     """place, t (a hash of the text), line_no, line, h1, h2 of every line long enough."""
-    exploded = documents.select(
-        _place(F.col("doc_id")).alias("place"), F.xxhash64("text").alias("t"),
-        F.posexplode(F.split("text", "\n")).alias("line_no", "raw"),
-    )
-    line = F.btrim("raw", F.lit(BLANKS))
+    # the text is hashed below the explosion, once a document and not once a line
+    places = documents.select(_place(F.col("doc_id")).alias("place"), F.xxhash64("text").alias("t"), "text")
+    exploded = places.select("place", "t", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
+    blank_ends = [side(F.col("raw"), F.lit(b)) for b in BLANKS for side in (F.startswith, F.endswith)]
+    line = F.when(reduce(or_, blank_ends), F.btrim("raw", F.lit(BLANKS))).otherwise(F.col("raw"))
     first, second = exact_key(F.col("line"))
     return (
         exploded.select("place", "t", "line_no", line.alias("line"))
@@ -55,7 +61,12 @@ def _lines(documents: DataFrame, min_chars: int) -> DataFrame:
     )
 
 
-def _half_keys(line: Column, size: Column) -> Column:
+def _at(place: Column, line_no: Column) -> Column:
+    """A line's place as one number."""
+    return (place.cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + line_no).cast("decimal(38,0)")
+
+
+def _half_keys(line: Column, size: Column) -> list[Column]:
     """Keys that two lines share if they are within one edit; the longer one's length says where the halves end."""
 
     def halves(longer: Column) -> list[Column]:
@@ -65,24 +76,19 @@ def _half_keys(line: Column, size: Column) -> Column:
             F.xxhash64(longer, F.lit("back"), F.substr(line, size - half + 1, half)),
         ]
 
-    return F.array(*halves(size), *halves(size + 1))
-
+    return [*halves(size), *halves(size + 1)]
 
-def _partnered(lines: DataFrame, min_chars: int) -> tuple[DataFrame, DataFrame]:
-    """All different lines with their earliest place, and the hashes of those that share a half with another.
 
-    Lines under ``min_chars`` have no halves, so they meet exact copies only.
-    """
-    size = F.char_length("line")
-    halves = F.when(size >= min_chars, _half_keys(F.col("line"), size))
-    where = F.struct("place", "line_no", "t")
+def _partnered(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All different lines with their earliest place, and the hashes of those that share a half with another."""
     kinds = lines.groupBy("h1", "h2").agg(
-        F.min(where).alias("first"), F.count(F.lit(1)).alias("copies"), F.first(halves).alias("halves")
+        F.min(_at(F.col("place"), F.col("line_no"))).alias("first"), F.count(F.lit(1)).alias("copies"), *(F.min(k).alias(k) for k in HALVES)
     )
     kinds = materialise(kinds, "lines")
-    keyed = kinds.select("h1", "h2", F.explode("halves").alias("half"))
-    one = F.struct("h1", "h2")
-    shared = keyed.groupBy("half").agg(F.min(one).alias("low"), F.max(one).alias("high")).where("low <> high")
+    # lines too short for the near match have no halves
+    keyed = kinds.where(F.col(HALVES[0]).isNotNull()).select("h1", "h2", F.explode(F.array(*HALVES)).alias("half"))
+    low = keyed.groupBy("half").agg(*(f(h).alias(f"{f.__name__}_{h}") for h in ("h1", "h2") for f in (F.min, F.max)))
+    shared = low.where("min_h1 <> max_h1 OR min_h2 <> max_h2")
     partners = keyed.join(shared.select("half"), "half", "left_semi").select("h1", "h2").distinct()
     return kinds, materialise(partners, "partners")
 
@@ -96,7 +102,8 @@ def _variants(candidates: DataFrame) -> DataFrame:
     def hashed(text: Column) -> Column:
         return F.when(F.char_length(text) > 0, F.xxhash64("block", text)).otherwise(F.lit(0).cast("long"))
 
-    blocks = candidates.select(
+    # few bytes, but each becomes a row: dealt over all tasks, not over as many as the bytes ask for
+    blocks = candidates.repartition(parts_for(candidates), "h1", "h2").select(
         "h1", "h2", "first", F.char_length("line").alias("size"),
         F.posexplode(
             F.transform(
@@ -130,47 +137,50 @@ def _variants(candidates: DataFrame) -> DataFrame:
 
 
 def _near_pairs(variants: DataFrame) -> DataFrame:
-    """(a, b): hashes of an earlier and a later line that meet in a variant."""
-    line = F.struct("first", "h1", "h2")
-    cut = variants.where("left_out IS NOT NULL").select("variant", "left_out", line.alias("line"))
-    earliest = cut.groupBy("variant", "left_out").agg(F.min("line").alias("a"), F.max("line").alias("z")).where("a <> z")
-    replaced = cut.join(earliest, ["variant", "left_out"]).where("line <> a").select("a", F.col("line").alias("b"))
-    whole = variants.where("left_out IS NULL").select("variant", line.alias("other"))
-    inserted = cut.join(whole, "variant").select(F.least("line", "other").alias("a"), F.greatest("line", "other").alias("b"))
-    pairs = replaced.unionByName(inserted).where("a.first < b.first")
-    return pairs.select(
-        F.col("a.h1").alias("a1"), F.col("a.h2").alias("a2"), F.col("b.h1").alias("b1"), F.col("b.h2").alias("b2")
-    ).distinct()
-
-
-def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS, min_exact: int | None = None) -> DataFrame:
+    """(a, h1, h2): the place of an earlier line and the hashes of a later one that meet in a variant."""
+    cut = variants.where("left_out IS NOT NULL").select("variant", "left_out", "first", "h1", "h2")
+    earliest = cut.groupBy("variant", "left_out").agg(F.min("first").alias("a"), F.max("first").alias("z")).where("a < z")
+    replaced = cut.join(earliest, ["variant", "left_out"]).where("first > a").select("a", "h1", "h2")
+    whole = variants.where("left_out IS NULL").select(
+        "variant", F.col("first").alias("other"), F.col("h1").alias("o1"), F.col("h2").alias("o2")
+    )
+    met = cut.join(whole, "variant")
+    inserted = met.where("first < other").select(F.col("first").alias("a"), F.col("o1").alias("h1"), F.col("o2").alias("h2"))
+    left_out = met.where("first > other").select(F.col("other").alias("a"), "h1", "h2")
+    return replaced.unionByName(inserted).unionByName(left_out).distinct()
+
+
+def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS, min_exact: int = 1) -> DataFrame:
     """place, t, gone: per document (its place in the order and text hash) the numbers of the lines to remove."""
-    lines = _lines(documents, min_chars if min_exact is None else max(1, min(min_exact, min_chars)))
-    kinds, partners = _partnered(lines, min_chars)
+    texts = _lines(documents, max(1, min(min_exact, min_chars)))
+    size = F.char_length("line")
+    halves = [F.when(size >= min_chars, k).alias(n) for k, n in zip(_half_keys(F.col("line"), size), HALVES, strict=True)]
+    lines = materialise(texts.select("place", "t", "line_no", "h1", "h2", *halves), "line-numbers")
+    kinds, partners = _partnered(lines)
     few = partners.count() <= BROADCAST_LINES
-    texts = (
-        lines.select("h1", "h2", "line").join(F.broadcast(partners) if few else partners, ["h1", "h2"], "left_semi")
-        .groupBy("h1", "h2").agg(F.first("line").alias("line"))
+    found = (
+        texts.where(size >= min_chars).select("h1", "h2", "line")
+        .join(F.broadcast(partners) if few else partners, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
     )
-    candidates = materialise(texts.join(kinds.select("h1", "h2", "first"), ["h1", "h2"]), "partnered-lines")
+    candidates = materialise(found.join(kinds.select("h1", "h2", "first"), ["h1", "h2"]), "partnered-lines")
 
     pairs = materialise(_near_pairs(_variants(candidates)), "line-pairs")
-    text = candidates.select("h1", "h2", "line")
     verified = (
-        pairs.join(text.toDF("a1", "a2", "earlier"), ["a1", "a2"]).join(text.toDF("b1", "b2", "later"), ["b1", "b2"])
+        pairs.join(candidates.select("h1", "h2", F.col("line").alias("later")), ["h1", "h2"])
+        .join(candidates.select(F.col("first").alias("a"), F.col("line").alias("earlier")), "a")
         .where(F.levenshtein("earlier", "later", 1) >= 0)
     )
-    near = verified.select(F.col("b1").alias("h1"), F.col("b2").alias("h2"), F.lit(True).alias("near")).distinct()
+    near = verified.select("h1", "h2", F.lit(True).alias("near")).distinct()
     marked = (
         kinds.select("h1", "h2", "first", "copies").join(near, ["h1", "h2"], "left")
         .where("copies > 1 OR near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
     )
-    here = F.struct("place", "line_no", "t")
+    here = _at(F.col("place"), F.col("line_no"))
     gone = lines.select("place", "t", "line_no", "h1", "h2").join(marked, ["h1", "h2"]).where(F.col("near") | (here > F.col("first")))
     return gone.groupBy("place", "t").agg(F.collect_set("line_no").alias("gone"))
 
 
-def cleaned(documents: DataFrame, min_chars: int = MIN_CHARS, min_exact: int | None = None) -> DataFrame:
+def cleaned(documents: DataFrame, min_chars: int = MIN_CHARS, min_exact: int = 1) -> DataFrame:
     """row (the document as a struct), text (without the removed lines), n_lines and n_removed for every document."""
     gone = dropped_lines(documents, min_chars, min_exact)
     rows = documents.select(F.struct("*").alias("row"), _place(F.col("doc_id")).alias("place"), F.xxhash64("text").alias("t"))
@@ -190,15 +200,15 @@ def dedup_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return done.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in documents.columns))
 
 
-def report(documents: DataFrame, min_chars: int = MIN_CHARS, min_exact: int | None = None) -> DataFrame:
+def report(documents: DataFrame, min_chars: int = MIN_CHARS, min_exact: int = 1) -> DataFrame:
     """doc_id, n_lines, n_removed, text for every document."""
     done = cleaned(documents.select("doc_id", "text"), min_chars, min_exact)
     return done.select(F.col("row")["doc_id"].alias("doc_id"), "n_lines", "n_removed", "text")
 
 
-def removal_sql(table: str, min_chars: int = MIN_CHARS, min_exact: int | None = None) -> str:
+def removal_sql(table: str, min_chars: int = MIN_CHARS, min_exact: int = 1) -> str:
     """Common table expressions, ending in ``cleaned`` (doc_id, n_lines, n_removed, text)."""
-    least, near = (min_chars, "") if min_exact is None else (max(1, min(min_exact, min_chars)), f" WHERE size >= {min_chars}")
+    least = max(1, min(min_exact, min_chars))
     blanks = "chr(32) || chr(9) || chr(13) || chr(11) || chr(12)"
     return f"""
 raw_lines AS (
@@ -213,7 +223,7 @@ raw_lines AS (
   SELECT line, size, first, unnest([size, size, size + 1, size + 1]) AS longer,
     unnest(['front' || left(line, size // 2), 'back' || right(line, size // 2),
             'front' || left(line, (size + 1) // 2), 'back' || right(line, (size + 1) // 2)]) AS half
-  FROM kinds{near}
+  FROM kinds WHERE size >= {min_chars}
 ), near AS (
   SELECT DISTINCT b.line FROM halves a JOIN halves b USING (longer, half)
   WHERE a.first < b.first AND a.line <> b.line AND abs(a.size - b.size) <= 1
@@ -234,4 +244,3 @@ raw_lines AS (
 
 
 ORACLE = f"WITH {removal_sql('documents')} SELECT doc_id, n_lines, n_removed, text FROM cleaned"
-ORACLE_ANY_LENGTH = f"WITH {removal_sql('documents', min_exact=1)} SELECT doc_id, n_lines, n_removed, text FROM cleaned"

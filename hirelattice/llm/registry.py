@@ -55,5 +55,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_embedding_near_dedup": oracles.NEAR_VECTORS,
         "op7_mixing": mixing.ORACLE,
         "op8_line_dedup": line_dedup.ORACLE,
-        "op8_line_dedup_any_length": line_dedup.ORACLE_ANY_LENGTH,
+        "op8_line_dedup_any_length": line_dedup.ORACLE,
     }
