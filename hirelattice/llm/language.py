@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelattice.llm.common import held_out, slices
+from hirelattice.llm.common import held, held_out, slices
+from hirelattice.llm.words import Grown, Known, WordHashes
 from hirelattice.session import materialise
 
 UNKNOWN = "und"
@@ -33,7 +34,7 @@ WORD = re.compile(r"[^\W\d_]+")
 START = "▁"  # the vocabulary's mark for the start of a word
 UNSEEN = 0.01  # of the probability is spread evenly over all pieces, so pieces never seen favour no language
 SHORT = 40  # longer words take the scaled path, as their probabilities leave a double's range
-CACHED_WORDS = 250_000  # bounds the memory of a worker, not the result
+KNOWN_STRINGS = 400_000  # bounds the memory of a worker (about 60 MB), not the result
 
 
 @dataclass
@@ -170,6 +171,22 @@ def training_words(documents: DataFrame, max_documents: int) -> DataFrame:
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
+def _add_long(total: np.ndarray, word: str, lang: int, count: int, model: PieceModel) -> None:
+    """Add the expected uses of pieces in a long word, by a forward and a backward pass over logarithms."""
+    _, starts, ends, ids = (x.tolist() for x in _matches([word], model))
+    logs = [float(np.log(model.table[i, lang] if i >= 0 else model.other)) for i in ids]
+    forward, backward = (np.full(len(word) + 1, -np.inf) for _ in range(2))
+    forward[0] = backward[-1] = 0.0
+    matches = list(zip(starts, ends, logs, ids, strict=True))  # by start
+    for i, j, p, _ in matches:
+        forward[j] = np.logaddexp(forward[j], forward[i] + p)
+    for i, j, p, _ in reversed(matches):
+        backward[i] = np.logaddexp(backward[i], backward[j] + p)
+    for i, j, p, piece in matches:
+        if piece >= 0:
+            total[piece, lang] += count * np.exp(forward[i] + p + backward[j] - forward[-1])
+
+
 def _expected(model: PieceModel):
     """Expected uses of each piece by language, one array of them per task."""
 
@@ -178,7 +195,12 @@ def _expected(model: PieceModel):
         total = np.zeros_like(model.table)
         for batch in batches:
             rows = zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n")), strict=True)
-            usable = [(place[lang], START + word, n) for lang, word, n in rows if len(word) < SHORT]
+            usable = []
+            for lang, word, n in rows:
+                if len(word) < SHORT:
+                    usable.append((place[lang], START + word, n))
+                else:
+                    _add_long(total, START + word, place[lang], n, model)
             for at in range(0, len(usable), 4096):
                 some = usable[at:at + 4096]
                 words = [w for _, w, _ in some]
@@ -248,64 +270,52 @@ def train(documents: DataFrame, vocabulary: str, max_documents: int = 600, round
 # --- prediction -------------------------------------------------------------------------
 
 
-class _Rows(dict):
-    """Texts to rows of a growing table; texts seen for the first time wait in ``fresh``."""
-
-    def __init__(self, width: int) -> None:
-        super().__init__()
-        self.fresh: list[str] = []
-        self.table = np.zeros((1024, width))
-
-    def __missing__(self, text: str) -> int:
-        self[text] = row = len(self)
-        self.fresh.append(text)
-        return row
-
-    def settle(self, values) -> None:
-        """Fill the rows of the fresh texts."""
-        if self.fresh:
-            need = len(self)
-            if need > len(self.table):
-                grown = np.zeros((max(need, 2 * len(self.table)), self.table.shape[1]))
-                grown[:len(self.table)] = self.table
-                self.table = grown
-            self.table[need - len(self.fresh):need] = values(self.fresh)
-            self.fresh = []
-
-
 class Scorer:
-    """Log probabilities of texts. Words and blank-separated chunks seen before are looked up."""
+    """Log probabilities of texts. Words and blank-separated strings seen before are looked up by their hash."""
 
     def __init__(self, model: PieceModel) -> None:
         self.model, self.width = model, len(model.languages)
-        self.words, self.chunks = _Rows(self.width), _Rows(self.width + 1)
+        self.hasher = WordHashes()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.strings = Known(), Known()
+        self.word_values, self.string_values = Grown((self.width,), float), Grown((self.width + 1,), float)
 
-    def _of_words(self, words: list[str]) -> np.ndarray:
-        return word_log_probabilities(words, self.model)
+    def _of_strings(self, strings: list[str]) -> np.ndarray:
+        """Per string the sum over its words, and how many they are."""
+        from xxhash import xxh3_64_intdigest
 
-    def _of_chunks(self, chunks: list[str]) -> np.ndarray:
-        """Per chunk the sum over its words, and how many they are."""
-        split = [WORD.findall(c) for c in chunks]
-        at = np.fromiter((self.words[w] for ws in split for w in ws), np.int64)
-        self.words.settle(self._of_words)
+        split = [WORD.findall(s.lower()) for s in strings]
         counts = np.fromiter(map(len, split), np.int64, len(split))
-        out = np.zeros((len(chunks), self.width + 1))
+        every = [w for ws in split for w in ws]
+        hashed = np.fromiter((xxh3_64_intdigest(w) for w in every), np.uint64, len(every))
+        keys, sample, place = np.unique(hashed, return_index=True, return_inverse=True)
+        rows = self.words.find(keys)
+        fresh = np.flatnonzero(rows < 0)
+        if len(fresh):
+            self.word_values.add(word_log_probabilities([every[i] for i in sample[fresh].tolist()], self.model))
+            rows[fresh] = self.words.add(keys[fresh])
+        out = np.zeros((len(strings), self.width + 1))
         out[:, -1] = counts
-        np.add.at(out[:, :-1], np.repeat(np.arange(len(chunks)), counts), self.words.table[at])
+        np.add.at(out[:, :-1], np.repeat(np.arange(len(strings)), counts), self.word_values.values[rows[place]])
         return out
 
     def texts(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """Per text its log probability in each language, None if it has no word."""
-        if len(self.words) > CACHED_WORDS:
-            self.words = _Rows(self.width)
-        if len(self.chunks) > CACHED_WORDS:
-            self.chunks = _Rows(self.width + 1)
-        rows = []
-        for text in texts:
-            chunks = text.lower().split() if text else []
-            rows.append(np.fromiter(map(self.chunks.__getitem__, chunks), np.int64, len(chunks)))
-        self.chunks.settle(self._of_chunks)
-        totals = [self.chunks.table[at].sum(axis=0) for at in rows]
+        if len(self.words) > KNOWN_STRINGS or len(self.strings) > KNOWN_STRINGS:
+            self._forget()
+        words = self.hasher.of_texts([t.encode() if t else b"" for t in texts])
+        keys, sample, place = np.unique(words.hashes, return_index=True, return_inverse=True)
+        rows = self.strings.find(keys)
+        fresh = np.flatnonzero(rows < 0)
+        if len(fresh):
+            self.string_values.add(self._of_strings([s.decode() for s in words.strings(sample[fresh])]))
+            rows[fresh] = self.strings.add(keys[fresh])
+        totals = np.zeros((len(texts), self.width + 1))
+        filled = np.flatnonzero(np.diff(words.first))
+        if len(filled):
+            totals[filled] = np.add.reduceat(self.string_values.values[rows[place]], words.first[:-1][filled], axis=0)
         return [t[:-1] if self.width and t[-1] else None for t in totals]
 
     def best(self, texts: list[str | None]) -> list[tuple[str, float]]:
@@ -319,16 +329,9 @@ class Scorer:
         return self.model.languages[top], 1.0 / float(np.exp(total - total[top]).sum())
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
 def _scorer(model: PieceModel) -> Scorer:
     """The scorer of this worker process, kept from task to task while the model stays the same."""
-    key = zlib.crc32(model.table.tobytes(), len(model.languages))
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = Scorer(model)
-    return _SCORERS[key]
+    return held("scorer", zlib.crc32(model.table.tobytes(), len(model.languages)), build=lambda: Scorer(model))
 
 
 def predict(documents: DataFrame, model: PieceModel) -> DataFrame:
@@ -336,7 +339,7 @@ def predict(documents: DataFrame, model: PieceModel) -> DataFrame:
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(model)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", rows=2048, size=4 << 20):
             best = scorer.best(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array([b[0] for b in best], pa.string()),
@@ -364,7 +367,7 @@ def keep_identified(documents: DataFrame, vocabulary: str, min_score: float = 0.
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(model)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", rows=2048, size=4 << 20):
             best = scorer.best(batch.column("text").to_pylist())
             yield batch.filter(pa.array([lang != UNKNOWN and score >= min_score for lang, score in best], pa.bool_()))
 

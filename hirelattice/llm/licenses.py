@@ -1,9 +1,10 @@
 """License scans with a positional index of rare words.
 
 Every template is a list of words; its index entries say at which positions a word stands in which template.
-A scan takes a text's licence words in order of rarity over the whole corpus (highest IDF first) and looks up
-their postings: a word at text position p and template position t speaks for the template starting at p - t. The
-starts that the rarest words of a mandatory phrase agree on are verified: the whole phrase must stand there, and
+A scan takes a text's licence words in order of rarity over the whole corpus (highest IDF first). Each mandatory phrase is listed
+under its rarest word, so only the phrases of words that are there are looked at, however many templates there are. The postings of a
+phrase's rarest words are looked up: a word at text position p and template position t speaks for the template starting at p - t. The
+starts on which they agree are verified: the whole phrase must stand there, and
 a stated part of the template's words must stand in place. A template needs one of its mandatory phrases, and all words of
 that phrase, so looking up the rarest ones misses none, however many licences a text holds.
 
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelattice.llm.common import slices
+from hirelattice.llm.license_texts import FULL_TEXTS
 
 # The base phrases and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -102,7 +104,7 @@ class Index:
             self.postings[word].append((number, position))
 
 
-def build_index(templates=TEMPLATES, base=BASE) -> Index:
+def build_index(templates=(*TEMPLATES, *FULL_TEXTS), base=BASE) -> Index:
     index = Index()
     for label, text, mandatory in templates:
         index.add(label, text, mandatory)
@@ -149,12 +151,20 @@ def _in_place(words: list[bytes], start: int, template: list[bytes]) -> int:
     return sum(a == b for a, b in zip(template[begin:], words[start + begin:start + len(template)], strict=False))
 
 
-def find_templates(words: list[bytes], present: set[bytes], index: Index, rarity: dict[bytes, float]) -> dict[str, float]:
+def rarest_words(index: Index, rarity: dict[bytes, float]) -> dict[bytes, list[tuple[int, list[bytes], int, list[bytes]]]]:
+    """The mandatory phrases by their rarest word: (template, rarest words, place, phrase)."""
+    listed = defaultdict(list)
+    for number, phrases in enumerate(index.phrases):
+        for place, phrase in phrases:
+            rare = sorted(set(phrase), key=lambda w: (-rarity[w], w))[:index.looked_up]
+            listed[rare[0]].append((number, rare, place, phrase))
+    return dict(listed)
+
+
+def find_templates(words: list[bytes], present: set[bytes], index: Index, rarity: dict[bytes, float], listed: dict) -> dict[str, float]:
     """Labels of verified templates with the best part of their words in place."""
-    live = [
-        (number, sorted(set(phrase), key=lambda w: (-rarity[w], w))[:index.looked_up], place, phrase)
-        for number, phrases in enumerate(index.phrases) for place, phrase in phrases if present.issuperset(phrase)
-    ]
+    own = sorted(present & listed.keys(), key=lambda w: (-rarity[w], w))
+    live = [entry for word in own for entry in listed[word] if present.issuperset(entry[1])]
     looked_up = {w for _, rare, _, _ in live for w in rare}
     if not looked_up:
         return {}
@@ -180,6 +190,7 @@ def scan(documents: DataFrame, index: Index | None = None) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score for every document."""
     index = index or build_index()
     rarity = word_rarity(documents, index)
+    listed = rarest_words(index, rarity)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base_words = [set(phrase) for phrase, _ in index.base]
@@ -194,7 +205,7 @@ def scan(documents: DataFrame, index: Index | None = None) -> DataFrame:
                     places += here
                     if here:
                         base.add(name)
-                found = find_templates(words, present, index, rarity)
+                found = find_templates(words, present, index, rarity, listed)
                 rows.append((
                     len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)),
                     ",".join(sorted(base | found.keys())), 1.0 if base else max(found.values(), default=0.0),

@@ -1,9 +1,9 @@
 """Packing documents into token sequences of bounded length by swap-based local search.
 
 A document is its token ids followed by the end id. Only a document longer than a sequence is cut, into
-pieces of a sequence's length, the last one shorter. The pieces of one group are placed best fit first, longest
-first; then, as long as the group has more bins than its tokens need, documents move between underfull bins, or
-change places one for one or two for one, whenever that raises the sum of squared fills, until bins are empty.
+pieces of a sequence's length, the last one shorter. The pieces of one group go into bins as they arrive, each into the
+fullest one that takes it; then, as long as the group has more bins than its tokens need, documents move between underfull bins, or
+change places one for one, two for one or one for two, whenever that raises the sum of squared fills, until bins are empty.
 Bins that stay underfull are taken apart and packed again with those of the other groups.
 
 Groups hold a bounded number of pieces, drawn evenly by position and not by key, so a repeated ``doc_id`` makes no
@@ -23,7 +23,9 @@ import os
 import re
 import struct
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -38,10 +40,11 @@ from hirelattice.session import materialise
 
 LIMIT = 4096
 END = struct.pack("<I", 1)
-GROUP_PIECES = 40_000  # pieces that one task packs at once
+GROUP_PIECES = 8_192  # pieces that one task packs at once
 ORDERED_PIECES = 2_048  # the same where the order is kept: how far apart the pieces of a sequence may be
 ORDERED_ROWS = 1_024  # documents of a file that are numbered at once
 KNOWN_STRINGS, KNOWN_IDS = 600_000, 4_000_000  # bound the memory of a worker (about 50 MB), not the result
+PAIRED, SMALLEST = 24, 8  # pieces of a bin that are given, or taken back, two at a time
 #: Bins with less fill than this are packed again with those of other groups.
 GOOD_FILL = 0.99
 
@@ -200,99 +203,130 @@ def token_pieces(
 
 
 class Bins:
-    """The bins of one group: lists of piece numbers, and the tokens in each."""
+    """The bins of one group: each piece's bin, and the tokens in each."""
 
     def __init__(self, lengths: np.ndarray, limit: int) -> None:
-        self.lengths, self.limit = [int(x) for x in lengths], limit
-        self.members: list[list[int]] = []
-        self.fill: list[int] = []
-
-    def best_fit(self) -> None:
-        """Longest piece first, each into the fullest bin that takes it."""
+        self.sizes, self.limit = np.asarray(lengths, np.int64), limit
+        self.bin_of = np.zeros(len(self.sizes), np.int64)
+        self.fill = np.zeros(0, np.int64)
+        self.steps: Counter[tuple[int, int]] = Counter()  # by pieces given and taken back
+        self.emptied = 0
+
+    def arrive(self) -> None:
+        """Pieces in their order, each into the fullest bin that takes it."""
         by_room: list[list[int]] = [[] for _ in range(self.limit + 1)]
         rooms = 0  # bit r: some bin has r tokens of room
-        for item in sorted(range(len(self.lengths)), key=lambda i: -self.lengths[i]):
-            size = self.lengths[item]
+        fill: list[int] = []
+        for item, size in enumerate(self.sizes.tolist()):
             fitting = rooms >> size
             if fitting:
                 room = size + (fitting & -fitting).bit_length() - 1
                 at = by_room[room].pop()
                 if not by_room[room]:
                     rooms ^= 1 << room
-                self.members[at].append(item)
-                self.fill[at] += size
+                fill[at] += size
             else:
-                at = len(self.members)
-                self.members.append([item])
-                self.fill.append(size)
-            room = self.limit - self.fill[at]
+                at = len(fill)
+                fill.append(size)
+            self.bin_of[item] = at
+            room = self.limit - fill[at]
             if room:
                 by_room[room].append(at)
                 rooms |= 1 << room
+        self.fill = np.array(fill, np.int64)
 
-    def _exchange(self, low: int, high: int, out: tuple[int, ...], back: tuple[int, ...]) -> None:
-        gain = sum(self.lengths[i] for i in out) - sum(self.lengths[i] for i in back)
-        self.members[low] = [i for i in self.members[low] if i not in out] + list(back)
-        self.members[high] = [i for i in self.members[high] if i not in back] + list(out)
+    def _give(self, low: int, high: int, given: list[int], back: list[int]) -> None:
+        gain = int(self.sizes[given].sum() - self.sizes[back].sum())
+        self.bin_of[given], self.bin_of[back] = high, low
         self.fill[low] -= gain
         self.fill[high] += gain
-
-    def _improve(self, low: int, high: int) -> bool:
-        """The best move or exchange from bin ``low`` to bin ``high`` that raises the squared fills."""
-        room, size = self.limit - self.fill[high], self.lengths
-        least = max(0, self.fill[low] - self.fill[high])  # a gain above this raises the sum
-        best, step = least, None
-        for a in self.members[low]:
-            if best < size[a] <= room:
-                best, step = size[a], ((a,), ())
-            for b in self.members[high]:
-                if best < size[a] - size[b] <= room:
-                    best, step = size[a] - size[b], ((a,), (b,))
-        if best < room:
-            donors = sorted(self.members[low], key=lambda i: size[i])
-            for b in self.members[high]:
-                for k, first in enumerate(donors):
-                    for second in donors[k + 1:]:
-                        gain = size[first] + size[second] - size[b]
-                        if gain > room:
-                            break
-                        if gain > best:
-                            best, step = gain, ((first, second), (b,))
-        if step is None:
+        self.steps[len(given), len(back)] += 1
+
+    def _offers(self, low: int) -> tuple[np.ndarray, list[tuple[int, ...]]]:
+        """What bin ``low`` can give, by size: its pieces, and pairs of its largest ones."""
+        own = np.flatnonzero(self.bin_of == low)
+        singles = [(i,) for i in own.tolist()]
+        largest = own[np.argsort(-self.sizes[own], kind="stable")[:PAIRED]].tolist()
+        offers = singles + list(combinations(largest, 2))
+        sizes = np.array([sum(self.sizes[list(o)]) for o in offers], np.int64)
+        order = np.argsort(sizes, kind="stable")
+        return sizes[order], [offers[i] for i in order.tolist()]
+
+    def _best(self, low: int, sizes: np.ndarray, back: np.ndarray, bins: np.ndarray) -> tuple[int, int] | None:
+        """The offer and the return (of these sizes, in these bins) that raise the squared fills and move most."""
+        room = self.limit - self.fill[bins]
+        least = np.maximum(0, self.fill[low] - self.fill[bins])  # a gain above this raises the squared fills
+        offer = np.searchsorted(sizes, back + room, side="right") - 1  # the largest that fits
+        gain = np.where(offer >= 0, sizes[offer] - back, 0)
+        gain[gain <= least] = 0
+        if not len(gain) or not gain.max():
+            return None
+        at = int(gain.argmax())
+        return int(offer[at]), at
+
+    def _improve(self, low: int) -> bool:
+        """The best move or exchange from bin ``low`` to another underfull bin."""
+        open_bins = self.fill < self.limit
+        open_bins[low] = False
+        open_bins &= self.fill > 0
+        sizes, offers = self._offers(low)
+        bins, items = np.flatnonzero(open_bins), np.flatnonzero(open_bins[self.bin_of])
+        best = self._best(low, sizes, np.concatenate([np.zeros(len(bins), np.int64), self.sizes[items]]), np.concatenate([bins, self.bin_of[items]]))
+        if best:
+            offer, at = best
+            high, back = (bins[at], []) if at < len(bins) else (self.bin_of[items[at - len(bins)]], [int(items[at - len(bins)])])
+            self._give(low, int(high), list(offers[offer]), back)
+            return True
+        # the other way: one for two of the smallest pieces of a bin
+        items = items[np.lexsort((self.sizes[items], self.bin_of[items]))]
+        where = self.bin_of[items]
+        first = np.flatnonzero(np.diff(where, prepend=-1))
+        rank = np.arange(len(items)) - np.repeat(first, np.diff(np.append(first, len(items))))
+        pairs = [
+            np.stack([np.flatnonzero(near), np.flatnonzero(near) + k])
+            for k in range(1, SMALLEST) if (near := (where[:-k] == where[k:]) & (rank[k:] < SMALLEST)).any()
+        ]
+        if not pairs:
+            return False
+        left, right = items[np.concatenate(pairs, axis=1)]
+        best = self._best(low, sizes, self.sizes[left] + self.sizes[right], self.bin_of[left])
+        if best is None:
             return False
-        self._exchange(low, high, *step)
+        offer, at = best
+        self._give(low, int(self.bin_of[left[at]]), list(offers[offer]), [int(left[at]), int(right[at])])
         return True
 
     def search(self) -> None:
-        """Empty the least filled bins into the others while there are more bins than the tokens need."""
-        need = -(-sum(self.lengths) // self.limit)
-        while len(self.members) > need:
-            underfull = sorted((i for i, f in enumerate(self.fill) if f < self.limit), key=lambda i: self.fill[i])
-            low = underfull[0]
-            moved = False
-            for high in reversed(underfull[1:]):
-                while self.members[low] and self._improve(low, high):
-                    moved = True
-                if not self.members[low]:
-                    break
-            if not self.members[low]:
-                del self.members[low], self.fill[low]
-            elif not moved:
+        """Empty the least filled bins into the others while there are more bins than the tokens need.
+
+        A bin that no step improves is left, and the next one is tried, until none improves.
+        """
+        need, stuck = -(-int(self.sizes.sum()) // self.limit), np.zeros(len(self.fill), bool)
+        while (self.fill > 0).sum() > need:
+            tried = np.flatnonzero((self.fill > 0) & (self.fill < self.limit) & ~stuck)
+            if not len(tried):
                 return
+            low = int(tried[self.fill[tried].argmin()])
+            while self.fill[low] and self._improve(low):
+                pass
+            stuck[low] = True
+            if not self.fill[low]:
+                self.emptied += 1
+                stuck[:] = False
 
 
 def pack_lengths(lengths: np.ndarray, limit: int = LIMIT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per piece its bin, its offset there, and the fill of that bin."""
     bins = Bins(lengths, limit)
-    bins.best_fit()
+    bins.arrive()
     bins.search()
-    number, offset, fill = (np.zeros(len(lengths), np.int64) for _ in range(3))
-    for k, members in enumerate(bins.members):
-        at = 0
-        for item in members:
-            number[item], offset[item], fill[item] = k, at, bins.fill[k]
-            at += bins.lengths[item]
-    return number, offset, fill
+    order = np.argsort(bins.bin_of, kind="stable")
+    ends = np.cumsum(bins.sizes[order])
+    starts = np.flatnonzero(np.diff(bins.bin_of[order], prepend=-1))
+    base = np.repeat((ends - bins.sizes[order])[starts], np.diff(np.append(starts, len(order))))
+    offset = np.empty(len(order), np.int64)
+    offset[order] = ends - bins.sizes[order] - base
+    return bins.bin_of, offset, bins.fill[bins.bin_of]
 
 
 # --- all groups ---------------------------------------------------------------------------

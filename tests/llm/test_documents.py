@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -64,13 +65,50 @@ def test_packing_in_groups(spark, docs_of, monkeypatch):
     assert bins <= least * 1.03 + 1
 
 
-def test_local_search_empties_bins():
-    # best fit leaves three bins; exchanges fit all into two
-    lengths = np.array([6, 5, 5, 2, 2])
-    bins = packing.Bins(lengths, 10)
-    bins.members, bins.fill = [[0, 3], [1, 4], [2]], [8, 7, 5]
+def bins_of(lengths, places, limit):
+    bins = packing.Bins(np.array(lengths), limit)
+    bins.bin_of = np.array(places)
+    bins.fill = np.bincount(bins.bin_of, bins.sizes).astype(int)
+    return bins
+
+
+@pytest.mark.parametrize("lengths, places, limit, step", [
+    ([6, 5, 5, 2, 2], [0, 1, 2, 0, 1], 10, (1, 1)),  # three bins; exchanges fit all into two
+    ([9, 4, 3], [0, 1, 1], 16, (2, 0)), ([7, 6, 1], [0, 1, 2], 7, (1, 0)), ([8, 2, 7, 3], [0, 1, 2, 3], 10, (1, 0)),
+    ([6, 3, 5, 4, 2], [0, 0, 1, 1, 2], 10, (1, 1)),  # the least filled bin is stuck, the next one is not
+])
+def test_local_search_empties_bins(lengths, places, limit, step):
+    bins = bins_of(lengths, places, limit)
+    bins.search()
+    assert (bins.fill > 0).sum() == -(-sum(lengths) // limit)
+    assert bins.steps[step] > 0
+    assert np.bincount(bins.bin_of, bins.sizes, len(bins.fill)).tolist() == bins.fill.tolist()
+
+
+@pytest.mark.parametrize("lengths, places, limit, step", [
+    ([3, 3, 5, 4], [0, 0, 1, 1], 10, (2, 1)), ([5, 2, 2, 5], [0, 1, 1, 1], 10, (1, 2)), ([5, 4, 4], [0, 1, 1], 9, (1, 1)),
+    ([2, 1, 7], [0, 0, 1], 10, (2, 0)),
+])
+def test_steps_raise_the_squared_fills(lengths, places, limit, step):
+    bins = bins_of(lengths, places, limit)
+    before = (bins.fill ** 2).sum()
+    assert bins._improve(0) and bins.steps == {step: 1}
+    assert (bins.fill ** 2).sum() > before and bins.fill.max() <= limit
+    assert np.bincount(bins.bin_of, bins.sizes, 2).tolist() == bins.fill.tolist()
+    while bins.fill[0] and bins._improve(0):
+        assert bins.fill.max() <= limit
+
+
+def test_local_search_does_the_work_on_test_data(spark):
+    """From bins in order of arrival, its steps reach the least number of bins."""
+    lengths = [r.length for r in packing.token_pieces(table(spark, "documents", "/root/testdata/sf0.01"), WORDS).select("length").collect()]
+    bins = packing.Bins(np.array(lengths), packing.LIMIT)
+    bins.arrive()
+    arrived, need = len(bins.fill), -(-sum(lengths) // packing.LIMIT)
     bins.search()
-    assert sorted(bins.fill) == [10, 10]
+    assert arrived > need == (bins.fill > 0).sum()
+    assert bins.emptied == arrived - need and bins.steps[1, 1] > 0 and bins.steps[2, 1] > 0
+    assert bins.fill.max() <= packing.LIMIT
 
 
 def test_sequences_hold_the_ids(spark, docs_of):
@@ -151,6 +189,28 @@ def test_keep_one(spark, docs_of):
     assert Counter(r.doc_id for r in kept) == Counter([1, 2, 3, 4, 9, 6, 7])
 
 
+def test_candidates_come_from_trees(spark):
+    """Cells of any size are searched by a tree, and some cells of the test data are."""
+    rng = np.random.default_rng(1)
+    threshold = ngram_join.Threshold(80)
+    searched = []
+    search = ngram_join.RTree.search
+    ngram_join.RTree.search = lambda self, *a: searched.append(len(self.points)) or search(self, *a)
+    try:
+        for members in (2, 3, 9, 40):
+            counts = rng.poisson(0.2, (members, ngram_join.GROUPS)).astype(np.int32)
+            counts[members // 2:] = counts[:members - members // 2]
+            sizes = counts.sum(axis=1).astype(np.int64)
+            ids = np.arange(members)
+            found = ngram_join._cell_pairs(threshold, ids, np.zeros(members, np.int64), ids, sizes, counts)
+            bound = np.minimum(counts[:, None], counts[None]).sum(axis=2)
+            wanted = threshold.reached(bound, sizes[:, None] + sizes[None])
+            assert sorted(found) == [(i, j) for i in range(members) for j in range(i + 1, members) if wanted[i, j]]
+    finally:
+        ngram_join.RTree.search = search
+    assert searched == [2, 3, 9, 40]
+
+
 def test_tree_finds_all_pairs_within_bound():
     rng = np.random.default_rng(1)
     points = rng.poisson(3, (300, 256)).astype(np.int32)
@@ -174,14 +234,16 @@ def within_one_edit(a, b):
 
 
 def brute_lines(documents, least=line_dedup.MIN_CHARS):
+    """Equal lines that are not blank at any length, near ones from ``least`` characters on."""
     earlier, out = [], {}
     for doc_id, text in sorted(documents):
         kept = []
         for line in text.split("\n"):
             plain = line.strip(" \t\r\x0b\x0c")
-            if len(plain) < least or not any(within_one_edit(plain, e) for e in earlier):
+            near = [e for e in earlier if len(e) >= least] if len(plain) >= least else []
+            if not plain or not (plain in earlier or any(within_one_edit(plain, e) for e in near)):
                 kept.append(line)
-            if len(plain) >= least:
+            if plain:
                 earlier.append(plain)
         out[doc_id] = (len(text.split("\n")), len(text.split("\n")) - len(kept), "\n".join(kept))
     return out
@@ -215,7 +277,7 @@ def test_lines_odd_rows(spark, docs_of):
     got = Counter((r.doc_id, r.n_lines, r.n_removed, r.text) for r in line_dedup.report(docs).collect())
     assert got == Counter([
         (1, 0, 0, None), (2, 1, 0, ""), (3, 4, 1, "a line of text\n\nshort"), (4, 1, 1, ""), (None, 1, 1, ""), (5, 1, 0, long),
-        (6, 1, 1, ""), (7, 1, 0, "Zeile Nummer eins"), (7, 1, 0, "Zeile Nummer eins"), (8, 2, 1, "short"),
+        (6, 1, 1, ""), (7, 1, 0, "Zeile Nummer eins"), (7, 1, 0, "Zeile Nummer eins"), (8, 2, 2, ""),
     ])
     done = line_dedup.dedup_lines(docs)
     assert done.dtypes == docs.dtypes and {r.t for r in done.collect()} == {"clash"}
@@ -234,11 +296,21 @@ def test_short_lines_repeated_exactly(spark, docs_of):
     documents = [
         (1, "Les.\n\n \nAnd so on.\na"), (2, " Les.\t\nLes\nAnd so on.\n\nb\na"), (3, "Les.\nAnd so of.\nnine char"), (4, "nine chars"),
     ]
-    got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in line_dedup.report(docs_of(documents), min_exact=1).collect()}
-    assert got == {  # near copies only from ten characters on; blank lines stay
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in line_dedup.report(docs_of(documents)).collect()}
+    assert got == brute_lines(documents) == {  # near copies only from ten characters on; blank lines stay
         1: (5, 0, "Les.\n\n \nAnd so on.\na"), 2: (6, 3, "Les\n\nb"), 3: (3, 2, "nine char"), 4: (1, 0, "nine chars"),
     }
-    assert not any(n for _, n, _ in brute_lines([(1, "Les.\nLes.")]).values())  # the floor of the default stays
+    kept = line_dedup.report(docs_of(documents), min_exact=line_dedup.MIN_CHARS).collect()
+    assert {r.doc_id: r.n_removed for r in kept} == {1: 0, 2: 1, 3: 1, 4: 0}  # a floor for exact copies, if one is asked for
+
+
+def test_lines_of_rows_with_one_id(spark, docs_of):
+    """They are at the same place: none removes the other, a later id loses to both."""
+    rows = [(1, "one common line here"), (1, "one common line here\nand another"), (2, "one common line herE\nand another"), (None, None), (None, "and another")]
+    got = Counter((r.doc_id, r.n_removed, r.text) for r in line_dedup.report(docs_of(rows)).collect())
+    assert got == Counter([
+        (1, 0, "one common line here"), (1, 0, "one common line here\nand another"), (2, 2, ""), (None, 0, None), (None, 1, ""),
+    ])
 
 
 # --- licences -----------------------------------------------------------------------------
@@ -283,6 +355,43 @@ def test_licence_templates_and_odd_rows(spark, docs_of):
     assert licenses.scan(docs_of([])).count() == 0
 
 
+def brute_labels(text):
+    """Labels and score from every template, every phrase of it and every place in the text, without an index."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    labels = set(filter(None, brute_base(text)[4].split(",")))
+    score = 1.0 if labels else 0.0
+    cut = lambda t: re.findall(r"[a-z0-9]+", t.lower())
+    for label, body, phrases in [*licenses.TEMPLATES, *licenses.FULL_TEXTS]:
+        template = cut(body)
+        for phrase in map(cut, phrases):
+            place = next(i for i in range(len(template)) if template[i:i + len(phrase)] == phrase)
+            for at in range(len(words) - len(phrase) + 1):
+                if words[at:at + len(phrase)] == phrase:
+                    start = at - place
+                    same = sum(0 <= start + i < len(words) and words[start + i] == w for i, w in enumerate(template))
+                    if same / len(template) >= 0.6:
+                        labels.add(label)
+                        score = max(score, same / len(template))
+    return ",".join(sorted(labels)), score
+
+
+def test_licence_labels_and_scores_against_all_places(spark, docs_of):
+    rng = np.random.default_rng(8)
+    rows = [(r.doc_id, r.text) for r in table(spark, "documents").collect()]
+    bodies = [body for _, body, _ in [*licenses.TEMPLATES, *licenses.FULL_TEXTS]]
+    for k, body in enumerate(bodies * 4):
+        words = body.split()
+        for at in np.flatnonzero(rng.random(len(words)) < 0.02 * (k // len(bodies)) ** 2):
+            words[at] = rng.choice(["other", "", "software", "license the"])
+        cut = slice(int(rng.integers(0, 8)) * (k % 3 == 1), len(words) - int(rng.integers(0, 8)) * (k % 3 == 2))
+        rows.append((10_000 + k, "Some text. " * int(rng.integers(0, 4)) + " ".join(words[cut]) + " More " + bodies[int(rng.integers(0, len(bodies)))][:80]))
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(docs_of(rows)).collect()}
+    expected = {i: brute_labels(t) for i, t in rows}
+    assert {i: x[0] for i, x in got.items()} == {i: x[0] for i, x in expected.items()}
+    assert all(np.isclose(got[i][1], expected[i][1]) for i in got)
+    assert len({x[0] for x in expected.values()}) > 15
+
+
 # --- language -----------------------------------------------------------------------------
 
 
@@ -309,6 +418,40 @@ def test_forward_sums_all_segmentations():
     assert np.isfinite(long).all()
 
 
+def test_long_words_are_learnt(spark, docs_of):
+    """Expected uses of pieces in words of any length, against a sum over all segmentations."""
+    pieces = {"▁a": 0, "▁": 1, "a": 2, "b": 3, "ab": 4, "ba": 5, "▁ab": 6}
+    table = np.random.default_rng(1).dirichlet(np.ones(len(pieces)), 2).T.copy()
+    model = language.PieceModel(pieces, ["x", "y"], table)
+    words = ["abbaab", "bac", "a"]
+
+    def segmentations(word):
+        if not word:
+            yield []
+        for k in range(1, len(word) + 1):
+            if word[:k] in pieces or (k == 1 and word[0] not in "▁ab"):
+                yield from ([word[:k], *rest] for rest in segmentations(word[k:]))
+
+    expected = np.zeros_like(table)
+    for n, word in enumerate(words, 2):
+        weighed = [(s, np.prod([table[pieces[p], 1] if p in pieces else model.other for p in s])) for s in segmentations("▁" + word)]
+        total = sum(w for _, w in weighed)
+        for s, w in weighed:
+            for p in s:
+                if p in pieces:
+                    expected[pieces[p], 1] += n * w / total
+    found = np.zeros_like(table)
+    for n, word in enumerate(words, 2):
+        language._add_long(found, "▁" + word, 1, n, model)
+    assert np.allclose(found, expected)
+    # a word of 50 letters counts as one of 10 does, and so does one whose probability leaves a double's range
+    batch = pa.RecordBatch.from_pydict({"lang": ["x"] * 3, "word": ["ab" * 5, "ab" * 25, "ab" * 2000], "n": [5, 7, 1]})
+    out = next(language._expected(model)(iter([batch])))
+    uses = dict(zip(out.column("piece").to_pylist(), out.column("uses").to_pylist()))
+    letters = sum(uses[pieces[p]] * len(p.strip("▁")) for p in pieces if pieces[p] in uses)
+    assert np.isclose(letters, 5 * 10 + 7 * 50 + 4000)
+
+
 def test_language_accuracy_held_out(spark):
     docs = table(spark, "documents", "/root/testdata/sf0.01")
     truth = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
@@ -361,6 +504,60 @@ def test_labeller_accuracies_are_found():
     assert right > 0.93
 
 
+def em_by_hand(counts, rounds=50):
+    """The posteriors by plain loops over patterns, classes and labellers."""
+    good = {p: 0.1 if "-" in p else 0.9 for p in counts}
+    total = sum(counts.values())
+    for _ in range(rounds):
+        weight = {c: {p: n * (good[p] if c == "+" else 1 - good[p]) for p, n in counts.items()} for c in "+-"}
+        new = {}
+        for p in counts:
+            odds = {}
+            for c in "+-":
+                odds[c] = np.log((sum(weight[c].values()) + 1) / (total + 2))
+                for k, vote in enumerate(p):
+                    if vote != "0":
+                        said = {v: sum(w for q, w in weight[c].items() if q[k] == v) + (2.0 if v == c else 0.5) for v in "+-"}
+                        odds[c] += np.log(said[vote] / sum(said.values()))
+            new[p] = 1 / (1 + np.exp(odds["-"] - odds["+"]))
+        good = new
+    return good
+
+
+def test_quality_against_brute_force(spark):
+    """Votes, posteriors, the scorer's training and all scores, with dense features and plain loops."""
+    rows = [(r.doc_id, (r.text or "").encode()) for r in table(spark, "documents").collect()]
+    counts = Counter(quality.votes(t) for _, t in rows)
+    belief = em_by_hand(counts)
+    got = {r.doc_id: r for r in quality.classify(table(spark, "documents")).collect()}
+    assert {i: got[i].votes for i, _ in rows} == {i: quality.votes(t) for i, t in rows}
+    assert all(np.isclose(got[i].p_good, belief[quality.votes(t)], atol=1e-9) for i, t in rows)
+
+    used = sorted({f for _, t in rows for w in t.split() for f in quality.features(w)})
+    place = {f: k for k, f in enumerate(used)}
+    texts = [(i, t) for i, t in rows if t.split()]
+    x = np.zeros((len(texts), len(used)))
+    for n, (_, t) in enumerate(texts):
+        for w in t.split():
+            for f in quality.features(w):
+                x[n, place[f]] += 1 / len(t.split())
+    wanted = np.array([belief[quality.votes(t)] for _, t in texts])
+    weights, bias = np.zeros(len(used)), 0.0
+    moments = [np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0]
+    for step in range(1, 121):
+        error = (1 / (1 + np.exp(-(x @ weights + bias))) - wanted) / len(texts)
+        slope, lean = x.T @ error + 1e-7 * weights, error.sum()
+        for k, g in ((0, slope), (2, lean)):
+            moments[k] = 0.9 * moments[k] + 0.1 * g
+            moments[k + 1] = 0.99 * moments[k + 1] + 0.01 * g ** 2
+        rate = 0.3 * np.sqrt(1 - 0.99 ** step) / (1 - 0.9 ** step)
+        weights = weights - rate * moments[0] / (np.sqrt(moments[1]) + 1e-9)
+        bias -= rate * moments[2] / (np.sqrt(moments[3]) + 1e-9)
+    scores = 1 / (1 + np.exp(-(x @ weights + bias)))
+    assert all(abs(got[i].score - s) < 1e-5 for (i, _), s in zip(texts, scores, strict=True))
+    assert all(r.kept == (r.score >= 0.5) for r in got.values())
+
+
 def test_quality_odd_rows(spark, docs_of):
     rows = [*ODD, *((i, f"A plain sentence number {i} about the weather, the sea and the long road to the old town. It ends here, as all "
                        f"stories of this kind do, with a walk.") for i in range(20, 60)),
