@@ -255,6 +255,17 @@ def _faulty_audit(spark: SparkSession, folder: str) -> DataFrame:
     return recruiting.audit_checks(recruiting.inject_faults(hiring.stored_tables(spark, folder)))
 
 
+def _audit_from_counters(spark: SparkSession, folder: str) -> DataFrame:
+    """Counters of the clean tables are kept, those of the tables with faults put in their place, then audited."""
+    stored = f"{_scratch_namespace(spark)}.counters"
+    clean = hiring.stored_tables(spark, folder)
+    faulty = recruiting.inject_faults(clean)
+    audit.store_counters(recruiting.CHECKS, clean, stored, buckets=8)
+    changed = ["clients", "vacancies", "placements", "marketing_daily", "sales_deals"]
+    audit.store_counters(recruiting.CHECKS, faulty, stored, buckets=8, only=changed)
+    return audit.audit_stored(recruiting.CHECKS, spark.table(stored))
+
+
 def _validate(spark: SparkSession, folder: str, namespace: str, build=None) -> runs.RunOutcome:
     return runs.run_validation(
         spark, build or (lambda: _faulty_audit(spark, folder)),
@@ -415,6 +426,7 @@ def queries() -> dict[str, Query]:
         "monthly_revenue_kept": _monthly_revenue_kept,
         "ids_on_growth": _ids_on_growth,
         "recent_runs_by_day": _recent_runs_by_day,
+        "audit_from_counters": _audit_from_counters,
         "audit_stamps": _audit_stamps,
         "run_log_success": _run_log_success,
         "run_error_log": _run_error_log,

@@ -7,6 +7,9 @@ row per task before it moves. A table is scanned once: each of its rows unfolds
 the rows of all domains meet in one aggregate by domain and key. Plain counts and totals of a table ride along in a domain that
 reads the table anyway; a table in no domain has one without a key.
 
+``store_counters`` keeps the counters per key, and ``audit_stored`` audits from them: a load adds its own rows' counters, and the audit's
+cost follows the number of keys, not of rows.
+
 ``audit_by_branch`` answers each check on its own with joins and scalar subqueries. It is
 the plain reading of the catalogue, kept for single checks and to verify the fused form.
 """
@@ -25,6 +28,7 @@ from ..functions import exact_total
 from ..functions.numbers import join_parts, total_parts, total_struct_text
 from ..operators.matching import orphan_count
 from ..operators.metrics import monthly_totals, row_count
+from ..sources.tables import append_table, replace_partitions, replace_table
 from .checks import Check, Constant, Measure, MatchedTotal, MonthlyTotal, Rows, Surplus, Total, Unmatched
 
 # Fixed value: differences below this pass.
@@ -331,28 +335,84 @@ def _domains(measures: Mapping[Measure, str]) -> list[_Domain]:
     return list(domains.values())
 
 
+@dataclass(frozen=True)
+class _Plan:
+    """A compiled catalogue: its domains, the columns of their shared rows, and the checks over their facts."""
+
+    domains: list[_Domain]
+    keys: list[str]
+    counters: list[str]
+    checks: str
+
+    @classmethod
+    def of(cls, checks: Sequence[Check]) -> _Plan:
+        used = (m for c in checks for m in (c.expected, c.actual) if not isinstance(m, Constant))
+        names = {measure: f"fact_{i}" for i, measure in enumerate(dict.fromkeys(used))}
+        rows = [
+            f"struct({_text(c.check_type)} AS check_type, {_text(c.check_name)} AS check_name,"
+            f" {_text(c.description)} AS description, {_fact(c.expected, names)} AS expected,"
+            f" {_fact(c.actual, names)} AS actual)"
+            for c in checks
+        ]
+        domains = _domains(names)
+        counters = {name for d in domains for part in d.parts.values() for name in part}
+        keys = [f"k{i}" for i in range(max((len(d.keys) for d in domains), default=0))]
+        return cls(domains, keys, sorted(counters, key=lambda n: (n[0], int(n[1:]))), f"inline(array({', '.join(rows)}))")
+
+    def sources(self) -> list[str]:
+        return list(dict.fromkeys(table for d in self.domains for table, _ in d.parts))
+
+    def unfolded(self, tables: Tables, sources: Sequence[str]) -> list[DataFrame]:
+        kinds = {d.number: _key_kinds(d, tables) for d in self.domains}
+        return [_unfolded(t, self.domains, kinds, ["domain", *self.keys, *self.counters], tables) for t in sources]
+
+    def per_key(self, rows: DataFrame, *more: str) -> DataFrame:
+        return rows.groupBy(*more, "domain", *self.keys).agg(*[F.expr(f"sum({c}) AS {c}") for c in self.counters])
+
+    def scored(self, per_key: DataFrame) -> DataFrame:
+        facts = [F.expr(f"CAST({fact} AS {FACT_TYPE}) AS {name}") for d in self.domains for name, fact in d.facts.items()]
+        return score(per_key.agg(*facts).selectExpr(self.checks))
+
+
 def audit_fused(checks: Sequence[Check], tables: Tables) -> DataFrame:
     """All checks from one scan a table and one aggregate by domain and key, scored."""
-    used = (m for c in checks for m in (c.expected, c.actual) if not isinstance(m, Constant))
-    names = {measure: f"fact_{i}" for i, measure in enumerate(dict.fromkeys(used))}
-    rows = [
-        f"struct({_text(c.check_type)} AS check_type, {_text(c.check_name)} AS check_name,"
-        f" {_text(c.description)} AS description, {_fact(c.expected, names)} AS expected,"
-        f" {_fact(c.actual, names)} AS actual)"
-        for c in checks
-    ]
-    domains = _domains(names)
-    kinds = {d.number: _key_kinds(d, tables) for d in domains}
-    counters = sorted({name for d in domains for part in d.parts.values() for name in part}, key=lambda n: (n[0], int(n[1:])))
-    keys = [f"k{i}" for i in range(max((len(d.keys) for d in domains), default=0))]
-    scanned = dict.fromkeys(table for d in domains for table, _ in d.parts)
-    if scanned:
-        unfolded = [_unfolded(table, domains, kinds, ["domain", *keys, *counters], tables) for table in scanned]
-        per_key = reduce(DataFrame.union, unfolded).groupBy("domain", *keys).agg(*[F.expr(f"sum({c}) AS {c}") for c in counters])
-        facts = per_key.agg(*[F.expr(f"CAST({fact} AS {FACT_TYPE}) AS {name}") for d in domains for name, fact in d.facts.items()])
+    plan = _Plan.of(checks)
+    if not plan.domains:
+        return score(SparkSession.active().range(1, numPartitions=1).selectExpr(plan.checks))
+    return plan.scored(plan.per_key(reduce(DataFrame.union, plan.unfolded(tables, plan.sources()))))
+
+
+# --- counters that are kept ---------------------------------------------------------------
+
+SOURCE = "source"
+
+
+def store_counters(
+    checks: Sequence[Check], tables: Tables, stored: str, buckets: int = 64, only: Sequence[str] | None = None, appended: bool = False,
+) -> None:
+    """Keep the catalogue's counters, one row per source table, domain and key, dealt to files by domain and key.
+
+    ``only`` names the sources whose counters are put in place of the kept ones, as after a table is replaced; with
+    ``appended`` the given tables hold new rows only, whose counters are added. A key that holds a third of a table's rows is one row
+    here, so no file is larger than its keys. ``tables`` must have all sources of the catalogue, for their key types.
+    """
+    plan = _Plan.of(checks)
+    sources = [s for s in plan.sources() if only is None or s in only]
+    rows = [df.withColumn(SOURCE, F.lit(source)) for source, df in zip(sources, plan.unfolded(tables, sources), strict=True)]
+    spread = ["domain", *plan.keys]
+    counted = plan.per_key(reduce(DataFrame.union, rows), SOURCE).repartition(buckets, *spread)
+    if only is None and not appended:
+        replace_table(counted, stored, [SOURCE], (buckets, spread))
+    elif appended:
+        append_table(counted, stored)
     else:
-        facts = SparkSession.active().range(1, numPartitions=1)
-    return score(facts.selectExpr(f"inline(array({', '.join(rows)}))"))
+        replace_partitions(counted, stored)
+
+
+def audit_stored(checks: Sequence[Check], counters: DataFrame) -> DataFrame:
+    """All checks from kept counters: no row of a source is read, and keys meet without a shuffle."""
+    plan = _Plan.of(checks)
+    return plan.scored(plan.per_key(counters))
 
 
 def _fact(measure: Measure, names: Mapping[Measure, str]) -> str:

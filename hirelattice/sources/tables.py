@@ -39,12 +39,13 @@ def _versions(spark: SparkSession, table: str) -> tuple[str, str | None] | None:
     return found.get(VERSION, table), found.get(PREVIOUS)
 
 
-def _write_version(df: DataFrame, table: str, partition_by: Sequence[str]) -> tuple[str, int]:
+def _write_version(df: DataFrame, table: str, partition_by: Sequence[str], buckets: tuple[int, Sequence[str]] | None = None) -> tuple[str, int]:
     """A new version with the rows of ``df``, counted while they are written, without a second scan."""
     version = f"{table}__v_{uuid.uuid4().hex}"
     written = Observation()
+    writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write.partitionBy(*partition_by)
     try:
-        df.observe(written, F.count(F.lit(1)).alias("rows")).write.partitionBy(*partition_by).saveAsTable(version)
+        (writer.bucketBy(buckets[0], *buckets[1]) if buckets else writer).saveAsTable(version)
     except Exception:
         df.sparkSession.sql(f"DROP TABLE IF EXISTS {version}")
         raise
@@ -56,15 +57,18 @@ def _point(spark: SparkSession, table: str, version: str, previous: str | None,
     spark.sql(f"{create} {table} TBLPROPERTIES ('{VERSION}' = '{version}'{kept}) AS SELECT * FROM {version}")
 
 
-def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> int:
+def replace_table(
+    df: DataFrame, table: str, partition_by: Sequence[str] = (), buckets: tuple[int, Sequence[str]] | None = None,
+) -> int:
     """Replace rows and schema of a stored table; returns the rows written.
 
     ``df`` may read the table it replaces. ``partition_by`` lays a table that has grown large out by a
-    low-cardinality column, so that filters on it skip files. A plain table of that name is taken over: it is
+    low-cardinality column, so that filters on it skip files; ``buckets``, a number and columns, deals rows to files by those columns, so that
+    aggregates and joins on them need no shuffle. A plain table of that name is taken over: it is
     renamed once, and only in that moment absent, so it must not be partitioned.
     """
     spark = df.sparkSession
-    version, rows = _write_version(df, table, partition_by)
+    version, rows = _write_version(df, table, partition_by, buckets)
     current, previous = _versions(spark, table) or (None, None)
     if current == table:
         current = f"{table}__v_{uuid.uuid4().hex}"
@@ -98,7 +102,15 @@ def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), on
         names = list(once)
         known = spark.table(current).select(*names).join(df.select(*names), names, "left_semi").distinct()
         df = df.join(known, names, "left_anti").select(*df.columns)
-    df.write.mode("append").partitionBy(*partition_by).saveAsTable(current)
+    _insert(df, current)
+
+
+def _insert(df: DataFrame, stored: str, overwrite: bool = False) -> None:
+    """Add rows by the names of their columns, laid out as the table is; an insert itself goes by position."""
+    columns = df.sparkSession.table(stored).columns
+    if set(columns) != set(df.columns):
+        raise ValueError(f"{stored} has the columns {columns}, the rows have {df.columns}")
+    df.select(*columns).write.insertInto(stored, overwrite=overwrite)
 
 
 def replace_partitions(df: DataFrame, table: str) -> None:
@@ -107,13 +119,11 @@ def replace_partitions(df: DataFrame, table: str) -> None:
     The columns go by name. The partitions change when the write commits; ``df`` must not read the table.
     """
     spark = df.sparkSession
-    current = _versions(spark, table)[0]
-    columns = spark.table(current).columns  # an insert goes by position
     mode = "spark.sql.sources.partitionOverwriteMode"  # an insert into a table takes it from the session only
     before = spark.conf.get(mode)
     spark.conf.set(mode, "dynamic")
     try:
-        df.select(*columns).write.insertInto(current, overwrite=True)
+        _insert(df, _versions(spark, table)[0], overwrite=True)
     finally:
         spark.conf.set(mode, before)
 

@@ -78,6 +78,7 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, strf
 SELECT {sql.month('o_orderdate')} AS order_month, count(*) AS orders, min(o_orderkey) AS first_order, max(o_orderkey) AS last_order
 FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1""",
         "run_log_appended_once": f"SELECT run_id, status, checks_total, checks_failed, error_message FROM {star_sql.RUN_LOG}",
+        "audit_from_counters": faulty,
         "monthly_revenue_kept": hiring_sql.REPORTS["monthly_revenue"],
         "recent_runs_by_day": star_sql.REPORTS["recent_runs"],
         "ids_on_growth": """

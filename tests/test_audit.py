@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hirelattice.plans import audit, recruiting
 from hirelattice.plans.checks import Check, MatchedTotal, Rows, Surplus, Total, Unmatched
+from hirelattice.sources.tables import create_namespace
 
 from .conftest import day
 
@@ -212,3 +213,23 @@ def test_hot_and_missing_keys_stay_small_in_the_shuffle(spark, joins, on_disk):
 
 def test_dates_survive(clean):
     assert clean["vacancies"].first().opened_at == date(2025, 1, 10)
+
+
+def test_kept_counters(spark, clean, frames_of, rows):
+    """Stored, replaced and appended counters give the audit of the tables as they are, without a shuffle of keys."""
+    create_namespace(spark, "kept_counters")
+    stored = "kept_counters.c"
+    statuses = lambda df: {r.check_name: (r.expected, r.actual, r.status) for r in df.collect()}
+    faulty = recruiting.inject_faults(clean)
+    audit.store_counters(recruiting.CHECKS, clean, stored, buckets=4)
+    kept = audit.audit_stored(recruiting.CHECKS, spark.table(stored))
+    text = plan(kept)
+    assert text.count("Exchange") == 1 and "Exchange SinglePartition" in text and text.count("FileScan") == 1
+    assert statuses(kept) == statuses(recruiting.audit_checks(clean))
+    for source in ("clients", "vacancies", "placements", "marketing_daily", "sales_deals"):
+        audit.store_counters(recruiting.CHECKS, faulty, stored, buckets=4, only=[source])
+    assert statuses(audit.audit_stored(recruiting.CHECKS, spark.table(stored))) == statuses(recruiting.audit_checks(faulty))
+    more = frames_of(rows, applications=rows["applications"][:2])
+    audit.store_counters(recruiting.CHECKS, more, stored, buckets=4, only=["applications"], appended=True)
+    grown = {**faulty, "applications": clean["applications"].union(more["applications"])}
+    assert statuses(audit.audit_stored(recruiting.CHECKS, spark.table(stored))) == statuses(recruiting.audit_checks(grown))
