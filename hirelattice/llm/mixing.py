@@ -58,32 +58,47 @@ def _quotas(sizes: DataFrame, weights: DataFrame | None, period: int) -> DataFra
 def period_schedule(quotas: DataFrame) -> DataFrame:
     """stream, turn, slot, slots, period: earliest deadline first over one period.
 
-    The table of quotas (a row per source) becomes one row; a fold over the period's slots takes the released block with the
-    earliest deadline, the first source on ties.
+    A source with one slot may stand anywhere in the period, so those sources are a queue: they take the slots that the others
+    leave, in their order. The others, fewer than the period was asked to have slots however many sources there are, become one row; a fold over
+    the slots takes the released block with the earliest deadline, the first source on ties. The work grows with the number of sources, not with its square.
     """
-    one = quotas.agg(F.array_sort(F.collect_list(F.struct("stream", "slots"))).alias("sources"), F.sum("slots").alias("period"))
-    plan = one.where("period IS NOT NULL").select("sources", "period", F.expr("""
+    place = (F.row_number().over(Window.orderBy("stream")) - 1).cast("long")  # a row per source
+    sources = materialise(quotas.withColumn("at", place), "sources")
+    one = sources.agg(
+        F.sum("slots").alias("period"),
+        F.array_sort(F.collect_list(F.when(F.col("slots") > 1, F.struct("at", "slots")))).alias("several"),
+        F.array_sort(F.collect_list(F.when(F.col("slots") == 1, F.col("at")))).alias("queue"),
+    )
+    taken = one.where("period IS NOT NULL").select("period", F.expr("""
         aggregate(
           sequence(0L, period - 1),
-          named_struct('used', transform(sources, s -> 0L), 'order', cast(array() AS array<int>)),
+          named_struct('used', transform(several, s -> 0L), 'taken', cast(array() AS array<struct<slot: bigint, i: int>>)),
           (done, slot) -> transform(
-            array(array_min(filter(
-              transform(sources, (s, i) -> named_struct(
-                'due', ((done.used[i] + 1) * period + s.slots - 1) div s.slots,
-                'released', done.used[i] < s.slots AND (done.used[i] * period) div s.slots <= slot,
-                'at', i)),
-              x -> x.released)).at),
+            array(array_min(concat(
+              filter(
+                transform(several, (s, i) -> named_struct(
+                  'due', IF(done.used[i] < s.slots AND (done.used[i] * period) div s.slots <= slot,
+                            ((done.used[i] + 1) * period + s.slots - 1) div s.slots, NULL),
+                  'at', s.at, 'i', i)),
+                x -> x.due IS NOT NULL),
+              IF(slot - size(done.taken) < size(queue),
+                 array(named_struct('due', period, 'at', queue[int(slot - size(done.taken))], 'i', -1)),
+                 cast(array() AS array<struct<due: bigint, at: bigint, i: int>>))
+            )).i),
             pick -> named_struct(
-              'used', transform(done.used, (u, i) -> IF(i = pick, u + 1, u)),
-              'order', concat(done.order, array(pick))))[0],
-          done -> done.order)
-    """).alias("order"))
-    slots = plan.select("sources", "period", F.posexplode("order").alias("slot", "at")).select(
-        F.expr("sources[at].stream").alias("stream"), F.expr("sources[at].slots").alias("slots"), "period",
-        F.col("slot").cast("long").alias("slot"),
-    )
-    turn = F.row_number().over(Window.partitionBy("stream").orderBy("slot")) - 1
-    return slots.withColumn("turn", turn.cast("long"))
+              'used', IF(pick < 0, done.used, transform(done.used, (u, i) -> IF(i = pick, u + 1, u))),
+              'taken', IF(pick < 0, done.taken, concat(done.taken, array(named_struct('slot', slot, 'i', pick))))))[0],
+          done -> transform(done.taken, t -> named_struct('slot', t.slot, 'at', several[t.i].at)))
+    """).alias("taken"))
+    taken = materialise(taken, "period")
+    placed = taken.select(F.explode("taken").alias("t")).select("t.slot", "t.at")
+    free = taken.select(F.explode(F.expr("sequence(0L, period - 1)")).alias("slot")).join(placed, "slot", "left_anti")
+    rank = lambda order: F.row_number().over(Window.orderBy(order))  # noqa: E731  a row per source
+    queue = sources.where("slots = 1").select("at", rank("at").alias("rank"))
+    placed = placed.unionByName(free.select("slot", rank("slot").alias("rank")).join(queue, "rank").select("slot", "at"))
+    turn = F.row_number().over(Window.partitionBy("at").orderBy("slot")) - 1
+    named = placed.withColumn("turn", turn.cast("long")).join(sources, "at")
+    return named.join(F.broadcast(taken.select("period"))).select("stream", "slots", "period", "slot", "turn")  # one row
 
 
 def _started(documents: DataFrame) -> DataFrame:

@@ -205,3 +205,35 @@ def test_packing_keeps_the_order_of_the_files(spark, docs_of, monkeypatch):
     assert all(number == min(places) for number, places in members.items())
     near = [places for places in members.values() if max(places) - min(places) < 32]
     assert len(near) > len(members) / 2
+
+
+def edf_by_hand(quotas):
+    """Earliest deadline first over one period, slot by slot over all sources."""
+    period, used, order = sum(quotas), [0] * len(quotas), []
+    for slot in range(period):
+        ready = [(-(-(u + 1) * period // q), i) for i, (u, q) in enumerate(zip(used, quotas)) if u < q and u * period // q <= slot]
+        order.append(min(ready)[1])
+        used[order[-1]] += 1
+    return order
+
+
+@pytest.mark.parametrize("quotas", [
+    [1], [5], [1] * 7, [3, 1, 4, 1, 5, 9, 2, 6], [200, 1, 1, 1, 100, 2, 2, 1], [1, 1, 700] + [1] * 400 + [2, 3] * 20, [2] * 50 + [1] * 900,
+])
+def test_period_against_plain_scheduling(spark, quotas):
+    rows = [(f"s{i:04d}", q) for i, q in enumerate(quotas)]
+    plan = mixing.period_schedule(spark.createDataFrame(rows, "stream string, slots long")).collect()
+    order = {r.slot: r.stream for r in plan}
+    assert [order[k] for k in range(sum(quotas))] == [f"s{i:04d}" for i in edf_by_hand(quotas)]
+    assert {r.period for r in plan} == {sum(quotas)} and len(plan) == sum(quotas)
+    for r in plan:  # every block in its window
+        q = dict(rows)[r.stream]
+        assert r.slots == q and r.turn * sum(quotas) // q <= r.slot < -(-(r.turn + 1) * sum(quotas) // q)
+
+
+def test_many_sources(spark, docs_of):
+    """More sources than a period has slots."""
+    rows = [(i, "text " * (1 + i % 5), None, f"site{i}") for i in range(3000)] + [(10_000 + i, "word " * 900, None, "large") for i in range(200)]
+    got = mixing.schedule(docs_of(rows)).collect()
+    assert len(got) == 3200 and len({r.source for r in got}) == 3001
+    assert all(r.released <= r.slot < r.due for r in got)
