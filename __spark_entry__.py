@@ -115,6 +115,10 @@ def _labelled_documents(t: dict) -> DataFrame:
     return matching.member_rows(documents, t["labels"], ["doc_id"])
 
 
+def _customers_without_orders(t: dict) -> DataFrame:
+    return matching.orphan_count_of_few(t["customer"], t["orders"], ["c_custkey"], ["o_custkey"])
+
+
 # --- sources ----------------------------------------------------------------------------
 
 
@@ -377,6 +381,7 @@ def queries() -> dict[str, Query]:
         "scalar_functions": _scalar_functions,
         "orphan_documents": _orphan_documents,
         "labelled_documents": _labelled_documents,
+        "customers_without_orders": _customers_without_orders,
         **{
             f"check_{c.check_name}": lambda t, c=c: audit.audit_by_branch([c], t)
             for c in [*star.CHECKS, star.LINE_PARTS, star.RATED_CUSTOMERS]

@@ -63,6 +63,8 @@ WHERE NOT EXISTS (SELECT 1 FROM labels AS l WHERE l.doc_id = d.doc_id)""",
         "labelled_documents": """
 SELECT doc_id, lang, source, n_chars FROM documents AS d
 WHERE EXISTS (SELECT 1 FROM labels AS l WHERE l.doc_id = d.doc_id)""",
+        "customers_without_orders": """
+SELECT count(*) AS orphans FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)""",
         "key_conditions": f"{hiring_sql.BASE}\n" + "\nUNION ALL ".join(
             f"SELECT '{name}' AS condition, {held} AS holds" for name, held in _CONDITIONS.items()
         ),

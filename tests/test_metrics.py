@@ -139,3 +139,20 @@ def test_latest_rows_breaks_ties(spark, n):
     out = metrics.latest_rows(df, "started_at", "run_id", ["run_id"], n)
     assert [r[0] for r in out.collect()] == [f"r{i:02d}" for i in range(24, 24 - n, -1)]
     assert "TakeOrderedAndProject" in out._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("children", [0, 3, 5000])
+def test_orphans_against_a_large_parent(spark, tmp_path, children):
+    """The same counts as without the filter, and far fewer parent rows behind it."""
+    child = spark.range(children).select(
+        F.when(F.col("id") % 50 == 0, F.lit(None)).otherwise(F.col("id") * 3).alias("k"), F.col("id").cast("string").alias("s")
+    )
+    parent = spark.range(40_000).select((F.col("id") * 2).alias("p"), F.col("id").cast("string").alias("s"))
+    for keys, parents in ((["k"], ["p"]), (["k", "s"], ["p", "s"])):
+        plain = collected(matching.orphan_count(child, parent, keys, parents))
+        assert collected(matching.orphan_count_of_few(child, parent, keys, parents)) == plain
+    keyed = child.where("k IS NOT NULL").select("k")
+    passed = matching.likely_members(parent.select(F.col("p").alias("k")), ["k"], matching.key_filter(keyed, ["k"], 1 << 17), 1 << 17)
+    held = passed.select("k").distinct()
+    assert keyed.join(parent, F.col("k") == F.col("p"), "left_semi").join(held, "k", "left_anti").count() == 0
+    assert passed.count() < 40_000 * 0.1 + children
