@@ -46,3 +46,24 @@ WITH RECURSIVE usable AS (
 SELECT vec_id, coalesce(any_value(n), 0)::BIGINT AS n_links, min(root) AS component_id, vec_id = min(root) AS kept
 FROM reach LEFT JOIN linked USING (vec_id) GROUP BY vec_id
 """
+
+SUBSTRINGS = """
+WITH words AS (
+  SELECT doc_id, generate_subscripts(w, 1) AS i, unnest(w) AS word
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents)
+), windows AS (
+  SELECT doc_id, i, word, string_agg(word, ' ') OVER ahead AS string, count(*) OVER ahead = 13 AS whole
+  FROM words WINDOW ahead AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)
+), firsts AS (
+  SELECT string, min(doc_id) AS first FROM windows WHERE whole GROUP BY string
+), judged AS (
+  SELECT doc_id, i, word, coalesce(max(CASE WHEN first < doc_id THEN 1 ELSE 0 END) OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW), 0) = 1 AS gone
+  FROM windows LEFT JOIN firsts ON whole AND windows.string = firsts.string
+), kept AS (
+  SELECT doc_id, count(*) AS n, count(*) FILTER (gone) AS m, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS text
+  FROM judged GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_words, coalesce(m, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""

@@ -41,7 +41,7 @@ def queries() -> dict[str, Query]:
         "op8_line_dedup_any_length": _on("documents", lambda df: line_dedup.report(df, min_exact=1)),
         "op9_license_scan": _on("documents", licenses.scan),
         "op10_language_id": _on("documents", lambda df: language.identify(df, PIECES)),
-        "op11_substring_dedup": _on("documents", substring.remove_repeats),
+        "op11_substring_dedup": _on("documents", lambda df: substring.remove_repeats(df).drop("repeats")),
         "op12_cross_tokenizer_alignment": _on("documents", lambda df: alignment.align(df, BYTES, PIECES)),
         "op13_embedding_whitening": _on("embeddings", whitening.whiten),
     }
@@ -56,4 +56,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_mixing": mixing.ORACLE,
         "op8_line_dedup": line_dedup.ORACLE,
         "op8_line_dedup_any_length": line_dedup.ORACLE,
+        "op11_substring_dedup": oracles.SUBSTRINGS,
     }

@@ -12,9 +12,11 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from hirelattice.llm import alignment, exchange, substring, words
+from hirelattice.llm import alignment, exchange, oracles, substring, words
 from hirelattice.llm.registry import BYTES, PIECES
 
+from tests.oracle_compare import connect, difference
+
 from .conftest import table
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -57,6 +59,11 @@ def test_repeats_on_the_given_documents(spark):
     assert sum(r[2] for r in expected) > 0
 
 
+def test_repeats_equal_sql(spark):
+    found = substring.remove_repeats(table(spark, "documents")).drop("repeats")
+    assert difference(found, connect("/root/testdata/sf0.001"), oracles.SUBSTRINGS) is None
+
+
 @pytest.mark.parametrize("size", [60, 1 << 22])
 def test_repeats_within_and_across_chunks(spark, docs_of, monkeypatch, size):
     """Passages moved by any number of words, overlapping ones, copies, chains, and texts of few different words."""
