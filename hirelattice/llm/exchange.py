@@ -46,6 +46,16 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(unpack(data), dtype=np.uint64)
 
 
+def pack_ids(ids: np.ndarray) -> bytes:
+    """Signed numbers, by their distance from the least one."""
+    least = ids.min()
+    return int(least).to_bytes(8, "little", signed=True) + pack(ids.view(np.uint64) - np.array(least).view(np.uint64))
+
+
+def unpack_ids(data: bytes) -> np.ndarray:
+    return (unpack(data[8:]) + np.frombuffer(data[:8], np.uint64)).view(np.int64)
+
+
 def mixed(numbers: np.ndarray) -> np.ndarray:
     """A one-to-one mapping of 64-bit numbers that spreads them evenly."""
     x = numbers + np.uint64(0x9E3779B97F4A7C15)
@@ -62,7 +72,7 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
 def bucket_cuts(sorted_buckets: np.ndarray) -> Iterator[tuple[int, slice]]:
     """Each bucket that is there, and where its keys lie."""
     starts = np.flatnonzero(np.diff(sorted_buckets, prepend=np.uint64(1 << 40)))
-    for lo, hi in zip(starts, [*starts[1:], len(sorted_buckets)], strict=True):
+    for lo, hi in zip(starts, [*starts[1:], len(sorted_buckets)], strict=False):  # no starts if nothing is there
         yield int(sorted_buckets[lo]), slice(int(lo), int(hi))
 
 

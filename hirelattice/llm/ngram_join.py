@@ -39,8 +39,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from hirelattice.llm import exchange
 from hirelattice.llm.common import exact_key, parts_for, slices
 from hirelattice.llm.components import connected_components
+from hirelattice.llm.exchange import pack_ids, pack_sorted, unpack_ids, unpack_sorted
 from hirelattice.session import materialise
 
 GROUPS, COARSE_GROUPS = 256, 32  # coordinates of a point, and of the boxes of a tree
@@ -49,6 +51,7 @@ BAND = 1.25  # a size band ends at this times its start
 CHUNK = 256  # members of a file compared at once
 LEAF = 8  # entries of a tree node
 MOST_GROUPS = 84  # groups of segments that a small set is filed by
+BUCKET_KEYS, BLOCK_KEYS = 1 << 21, 1 << 16  # keys that a bucket takes, and pairs in a block that needs no meeting
 #: Up to so many narrow rows (at most 24 bytes each) are looked up by broadcast; beyond, by a shuffled join.
 BROADCAST_ROWS = 500_000
 
@@ -280,6 +283,67 @@ def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | Non
     yield None
 
 
+# --- the files ----------------------------------------------------------------------------
+
+
+def filed_together(chosen: DataFrame) -> DataFrame:
+    """(key, id) of every representative (id, keys) and every key that it shares with another one.
+
+    Most keys are held once. So a batch of rows sends each of its keys once, with the smallest id that has it, as sorted compressed numbers to
+    the bucket of the key; the bucket knows the keys that two batches sent. The other ids of a key that a batch holds several times are
+    known to share it, so they need no meeting: they travel in blocks dealt evenly. A key that a third of all rows have costs
+    its bucket one entry a batch. Keys are cut to 32 bits below the bucket's; keys that fall together by that cost a comparison, no result.
+    """
+    held = chosen.agg(F.sum(F.size("keys"))).first()[0]
+    buckets = exchange.bucket_count(chosen, held, BUCKET_KEYS)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = 0
+        for batch in slices(batches, "keys", rows=8192, size=16 << 20):
+            lists = batch.column("keys")
+            lengths = np.diff(lists.offsets.to_numpy())
+            raw = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            ids = np.repeat(batch.column("id").to_numpy(), lengths)
+            keys = (exchange.bucket_of(raw, buckets) << exchange.HALF) | (raw & exchange.MASK)
+            order = np.lexsort((ids, keys))
+            keys, ids = keys[order], ids[order]
+            new = np.ones(len(keys), bool)
+            new[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])  # a row may have a key twice
+            keys, ids = keys[new], ids[new]
+            first = np.ones(len(keys), bool)
+            first[1:] = keys[1:] != keys[:-1]
+            several = np.append(~first[1:], False)[:len(keys)][first]
+            out = [(b, True, pack_sorted(keys[first][s]), pack_ids(ids[first][s]), np.packbits(several[s]).tobytes())
+                   for b, s in exchange.bucket_cuts(keys[first] >> exchange.HALF)]
+            others, their = keys[~first], ids[~first]
+            for at in range(0, len(others), BLOCK_KEYS):
+                block = slice(at, at + BLOCK_KEYS)
+                turn += 1
+                out.append(((int(their[at]) + turn) % buckets, False, pack_sorted(others[block]), pack_ids(their[block]), b""))
+            columns = list(zip(*out, strict=True)) if out else [[]] * 5
+            kinds = [pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["bucket", "meets", "keys", "ids", "several"])
+
+    def meet(table: pa.Table) -> pa.Table:
+        known, asked = [], []
+        for r in table.to_pylist():
+            pair = unpack_sorted(r["keys"]), unpack_ids(r["ids"])
+            if r["meets"]:
+                asked.append((*pair, np.unpackbits(np.frombuffer(r["several"], np.uint8), count=len(pair[0])).astype(bool)))
+            else:
+                known.append(pair)
+        if asked:
+            keys, ids, several = (np.concatenate(x) for x in zip(*asked, strict=True))
+            _, starts, run = exchange.groups(ids, keys)
+            shared = (np.diff(np.append(starts, len(keys))) > 1) | (np.bincount(run, weights=several) > 0)
+            known.append((keys[shared[run]], ids[shared[run]]))
+        keys, ids = (np.concatenate(x) for x in zip(*known, strict=True))
+        return pa.table({"key": pa.array(keys.view(np.int64)), "id": pa.array(ids)})
+
+    asked = chosen.select("id", "keys").mapInArrow(ask, "bucket int, meets boolean, keys binary, ids binary, several binary")
+    return asked.groupBy("bucket").applyInArrow(meet, "key long, id long")
+
+
 # --- the join -----------------------------------------------------------------------------
 
 
@@ -379,9 +443,9 @@ def linked_rows(documents: DataFrame, words: int, part: int) -> DataFrame:
         "id", "doc_id", "t", "n", "counts", "fine", "keys"
     )
 
-    filed = chosen.select("id", F.explode("keys").alias("key"))
-    files = filed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    members = materialise(filed.join(_narrow(files.select("key", "first"), "files"), "key"), "members")
+    filed = materialise(filed_together(chosen), "filed-together")
+    files = filed.groupBy("key").agg(F.min("id").alias("first"))
+    members = materialise(filed.join(_narrow(files, "files"), "key"), "members")
     stars = members.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     in_files = chosen.drop("keys").join(_narrow(members.select("id").distinct(), "filed"), "id", "left_semi")
     in_files = materialise(in_files, "in-files")

@@ -35,7 +35,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelattice.llm import exchange
-from hirelattice.llm.exchange import MASK, bucket_cuts, bucket_of, groups, mixed, pack, pack_sorted, unpack, unpack_sorted
+from hirelattice.llm.exchange import (
+    MASK, bucket_cuts, bucket_of, groups, mixed, pack, pack_ids, pack_sorted, unpack, unpack_ids, unpack_sorted,
+)
 from hirelattice.llm.words import WordHashes
 from hirelattice.session import materialise
 
@@ -142,21 +144,12 @@ def earlier(rows: list[dict]) -> list[tuple[int, bytes]]:
     """Per chunk a bit a window: another chunk holds it under a smaller id."""
     keys = [unpack_sorted(r["keys"]) for r in rows]
     sizes = [len(k) for k in keys]
-    holders = np.concatenate([_unpack_ids(r["more"]) for r in rows])
+    holders = np.concatenate([unpack_ids(r["more"]) for r in rows])
     order, starts, run = groups(holders, np.concatenate(keys))
     later = holders > holders[order[starts]][run]
     return [(r["chunk"], b) for r, b in zip(rows, bits(later, sizes), strict=True) if b.strip(b"\0")]
 
 
-def _pack_ids(ids: np.ndarray) -> bytes:
-    least = ids.min()
-    return int(least).to_bytes(8, "little", signed=True) + pack(ids.view(np.uint64) - np.array(least).view(np.uint64))
-
-
-def _unpack_ids(data: bytes) -> np.ndarray:
-    return (unpack(data[8:]) + np.frombuffer(data[:8], np.uint64)).view(np.int64)
-
-
 # --- passes -------------------------------------------------------------------------------
 
 
@@ -230,7 +223,7 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, keep_text: bool =
         hasher = WordHashes()
         for row in _rows_of(batches):
             _, _, bucket, keys, holders = Chunk.read(row, hasher, window, buckets).windows(row["hits"])
-            yield _asked(row["chunk"], bucket, keys, lambda s, holders=holders: _pack_ids(holders[s]))
+            yield _asked(row["chunk"], bucket, keys, lambda s, holders=holders: pack_ids(holders[s]))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHashes()

@@ -22,6 +22,12 @@ from .conftest import table
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
+@pytest.fixture(scope="module")
+def tokenizers():
+    with open(BYTES, encoding="utf-8") as a, open(PIECES, "rb") as b:
+        return alignment.Tokenizers(a.read(), b.read())
+
+
 # --- substring dedup ----------------------------------------------------------------------
 
 
@@ -91,6 +97,15 @@ def test_repeats_edge_cases(spark, docs_of):
     assert repeats(docs_of([(1, "a b c a b c"), (2, "c a b")]), 3) == repeats_by_force([(1, "a b c a b c"), (2, "c a b")], 3)
 
 
+def test_texts_without_keys(spark, docs_of, tokenizers):
+    """Nothing to ask for: texts shorter than a block, and texts without tokens."""
+    short = [(1, "a b c"), (2, None), (3, ""), (4, "a b c d e f")]
+    assert repeats(docs_of(short)) == repeats_by_force(short)
+    twelve = [(1, "a b c d e f g h i j k l"), (2, "a b c d e f g h i j k l")]
+    assert repeats(docs_of(twelve)) == repeats_by_force(twelve)
+    assert aligned(docs_of([(1, None), (2, "")])) == aligned_by_force([(1, None), (2, "")], tokenizers)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.binary(max_size=40), max_size=8), st.integers(1, 30))
 def test_word_hashes(texts, span):
@@ -129,12 +144,6 @@ def test_known_rows():
 # --- alignment ----------------------------------------------------------------------------
 
 
-@pytest.fixture(scope="module")
-def tokenizers():
-    with open(BYTES, encoding="utf-8") as a, open(PIECES, "rb") as b:
-        return alignment.Tokenizers(a.read(), b.read())
-
-
 def aligned_by_force(rows, tokenizers):
     """The contract's columns, from whole texts and sets of ends."""
     links, found = {}, {}
