@@ -10,7 +10,8 @@ text has say nothing, so a text in a foreign script scores the same in all langu
 Defined results: a null text or one without a letter is ``und`` with score 0; so is every text when
 nothing can be learned (no labelled documents). Equal scores go to the alphabetically first
 language. A null ``doc_id`` counts as held out. Repeated rows are predicted one by one. Extra columns are
-ignored: only ``doc_id``, ``text`` and ``lang`` are read, and ``lang`` only in training.
+ignored: only ``doc_id``, ``text`` and ``lang`` are read, and ``lang`` only in training. Words of any length are learnt, and texts of any
+length are read whole.
 """
 
 from __future__ import annotations
@@ -143,7 +144,8 @@ def _scaled_forward(word: str, model: PieceModel) -> np.ndarray:
 def training_words(documents: DataFrame, max_documents: int) -> DataFrame:
     """Word counts per language of a bounded sample: about ``max_documents`` documents a language.
 
-    The sample is a fixed set of hash values of ``doc_id``, as many as the language's size asks for.
+    The sample is a fixed set of hash values of ``doc_id`` and text, as many as the language's size asks for; repeated rows count once, so
+    copies cannot swell it.
     """
     labelled = documents.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id")
@@ -152,8 +154,8 @@ def training_words(documents: DataFrame, max_documents: int) -> DataFrame:
     share = F.least(F.lit(1.0), F.lit(float(max_documents)) / F.col("n"))
     steps = 1 << 30
     drawn = labelled.join(F.broadcast(sizes), "lang").where(  # one row per language
-        F.pmod(F.xxhash64("doc_id"), F.lit(steps)) < share * steps
-    )
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(steps)) < share * steps
+    ).select("doc_id", "lang", "text").distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

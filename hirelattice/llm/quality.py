@@ -6,8 +6,9 @@ patterns over all documents, of which there are at most 3 to the number of label
 document's soft label. On a bounded sample of documents these labels train a linear scorer over hashed words
 and word shapes, which then scores every whole text.
 
-Defined results: a null text is empty; a text without words has no features, and its score is its posterior. Repeated
-rows are scored one by one. Extra columns are ignored; an empty table gives no rows.
+Defined results: a null text is empty; a text without words has no features, and its score is its posterior. Texts of any length
+vote and are scored whole. A null ``doc_id`` stays null. Repeated rows are scored one by one, and count once in the sample, so that
+copies cannot swell it. Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -158,10 +159,11 @@ def _fit(rows: list[tuple[np.ndarray, np.ndarray, float]], rounds: int = 120) ->
 
 
 def train(documents: DataFrame, by_pattern: dict[str, float], sample: int = SAMPLE) -> Scorer:
-    """Fit the scorer in one task on about ``sample`` documents: a fixed set of hash values of text and id."""
+    """Fit the scorer in one task on about ``sample`` documents: a fixed set of hash values of text and id, repeated rows once."""
     total = documents.count()
     steps = 1 << 30
-    drawn = documents.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(steps)) < min(1.0, sample / max(1, total)) * steps)
+    share = min(1.0, sample / max(1, total))
+    drawn = documents.select("doc_id", "text").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(steps)) < share * steps).distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
