@@ -365,8 +365,13 @@ def _possible(pairs: DataFrame, points: DataFrame, threshold: Threshold) -> Data
         least = F.zip_with(f"{counts}_a", f"{counts}_b", lambda x, y: F.least(x, y))
         return F.aggregate(least, F.lit(0), lambda total, x: total + x)
 
-    known = _both(pairs, points, "n", "counts")
     sizes = F.col("n_a") + F.col("n_b")
+    # first by sums of four coordinates each, which are a quarter of the numbers to move: a bound too, and enough for most
+    step = GROUPS // 4
+    summed = F.transform(F.sequence(F.lit(1), F.lit(step)), lambda g: sum((F.element_at("counts", g + k * step) for k in range(1, 4)), F.element_at("counts", g)))
+    rough = _both(pairs, points.select("id", "n", summed.alias("sums")), "n", "sums")
+    pairs = rough.where(_reached(bound("sums"), sizes, threshold)).select("a", "b")
+    known = _both(pairs, points, "n", "counts")
     known = known.where(_reached(bound("counts"), sizes, threshold)).select("a", "b", "n_a", "n_b")
     large = (F.col("n_a") >= FINE_FROM) & (F.col("n_b") >= FINE_FROM)
     finer = _both(known.where(large), points.where(F.col("n") >= FINE_FROM), "fine")
