@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hirelattice.plans import audit, recruiting
 from hirelattice.plans.checks import Check, MatchedTotal, Rows, Surplus, Total, Unmatched
+from hirelattice.sources import tables
 from hirelattice.sources.tables import create_namespace
 
 from .conftest import day
@@ -233,3 +234,20 @@ def test_kept_counters(spark, clean, frames_of, rows):
     audit.store_counters(recruiting.CHECKS, more, stored, buckets=4, only=["applications"], appended=True)
     grown = {**faulty, "applications": clean["applications"].union(more["applications"])}
     assert statuses(audit.audit_stored(recruiting.CHECKS, spark.table(stored))) == statuses(recruiting.audit_checks(grown))
+
+
+def test_kept_counters_take_more_buckets_for_more_keys(spark, clean, monkeypatch):
+    """A bucket's keys are added up in one task, so their number must not grow with the tables."""
+    create_namespace(spark, "kept_buckets")
+    monkeypatch.setattr(audit, "ROWS_A_BUCKET", 5)
+    faulty = recruiting.inject_faults(clean)
+    audit.store_counters(recruiting.CHECKS, clean, "kept_buckets.c", buckets=2)
+    buckets = tables.bucket_count(spark, "kept_buckets.c")
+    assert buckets > 8
+    changed = ["clients", "vacancies", "placements", "marketing_daily", "sales_deals"]
+    audit.store_counters(recruiting.CHECKS, faulty, "kept_buckets.c", buckets=2, only=changed)
+    assert tables.bucket_count(spark, "kept_buckets.c") == buckets
+    kept = audit.audit_stored(recruiting.CHECKS, spark.table("kept_buckets.c"))
+    assert plan(kept).count("Exchange") == 1
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, recruiting.audit_checks(faulty).collect()))
+    assert tables.bucket_count(spark, "kept_buckets.missing") is None
