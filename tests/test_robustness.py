@@ -1,11 +1,13 @@
 """Odd values, sizes and session settings that must not change or lose results."""
 
 import math
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from hirelattice import functions as fn
+from hirelattice import session
 from hirelattice.operators import faults, shaping
 from hirelattice.plans import audit, recruiting, runs
 from hirelattice.plans.checks import VALIDITY, Check, Rows, Total
@@ -141,3 +143,33 @@ def test_the_gate_stops_a_write(spark, clean):
 def test_long_ids_give_their_whole_number(spark):
     frame = spark.createDataFrame([("p_" + "0" * 60 + "7",)], "x string")
     assert frame.select(fn.trailing_number("x", "p_")).first()[0] == 7
+
+
+def test_written_results_leave_no_shuffle_files(spark):
+    """Stages of a long run do not pile up the shuffles of those before them."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        named = blocks.getAllBlocks().mkString(" ").split()
+        return {n for n in named if n.startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get(session.SHUFFLE_CLEANUP)
+    kept = session.materialise(spark.range(100_000).groupBy((F.col("id") % 5000).alias("k")).count(), "shuffled")
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert kept.count() == 5000 and spark.conf.get(session.SHUFFLE_CLEANUP) == setting
+
+
+def test_tasks_are_bounded_unless_the_session_says_otherwise(spark):
+    scan, shuffle = (key for key, *_ in session.TASK_BYTES)
+    before = {key: spark.conf.get(key) for key in (scan, shuffle)}
+    try:
+        spark.conf.unset(scan)
+        spark.conf.set(shuffle, "3m")
+        session.bound_tasks(spark)
+        assert spark.conf.get(scan) == f"{8 << 20}b" and spark.conf.get(shuffle) in ("3m", f"{3 << 20}b")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

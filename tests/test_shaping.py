@@ -55,6 +55,30 @@ def test_calendar_spine(spark):
     assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_marked_rows_come_in_order(spark):
+    """Marking neither joins nor needs a second sort: ids follow the keys over all partitions; missing keys are equal."""
+    rows = [(i % 40 if i % 9 else None, f"v{i % 7}" if i % 5 else None, "new") for i in range(400)]
+    df = spark.createDataFrame(rows, "k bigint, v string, stage string").repartition(5)
+    chosen = spark.createDataFrame([(3, "v1"), (None, None), (None, "v3"), (3, "v1"), (99, "v0")], "k bigint, v string")
+    marked = shaping.mark_chosen(df, chosen, ["k", "v"], "stage", "taken")
+    assert "Join" not in marked._jdf.queryExecution().optimizedPlan().toString()
+    ids = shaping.sequential_ids(marked, ["k", "v"], "id", "x_", 3, ordered=True)
+    assert ids.columns == ["id", "k", "v", "stage"]
+    place = lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")
+    taken = {(3, "v1"), (None, None), (None, "v3")}
+    expected = [(k, v, "taken" if (k, v) in taken else "new") for k, v, _ in sorted(rows, key=place)]
+    assert [(r.k, r.v, r.stage) for r in ids.orderBy("id").collect()] == expected
+    assert [r.id for r in ids.orderBy("id").collect()] == [f"x_{i + 1:03d}" for i in range(400)]
+
+
+def test_the_kept_part_of_an_order_is_held_once(spark):
+    df = spark.createDataFrame([(1, 5, "b"), (1, None, "c"), (1, 5, "a"), (2, None, None), (None, 1, "x")], "k int, v int, w string")
+    ordered = df.withColumn("o", F.struct("v", "w"))
+    best = shaping.one_per_key(ordered, "k", "o", ["v", "w"])
+    assert "min_by" not in best._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(collected(best)) == [(1, None, "c"), (2, None, None)]
+
+
 def test_censoring(spark):
     rows = [("filled", day("2025-01-01")), ("filled", day("2025-03-01")), ("open", None)]
     df = spark.createDataFrame(rows, "status string, closed date")
