@@ -7,8 +7,7 @@ character replaced, inserted or left out). Lines are ordered by document id, the
 1. Equal lines collapse to one row by a 128-bit hash; the earliest place stays with it.
 2. Two different lines within one edit share the half before or the half behind the edit. Lines without a partner by
    either half cannot be within one edit of another and leave here; this loses no pair.
-3. The lines of a half that few share are paired with each other. Lines of the other halves
-   emit their neighbourhood: the line itself and every variant with one character left out, as hashed keys. A
+3. The others emit their neighbourhood: the line itself and every variant with one character left out, as hashed keys. A
    variant's key is put together from hashes of 64-character blocks, so a long line costs time in proportion to its length.
 4. Equal variants join. Lines that agree after leaving out the same place are all within one edit of each other, so each
    is paired with the earliest only; a whole line is paired with the lines of which it is a variant. No group of variants is
@@ -40,9 +39,8 @@ MIN_CHARS = 10
 BLOCK = 64  # characters hashed as one
 LAST = (1 << 63) - 1
 HALVES = ["front", "back", "front_of_longer", "back_of_longer"]
-#: Up to so many partnered lines (16 bytes each) are looked up by broadcast; beyond, by a shuffled join.
+#: Up to so many partnered lines (16 bytes each), and shared halves (8 bytes), are looked up by broadcast; beyond, by a shuffled join.
 BROADCAST_LINES = 100_000
-FEW = 8  # lines that share a half and are all compared with each other; more meet by their variants
 
 
 def _place(doc_id: Column) -> Column:
@@ -82,25 +80,20 @@ def _half_keys(line: Column, size: Column) -> list[Column]:
 
 
 def _partnered(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All different lines with their earliest place, and the hashes of those that share a half with another: a row a half, with its number of lines."""
+    """All different lines with their earliest place, and the hashes of those that share a half with another."""
     kinds = lines.groupBy("h1", "h2").agg(
         F.min(_at(F.col("place"), F.col("line_no"))).alias("first"), F.count(F.lit(1)).alias("copies"), *(F.min(k).alias(k) for k in HALVES)
     )
     kinds = materialise(kinds, "lines")
     # lines too short for the near match have no halves; a line has none of its halves twice
     keyed = kinds.where(F.col(HALVES[0]).isNotNull()).select("h1", "h2", F.explode(F.array(*HALVES)).alias("half"))
-    shared = materialise(keyed.groupBy("half").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1"), "shared-halves")
+    shared = keyed.groupBy("half").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("half")
+    shared = materialise(shared, "shared-halves")
     few = shared.count() <= BROADCAST_LINES
-    partners = keyed.join(F.broadcast(shared) if few else shared, "half")
+    partners = keyed.join(F.broadcast(shared) if few else shared, "half", "left_semi").select("h1", "h2").distinct()
     return kinds, materialise(partners, "partners")
 
 
-def _few_pairs(partners: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(a, h1, h2) as ``_near_pairs`` has them, of all lines that share a half with few others; at most FEW - 1 a line and half."""
-    held = partners.where(F.col("lines") <= FEW).join(candidates.select("h1", "h2", "first"), ["h1", "h2"])
-    return held.join(held.select("half", F.col("first").alias("a")), "half").where("a < first").select("a", "h1", "h2")
-
-
 def _variants(candidates: DataFrame) -> DataFrame:
     """h1, h2, first, left_out, variant: the line (left_out null) and all its variants, hashed with their lengths."""
     whole = Window.partitionBy("h1", "h2")
@@ -155,7 +148,7 @@ def _near_pairs(variants: DataFrame) -> DataFrame:
     met = cut.join(whole, "variant")
     inserted = met.where("first < other").select(F.col("first").alias("a"), F.col("o1").alias("h1"), F.col("o2").alias("h2"))
     left_out = met.where("first > other").select(F.col("other").alias("a"), "h1", "h2")
-    return replaced.unionByName(inserted).unionByName(left_out)
+    return replaced.unionByName(inserted).unionByName(left_out).distinct()
 
 
 def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS, min_exact: int = 1) -> DataFrame:
@@ -165,17 +158,14 @@ def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS, min_exact: i
     halves = [F.when(size >= min_chars, k).alias(n) for k, n in zip(_half_keys(F.col("line"), size), HALVES, strict=True)]
     lines = materialise(texts.select("place", "t", "line_no", "h1", "h2", *halves), "line-numbers")
     kinds, partners = _partnered(lines)
-    partnered = materialise(partners.select("h1", "h2").distinct(), "partnered")
-    few = partnered.count() <= BROADCAST_LINES
+    few = partners.count() <= BROADCAST_LINES
     found = (
         texts.where(size >= min_chars).select("h1", "h2", "line")
-        .join(F.broadcast(partnered) if few else partnered, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
+        .join(F.broadcast(partners) if few else partners, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
     )
     candidates = materialise(found.join(kinds.select("h1", "h2", "first"), ["h1", "h2"]), "partnered-lines")
 
-    crowded = candidates.join(partners.where(F.col("lines") > FEW).select("h1", "h2"), ["h1", "h2"], "left_semi")
-    near_pairs = _near_pairs(_variants(materialise(crowded, "crowded-lines")))
-    pairs = materialise(near_pairs.unionByName(_few_pairs(partners, candidates)).distinct(), "line-pairs")
+    pairs = materialise(_near_pairs(_variants(candidates)), "line-pairs")
     verified = (
         pairs.join(candidates.select("h1", "h2", F.col("line").alias("later")), ["h1", "h2"])
         .join(candidates.select(F.col("first").alias("a"), F.col("line").alias("earlier")), "a")

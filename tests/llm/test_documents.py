@@ -292,23 +292,20 @@ def test_lines_without_broadcast(spark, docs_of, monkeypatch):
     assert got == brute_lines(documents)
 
 
-def test_lines_of_small_halves_need_no_variants(spark, docs_of, monkeypatch):
-    """Lines that share a half with few others are compared at once; only crowded halves unfold variants. Same rows either way."""
-    unfolded, variants = [], line_dedup._variants
-
-    def counted(candidates):
-        unfolded.append(candidates.count())
-        return variants(candidates)
-
-    monkeypatch.setattr(line_dedup, "_variants", counted)
-    stem = "one stem that many lines have in common, "
-    documents = [(i, f"{stem}{'abcdefghijkl'[i] * 3} at its end{'s' * (i % 2)}") for i in range(12)]
-    documents += [(20 + i, line) for i, line in enumerate(["a pair of lines", "a pair of line", "a pear of lines", f"{stem}aaa at its ends"])]
-    for few, crowded in ((line_dedup.FEW, 13), (100, 0), (1, 16)):
-        monkeypatch.setattr(line_dedup, "FEW", few)
-        got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in line_dedup.report(docs_of(documents)).collect()}
-        assert got == brute_lines(documents)
-        assert unfolded.pop() == crowded
+def test_few_shared_halves_move_no_lines(spark, docs_of, monkeypatch):
+    """Halves are counted, without the lines that have them, and few shared ones go to where the lines are."""
+    plans, materialise = {}, line_dedup.materialise
+
+    def watched(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return materialise(df, label)
+
+    monkeypatch.setattr(line_dedup, "materialise", watched)
+    documents = [(1, "a pair of lines\nno other like it"), (2, "a pair of line\na pear of lines"), (3, "nothing alike in here")]
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in line_dedup.report(docs_of(documents)).collect()}
+    assert got == brute_lines(documents)
+    assert "min(h1" not in plans["shared-halves"]
+    assert "BroadcastHashJoin" in plans["partners"] and "SortMergeJoin" not in plans["partners"]
 
 
 def test_short_lines_repeated_exactly(spark, docs_of):
