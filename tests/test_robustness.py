@@ -21,6 +21,10 @@ def total(spark, *amounts):
     return spark.createDataFrame([(float(a),) for a in amounts], "x double").agg(fn.exact_total("x")).first()[0]
 
 
+def test_the_largest_exact_amount_is_exact(spark):
+    assert total(spark, 1125581585.12, 1e10) == 11125581585.12
+
+
 def test_small_amounts_add_up(spark):
     assert math.isclose(spark.range(1_000_000).select(F.lit(0.00004).alias("x")).agg(fn.exact_total("x")).first()[0], 40.0)
 
