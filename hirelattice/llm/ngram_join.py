@@ -6,16 +6,19 @@ of a tree over all points overlap so much that it prunes nothing, so the join fi
 small trees:
 
 1. Equal sets collapse to one representative, by a 128-bit signature.
-2. Two sets that reach the threshold differ in at most ``allowed`` shingles, which their sizes give. The hash range is cut
+2. A set linked with another one shares at least ``part`` percent of its own shingles with it. So representatives go that have fewer
+   shingles standing in any other one: texts are cut once into chunks of sorted shingles, whose keys meet in buckets, and each
+   chunk gets a bit a key back. Only the others take part in what follows, and only their texts are cut again.
+3. Two sets that reach the threshold differ in at most ``allowed`` shingles, which their sizes give. The hash range is cut
    into more segments than that, so at least one segment holds equal shingles in both: representatives are filed
    by segment and content. The number of segments depends on a size band; a set is filed in all bands that larger sets
    linked with it can have. Segments of at most one shingle say little; there are spare segments, so that
    two documents with no more such segments than spares meet in a better one. Documents with more are filed by all segments as
    well, empty ones too (small ones by groups of segments, which say more), so two of them meet. Sets so small that none may
    differ need no files: equal ones are one already.
-3. Each file's members are compared with its smallest member: first by the summed minima of their points, then, if these
+4. Each file's members are compared with its smallest member: first by the summed minima of their points, then, if these
    leave it open, by the sets themselves. This links whole groups of copies at a cost in proportion to their size.
-4. Files whose members are not all linked yet are searched whole: an R-tree over the points, boxes and points
+5. Files whose members are not all linked yet are searched whole: an R-tree over the points, boxes and points
    pruned by summed minima, and the pairs that remain (between members not yet linked to each other) are verified. Large files
    are cut into chunks and pairs of chunks, so no task holds more than two chunks.
 
@@ -35,6 +38,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -42,13 +46,15 @@ from pyspark.sql.window import Window
 from hirelattice.llm import exchange
 from hirelattice.llm.common import exact_key, parts_for, slices
 from hirelattice.llm.components import connected_components
-from hirelattice.llm.exchange import pack_ids, pack_sorted, unpack_ids, unpack_sorted
+from hirelattice.llm.exchange import pack, pack_ids, pack_sorted, unpack, unpack_ids, unpack_sorted
 from hirelattice.session import materialise
 
 GROUPS, COARSE_GROUPS = 256, 32  # coordinates of a point, and of the boxes of a tree
 FINE_GROUPS, FINE_FROM = 2048, 3000  # and those of a second point for sets of at least this size
 BAND = 1.25  # a size band ends at this times its start
 CHUNK = 256  # members of a file compared at once
+GATHERED, GATHERED_BYTES = 4096, 6 << 20  # documents (a power of two) and text of a chunk of shingles
+SHINGLE_BITS = np.uint64(40)  # of a shingle's hash that buckets compare; shingles that fall together only keep a set in
 LEAF = 8  # entries of a tree node
 MOST_GROUPS = 84  # groups of segments that a small set is filed by
 BUCKET_KEYS, BLOCK_KEYS = 1 << 21, 1 << 16  # keys that a bucket takes, and pairs in a block that needs no meeting
@@ -156,31 +162,132 @@ def _numbered_texts(documents: DataFrame) -> DataFrame:
     )
 
 
-def document_points(documents: DataFrame, words: int, threshold: Threshold) -> DataFrame:
-    """doc_id, t (a hash of the text), n, s1, s2, counts, fine, keys per document."""
+def set_points(texts: DataFrame, words: int, threshold: Threshold) -> DataFrame:
+    """id, doc_id, t, n, counts, fine, keys of every text (id, doc_id, t, text)."""
 
     def point(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            n, s1, s2, counts, fine, keys = [], [], [], [], [], []
+            n, counts, fine, keys = [], [], [], []
             for text in batch.column("text").to_pylist():
                 hashes = shingle_hashes(text, words)
                 n.append(len(hashes))
-                s1.append(_mix(hashes + _A).sum(dtype=np.uint64))
-                s2.append(_mix(hashes + _B).sum(dtype=np.uint64))
                 group = (hashes & np.uint64(FINE_GROUPS - 1)).astype(np.int64)
                 counts.append(np.bincount(group % GROUPS, minlength=GROUPS))
                 fine.append(np.bincount(group, minlength=FINE_GROUPS) if len(hashes) >= FINE_FROM else group[:0])
                 own = [segment_keys(hashes, b, threshold) for b in _bands(len(hashes), threshold)] if len(hashes) else []
                 keys.append(np.concatenate(own).view(np.int64) if own else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("t"), pa.array(n, pa.int64()), pa.array(np.array(s1, np.uint64).view(np.int64)),
-                 pa.array(np.array(s2, np.uint64).view(np.int64)), _lists(counts, np.int32), _lists(fine, np.int32),
-                 _lists(keys, np.int64)],
-                names=["doc_id", "t", "n", "s1", "s2", "counts", "fine", "keys"],
+                [*(batch.column(c) for c in ("id", "doc_id", "t")), pa.array(n, pa.int64()), _lists(counts, np.int32),
+                 _lists(fine, np.int32), _lists(keys, np.int64)],
+                names=["id", "doc_id", "t", "n", "counts", "fine", "keys"],
             )
 
-    source = _numbered_texts(documents)
-    return source.mapInArrow(point, "doc_id long, t long, n long, s1 long, s2 long, counts array<int>, fine array<int>, keys array<long>")
+    return texts.mapInArrow(point, "id long, doc_id long, t long, n long, counts array<int>, fine array<int>, keys array<long>")
+
+
+# --- sets that can be linked --------------------------------------------------------------
+
+
+def shingle_chunks(documents: DataFrame, words: int) -> DataFrame:
+    """chunk, the doc_id, t, n and signatures (s1, s2) of its documents, and their shingles in order: keys, owners (places in the chunk) and new.
+
+    ``new`` tells the first entry of each key. The id of a document is the number of its chunk and its place; the written copy fixes both.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        partition, turn = TaskContext.get().partitionId(), 0
+        for batch in slices(batches, "text", rows=GATHERED, size=GATHERED_BYTES):
+            sets = [shingle_hashes(t, words) for t in batch.column("text").to_pylist()]
+            sizes = np.array([len(x) for x in sets])
+            signed = [np.array([_mix(x + seed).sum(dtype=np.uint64) for x in sets], np.uint64) for seed in (_A, _B)]
+            keys = np.concatenate(sets) >> (np.uint64(64) - SHINGLE_BITS)
+            owners = np.repeat(np.arange(len(sets), dtype=np.uint64), sizes)
+            order = np.argsort(keys, kind="stable")
+            keys, owners = keys[order], owners[order]
+            new = np.ones(len(keys), np.uint64)
+            new[1:] = keys[1:] != keys[:-1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([exchange.chunk_number(partition, turn * GATHERED)], pa.int64()),
+                 *(pa.array([batch.column(c).to_pylist()], pa.list_(pa.int64())) for c in ("doc_id", "t")),
+                 *(_lists([x.view(np.int64)], np.int64) for x in (sizes, *signed)),
+                 *(pa.array([x], pa.binary()) for x in (pack_sorted(keys), pack(owners), pack(new)))],
+                names=["chunk", "doc_id", "t", "n", "s1", "s2", "keys", "owners", "new"],
+            )
+            turn += 1
+
+    lists = ", ".join(f"{c} array<long>" for c in ("doc_id", "t", "n", "s1", "s2"))
+    return _numbered_texts(documents).mapInArrow(cut, f"chunk long, {lists}, keys binary, owners binary, new binary")
+
+
+def chunk_members(chunks: DataFrame) -> DataFrame:
+    """id, doc_id, t, n, s1, s2 of every document."""
+    columns = ("doc_id", "t", "n", "s1", "s2")
+    rows = chunks.select("chunk", F.posexplode(F.arrays_zip(*columns)).alias("at", "row"))
+    return rows.select((F.col("chunk") + F.col("at")).alias("id"), *(F.col("row")[c].alias(c) for c in columns))
+
+
+def _entries(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which entries of a chunk belong to representatives, their owners, and whether each is the first of its key."""
+    owners = unpack(row["owners"])
+    mine = ~np.isin(owners, np.array(row["copied"] or [], np.uint64))
+    run = np.cumsum(unpack(row["new"]))[mine]
+    return mine, owners[mine].astype(np.int64), np.diff(run, prepend=np.zeros(1, np.uint64)) != 0  # runs count from 1
+
+
+def linkable(chunks: DataFrame, copies: DataFrame, threshold: Threshold) -> DataFrame:
+    """id of the representatives that share at least the threshold's part of their shingles with others; ``copies`` (id) are none.
+
+    A chunk sends each key once to the key's bucket, so a shingle that stands everywhere costs its bucket one entry a chunk.
+    """
+    held = chunks.agg(F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda total, n: total + n))).first()[0]
+    buckets = exchange.bucket_count(chunks, held, BUCKET_KEYS)
+    place = F.pmod("id", F.lit(GATHERED))
+    copied = copies.select((F.col("id") - place).alias("chunk"), place.alias("at")).groupBy("chunk").agg(F.collect_list("at").alias("copied"))
+    marked = chunks.join(_narrow(copied, "copied"), "chunk", "left")
+
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                yield batch.slice(at, 1).to_pylist()[0]
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            mine, _, first = _entries(row)
+            keys = unpack_sorted(row["keys"])[mine][first]
+            several = np.diff(np.append(np.flatnonzero(first), len(first))) > 1
+            cuts = list(exchange.bucket_cuts(exchange.bucket_of(keys << (np.uint64(64) - SHINGLE_BITS), buckets)))
+            if cuts:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b for b, _ in cuts], pa.int32()), pa.array([row["chunk"]] * len(cuts), pa.int64()),
+                     pa.array([pack_sorted(keys[s]) for _, s in cuts], pa.binary()),
+                     pa.array([pack(several[s].astype(np.uint64)) for _, s in cuts], pa.binary())],
+                    names=["bucket", "chunk", "keys", "several"],
+                )
+
+    def answer(rows: list[dict]) -> list[tuple[int, bytes]]:
+        asked = [unpack_sorted(r["keys"]) for r in rows]
+        keys = np.concatenate(asked)
+        shared = np.concatenate([unpack(r["several"]) for r in rows])
+        order = np.argsort(keys)
+        keys = keys[order]
+        same = keys[1:] == keys[:-1]
+        shared[order[1:][same]] = shared[order[:-1][same]] = 1
+        parts = np.split(shared, np.cumsum([len(a) for a in asked])[:-1])
+        return [(r["chunk"], pack(p)) for r, p in zip(rows, parts, strict=True)]
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            _, owners, first = _entries(row)
+            shared = np.concatenate([unpack(a["answer"]) for a in sorted(row["answers"], key=lambda a: a["bucket"])])
+            sizes = np.array(row["n"])
+            count = np.bincount(owners, weights=shared[np.cumsum(first) - 1], minlength=len(sizes)).astype(np.int64)
+            stay = (np.bincount(owners, minlength=len(sizes)) > 0) & (100 * count >= threshold.part * sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(row["chunk"] + np.flatnonzero(stay), pa.int64())], names=["id"])
+
+    asked = marked.select("chunk", "keys", "owners", "new", "copied").mapInArrow(ask, "bucket int, chunk long, keys binary, several binary")
+    answered = materialise(exchange.answers(asked, answer), "shared-shingles")
+    told = marked.select("chunk", "n", "owners", "new", "copied").join(exchange.by_chunk(answered, "answers"), "chunk")
+    return told.mapInArrow(tally, "id long")
 
 
 # --- the tree -----------------------------------------------------------------------------
@@ -381,11 +488,11 @@ def _narrow(rows: DataFrame, label: str) -> DataFrame:
 
 
 def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id, text of the wanted documents, given as (id, doc_id, t)."""
+    """id, doc_id, t, text of the wanted documents, given as (id, doc_id, t)."""
     side = _narrow(wanted.toDF("id", "wanted_id", "wanted_t"), "wanted")
     same = (F.col("t") == F.col("wanted_t")) & F.col("doc_id").eqNullSafe(F.col("wanted_id"))
     found = _numbered_texts(documents).join(side, same)
-    return found.groupBy("id").agg(F.first("text").alias("text"))  # repeated rows give one text
+    return found.groupBy("id").agg(*(F.first(c).alias(c) for c in ("doc_id", "t", "text")))  # repeated rows give one text
 
 
 def _verified(pairs: DataFrame, points: DataFrame, documents: DataFrame, words: int, threshold: Threshold) -> DataFrame:
@@ -432,16 +539,15 @@ def keep_one(documents: DataFrame, words: int = 5, part: int = 80) -> DataFrame:
 def linked_rows(documents: DataFrame, words: int, part: int) -> DataFrame:
     """doc_id, t, n, component, component_id for every document; the last two are null without shingles."""
     threshold = Threshold(part)
-    # the written copy fixes the row numbers
-    points = document_points(documents, words, threshold)
-    points = materialise(points.withColumn("id", F.monotonically_increasing_id()), "points")
+    chunks = materialise(shingle_chunks(documents, words), "chunks")
+    points = chunk_members(chunks)
     classes = points.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("id").alias("id"), F.min("doc_id").alias("smallest"))
     classes = materialise(classes, "classes")
     numbers = points.where("n > 0").select("id", "s1", "s2", "n")
     copies = numbers.join(classes.select("s1", "s2", "n", F.col("id").alias("chosen")), ["s1", "s2", "n"]).where("id <> chosen")
-    chosen = points.where("n > 0").join(_narrow(copies.select("id"), "copies"), "id", "left_anti").select(
-        "id", "doc_id", "t", "n", "counts", "fine", "keys"
-    )
+    possible = _narrow(linkable(chunks, copies.select("id"), threshold), "linkable")
+    wanted = points.join(possible, "id", "left_semi").select("id", "doc_id", "t")
+    chosen = materialise(set_points(_texts(documents, wanted), words, threshold), "points")
 
     filed = materialise(filed_together(chosen), "filed-together")
     files = filed.groupBy("key").agg(F.min("id").alias("first"))

@@ -184,6 +184,54 @@ def test_join_odd_rows(spark, docs_of):
     assert ngram_join.join_components(docs_of([])).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [0, 500_000])
+def test_linkable_sets_against_counts(spark, docs_of, monkeypatch, broadcast):
+    """Sets stay that share enough of their shingles with other sets; equal sets count as one, within a chunk and across chunks."""
+    monkeypatch.setattr(ngram_join, "GATHERED", 4)
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", broadcast)
+    rng = np.random.default_rng(3)
+    passage = " ".join(f"p{i}" for i in range(12))
+    own = [" ".join(f"v{i}" for i in rng.integers(0, 900, int(rng.integers(1, 60)))) for _ in range(30)]
+    texts = [text for _, text in near_copies(9, (9, 4, 2, *[1] * 9), words=40)]
+    texts += own + [f"{text} {passage}" for text in own[:20]] + own[:6] * 3 + [own[7].upper(), None, "", " \n", passage, "v1", "V1"]
+    chunks = ngram_join.materialise(ngram_join.shingle_chunks(docs_of(list(enumerate(texts)), clash=False), 3), "chunks")
+    rows = ngram_join.chunk_members(chunks).collect()
+    assert len({r.id for r in rows}) == len(texts) and len({r.id - r.id % 4 for r in rows}) > 12
+    sets = {r.id: frozenset(ngram_join.shingle_hashes((texts[r.doc_id] or "").encode(), 3).tolist()) for r in rows}
+    assert {r.id: len(sets[r.id]) for r in rows} == {r.id: r.n for r in rows}
+    chosen = {}
+    for i in sorted(sets):
+        chosen.setdefault(sets[i], i)
+    chosen.pop(frozenset())
+    copies = spark.createDataFrame([(i,) for i, x in sets.items() if x and chosen[x] != i], "id long")
+    held_by = Counter(x for s in chosen for x in s)
+    for part in (1, 50, 80, 90):
+        stay = {i for s, i in chosen.items() if 100 * sum(held_by[x] > 1 for x in s) >= part * len(s)}
+        assert 0 < len(stay) < len(chosen)
+        got = [r.id for r in ngram_join.linkable(chunks, copies, ngram_join.Threshold(part)).collect()]
+        assert sorted(got) == sorted(stay)
+
+
+def test_shared_passages_fill_no_files(spark, docs_of, monkeypatch):
+    """Documents that share passages, but have too many shingles of their own, meet in no file."""
+    written, materialise = {}, ngram_join.materialise
+
+    def watched(df, label):
+        out = materialise(df, label)
+        written.setdefault(label, out)
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialise", watched)
+    passage = " ".join(f"p{i}" for i in range(70))
+    documents = [(i, f"{passage} " + " ".join(f"d{i}w{k}" for k in range(30))) for i in range(20)]
+    documents += [(20, " ".join(f"x{k}" for k in range(99))), (21, " ".join(f"x{k}" for k in range(100)))]
+    got = ngram_join.join_components(docs_of(documents), 5, 80).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(documents, 5, 80)
+    assert sorted(r.doc_id for r in written["points"].collect()) == [20, 21]
+    filed = {r.id for r in written["filed-together"].collect()}
+    assert filed and filed <= {r.id for r in written["points"].collect()}
+
+
 def test_keep_one(spark, docs_of):
     kept = ngram_join.keep_one(docs_of([*ODD, (8, "SAME"), (9, "one two THREE four\nfive")])).select("doc_id", "text").collect()
     assert Counter(r.doc_id for r in kept) == Counter([1, 2, 3, 4, 9, 6, 7])
