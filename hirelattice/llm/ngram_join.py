@@ -17,10 +17,11 @@ small trees:
    well, empty ones too (small ones by groups of segments, which say more), so two of them meet. Sets so small that none may
    differ need no files: equal ones are one already.
 4. Each file's members are compared with its smallest member: first by the summed minima of their points, then, if these
-   leave it open, by the sets themselves. This links whole groups of copies at a cost in proportion to their size.
+   leave it open, by the sets themselves. This links whole groups of copies at a cost in proportion to their size. Files whose
+   members are not all linked by that are compared with another member, some times in turn as long as links are found.
 5. Files whose members are not all linked yet are searched whole: an R-tree over the points, boxes and points
    pruned by summed minima, and the pairs that remain (between members not yet linked to each other) are verified. Large files
-   are cut into chunks and pairs of chunks, so no task holds more than two chunks.
+   are cut into chunks and pairs of chunks, so no task holds more than two chunks. A pair found in several files counts in the first.
 
 Nothing is approximate: every pair that reaches the threshold is verified or already linked through others.
 
@@ -55,6 +56,8 @@ BAND = 1.25  # a size band ends at this times its start
 CHUNK = 256  # members of a file compared at once
 GATHERED, GATHERED_BYTES = 4096, 6 << 20  # documents (a power of two) and text of a chunk of shingles
 SHINGLE_BITS = np.uint64(40)  # of a shingle's hash that buckets compare; shingles that fall together only keep a set in
+TURNS = 3  # more members that a file's others are compared with before it is searched whole
+FIRST_FILES = 32  # of the files a member is searched in, so many say where a pair found in several files counts
 LEAF = 8  # entries of a tree node
 MOST_GROUPS = 84  # groups of segments that a small set is filed by
 BUCKET_KEYS, BLOCK_KEYS = 1 << 21, 1 << 16  # keys that a bucket takes, and pairs in a block that needs no meeting
@@ -342,7 +345,16 @@ class RTree:
         return query[keep], self.order[node[keep]]
 
 
-def _cell_pairs(threshold: Threshold, ids, sides, components, sizes, counts) -> list[tuple[int, int]]:
+def _counted_here(file: int, x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Is the file the first one that both members of a pair are in? Also true where their first files have none in common."""
+    here = np.ones(len(x), bool)
+    for n, (a, b) in enumerate(zip(x, y, strict=True)):
+        common = np.intersect1d(a, b, assume_unique=True)
+        here[n] = not len(common) or common[0] == file
+    return here
+
+
+def _cell_pairs(threshold: Threshold, ids, sides, components, sizes, counts, file=0, files=None) -> list[tuple[int, int]]:
     """Pairs of a cell that their points leave open, between members that are not linked to each other yet."""
     left = np.flatnonzero(sides == 0)
     right = np.flatnonzero(sides == 1) if sides.any() else left
@@ -351,12 +363,16 @@ def _cell_pairs(threshold: Threshold, ids, sides, components, sizes, counts) ->
     a, b = RTree(counts[left], sizes[left]).search(counts[right], sizes[right], threshold)
     a, b = right[a], left[b]
     apart = components[a] != components[b]
-    x, y = ids[a[apart]], ids[b[apart]]
+    a, b = a[apart], b[apart]
+    if files is not None:
+        here = _counted_here(file, [files[i] for i in a], [files[i] for i in b])
+        a, b = a[here], b[here]
+    x, y = ids[a], ids[b]
     return list(set(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True)))
 
 
 def _search_cells(threshold: Threshold):
-    columns = ("id", "side", "component", "n")
+    columns = ("id", "side", "component", "n", "key", "files")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come cell by cell; a cell that a batch ends in waits for the next batch."""
@@ -374,7 +390,8 @@ def _search_cells(threshold: Threshold):
             start = 0
             for end in ends:
                 if end - start > 1:
-                    found += _cell_pairs(threshold, *(r[start:end] for r in rows[1:]))
+                    ids, sides, components, sizes, keys, files, counts = (r[start:end] for r in rows[1:])
+                    found += _cell_pairs(threshold, ids, sides, components, sizes, counts, keys[0], files)
                 start = end
             waiting = [r[start:] for r in rows] if batch is not None else None
             if found:
@@ -521,19 +538,42 @@ def join_components(documents: DataFrame, words: int = 3, part: int = 90) -> Dat
 
 def keep_one(documents: DataFrame, words: int = 5, part: int = 80) -> DataFrame:
     """The documents without near-duplicates: of each component the row with the smallest id, and all without shingles."""
-    place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)), "doc_id", "t")
-    linked = linked_rows(documents, words, part).where("component IS NOT NULL")
-    chosen = linked.groupBy("component").agg(F.min(place).alias("c")).select(
-        F.col("c.doc_id").alias("chosen_id"), F.col("c.t").alias("chosen_t"), F.lit(True).alias("chosen")
+    linked = linked_rows(documents, words, part).where("component IS NOT NULL").groupBy("doc_id", "t").agg(
+        F.first("component").alias("component"), (F.count(F.lit(1)) > 1).alias("repeated")
     )
-    rows = documents.select(
-        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("t")
+    linked = materialise(linked, "linked-rows")
+    place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)), "doc_id", "t")
+    least = linked.groupBy("component").agg(F.min(place).alias("c"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    least = _narrow(least.select("component", F.col("c.doc_id").alias("least_id"), F.col("c.t").alias("least_t")), "least")
+    chosen = F.col("least_t").isNull() | ((F.col("t") == F.col("least_t")) & F.col("doc_id").eqNullSafe(F.col("least_id")))
+    marks = linked.join(least, "component", "left").withColumn("chosen", chosen).where("NOT chosen OR repeated")
+    # only rows that go and rows that repeat id and text are marked; all others stay where they are
+    marks = _narrow(marks.select(F.col("doc_id").alias("marked_id"), F.col("t").alias("marked_t"), "chosen"), "marks")
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"))
+    same = (F.col("t") == F.col("marked_t")) & F.col("doc_id").eqNullSafe(F.col("marked_id"))
+    first = F.row_number().over(Window.partitionBy("doc_id", "t").orderBy("t"))
+    once = rows.join(marks.where("chosen"), same).withColumn("first", first).where("first = 1")
+    return rows.join(marks, same, "left_anti").select("row.*").unionByName(once.select("row.*"))
+
+
+def _labelled(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """id, key and component of the members (id, key)."""
+    components = connected_components(linked).withColumnRenamed("node", "id")
+    labelled = members.join(components, "id", "left").select("id", "key", F.coalesce("component", "id").alias("component"))
+    return materialise(labelled, "labelled")
+
+
+def _unsettled(labelled: DataFrame) -> DataFrame:
+    """key and size of the files whose members are not all linked, one for each set of members.
+
+    Documents that share many passages fill many files alike.
+    """
+    one, two = exact_key(F.col("id"))
+    files = labelled.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"),
+        F.bit_xor(one).alias("one"), F.bit_xor(two).alias("two"),
     )
-    same = (F.col("t") == F.col("chosen_t")) & F.col("doc_id").eqNullSafe(F.col("chosen_id"))
-    first = F.row_number().over(Window.partitionBy("doc_id", "t").orderBy("t")) == 1  # of rows that repeat id and text
-    blank = F.coalesce(F.btrim("text", F.lit(" \t\n\r\x0b\x0c")) == "", F.lit(True))
-    rows = rows.join(chosen, same, "left").withColumn("first", first).where(blank | (F.col("chosen") & F.col("first")))
-    return rows.select("row.*")
+    return files.where("low < high").groupBy("size", "one", "two").agg(F.min("key").alias("key"))
 
 
 def linked_rows(documents: DataFrame, words: int, part: int) -> DataFrame:
@@ -557,27 +597,31 @@ def linked_rows(documents: DataFrame, words: int, part: int) -> DataFrame:
     in_files = materialise(in_files, "in-files")
     linked = materialise(_verified(stars, in_files, documents, words, threshold), "linked")
 
-    first_components = connected_components(linked)
     # a file's first member has been compared with all others
-    labelled = members.where("id <> first").join(first_components.withColumnRenamed("node", "id"), "id", "left").select(
-        "id", "key", F.coalesce("component", "id").alias("component")
-    )
-    labelled = materialise(labelled, "labelled")
-    one, two = exact_key(F.col("id"))
-    unsettled = labelled.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"),
-        F.bit_xor(one).alias("one"), F.bit_xor(two).alias("two"),
-    ).where("low < high")
-    # documents that share many passages fill many files alike: one file for each set of members
-    unsettled = unsettled.groupBy("size", "one", "two").agg(F.min("key").alias("key"))
-    unsettled = unsettled.select("key", F.ceil(F.col("size") / CHUNK).alias("chunks"))
+    labelled = _labelled(members.where("id <> first").select("id", "key"), linked)
+    for turn in range(TURNS):
+        apart = materialise(labelled.join(_unsettled(labelled).select("key"), "key"), "apart")
+        chosen_one = F.min(F.struct(F.xxhash64(F.lit(turn), "id").alias("order"), "id", "component")).alias("one")
+        others = apart.join(_narrow(apart.groupBy("key").agg(chosen_one), "chosen-ones"), "key").where("component <> one.component")
+        stars = others.select(F.least("id", "one.id").alias("a"), F.greatest("id", "one.id").alias("b")).distinct()
+        found = materialise(_verified(stars, in_files, documents, words, threshold), "linked")
+        if found.isEmpty():
+            break
+        linked = linked.unionByName(found)
+        labelled = _labelled(apart.select("id", "key"), linked)
+    unsettled = _unsettled(labelled).select("key", F.ceil(F.col("size") / CHUNK).alias("chunks"))
+    searched = materialise(labelled.join(unsettled, "key"), "searched")
+    in_order = Window.partitionBy("id").orderBy("key")
+    first_files = searched.withColumn("nth", F.row_number().over(in_order)).where(F.col("nth") <= FIRST_FILES)
+    first_files = first_files.groupBy("id").agg(F.sort_array(F.collect_list("key")).alias("files"))
+    first_files = materialise(in_files.join(first_files, "id").select("id", "n", "counts", "files"), "searched-points")
     mine = F.pmod(F.xxhash64("id"), F.col("chunks"))
     cells = (
-        labelled.join(unsettled, "key").withColumn("mine", mine)
+        searched.withColumn("mine", mine)
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-        .select("id", "component", F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("cell"),
+        .select("id", "component", "key", F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("cell"),
                 (F.col("mine") > F.col("other")).cast("int").alias("side"))
-        .join(in_files.select("id", "n", "counts"), "id").repartition(parts_for(documents), "cell").sortWithinPartitions("cell")
+        .join(first_files, "id").repartition(parts_for(documents), "cell").sortWithinPartitions("cell")
     )
     pairs = materialise(cells.mapInArrow(_search_cells(threshold), "a long, b long").distinct(), "pairs")
     more = _verified(pairs, in_files, documents, words, threshold)

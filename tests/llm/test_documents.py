@@ -237,6 +237,38 @@ def test_keep_one(spark, docs_of):
     assert Counter(r.doc_id for r in kept) == Counter([1, 2, 3, 4, 9, 6, 7])
 
 
+@pytest.mark.parametrize("broadcast", [0, 500_000])
+def test_kept_rows_stay_where_they_are(spark, docs_of, monkeypatch, broadcast):
+    """Of rows that repeat id and text one is kept, of a group the smallest place; rows without near-duplicates meet no shuffle."""
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", broadcast)
+    lone = [(n, " ".join(f"lone{n}w{i}" for i in range(9))) for n in range(30, 40)]
+    group = [(5, "MUCH the same text"), (4, "much the same\ntext"), (4, "much the same\ntext"), (9, "much the same text"), (None, "much the same text")]
+    documents = [*lone, *lone[:3], *group, (None, "no id"), (None, "no id"), (50, None), (50, None), (51, " ")]
+    kept = Counter((r.doc_id, r.text) for r in ngram_join.keep_one(docs_of(documents), 3, 90).collect())
+    assert kept == Counter([*lone, group[1], (None, "no id"), (50, None), (50, None), (51, " ")])
+    if broadcast:
+        plan = ngram_join.keep_one(docs_of(documents), 3, 90)._jdf.queryExecution().executedPlan().toString()
+        assert "LeftAnti, BuildRight" in plan and "SortMergeJoin" not in plan
+
+
+def test_a_pair_counts_in_its_first_file():
+    """Files that hold the same members give a pair once, and files of which none is among the first ones of both give it each."""
+    counts = np.zeros((6, ngram_join.GROUPS), np.int32)
+    counts[:, :20] = 1
+    keys, files = [7, 8, 9], [[7, 8, 9], [7, 8, 9]]
+    one = {"cell": np.repeat([1, 2, 3], 2), "id": [10, 11] * 3, "side": [0] * 6, "component": [10, 11] * 3, "n": [20] * 6,
+           "key": np.repeat(keys, 2), "counts": list(counts), "files": files * 3}
+
+    def found(columns):
+        batch = pa.RecordBatch.from_pydict({**columns, "side": pa.array(columns["side"], pa.int32())})
+        pairs = (b.to_pydict() for b in ngram_join._search_cells(ngram_join.Threshold(80))(iter([batch])))
+        return [p for b in pairs for p in zip(b["a"], b["b"], strict=True)]
+
+    assert found(one) == [(10, 11)]
+    assert found({**one, "files": [[1, 8, 9], [2, 8, 9]] * 3}) == [(10, 11)]
+    assert found({**one, "files": [[1, 2], [3, 4]] * 3}) == [(10, 11)] * 3
+
+
 def test_candidates_come_from_trees(spark):
     """Cells of any size are searched by a tree, and some cells of the test data are."""
     rng = np.random.default_rng(1)
